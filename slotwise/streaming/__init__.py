@@ -1,0 +1,7 @@
+"""Streaming.
+
+The job this library rebuilds is a daily batch: it has no stream source,
+watermark, time window or stateful operator, so nothing here is needed for
+parity. The package exists so a streaming entry point has a home; none is
+provided, because the reference defines no streaming semantics to match.
+"""

@@ -97,6 +97,12 @@ FIXTURE_SQL: dict[str, str] = {
         ' FROM customer'
         ' WHERE c_custkey % 2 = 1'
     ),
+    # Not in FIXTURES.md: process configuration for the process-identity lookup.
+    "fx_process_config": (
+        "SELECT CAST(n_nationkey AS INT) AS id, CASE WHEN n_nationkey % 3 = 0 THEN 'en_US' ELSE 'fr_FR' END AS Locale,"
+        " CASE WHEN n_regionkey % 2 = 0 THEN 'Brand A' ELSE 'Brand B' END AS brand, 'proc_' || n_name AS ProcessName"
+        ' FROM nation'
+    ),
 }
 
 _BASE_RE = re.compile(r"\b(" + "|".join(BASE_TABLES) + r")\b")

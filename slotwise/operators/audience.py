@@ -30,12 +30,15 @@ def launch_campaigns(meta: DataFrame) -> DataFrame:
     return meta.select("campaign_segment_type_id", "campaign_id", "priority", "tpid", "eapid", "locale").distinct()
 
 
-def assign_campaigns(segments: DataFrame, meta: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def assign_campaigns(
+    segments: DataFrame, meta: DataFrame, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None
+) -> DataFrame:
     """Recipients receive every campaign targeting one of their segments.
 
     ``segment_type_id`` becomes the recipient's ``#``-joined segment list.
+    ``config_rows`` is a known upper bound of the metadata's row count.
     """
-    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows)
+    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows, config_rows)
     seg = (
         normalize_locale(segments)
         .withColumnRenamed("segment_type_id", "campaign_segment_type_id")

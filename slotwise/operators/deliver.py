@@ -38,10 +38,10 @@ def add_tokens(df: DataFrame, account_tokens: DataFrame, subscriber_tokens: Data
     return out.withColumn("UserToken", F.coalesce("_tok_a", "_tok_s", F.lit(""))).drop("_paid_a", "_tok_a", "_paid_s", "_tok_s")
 
 
-def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None) -> DataFrame:
     """Per-campaign slot count (Q23), campaign id compared as int."""
     c = counts.select(F.col("campaign_id").cast("int").alias("_cid"), "AudienceTableName", "ModuleCount")
-    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows), F.col("campaign_id") == F.col("_cid"))
+    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows, config_rows), F.col("campaign_id") == F.col("_cid"))
     return out.drop("_cid")
 
 

@@ -76,6 +76,45 @@ def required_lookups(content: DataFrame) -> list[LookupSpec]:
     return [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())]
 
 
+def launch_layout(content: DataFrame) -> dict:
+    """All configuration metadata the plan needs, in one job: slot list and
+    widths (D-2, D-4), recipient attributes (H11) and lookup joins (A12)."""
+    req = lookup_requirements(content)
+    left = content.filter(F.col("var_source").isNotNull()).select(F.explode(binding_left_keys("var_source")).alias("c"))
+    toks = (
+        content.select(F.explode(template_tokens("var_structure")).alias("t"))
+        .filter(token_table("t") == F.lit(RECIPIENT_TABLE))
+        .select(token_column("t").alias("c"))
+    )
+    widths = content.groupBy("slot_position").agg(
+        F.max("var_position").alias("width"), F.max(F.col("var_position").isNotNull().cast("int")).alias("has_vars")
+    )
+    slot_t = "struct<slot_position:int,width:int,has_vars:int>"
+    lk_t = "struct<table_name:string,left_keys:array<string>,right_keys:array<string>,column_name:string>"
+    none = {"slot": F.lit(None).cast(slot_t), "attr": F.lit(None).cast("string"), "lk": F.lit(None).cast(lk_t)}
+
+    def tagged(**cols):
+        return [cols.get(k, v).alias(k) for k, v in none.items()]
+
+    parts = (
+        widths.select(*tagged(slot=F.struct(F.col("slot_position").cast("int"), F.col("width").cast("int"), "has_vars").cast(slot_t)))
+        .unionByName(left.union(toks).select(*tagged(attr=F.col("c"))))
+        .unionByName(req.select(*tagged(lk=F.struct("table_name", "left_keys", "right_keys", "column_name").cast(lk_t))))
+    )
+    row = parts.agg(
+        F.collect_list("slot").alias("slots"), F.collect_set("attr").alias("attributes"), F.collect_set("lk").alias("lookups")
+    ).first()
+    slots = sorted((int(r.slot_position), int(r.width)) for r in row.slots if r.has_vars)
+    grouped: dict[tuple, set] = {}
+    for r in row.lookups:
+        grouped.setdefault((r.table_name, tuple(r.left_keys), tuple(r.right_keys)), set()).add(r.column_name)
+    return {
+        "slots": slots,
+        "attributes": sorted(c for c in row.attributes if c),
+        "lookups": [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())],
+    }
+
+
 def recipient_columns(content: DataFrame) -> list[str]:
     """Recipient attributes any binding (left side) or template token names."""
     left = content.filter(F.col("var_source").isNotNull()).select(F.explode(binding_left_keys("var_source")).alias("c"))

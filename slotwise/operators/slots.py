@@ -69,10 +69,14 @@ def fill_slots(rows: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
     — and then does not block its module from a later slot.
     """
     slot_meta = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(w).alias("width")) for s, w in slots])
+    # ``rendered`` enters through the initial state, not the lambda: a column
+    # referenced once inside a lambda is inlined by CollapseProject and would be
+    # re-evaluated for every slot.
     init = F.struct(
         F.array().cast("array<int>").alias("used"),
         F.array().cast(f"array<{PICK_TYPE}>").alias("picks"),
         F.lit(False).alias("escalated"),
+        F.col("rendered").alias("rendered"),
     )
 
     def bind(expr: Column, fn) -> Column:
@@ -91,11 +95,12 @@ def fill_slots(rows: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
     def step(acc, s):
         slot, width = s["slot"], s["width"]
         return bind(
-            choose(acc, slot, width, F.try_element_at(F.col("rendered"), slot)),
+            choose(acc, slot, width, F.try_element_at(acc["rendered"], slot)),
             lambda r: F.struct(
                 F.array_append(acc["used"], r["pick"]["module_id"]).alias("used"),
                 F.array_append(acc["picks"], r["pick"]).alias("picks"),
                 (acc["escalated"] | r["hero"]).alias("escalated"),
+                acc["rendered"].alias("rendered"),
             ),
         )
 

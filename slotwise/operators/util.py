@@ -21,6 +21,10 @@ def broadcast_checked(df: DataFrame, max_rows: int, known_rows: int | None = Non
     Beyond the bound the frame is returned as is: the join is planned as a
     shuffle join, and AQE still switches it to a broadcast at run time if the
     measured shuffle output turns out small.
+
+    ``known_rows`` is an already proven upper bound (for instance the row
+    count of the persisted table the frame is a projection or aggregate of);
+    it saves the counting job.
     """
     rows = known_rows if known_rows is not None else row_count_at_most(df, max_rows)
     return F.broadcast(df) if rows <= max_rows else df

@@ -68,16 +68,28 @@ class CampaignRun:
         every later stage and several control values read it."""
         return campaigns.expand_content(self.meta, self.module_vars).persist()
 
+    @cached_property
+    def config_rows(self) -> int:
+        """Row count of the persisted expanded content. Every configuration-
+        derived frame (offered modules, module variables, launch campaigns,
+        module counts) is a projection or aggregate of it or of ``meta``
+        (which the left join into ``content`` cannot shrink), so this count is
+        their proven size bound."""
+        return self.content.count()
+
+    @cached_property
+    def layout(self) -> dict:
+        """Slot list + widths, recipient attributes, lookup joins (one job)."""
+        return render.launch_layout(self.content)
+
     @cached_property
     def slots(self) -> list[tuple[int, int]]:
         """Launch-wide (slot, width) list — configuration metadata."""
-        widths = {r.slot_position: r.var_position for r in campaigns.slot_widths(self.content).collect()}
-        row = campaigns.slot_list(self.content).first()
-        return [(int(s), int(widths[s])) for s in (row.slots if row else [])]
+        return self.layout["slots"]
 
     @cached_property
     def lookup_specs(self) -> list[render.LookupSpec]:
-        specs = render.required_lookups(self.content)
+        specs = self.layout["lookups"]
         missing = render.missing_lookups(specs, self.inputs.lookups)
         if missing:
             raise RuntimeError("lookup tables/columns not available: " + ", ".join(f"{t}.{c}" for t, c in missing))
@@ -85,13 +97,16 @@ class CampaignRun:
 
     @cached_property
     def attributes(self) -> list[str]:
-        return render.recipient_columns(self.content)
+        return self.layout["attributes"]
 
     # ---- recipient path -----------------------------------------------------
     @cached_property
     def audience(self) -> DataFrame:
-        assigned = audience.assign_campaigns(self.inputs.segments, self.meta, self.params.max_broadcast_rows)
-        return audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles))
+        """Recipients × campaigns. Persisted: cohorts, content keys and the
+        join-back all read it, and it is the one table built by a shuffle
+        join of two recipient-sized inputs."""
+        assigned = audience.assign_campaigns(self.inputs.segments, self.meta, self.params.max_broadcast_rows, self.config_rows)
+        return audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles)).persist()
 
     @cached_property
     def cohorts(self) -> DataFrame:
@@ -99,7 +114,9 @@ class CampaignRun:
 
     @cached_property
     def allocation(self) -> DataFrame:
-        return allocate.allocation(self.cohorts, self.content, self.params.rotation_seed(), self.params.max_broadcast_rows)
+        """Per-cohort candidates; persisted because its size check materialises it."""
+        p = self.params
+        return allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_rows).persist()
 
     @cached_property
     def content_keys(self) -> DataFrame:
@@ -107,14 +124,15 @@ class CampaignRun:
 
     @cached_property
     def rendered(self) -> DataFrame:
-        """One row per content key: wide slot columns, trace, campaign priority."""
+        """One row per content key: wide slot columns, trace, campaign priority.
+        Persisted: the join-back's size check materialises it."""
         p = self.params
         rows = render.content_rows(self.content_keys, self.allocation, p.max_broadcast_rows)
         rows = render.attach_values(rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows)
         rows = render.render_slots(rows, p.rotation_seed(), p.missing)
         rows = slots.fill_slots(rows, self.slots)
         keys = audience.content_key_columns(self.attributes)
-        return rows.select(*keys, *slots.personalise_columns(self.slots, p.compat))
+        return rows.select(*keys, *slots.personalise_columns(self.slots, p.compat)).persist()
 
     @cached_property
     def personalised(self) -> DataFrame:
@@ -128,11 +146,10 @@ class CampaignRun:
         joined = self.audience.join(content, cond).select(
             *OUTPUT_RECIPIENT_COLUMNS, "campaign_id", *out_cols, F.lit(len(self.slots)).alias("ModuleCount")
         )
-        launch = campaigns.live(
-            campaigns.in_scope(campaigns.launching(self.inputs.config.campaigns, p_locale(self.params), self.params.launch_date), self.params.scope),
-            "campaign_deleted_flag",
-        ).select("campaign_id", "locale", "LaunchDateTimeUTC").distinct()
-        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows), ["campaign_id", "locale"])
+        # Launch times of the day's campaigns. Taken from the metadata: a row of
+        # the result always belongs to a campaign that made it into ``meta``.
+        launch = self.meta.select("campaign_id", "locale", "LaunchDateTimeUTC").distinct()
+        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows, self.config_rows), ["campaign_id", "locale"])
 
     @cached_property
     def best(self) -> DataFrame:
@@ -165,7 +182,7 @@ class CampaignRun:
 
     @cached_property
     def deduped(self) -> DataFrame:
-        counted = deliver.add_module_count(self.seeded, campaigns.module_counts(self.content), self.params.max_broadcast_rows)
+        counted = deliver.add_module_count(self.seeded, campaigns.module_counts(self.content), self.params.max_broadcast_rows, self.config_rows)
         per_campaign = "_seed_campaign" if self.params.seeds_per_campaign and not self.params.compat else None
         return deliver.dedupe_recipients(counted, per_campaign_col=per_campaign).drop("_seed_campaign")
 
@@ -188,10 +205,6 @@ class CampaignRun:
         return self.counts
 
 
-def p_locale(params: RunParams) -> str:
-    return params.scope.locale
-
-
 def run_campaign(spark: SparkSession, params: RunParams, inputs: Inputs, writer=None, log: RunLog | None = None) -> DataFrame:
     """Build (and optionally write) the day's output; returns the output frame."""
     run = CampaignRun(spark, params, inputs, log)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import Scope
 from slotwise.functions.bindings import (
-    RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
+    QUALIFIER, RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
 )
 from slotwise.functions.keys import normalize_locale
 from slotwise.functions.text import render, resolve_variables
@@ -77,40 +77,38 @@ def required_lookups(content: DataFrame) -> list[LookupSpec]:
 
 
 def launch_layout(content: DataFrame) -> dict:
-    """All configuration metadata the plan needs, in one job: slot list and
-    widths (D-2, D-4), recipient attributes (H11) and lookup joins (A12)."""
-    req = lookup_requirements(content)
-    left = content.filter(F.col("var_source").isNotNull()).select(F.explode(binding_left_keys("var_source")).alias("c"))
-    toks = (
-        content.select(F.explode(template_tokens("var_structure")).alias("t"))
-        .filter(token_table("t") == F.lit(RECIPIENT_TABLE))
-        .select(token_column("t").alias("c"))
-    )
-    widths = content.groupBy("slot_position").agg(
-        F.max("var_position").alias("width"), F.max(F.col("var_position").isNotNull().cast("int")).alias("has_vars")
-    )
-    slot_t = "struct<slot_position:int,width:int,has_vars:int>"
-    lk_t = "struct<table_name:string,left_keys:array<string>,right_keys:array<string>,column_name:string>"
-    none = {"slot": F.lit(None).cast(slot_t), "attr": F.lit(None).cast("string"), "lk": F.lit(None).cast(lk_t)}
-
-    def tagged(**cols):
-        return [cols.get(k, v).alias(k) for k, v in none.items()]
+    """All configuration metadata the plan needs, in one small job: slot list
+    and widths (D-2, D-4), recipient attributes (H11) and lookup joins (A12).
 
-    parts = (
-        widths.select(*tagged(slot=F.struct(F.col("slot_position").cast("int"), F.col("width").cast("int"), "has_vars").cast(slot_t)))
-        .unionByName(left.union(toks).select(*tagged(attr=F.col("c"))))
-        .unionByName(req.select(*tagged(lk=F.struct("table_name", "left_keys", "right_keys", "column_name").cast(lk_t))))
-    )
-    row = parts.agg(
-        F.collect_list("slot").alias("slots"), F.collect_set("attr").alias("attributes"), F.collect_set("lk").alias("lookups")
-    ).first()
-    slots = sorted((int(r.slot_position), int(r.width)) for r in row.slots if r.has_vars)
+    Bindings and templates are parsed by the Spark expressions of
+    ``functions.bindings``; only the distinct parsed variable rows of the
+    launch (configuration-sized) reach the driver.
+    """
+    parsed = content.select(
+        F.col("slot_position").cast("int").alias("slot"),
+        F.col("var_position").cast("int").alias("pos"),
+        F.when(F.col("var_source").isNotNull(), binding_left_keys("var_source")).alias("left_keys"),
+        binding_right_keys("var_source").alias("right_keys"),
+        F.coalesce(has_lookup("var_source"), F.lit(False)).alias("lookup"),
+        template_tokens("var_structure").alias("tokens"),
+    ).distinct()
+    widths: dict[int, int] = {}
+    attributes: set[str] = set()
     grouped: dict[tuple, set] = {}
-    for r in row.lookups:
-        grouped.setdefault((r.table_name, tuple(r.left_keys), tuple(r.right_keys)), set()).add(r.column_name)
+    for r in parsed.collect():
+        if r.pos is not None:
+            widths[r.slot] = max(widths.get(r.slot, 0), r.pos)
+        attributes.update(c for c in (r.left_keys or []) if c)
+        for t in r.tokens:
+            table, _, rest = t.partition(QUALIFIER)
+            column = rest.split(QUALIFIER, 1)[0]
+            if table == RECIPIENT_TABLE:
+                attributes.add(column)
+            elif r.lookup and r.pos is not None:
+                grouped.setdefault((table, tuple(r.left_keys or ()), tuple(r.right_keys)), set()).add(column)
     return {
-        "slots": slots,
-        "attributes": sorted(c for c in row.attributes if c),
+        "slots": sorted(widths.items()),
+        "attributes": sorted(c for c in attributes if c),
         "lookups": [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())],
     }
 

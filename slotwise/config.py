@@ -40,6 +40,7 @@ class RunParams:
     missing: str = "compat"
     seeds_per_campaign: bool = True
     max_broadcast_rows: int = 2_000_000
+    max_broadcast_bytes: int = 128 * 1024 * 1024
     output_files: int = 10
     required_slots: tuple[int, ...] = (1, 2)
     extra: dict = field(default_factory=dict)

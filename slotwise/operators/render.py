@@ -22,7 +22,7 @@ from slotwise.functions.text import render, resolve_variables
 from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope
-from slotwise.operators.util import broadcast_checked
+from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
 
 SUPPRESSED_PRIORITY = 9999
 
@@ -162,6 +162,7 @@ def attach_values(
     lookups: dict[str, DataFrame],
     scope: Scope,
     max_broadcast_rows: int = 2_000_000,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``values: map<string,string>`` holding every recipient attribute
     (``traveler.<col>``) and every matched lookup value (``T.col@spec``).
@@ -176,7 +177,7 @@ def attach_values(
         cond = [F.col(l).cast("string") == F.col(f"_lk{n}_k{i}") for i, l in enumerate(spec.left)]
         if not cond:
             continue
-        rows = rows.join(broadcast_checked(lk, max_broadcast_rows), cond, "left")
+        rows = rows.join(broadcast_checked(lk, max_broadcast_rows, max_bytes=max_broadcast_bytes), cond, "left")
         hit = F.coalesce(F.col(f"_lk{n}_hit"), F.lit(False))
         for j, c in enumerate(spec.columns):
             key = f"{spec.table}.{c}@{spec.spec}"
@@ -247,7 +248,9 @@ def render_slots(rows: DataFrame, seed: int, mode: str = "compat") -> DataFrame:
     return rows.withColumn("rendered", rendered)
 
 
-def content_rows(keys: DataFrame, alloc: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def content_rows(
+    keys: DataFrame, alloc: DataFrame, max_broadcast_rows: int = 2_000_000, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+) -> DataFrame:
     """Content keys with their cohort's allocation (left join: a cohort without
     any candidate still gets a row, all slots ``dummy``)."""
-    return keys.join(broadcast_checked(alloc, max_broadcast_rows), COHORT_KEYS, "left")
+    return keys.join(broadcast_checked(alloc, max_broadcast_rows, max_bytes=max_broadcast_bytes), COHORT_KEYS, "left")

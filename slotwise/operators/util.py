@@ -10,24 +10,46 @@ class EmptyStageError(RuntimeError):
     """A stage that must produce rows produced none (reference gates, D-9)."""
 
 
+# Default byte budget of one broadcast side (each executor holds a copy).
+DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> int:
     """Count rows but stop after ``limit + 1``: a cheap bound, not a full count."""
     return df.limit(limit + 1).count()
 
 
-def broadcast_checked(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only for a side whose row count is checked to be small.
+def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of a frame, reading at most ``max_rows + 1`` rows, in one job.
+
+    Bytes are the JSON text length of each row — an over-estimate of the
+    in-memory size that also covers nested arrays and long strings, which a
+    per-type width guess would miss.
+    """
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(r.n), int(r.b or 0)
+
+
+def broadcast_checked(
+    df: DataFrame, max_rows: int, known_rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast hint only for a side whose size is checked to be small.
 
-    Beyond the bound the frame is returned as is: the join is planned as a
-    shuffle join, and AQE still switches it to a broadcast at run time if the
-    measured shuffle output turns out small.
+    The check reads at most ``max_rows + 1`` rows and measures their bytes
+    (``measured_size``); the hint is given only under both bounds. Beyond them
+    the frame is returned as is: the join is planned as a shuffle join, and
+    AQE still switches it to a broadcast at run time if the measured shuffle
+    output turns out small.
 
     ``known_rows`` is an already proven upper bound (for instance the row
-    count of the persisted table the frame is a projection or aggregate of);
-    it saves the counting job.
+    count of the persisted configuration table the frame is a projection or
+    aggregate of); for such configuration-sized frames it replaces the check.
     """
-    rows = known_rows if known_rows is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if rows <= max_rows else df
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    rows, size = measured_size(df, max_rows)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def gate(df: DataFrame, name: str, min_rows: int = 1) -> int:

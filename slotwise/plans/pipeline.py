@@ -14,12 +14,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, render, select, slots
 from slotwise.operators.util import broadcast_checked, gate
+from slotwise.sources import tables
 from slotwise.sources.runlog import RunLog
 
 # Recipient columns carried to the output (fixed list of the reference).
@@ -127,8 +128,10 @@ class CampaignRun:
         """One row per content key: wide slot columns, trace, campaign priority.
         Persisted: the join-back's size check materialises it."""
         p = self.params
-        rows = render.content_rows(self.content_keys, self.allocation, p.max_broadcast_rows)
-        rows = render.attach_values(rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows)
+        rows = render.content_rows(self.content_keys, self.allocation, p.max_broadcast_rows, p.max_broadcast_bytes)
+        rows = render.attach_values(
+            rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows, p.max_broadcast_bytes
+        )
         rows = render.render_slots(rows, p.rotation_seed(), p.missing)
         rows = slots.fill_slots(rows, self.slots)
         keys = audience.content_key_columns(self.attributes)
@@ -140,7 +143,7 @@ class CampaignRun:
         (null-safe on the attribute columns, Q7), launch time attached."""
         keys = audience.content_key_columns(self.attributes)
         content = self.rendered.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in self.rendered.columns if c not in keys])
-        content = broadcast_checked(content, self.params.max_broadcast_rows)
+        content = broadcast_checked(content, self.params.max_broadcast_rows, max_bytes=self.params.max_broadcast_bytes)
         cond = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
         out_cols = [c for c in self.rendered.columns if c not in keys]
         joined = self.audience.join(content, cond).select(
@@ -205,15 +208,48 @@ class CampaignRun:
         return self.counts
 
 
-def run_campaign(spark: SparkSession, params: RunParams, inputs: Inputs, writer=None, log: RunLog | None = None) -> DataFrame:
-    """Build (and optionally write) the day's output; returns the output frame."""
+@dataclass
+class OutputPaths:
+    """Where a run delivers: result parquet, one-row manifest, config snapshot."""
+
+    output: str
+    manifest: str | None = None
+    snapshot: str | None = None
+
+
+def run_campaign(
+    spark: SparkSession,
+    params: RunParams,
+    inputs: Inputs,
+    writer=None,
+    log: RunLog | None = None,
+    paths: OutputPaths | None = None,
+) -> DataFrame:
+    """Build the day's output and deliver it.
+
+    With ``paths`` the result, the manifest and the configuration snapshot are
+    written (A9–A11); the output row count for the log is observed on the
+    write itself (``Observation``), not by a second job. ``writer`` is an
+    alternative sink taking the output frame. Each step is logged (I10); a
+    failing step is logged with its cause and re-raised.
+    """
     run = CampaignRun(spark, params, inputs, log)
-    if log is not None:
-        with log.step("gates") as box:
-            box["rows"] = sum(run.check_gates().values())
-    else:
-        run.check_gates()
+    log = log or RunLog("campaign run", 0)
+    with log.step("gates") as box:
+        box["rows"] = sum(run.check_gates().values())
     out = run.output
+    if paths is not None:
+        obs = Observation("output")
+        with log.step("write output", paths.output) as box:
+            tables.write_output(out.observe(obs, F.count(F.lit(1)).alias("rows")), paths.output, params.output_files)
+            box["rows"] = obs.get["rows"]
+        if paths.manifest:
+            with log.step("write manifest", paths.manifest):
+                tables.write_manifest(spark, paths.output, paths.manifest)
+        if paths.snapshot:
+            with log.step("write snapshot", paths.snapshot):
+                tables.write_snapshot(run.content, paths.snapshot)
     if writer is not None:
-        writer(out)
+        with log.step("write output"):
+            writer(out)
     return out

@@ -36,6 +36,21 @@ def test_run_writes_output_manifest_and_snapshot(spark):
     assert rows[0].StartDate == dt.datetime(2024, 3, 5, 12, 0, 0)
 
 
+def test_run_delivers_paths_with_observed_count(spark):
+    from slotwise.plans.pipeline import OutputPaths
+
+    d = scratch()
+    f = fx.Fixtures(spark, SMALL)
+    log = runlog.RunLog("campaign run", 7)
+    paths = OutputPaths(os.path.join(d, "out"), os.path.join(d, "manifest"), os.path.join(d, "snapshot"))
+    run_campaign(spark, fixture_params(), fixture_inputs(f), log=log, paths=paths)
+    n = spark.read.parquet(paths.output).count()
+    steps = {r[3]: r for r in log.rows}
+    assert steps["write output"][7] == n > 0
+    assert spark.read.parquet(paths.snapshot).count() > 0
+    assert spark.read.parquet(paths.manifest).first().path == paths.output + "/*"
+
+
 def test_step_logs_failure_and_reraises(spark):
     log = runlog.RunLog("x", 1)
     with pytest.raises(ValueError):
@@ -54,6 +69,9 @@ def test_gate_and_broadcast_check(spark):
     plan_small = spark.range(3).join(broadcast_checked(small, 50), "id")._jdf.queryExecution().optimizedPlan().toString()
     plan_big = spark.range(3).join(broadcast_checked(big, 50), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_small and "broadcast" not in plan_big
+    wide = spark.range(10).withColumn("pad", F.repeat(F.lit("x"), 1000))
+    plan_wide = spark.range(3).join(broadcast_checked(wide, 50, max_bytes=5000), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan_wide
 
 
 def test_scope_must_be_unique(spark):

@@ -312,7 +312,17 @@ def _rendered_candidates(run):
 
 @query("demoted_modules")
 def q_demoted(spark, sf_dir):
-    keys, ex = _rendered_candidates(_run(spark, sf_dir))
+    return _demoted(_run(spark, sf_dir))
+
+
+@query("demoted_modules_strict")
+def q_demoted_strict(spark, sf_dir):
+    """I4 with the strict empty-content test (Q14)."""
+    return _demoted(fixture_run(spark, sf_dir, missing="strict"))
+
+
+def _demoted(run):
+    keys, ex = _rendered_candidates(run)
     return ex.select(
         *keys, "slot_position", F.col("c.module_id").alias("module_id"), F.col("c.priority").alias("effective_priority"),
         F.col("c.att_option").alias("att_option"),
@@ -336,7 +346,16 @@ def _slot_cols(run, fields):
 
 @query("slot_choice")
 def q_slot_choice(spark, sf_dir):
-    run = _run(spark, sf_dir)
+    return _slot_choice(_run(spark, sf_dir))
+
+
+@query("slot_choice_strict")
+def q_slot_choice_strict(spark, sf_dir):
+    """I3–I5 with the strict empty-content test (Q14)."""
+    return _slot_choice(fixture_run(spark, sf_dir, missing="strict"))
+
+
+def _slot_choice(run):
     keys = audience.content_key_columns(run.attributes)
     wide = [f"S{s}_P{v}" for s, w in run.slots for v in range(1, w + 1)]
     return run.rendered.select(*keys, *wide, *_slot_cols(run, ["module_priority", "module_id", "att_option", "module_type_id"]), "campaign_priority")
@@ -407,4 +426,10 @@ def q_gate_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("output_contract_compat")
+def q_output_compat(spark, sf_dir):
+    """The delivered table with the reference's accidental behaviours (Q2, Q10, Q15)."""
+    return fixture_run(spark, sf_dir, compat=True).output
+
+
 QUERIES["flagship"] = QUERIES["output_contract"]

@@ -41,13 +41,14 @@ def _right_keys(b: str) -> str:
     )
 
 
-TOKEN_TEXT = """CASE WHEN split_part(t, '.', 1) = 'traveler' THEN
+def token_text(null_text: str) -> str:
+    return f"""CASE WHEN split_part(t, '.', 1) = 'traveler' THEN
       CASE split_part(t, '.', 2)
-        WHEN 'home_city' THEN CASE WHEN home_city IS NULL THEN 'None' WHEN home_city = '' THEN 'value_not_found' ELSE home_city END
-        WHEN 'nation_key' THEN CASE WHEN nation_key IS NULL THEN 'None' WHEN nation_key = '' THEN 'value_not_found' ELSE nation_key END
+        WHEN 'home_city' THEN CASE WHEN home_city IS NULL THEN '{null_text}' WHEN home_city = '' THEN 'value_not_found' ELSE home_city END
+        WHEN 'nation_key' THEN CASE WHEN nation_key IS NULL THEN '{null_text}' WHEN nation_key = '' THEN 'value_not_found' ELSE nation_key END
         ELSE 'value_not_found' END
     WHEN t = 'fx_nation_lookup.label' AND spec = 'nation_key|nation_key' THEN
-      CASE WHEN NOT hit OR label = '' THEN 'value_not_found' WHEN label IS NULL THEN 'None' ELSE label END
+      CASE WHEN NOT hit OR label = '' THEN 'value_not_found' WHEN label IS NULL THEN '{null_text}' ELSE label END
     ELSE 'value_not_found' END"""
 
 
@@ -114,202 +115,216 @@ def _string_cols() -> list[str]:
     return cols + ["OmniExtension", "OmniExtNewFormat", "UserToken", "AudienceTableName"]
 
 
-CTES: dict[str, tuple[str, list[str]]] = {
-    "mv": (
-        """SELECT m.* EXCLUDE (var_source, locale), lower(m.locale) AS locale, COALESCE(b.vs, NULLIF(m.var_source, '')) AS var_source
-FROM fx_module_vars m
-LEFT JOIN (SELECT DISTINCT module_id, source_connection, var_source AS vs FROM fx_module_vars WHERE var_source <> '') b
-  ON m.module_id = b.module_id AND m.source_connection = b.source_connection
-WHERE lower(m.locale) = 'en_us' AND m.tpid = 1 AND m.eapid = 0""",
-        ["fx_module_vars"],
-    ),
-    "camp": (
-        """SELECT * REPLACE (lower(locale) AS locale) FROM fx_campaigns
-WHERE lower(locale) = 'en_us' AND LaunchDate = '2024-03-05' AND tpid = 1 AND eapid = 0 AND campaign_deleted_flag = 0""",
-        ["fx_campaigns"],
-    ),
-    "meta": (
-        """SELECT * EXCLUDE (status) FROM camp
-JOIN (SELECT * FROM fx_templates WHERE template_deleted_flag = 0) USING (template_id)
-JOIN (SELECT * FROM fx_segment_modules WHERE seg_mod_deleted_flag = 0) USING (segment_module_map_id)
-JOIN (SELECT * REPLACE (lower(locale) AS locale) FROM fx_modules) USING (locale, module_type_id, tpid, eapid, placement_type, channel)
-JOIN (SELECT * FROM fx_segment_defs WHERE segment_deleted_flag = 0) USING (tpid, eapid, segment_type_id)
-WHERE status = 'active published'""",
-        ["camp", "fx_templates", "fx_segment_modules", "fx_modules", "fx_segment_defs"],
-    ),
-    "vc": (
-        """SELECT DISTINCT m.campaign_id, m.slot_position, m.module_type_id, m.placement_type, t.ttl_versions
-FROM meta m JOIN (SELECT module_type_id, placement_type, count(DISTINCT version) AS ttl_versions FROM meta GROUP BY module_type_id, placement_type) t
-  ON m.module_type_id = t.module_type_id AND m.placement_type = t.placement_type""",
-        ["meta"],
-    ),
-    "content": (
-        """SELECT * EXCLUDE (version, locale),
-  CAST(dense_rank() OVER (PARTITION BY campaign_id, slot_position, module_type_id, placement_type ORDER BY version) AS INT) AS version
-FROM meta LEFT JOIN mv USING (module_id, tpid, eapid, locale) JOIN vc USING (campaign_id, slot_position, module_type_id, placement_type)""",
-        ["meta", "mv", "vc"],
-    ),
-    "seg": (
-        """SELECT email_address, test_keys, tpid, eapid, lower(locale) AS locale, segment_type_id AS campaign_segment_type_id,
-  segment_type_id_concat AS segment_type_id FROM fx_segments""",
-        ["fx_segments"],
-    ),
-    "lc": ("SELECT DISTINCT campaign_segment_type_id, campaign_id, priority, tpid, eapid, locale FROM meta", ["meta"]),
-    "assigned": ("SELECT * FROM seg JOIN lc USING (campaign_segment_type_id, tpid, eapid, locale)", ["seg", "lc"]),
-    "prof": ("SELECT * REPLACE (lower(locale) AS locale) FROM fx_profiles WHERE mer_status = 1", ["fx_profiles"]),
-    "audience": ("SELECT DISTINCT * FROM assigned JOIN prof USING (email_address, test_keys, tpid, eapid, locale)", ["assigned", "prof"]),
-    "cohorts": ("SELECT DISTINCT campaign_id, test_keys, segment_type_id FROM audience", ["audience"]),
-    "ckeys": (f"SELECT DISTINCT {', '.join(KEYS)} FROM audience", ["audience"]),
-    "offered": (
-        """SELECT DISTINCT campaign_id, slot_position, segment_type_id AS seg, module_type_id, placement_type,
-  CAST(module_priority_in_slot AS INT) AS module_priority_in_slot, CAST(module_id AS INT) AS module_id, version, ttl_versions
-FROM content WHERE var_position IS NOT NULL""",
-        ["content"],
-    ),
-    "members": (
-        "SELECT DISTINCT campaign_id, test_keys, segment_type_id, CAST(unnest(string_split(segment_type_id, '#')) AS INT) AS seg FROM cohorts",
-        ["cohorts"],
-    ),
-    "cands": (
-        f"""SELECT mb.campaign_id, mb.test_keys, mb.segment_type_id, o.slot_position, o.module_type_id, o.module_priority_in_slot,
-  max(o.module_id) AS module_id
-FROM members mb JOIN offered o ON mb.campaign_id = o.campaign_id AND mb.seg = o.seg
-WHERE o.version = {pmod('mb.test_keys + ' + pmod(SEED, 'o.ttl_versions'), 'o.ttl_versions')} + 1
-GROUP BY mb.campaign_id, mb.test_keys, mb.segment_type_id, o.slot_position, o.module_type_id, o.module_priority_in_slot""",
-        ["members", "offered"],
-    ),
-    "modattr": (
-        """SELECT CAST(module_id AS INT) AS module_id, max(placement_type) AS placement_type, max(module_type) AS module_type,
-  max(CAST("default" AS INT)) AS default_flag FROM content GROUP BY 1""",
-        ["content"],
-    ),
-    "modvars": (
-        f"""SELECT *, regexp_extract_all(coalesce(template, ''), '(?s)%%(.*?)%%', 1) AS tokens,
-  {_left_keys('binding')} || '|' || {_right_keys('binding')} AS spec
-FROM (SELECT CAST(module_id AS INT) AS module_id, CAST(var_position AS INT) AS pos, var_source AS binding, max(var_structure) AS template
-      FROM content WHERE var_position IS NOT NULL GROUP BY 1, 2, 3)""",
-        ["content"],
-    ),
-    "lkp": (
-        """SELECT CAST(nation_key AS VARCHAR) AS k, max(label) AS label FROM fx_nation_lookup
-WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 GROUP BY 1""",
-        ["fx_nation_lookup"],
-    ),
-    "kv": ("SELECT k.*, l.k IS NOT NULL AS hit, l.label FROM ckeys k LEFT JOIN lkp l ON CAST(k.nation_key AS VARCHAR) = l.k", ["ckeys", "lkp"]),
-    "cv": (
-        f"""SELECT kv.*, c.slot_position, c.module_type_id AS type_id, c.module_priority_in_slot AS cpriority, c.module_id,
-  a.placement_type, a.default_flag, v.pos, v.binding, v.template, v.tokens, v.spec,
-  (c.slot_position = 1 AND v.pos = 1) AS is_first,
-  replace(list_reduce(v.tokens, lambda acc, t: replace(acc, t, {TOKEN_TEXT}), coalesce(v.template, '')), '%%', '') AS text
-FROM kv JOIN cands c USING (campaign_id, test_keys, segment_type_id)
-JOIN modattr a ON a.module_id = c.module_id
-JOIN modvars v ON v.module_id = c.module_id""",
-        ["kv", "cands", "modattr", "modvars"],
-    ),
-    "cr": (
-        f"""SELECT *, CASE WHEN n > 2 THEN parts[idx + 2] WHEN n = 2 THEN parts[2] WHEN is_first THEN parts[1] ELSE 'None' END AS v0,
-  CASE WHEN n > 2 THEN CAST(idx AS VARCHAR) WHEN n = 2 THEN '0' ELSE 'default' END AS a0
-FROM (SELECT *, CASE WHEN n > 2 THEN {pmod('test_keys + ' + pmod(SEED, 'n - 1'), 'n - 1')} END AS idx
-      FROM (SELECT *, string_split(text, '|') AS parts, len(string_split(text, '|')) AS n FROM cv))""",
-        ["cv"],
-    ),
-    "rv": (
-        f"""SELECT *, CASE WHEN missing THEN (CASE WHEN is_first THEN parts[1] ELSE 'None' END) ELSE v0 END AS value,
-  CASE WHEN missing THEN 'default' ELSE a0 END AS att
-FROM (SELECT *, coalesce(regexp_matches(v0, '{MISSING_RE}'), false) AS missing FROM cr)""",
-        ["cr"],
-    ),
-    "rc": (
-        f"""SELECT {', '.join(KEYS)}, slot_position, module_id, type_id, cpriority, placement_type, default_flag,
-  CASE WHEN bool_or(missing) AND placement_type IN ('hero', 'banner') AND coalesce(default_flag = 0, false) THEN 9999 ELSE cpriority END AS eff,
-  string_agg('#S' || slot_position || '_P' || pos || '.' || att, '' ORDER BY pos, binding NULLS FIRST) AS att_option,
-  {', '.join(f"coalesce(max(value) FILTER (WHERE pos = {v}), '') AS p{v}" for v in range(1, WIDTH + 1))}
-FROM rv GROUP BY {', '.join(KEYS)}, slot_position, module_id, type_id, cpriority, placement_type, default_flag""",
-        ["rv"],
-    ),
-    **_fold_ctes(),
-    "launch": ("SELECT DISTINCT campaign_id, locale, LaunchDateTimeUTC FROM camp", ["camp"]),
-    "personalised": (
-        f"""SELECT a.tpid, a.eapid, a.email_address, a.expuserid, a.first_name, a.mer_status, a.lang_id, a.last_name, a.locale, a.paid,
-  a.test_keys, a.campaign_id, r.* EXCLUDE ({', '.join(KEYS)}), {len(SLOTS)} AS ModuleCount, l.LaunchDateTimeUTC
-FROM audience a JOIN rendered r ON {_keys_match('a', 'r')}
-JOIN launch l ON l.campaign_id = a.campaign_id AND l.locale = a.locale""",
-        ["audience", "rendered", "launch"],
-    ),
-    "best": (
-        """SELECT * EXCLUDE (campaign_id, rk), CAST(campaign_id AS INT) AS campaign_id
-FROM (SELECT *, rank() OVER (PARTITION BY email_address ORDER BY campaign_priority) AS rk FROM personalised)
-WHERE rk = 1 AND campaign_priority <> 9999 AND S1_module_id <> 999 AND S2_module_id <> 999""",
-        ["personalised"],
-    ),
-    "tok": (
-        """SELECT b.*, coalesce('emailclick/' || atk.UserToken || '/', 'emailclick/' || stk.UserToken || '/', '') AS UserToken
-FROM best b LEFT JOIN fx_account_tokens atk ON b.paid = atk.ProtoAccountID
-LEFT JOIN fx_subscriber_tokens stk ON b.paid = stk.SubscriberID
-WHERE b.paid IS NOT NULL""",
-        ["best", "fx_account_tokens", "fx_subscriber_tokens"],
-    ),
-    "seeds": (
-        """SELECT *, CAST(row_number() OVER (ORDER BY SeedEmail) AS INT) AS row_id
-FROM (SELECT DISTINCT tpid, eapid, lower(locale) AS locale, SeedEmail FROM fx_seeds
-      WHERE CampaignCategory = 'Merch' AND IsActive = 1 AND lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0)""",
-        ["fx_seeds"],
-    ),
-    "sample": (
-        """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY campaign_id ORDER BY test_keys, email_address) AS INT) AS row_id FROM tok)
-WHERE row_id <= (SELECT count(*) FROM seeds)""",
-        ["tok", "seeds"],
-    ),
-    "seedrows": (
-        """SELECT s.* EXCLUDE (email_address, paid, row_id), sd.SeedEmail AS email_address, 999999999 AS paid
-FROM sample s JOIN seeds sd ON s.tpid = sd.tpid AND s.eapid = sd.eapid AND s.locale = sd.locale AND s.row_id = sd.row_id""",
-        ["sample", "seeds"],
-    ),
-    "appended": (
-        """SELECT *, CAST(NULL AS INT) AS _seed_campaign FROM tok
-UNION ALL BY NAME
-SELECT *, campaign_id AS _seed_campaign FROM seedrows""",
-        ["tok", "seedrows"],
-    ),
-    "mcount": (
-        "SELECT campaign_id, AudienceTableName, count(DISTINCT slot_position) AS ModuleCount FROM content GROUP BY campaign_id, AudienceTableName",
-        ["content"],
-    ),
-    "deduped": (
-        """SELECT * EXCLUDE (_rn, _seed_campaign) FROM (
-  SELECT *, row_number() OVER (PARTITION BY email_address, paid, _seed_campaign
-    ORDER BY campaign_priority ASC NULLS LAST, campaign_id ASC NULLS LAST, AudienceTableName ASC NULLS LAST) AS _rn
-  FROM (SELECT a.* EXCLUDE (ModuleCount), m.AudienceTableName, m.ModuleCount FROM appended a JOIN mcount m ON a.campaign_id = CAST(m.campaign_id AS INT)))
-WHERE _rn = 1""",
-        ["appended", "mcount"],
-    ),
-    "nl": (
-        "SELECT * REPLACE (" + ", ".join(f"NULLIF({c}, 'None') AS {c}" for c in _string_cols()) + ") FROM deduped",
-        ["deduped"],
-    ),
-    "final": (
-        """SELECT n.* EXCLUDE (tpid, eapid, first_name, last_name, lang_id, mer_status, paid, email_address, AudienceTableName, campaign_priority),
-  n.tpid AS TPID, n.eapid AS EAPID, n.first_name AS FIRST_NAME, n.last_name AS LAST_NAME, n.lang_id AS LANG_ID, n.mer_status AS IsMER,
-  n.paid AS PAID, n.email_address AS EmailAddress, n.S1_P1 AS SubjectLine, n.mer_status AS PM_OK_IND,
-  m.MemberID AS LoyaltyMemberID, m.LRMTierName AS LoyaltyMemberTierName, m.MonetaryValue, m.LRMAvailablePoints AS LoyaltyAvailablePoints,
-  CASE WHEN m.LRMStatus = 'Active' THEN '1' ELSE '0' END AS LoyaltyMemberStatus
-FROM nl n LEFT JOIN fx_members m ON n.tpid = m.TPID AND n.paid = m.PAID""",
-        ["nl", "fx_members"],
-    ),
-    "req": (
-        f"""SELECT DISTINCT split_part(t, '.', 1) AS table_name, left_keys, right_keys, split_part(t, '.', 2) AS column_name,
-  left_keys || '|' || right_keys AS spec
-FROM (SELECT {_left_keys('var_source')} AS left_keys, {_right_keys('var_source')} AS right_keys,
-        unnest(regexp_extract_all(coalesce(var_structure, ''), '(?s)%%(.*?)%%', 1)) AS t
-      FROM (SELECT DISTINCT var_source, var_structure FROM content WHERE var_position IS NOT NULL AND var_source LIKE '%|%'))
-WHERE split_part(t, '.', 1) <> 'traveler'""",
-        ["content"],
-    ),
-}
+def build_ctes(strict: bool = False, seeds_per_campaign: bool = True) -> dict[str, tuple[str, list[str]]]:
+    """The CTE library; ``strict`` = strict empty-content test, ``seeds_per_campaign``
+    = seed addresses keep one row per campaign in the dedupe (Q10)."""
+    tt = token_text("value_not_found" if strict else "None")
+    missing = "coalesce(contains(v0, 'value_not_found') OR v0 = 'None', false)" if strict else f"coalesce(regexp_matches(v0, '{MISSING_RE}'), false)"
+    dedupe_part = "email_address, paid, _seed_campaign" if seeds_per_campaign else "email_address, paid"
+    return _ctes(tt, missing, dedupe_part)
+
+
+def _ctes(tt: str, missing: str, dedupe_part: str) -> dict[str, tuple[str, list[str]]]:
+    return {
+        "mv": (
+            """SELECT m.* EXCLUDE (var_source, locale), lower(m.locale) AS locale, COALESCE(b.vs, NULLIF(m.var_source, '')) AS var_source
+    FROM fx_module_vars m
+    LEFT JOIN (SELECT DISTINCT module_id, source_connection, var_source AS vs FROM fx_module_vars WHERE var_source <> '') b
+      ON m.module_id = b.module_id AND m.source_connection = b.source_connection
+    WHERE lower(m.locale) = 'en_us' AND m.tpid = 1 AND m.eapid = 0""",
+            ["fx_module_vars"],
+        ),
+        "camp": (
+            """SELECT * REPLACE (lower(locale) AS locale) FROM fx_campaigns
+    WHERE lower(locale) = 'en_us' AND LaunchDate = '2024-03-05' AND tpid = 1 AND eapid = 0 AND campaign_deleted_flag = 0""",
+            ["fx_campaigns"],
+        ),
+        "meta": (
+            """SELECT * EXCLUDE (status) FROM camp
+    JOIN (SELECT * FROM fx_templates WHERE template_deleted_flag = 0) USING (template_id)
+    JOIN (SELECT * FROM fx_segment_modules WHERE seg_mod_deleted_flag = 0) USING (segment_module_map_id)
+    JOIN (SELECT * REPLACE (lower(locale) AS locale) FROM fx_modules) USING (locale, module_type_id, tpid, eapid, placement_type, channel)
+    JOIN (SELECT * FROM fx_segment_defs WHERE segment_deleted_flag = 0) USING (tpid, eapid, segment_type_id)
+    WHERE status = 'active published'""",
+            ["camp", "fx_templates", "fx_segment_modules", "fx_modules", "fx_segment_defs"],
+        ),
+        "vc": (
+            """SELECT DISTINCT m.campaign_id, m.slot_position, m.module_type_id, m.placement_type, t.ttl_versions
+    FROM meta m JOIN (SELECT module_type_id, placement_type, count(DISTINCT version) AS ttl_versions FROM meta GROUP BY module_type_id, placement_type) t
+      ON m.module_type_id = t.module_type_id AND m.placement_type = t.placement_type""",
+            ["meta"],
+        ),
+        "content": (
+            """SELECT * EXCLUDE (version, locale),
+      CAST(dense_rank() OVER (PARTITION BY campaign_id, slot_position, module_type_id, placement_type ORDER BY version) AS INT) AS version
+    FROM meta LEFT JOIN mv USING (module_id, tpid, eapid, locale) JOIN vc USING (campaign_id, slot_position, module_type_id, placement_type)""",
+            ["meta", "mv", "vc"],
+        ),
+        "seg": (
+            """SELECT email_address, test_keys, tpid, eapid, lower(locale) AS locale, segment_type_id AS campaign_segment_type_id,
+      segment_type_id_concat AS segment_type_id FROM fx_segments""",
+            ["fx_segments"],
+        ),
+        "lc": ("SELECT DISTINCT campaign_segment_type_id, campaign_id, priority, tpid, eapid, locale FROM meta", ["meta"]),
+        "assigned": ("SELECT * FROM seg JOIN lc USING (campaign_segment_type_id, tpid, eapid, locale)", ["seg", "lc"]),
+        "prof": ("SELECT * REPLACE (lower(locale) AS locale) FROM fx_profiles WHERE mer_status = 1", ["fx_profiles"]),
+        "audience": ("SELECT DISTINCT * FROM assigned JOIN prof USING (email_address, test_keys, tpid, eapid, locale)", ["assigned", "prof"]),
+        "cohorts": ("SELECT DISTINCT campaign_id, test_keys, segment_type_id FROM audience", ["audience"]),
+        "ckeys": (f"SELECT DISTINCT {', '.join(KEYS)} FROM audience", ["audience"]),
+        "offered": (
+            """SELECT DISTINCT campaign_id, slot_position, segment_type_id AS seg, module_type_id, placement_type,
+      CAST(module_priority_in_slot AS INT) AS module_priority_in_slot, CAST(module_id AS INT) AS module_id, version, ttl_versions
+    FROM content WHERE var_position IS NOT NULL""",
+            ["content"],
+        ),
+        "members": (
+            "SELECT DISTINCT campaign_id, test_keys, segment_type_id, CAST(unnest(string_split(segment_type_id, '#')) AS INT) AS seg FROM cohorts",
+            ["cohorts"],
+        ),
+        "cands": (
+            f"""SELECT mb.campaign_id, mb.test_keys, mb.segment_type_id, o.slot_position, o.module_type_id, o.module_priority_in_slot,
+      max(o.module_id) AS module_id
+    FROM members mb JOIN offered o ON mb.campaign_id = o.campaign_id AND mb.seg = o.seg
+    WHERE o.version = {pmod('mb.test_keys + ' + pmod(SEED, 'o.ttl_versions'), 'o.ttl_versions')} + 1
+    GROUP BY mb.campaign_id, mb.test_keys, mb.segment_type_id, o.slot_position, o.module_type_id, o.module_priority_in_slot""",
+            ["members", "offered"],
+        ),
+        "modattr": (
+            """SELECT CAST(module_id AS INT) AS module_id, max(placement_type) AS placement_type, max(module_type) AS module_type,
+      max(CAST("default" AS INT)) AS default_flag FROM content GROUP BY 1""",
+            ["content"],
+        ),
+        "modvars": (
+            f"""SELECT *, regexp_extract_all(coalesce(template, ''), '(?s)%%(.*?)%%', 1) AS tokens,
+      {_left_keys('binding')} || '|' || {_right_keys('binding')} AS spec
+    FROM (SELECT CAST(module_id AS INT) AS module_id, CAST(var_position AS INT) AS pos, var_source AS binding, max(var_structure) AS template
+          FROM content WHERE var_position IS NOT NULL GROUP BY 1, 2, 3)""",
+            ["content"],
+        ),
+        "lkp": (
+            """SELECT CAST(nation_key AS VARCHAR) AS k, max(label) AS label FROM fx_nation_lookup
+    WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 GROUP BY 1""",
+            ["fx_nation_lookup"],
+        ),
+        "kv": ("SELECT k.*, l.k IS NOT NULL AS hit, l.label FROM ckeys k LEFT JOIN lkp l ON CAST(k.nation_key AS VARCHAR) = l.k", ["ckeys", "lkp"]),
+        "cv": (
+            f"""SELECT kv.*, c.slot_position, c.module_type_id AS type_id, c.module_priority_in_slot AS cpriority, c.module_id,
+      a.placement_type, a.default_flag, v.pos, v.binding, v.template, v.tokens, v.spec,
+      (c.slot_position = 1 AND v.pos = 1) AS is_first,
+      replace(list_reduce(v.tokens, lambda acc, t: replace(acc, t, {tt}), coalesce(v.template, '')), '%%', '') AS text
+    FROM kv JOIN cands c USING (campaign_id, test_keys, segment_type_id)
+    JOIN modattr a ON a.module_id = c.module_id
+    JOIN modvars v ON v.module_id = c.module_id""",
+            ["kv", "cands", "modattr", "modvars"],
+        ),
+        "cr": (
+            f"""SELECT *, CASE WHEN n > 2 THEN parts[idx + 2] WHEN n = 2 THEN parts[2] WHEN is_first THEN parts[1] ELSE 'None' END AS v0,
+      CASE WHEN n > 2 THEN CAST(idx AS VARCHAR) WHEN n = 2 THEN '0' ELSE 'default' END AS a0
+    FROM (SELECT *, CASE WHEN n > 2 THEN {pmod('test_keys + ' + pmod(SEED, 'n - 1'), 'n - 1')} END AS idx
+          FROM (SELECT *, string_split(text, '|') AS parts, len(string_split(text, '|')) AS n FROM cv))""",
+            ["cv"],
+        ),
+        "rv": (
+            f"""SELECT *, CASE WHEN missing THEN (CASE WHEN is_first THEN parts[1] ELSE 'None' END) ELSE v0 END AS value,
+      CASE WHEN missing THEN 'default' ELSE a0 END AS att
+    FROM (SELECT *, {missing} AS missing FROM cr)""",
+            ["cr"],
+        ),
+        "rc": (
+            f"""SELECT {', '.join(KEYS)}, slot_position, module_id, type_id, cpriority, placement_type, default_flag,
+      CASE WHEN bool_or(missing) AND placement_type IN ('hero', 'banner') AND coalesce(default_flag = 0, false) THEN 9999 ELSE cpriority END AS eff,
+      string_agg('#S' || slot_position || '_P' || pos || '.' || att, '' ORDER BY pos, binding NULLS FIRST) AS att_option,
+      {', '.join(f"coalesce(max(value) FILTER (WHERE pos = {v}), '') AS p{v}" for v in range(1, WIDTH + 1))}
+    FROM rv GROUP BY {', '.join(KEYS)}, slot_position, module_id, type_id, cpriority, placement_type, default_flag""",
+            ["rv"],
+        ),
+        **_fold_ctes(),
+        "launch": ("SELECT DISTINCT campaign_id, locale, LaunchDateTimeUTC FROM camp", ["camp"]),
+        "personalised": (
+            f"""SELECT a.tpid, a.eapid, a.email_address, a.expuserid, a.first_name, a.mer_status, a.lang_id, a.last_name, a.locale, a.paid,
+      a.test_keys, a.campaign_id, r.* EXCLUDE ({', '.join(KEYS)}), {len(SLOTS)} AS ModuleCount, l.LaunchDateTimeUTC
+    FROM audience a JOIN rendered r ON {_keys_match('a', 'r')}
+    JOIN launch l ON l.campaign_id = a.campaign_id AND l.locale = a.locale""",
+            ["audience", "rendered", "launch"],
+        ),
+        "best": (
+            """SELECT * EXCLUDE (campaign_id, rk), CAST(campaign_id AS INT) AS campaign_id
+    FROM (SELECT *, rank() OVER (PARTITION BY email_address ORDER BY campaign_priority) AS rk FROM personalised)
+    WHERE rk = 1 AND campaign_priority <> 9999 AND S1_module_id <> 999 AND S2_module_id <> 999""",
+            ["personalised"],
+        ),
+        "tok": (
+            """SELECT b.*, coalesce('emailclick/' || atk.UserToken || '/', 'emailclick/' || stk.UserToken || '/', '') AS UserToken
+    FROM best b LEFT JOIN fx_account_tokens atk ON b.paid = atk.ProtoAccountID
+    LEFT JOIN fx_subscriber_tokens stk ON b.paid = stk.SubscriberID
+    WHERE b.paid IS NOT NULL""",
+            ["best", "fx_account_tokens", "fx_subscriber_tokens"],
+        ),
+        "seeds": (
+            """SELECT *, CAST(row_number() OVER (ORDER BY SeedEmail) AS INT) AS row_id
+    FROM (SELECT DISTINCT tpid, eapid, lower(locale) AS locale, SeedEmail FROM fx_seeds
+          WHERE CampaignCategory = 'Merch' AND IsActive = 1 AND lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0)""",
+            ["fx_seeds"],
+        ),
+        "sample": (
+            """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY campaign_id ORDER BY test_keys, email_address) AS INT) AS row_id FROM tok)
+    WHERE row_id <= (SELECT count(*) FROM seeds)""",
+            ["tok", "seeds"],
+        ),
+        "seedrows": (
+            """SELECT s.* EXCLUDE (email_address, paid, row_id), sd.SeedEmail AS email_address, 999999999 AS paid
+    FROM sample s JOIN seeds sd ON s.tpid = sd.tpid AND s.eapid = sd.eapid AND s.locale = sd.locale AND s.row_id = sd.row_id""",
+            ["sample", "seeds"],
+        ),
+        "appended": (
+            """SELECT *, CAST(NULL AS INT) AS _seed_campaign FROM tok
+    UNION ALL BY NAME
+    SELECT *, campaign_id AS _seed_campaign FROM seedrows""",
+            ["tok", "seedrows"],
+        ),
+        "mcount": (
+            "SELECT campaign_id, AudienceTableName, count(DISTINCT slot_position) AS ModuleCount FROM content GROUP BY campaign_id, AudienceTableName",
+            ["content"],
+        ),
+        "deduped": (
+            f"""SELECT * EXCLUDE (_rn, _seed_campaign) FROM (
+      SELECT *, row_number() OVER (PARTITION BY {dedupe_part}
+        ORDER BY campaign_priority ASC NULLS LAST, campaign_id ASC NULLS LAST, AudienceTableName ASC NULLS LAST) AS _rn
+      FROM (SELECT a.* EXCLUDE (ModuleCount), m.AudienceTableName, m.ModuleCount FROM appended a JOIN mcount m ON a.campaign_id = CAST(m.campaign_id AS INT)))
+    WHERE _rn = 1""",
+            ["appended", "mcount"],
+        ),
+        "nl": (
+            "SELECT * REPLACE (" + ", ".join(f"NULLIF({c}, 'None') AS {c}" for c in _string_cols()) + ") FROM deduped",
+            ["deduped"],
+        ),
+        "final": (
+            """SELECT n.* EXCLUDE (tpid, eapid, first_name, last_name, lang_id, mer_status, paid, email_address, AudienceTableName, campaign_priority),
+      n.tpid AS TPID, n.eapid AS EAPID, n.first_name AS FIRST_NAME, n.last_name AS LAST_NAME, n.lang_id AS LANG_ID, n.mer_status AS IsMER,
+      n.paid AS PAID, n.email_address AS EmailAddress, n.S1_P1 AS SubjectLine, n.mer_status AS PM_OK_IND,
+      m.MemberID AS LoyaltyMemberID, m.LRMTierName AS LoyaltyMemberTierName, m.MonetaryValue, m.LRMAvailablePoints AS LoyaltyAvailablePoints,
+      CASE WHEN m.LRMStatus = 'Active' THEN '1' ELSE '0' END AS LoyaltyMemberStatus
+    FROM nl n LEFT JOIN fx_members m ON n.tpid = m.TPID AND n.paid = m.PAID""",
+            ["nl", "fx_members"],
+        ),
+        "req": (
+            f"""SELECT DISTINCT split_part(t, '.', 1) AS table_name, left_keys, right_keys, split_part(t, '.', 2) AS column_name,
+      left_keys || '|' || right_keys AS spec
+    FROM (SELECT {_left_keys('var_source')} AS left_keys, {_right_keys('var_source')} AS right_keys,
+            unnest(regexp_extract_all(coalesce(var_structure, ''), '(?s)%%(.*?)%%', 1)) AS t
+          FROM (SELECT DISTINCT var_source, var_structure FROM content WHERE var_position IS NOT NULL AND var_source LIKE '%|%'))
+    WHERE split_part(t, '.', 1) <> 'traveler'""",
+            ["content"],
+        ),
+    }
+
+
+CTES = build_ctes()
 
 
-def compose(names: list[str], body: str) -> str:
+def compose(names: list[str], body: str, ctes: dict | None = None) -> str:
     """``WITH`` clause holding every CTE the body needs, in dependency order."""
+    ctes = ctes or CTES
     order: list[str] = []
 
     def visit(n):
@@ -318,7 +333,7 @@ def compose(names: list[str], body: str) -> str:
         if n in fx.FIXTURE_SQL:
             order.append(n)
             return
-        sql, deps = CTES[n]
+        sql, deps = ctes[n]
         for d in deps:
             visit(d)
         order.append(n)
@@ -327,7 +342,7 @@ def compose(names: list[str], body: str) -> str:
         visit(n)
     parts = []
     for n in order:
-        sql = fx.duckdb_text(n) if n in fx.FIXTURE_SQL else CTES[n][0]
+        sql = fx.duckdb_text(n) if n in fx.FIXTURE_SQL else ctes[n][0]
         parts.append(f"{n} AS (\n{sql}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + body
 
@@ -493,3 +508,10 @@ UNION ALL SELECT 'cohorts', (SELECT count(*) > 0 FROM cohorts)""",
     ),
 }
 ORACLE["flagship"] = ORACLE["output_contract"]
+_STRICT = build_ctes(strict=True)
+_COMPAT = build_ctes(seeds_per_campaign=False)
+ORACLE["slot_choice_strict"] = compose(["rendered"], "SELECT * EXCLUDE (OmniExtension, OmniExtNewFormat) FROM rendered", _STRICT)
+ORACLE["demoted_modules_strict"] = compose(
+    ["rc"], f"SELECT {', '.join(KEYS)}, slot_position, module_id, eff AS effective_priority, att_option FROM rc", _STRICT
+)
+ORACLE["output_contract_compat"] = compose(["final"], "SELECT * FROM final", _COMPAT)

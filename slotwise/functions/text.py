@@ -53,6 +53,25 @@ def token_text(values, token, spec, mode: str = "compat") -> Column:
     return F.when(~present | (v == F.lit("")), F.lit(MISSING_TEXT)).when(v.isNull(), F.lit(null_text)).otherwise(v)
 
 
+def text_for_key(values, key, mode: str = "compat") -> Column:
+    """Text of a value-map key: its value, or the missing marker (see ``token_text``)."""
+    present = F.map_contains_key(_c(values), key)
+    v = F.try_element_at(_c(values), key)
+    null_text = NONE_TEXT if mode == "compat" else MISSING_TEXT
+    return F.when(~present | (v == F.lit("")), F.lit(MISSING_TEXT)).when(v.isNull(), F.lit(null_text)).otherwise(v)
+
+
+def render_keyed(template, keyed_tokens, values, mode: str = "compat") -> Column:
+    """H5 with each token's value-map key already computed (configuration side):
+    ``keyed_tokens`` is an array of struct(token, key)."""
+    filled = F.aggregate(
+        _c(keyed_tokens),
+        F.coalesce(_c(template), F.lit("")),
+        lambda acc, t: F.replace(acc, t["token"], text_for_key(values, t["key"], mode)),
+    )
+    return F.replace(filled, F.lit("%%"), F.lit(""))
+
+
 def render(template, tokens, values, spec, mode: str = "compat") -> Column:
     """H5: replace every token's text by its value, in token order, then drop ``%%``.
 
@@ -107,33 +126,31 @@ def is_missing(col, mode: str = "compat") -> Column:
 
 
 def resolve_variables(texts, bucket, seed, mode: str = "compat") -> Column:
-    """H6 + H9 over an array of struct(pos, text, is_first), one pass per step.
+    """H6 + H9 over an array of struct(pos, text, is_first).
 
     Each step is its own ``transform`` reading the previous step's fields
-    through the lambda variable, so a rendered text is split once, its option
-    chosen once and tested once (re-using one Column object in several places
-    would copy its whole expression into the plan).
+    through the lambda variable, so a rendered text is split once and tested
+    once (re-using one Column object in several places would copy its whole
+    expression into the plan and evaluate it again).
 
     Result elements: struct(pos, value, att, missing). Missing content becomes
     ``None`` (slot 1 variable 1 keeps its default text) with att ``default``.
     """
     split = F.transform(_c(texts), lambda v: F.struct(v["pos"].alias("pos"), v["is_first"].alias("is_first"), options(v["text"]).alias("parts")))
-    chosen = F.transform(
-        split,
-        lambda v: F.struct(
-            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"),
-            choose_from_parts(v["parts"], bucket, seed, v["is_first"]).alias("pick"),
-        ),
-    )
-    tested = F.transform(
-        chosen,
-        lambda v: F.struct(
-            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"), v["pick"].alias("pick"),
-            is_missing(v["pick"]["value"], mode).alias("missing"),
-        ),
-    )
+    return resolve_parts(split, bucket, seed, mode)
+
+
+def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
+    """``resolve_variables`` on already split options: struct(pos, is_first, parts)."""
+    def choose(v):
+        pick = choose_from_parts(v["parts"], bucket, seed, v["is_first"])
+        return F.struct(
+            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"), pick.alias("pick"),
+            is_missing(choose_from_parts(v["parts"], bucket, seed, v["is_first"])["value"], mode).alias("missing"),
+        )
+
     return F.transform(
-        tested,
+        F.transform(_c(split), choose),
         lambda v: F.struct(
             v["pos"].alias("pos"),
             F.when(v["missing"], F.when(v["is_first"], F.get(v["parts"], 0)).otherwise(F.lit(NONE_TEXT)))

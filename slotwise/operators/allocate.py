@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.bindings import binding_left_keys, binding_right_keys, key_spec, template_tokens
 from slotwise.functions.rotation import pick_version
+from slotwise.functions.text import value_key
 from slotwise.operators.audience import COHORT_KEYS, segment_members
 from slotwise.operators.util import broadcast_checked
 
@@ -74,9 +75,10 @@ def module_variables(content: DataFrame) -> DataFrame:
         .agg(F.max("var_structure").alias("template"))
         .withColumn("tokens", template_tokens("template"))
         .withColumn("spec", key_spec(binding_left_keys("binding"), binding_right_keys("binding")))
+        .withColumn("keyed", F.transform("tokens", lambda t: F.struct(t.alias("token"), value_key(t, F.col("spec")).alias("key"))))
     )
     return v.groupBy("module_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "binding", "template", "tokens", "spec"))).alias("vars")
+        F.sort_array(F.collect_list(F.struct("pos", "binding", "template", "tokens", "spec", "keyed"))).alias("vars")
     )
 
 

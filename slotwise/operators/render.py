@@ -18,7 +18,7 @@ from slotwise.functions.bindings import (
     QUALIFIER, RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
 )
 from slotwise.functions.keys import normalize_locale
-from slotwise.functions.text import render, resolve_variables
+from slotwise.functions.text import options, render_keyed, resolve_parts
 from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope
@@ -191,13 +191,13 @@ def attach_values(
 
 
 def _rendered_candidate(cand, slot, values, bucket, seed: int, mode: str):
-    """Stage 1 for one candidate: every variable rendered and resolved once."""
-    texts = F.transform(
+    """Stage 1 for one candidate: every variable rendered, split and resolved once."""
+    split = F.transform(
         cand["vars"],
         lambda v: F.struct(
             v["pos"].alias("pos"),
-            render(v["template"], v["tokens"], values, v["spec"], mode).alias("text"),
             ((slot == F.lit(1)) & (v["pos"] == F.lit(1))).alias("is_first"),
+            options(render_keyed(v["template"], v["keyed"], values, mode)).alias("parts"),
         ),
     )
     return F.struct(
@@ -206,7 +206,7 @@ def _rendered_candidate(cand, slot, values, bucket, seed: int, mode: str):
         cand["module_id"].alias("module_id"),
         cand["placement_type"].alias("placement_type"),
         cand["default_flag"].alias("default_flag"),
-        resolve_variables(texts, bucket, seed, mode).alias("vars"),
+        resolve_parts(split, bucket, seed, mode).alias("vars"),
     )
 
 
@@ -227,7 +227,7 @@ def _scored_candidate(c, slot):
         c["placement_type"].alias("placement_type"),
         c["default_flag"].alias("default_flag"),
         att_option.alias("att_option"),
-        F.transform(c["vars"], lambda x: F.struct(x["pos"].alias("pos"), x["value"].alias("value"))).alias("vals"),
+        c["vars"].alias("vals"),
     )
 
 

@@ -4,14 +4,19 @@ from pyspark.sql import functions as F
 
 from slotwise.operators import campaigns, render, slots
 
-VAR_T = "struct<pos:int,binding:string,template:string,tokens:array<string>,spec:string>"
+VAR_T = (
+    "struct<pos:int,binding:string,template:string,tokens:array<string>,spec:string,"
+    "keyed:array<struct<token:string,key:string>>>"
+)
 CAND_T = f"struct<priority:int,type_id:int,module_id:int,placement_type:string,default_flag:int,vars:array<{VAR_T}>>"
 ROW_T = f"test_keys int, priority int, values map<string,string>, slot_cands map<int,array<{CAND_T}>>"
 SEED = 11
 
 
 def var(pos, template, tokens=()):
-    return (pos, None, template, list(tokens), "|")
+    # value-map key of a token: recipient attributes by name, lookups by token@spec
+    keyed = [(t, t if t.startswith("traveler.") else t + "@|") for t in tokens]
+    return (pos, None, template, list(tokens), "|", keyed)
 
 
 def cand(prio, type_id, mid, placement="hero", default=1, vars_=None):

@@ -78,7 +78,8 @@ def required_lookups(content: DataFrame) -> list[LookupSpec]:
 
 def launch_layout(content: DataFrame) -> dict:
     """All configuration metadata the plan needs, in one small job: slot list
-    and widths (D-2, D-4), recipient attributes (H11) and lookup joins (A12).
+    and widths (D-2, D-4), recipient attributes (H11), lookup joins (A12) and
+    the content's row count (the size bound of configuration-derived frames).
 
     Bindings and templates are parsed by the Spark expressions of
     ``functions.bindings``; only the distinct parsed variable rows of the
@@ -91,11 +92,12 @@ def launch_layout(content: DataFrame) -> dict:
         binding_right_keys("var_source").alias("right_keys"),
         F.coalesce(has_lookup("var_source"), F.lit(False)).alias("lookup"),
         template_tokens("var_structure").alias("tokens"),
-    ).distinct()
+    )
+    grouped_rows = parsed.groupBy(*parsed.columns).agg(F.count(F.lit(1)).alias("n")).collect()
     widths: dict[int, int] = {}
     attributes: set[str] = set()
     grouped: dict[tuple, set] = {}
-    for r in parsed.collect():
+    for r in grouped_rows:
         if r.pos is not None:
             widths[r.slot] = max(widths.get(r.slot, 0), r.pos)
         attributes.update(c for c in (r.left_keys or []) if c)
@@ -107,6 +109,7 @@ def launch_layout(content: DataFrame) -> dict:
             elif r.lookup and r.pos is not None:
                 grouped.setdefault((table, tuple(r.left_keys or ()), tuple(r.right_keys)), set()).add(column)
     return {
+        "rows": sum(r.n for r in grouped_rows),
         "slots": sorted(widths.items()),
         "attributes": sorted(c for c in attributes if c),
         "lookups": [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())],

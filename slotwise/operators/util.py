@@ -19,15 +19,17 @@ def row_count_at_most(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
-def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of a frame, reading at most ``max_rows + 1`` rows, in one job.
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a frame in one parallel aggregate (partial sums per task,
+    no ``limit``: a global limit would funnel the rows into one partition).
 
     Bytes are the JSON text length of each row — an over-estimate of the
     in-memory size that also covers nested arrays and long strings, which a
-    per-type width guess would miss.
+    per-type width guess would miss. Used on persisted frames, so the pass
+    reads cached blocks.
     """
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return int(r.n), int(r.b or 0)
 
 
@@ -36,8 +38,8 @@ def broadcast_checked(
 ) -> DataFrame:
     """Broadcast hint only for a side whose size is checked to be small.
 
-    The check reads at most ``max_rows + 1`` rows and measures their bytes
-    (``measured_size``); the hint is given only under both bounds. Beyond them
+    The check counts the rows and measures their bytes (``measured_size``);
+    the hint is given only under both bounds. Beyond them
     the frame is returned as is: the join is planned as a shuffle join, and
     AQE still switches it to a broadcast at run time if the measured shuffle
     output turns out small.
@@ -48,7 +50,7 @@ def broadcast_checked(
     """
     if known_rows is not None:
         return F.broadcast(df) if known_rows <= max_rows else df
-    rows, size = measured_size(df, max_rows)
+    rows, size = measured_size(df)
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 

@@ -75,8 +75,8 @@ class CampaignRun:
         derived frame (offered modules, module variables, launch campaigns,
         module counts) is a projection or aggregate of it or of ``meta``
         (which the left join into ``content`` cannot shrink), so this count is
-        their proven size bound."""
-        return self.content.count()
+        their proven size bound. Counted by the layout job."""
+        return self.layout["rows"]
 
     @cached_property
     def layout(self) -> dict:

@@ -31,6 +31,10 @@ class RunParams:
     ``missing`` chooses the empty-content test: ``"compat"`` is the
     reference's substring test, ``"strict"`` only trusts the pipeline's own
     markers (an unresolved token or a template without options).
+
+    ``checkpoint_audience`` writes the audience to the session's reliable
+    checkpoint folder (``spark.checkpoint.dir``) instead of caching it, so a
+    lost executor costs a re-read rather than a re-run of the recipient join.
     """
 
     scope: Scope
@@ -42,6 +46,7 @@ class RunParams:
     max_broadcast_rows: int = 2_000_000
     max_broadcast_bytes: int = 128 * 1024 * 1024
     output_files: int = 10
+    checkpoint_audience: bool = False
     required_slots: tuple[int, ...] = (1, 2)
     extra: dict = field(default_factory=dict)
 

@@ -23,6 +23,14 @@ FINAL_DROPPED = ("AudienceTableName", "LRMStatus", "campaign_priority")
 DROPPED_SUBSTRING = "authrealm"
 
 
+def token_table_for_scope(token_config: DataFrame, scope) -> DataFrame:
+    """I8: the token table configured for the scope (one row; lowest name on ties)."""
+    from slotwise.functions.keys import normalize_locale
+    from slotwise.operators.campaigns import in_scope
+
+    return in_scope(normalize_locale(token_config), scope).select("UserTokenTableName").orderBy("UserTokenTableName").limit(1)
+
+
 def has_account(df: DataFrame) -> DataFrame:
     """Rows without an account id are not sent."""
     return df.filter(F.col("paid").isNotNull())

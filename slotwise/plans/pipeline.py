@@ -21,6 +21,7 @@ from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, render, select, slots
 from slotwise.operators.util import broadcast_checked, gate
 from slotwise.sources import tables
+from slotwise.session import ensure_checkpoint_dir
 from slotwise.sources.runlog import RunLog
 
 # Recipient columns carried to the output (fixed list of the reference).
@@ -107,7 +108,11 @@ class CampaignRun:
         join-back all read it, and it is the one table built by a shuffle
         join of two recipient-sized inputs."""
         assigned = audience.assign_campaigns(self.inputs.segments, self.meta, self.params.max_broadcast_rows, self.config_rows)
-        return audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles)).persist()
+        built = audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles))
+        if self.params.checkpoint_audience:
+            ensure_checkpoint_dir(self.spark)
+            return built.checkpoint(eager=True)
+        return built.persist()
 
     @cached_property
     def cohorts(self) -> DataFrame:

@@ -34,6 +34,11 @@ LOG_SCHEMA = StructType(
 LOG_TIMEZONE = "America/Los_Angeles"
 
 
+def clean_column_names(df: DataFrame) -> DataFrame:
+    """Strip stray spaces from column names (the schedule table has some)."""
+    return df.withColumnsRenamed({c: c.strip() for c in df.columns if c != c.strip()})
+
+
 def latest_schedule(schedules: DataFrame, locale: str) -> DataFrame:
     """A5 + B6: the final schedule of the locale with a non-blank job, newest first.
 
@@ -42,7 +47,8 @@ def latest_schedule(schedules: DataFrame, locale: str) -> DataFrame:
     time are broken by ``ID`` descending.
     """
     return (
-        schedules.filter(F.col("Locale") == F.lit(locale))
+        clean_column_names(schedules)
+        .filter(F.col("Locale") == F.lit(locale))
         .filter(F.col("IsFinal") == 1)
         .filter(~F.col("Job_Name").like(" "))
         .orderBy(F.col("ScheduleTimes").desc(), F.col("ID").desc())
@@ -144,6 +150,14 @@ class RunLog:
         )
 
     def write(self, spark: SparkSession, writer) -> None:
-        """Append the rows through ``writer(df)`` (a JDBC or parquet append)."""
+        """Append the rows through ``writer(df)``."""
         if self.rows:
             writer(self.frame(spark))
+
+    def append_parquet(self, spark: SparkSession, path: str) -> None:
+        """Append the step rows to a parquet log table (one small file)."""
+        self.write(spark, lambda df: df.coalesce(1).write.mode("append").parquet(path))
+
+    def append_jdbc(self, spark: SparkSession, url: str, table: str, options: dict) -> None:
+        """Append the step rows to a database log table."""
+        self.write(spark, lambda df: df.write.mode("append").jdbc(url=url, table=table, properties=options))

@@ -92,3 +92,45 @@ def test_parquet_source_and_config_bundle(spark):
     src = tables.FrameSource({f"{t}_test": got for t in tables.CONFIG_TABLES})
     cfg = tables.load_config(spark, src, "test")
     assert all("id" not in df.columns for df in cfg.values())
+
+
+def test_profile_filter_reaches_parquet_scan(spark):
+    d = scratch()
+    f = fx.Fixtures(spark, SMALL)
+    path = os.path.join(d, "profiles")
+    f.fx_profiles.write.parquet(path)
+    plan = tables.read_profiles(spark, path).select("email_address", "locale")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(mer_status), EqualTo(mer_status,1)]" in plan
+    assert "ReadSchema: struct<email_address:string,locale:string,mer_status:int>" in plan
+
+
+def test_checkpointed_audience_matches_cached(spark):
+    from slotwise.plans.pipeline import CampaignRun
+    from tools.oracle_check import rows_of
+
+    f = fx.Fixtures(spark, SMALL)
+    a = CampaignRun(spark, fixture_params(), fixture_inputs(f)).audience
+    b = CampaignRun(spark, fixture_params(checkpoint_audience=True), fixture_inputs(f)).audience
+    assert rows_of(a.toPandas()) == rows_of(b.toPandas())
+
+
+def test_schedule_columns_with_trailing_spaces(spark):
+    df = spark.createDataFrame(
+        [(1, "en_us", 1, "job a", 5.0), (2, "en_us", 1, " ", 9.0), (3, "en_us", 1, None, 9.5), (4, "en_us", 1, "job b", 7.0)],
+        "`ID ` int, Locale string, IsFinal int, `Job_Name ` string, `ScheduleTimes ` double",
+    )
+    assert runlog.latest_schedule(df, "en_us").first().ID == 4
+
+
+def test_run_log_parquet_append_and_token_table(spark):
+    from slotwise.config import Scope
+    from slotwise.operators.deliver import token_table_for_scope
+
+    d = scratch()
+    log = runlog.RunLog("x", 3, clock=lambda: dt.datetime(2024, 1, 1))
+    log.append(1, "a", dt.datetime(2024, 1, 1))
+    log.append_parquet(spark, os.path.join(d, "log"))
+    log.append_parquet(spark, os.path.join(d, "log"))
+    assert spark.read.parquet(os.path.join(d, "log")).count() == 2
+    cfg = spark.createDataFrame([("EN_US", 1, 0, "tokens_us"), ("fr_fr", 1, 0, "tokens_fr")], "locale string, tpid int, eapid int, UserTokenTableName string")
+    assert token_table_for_scope(cfg, Scope("en_us", 1, 0)).first().UserTokenTableName == "tokens_us"

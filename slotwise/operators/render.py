@@ -66,16 +66,6 @@ def lookup_requirements(content: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def required_lookups(content: DataFrame) -> list[LookupSpec]:
-    """The lookup joins the launch needs. Collects configuration-sized
-    metadata (names), never recipient or lookup data."""
-    rows = lookup_requirements(content).collect()
-    grouped: dict[tuple, set] = {}
-    for r in rows:
-        grouped.setdefault((r.table_name, tuple(r.left_keys), tuple(r.right_keys)), set()).add(r.column_name)
-    return [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())]
-
-
 def launch_layout(content: DataFrame) -> dict:
     """All configuration metadata the plan needs, in one small job: slot list
     and widths (D-2, D-4), recipient attributes (H11), lookup joins (A12) and
@@ -116,15 +106,14 @@ def launch_layout(content: DataFrame) -> dict:
     }
 
 
+def required_lookups(content: DataFrame) -> list[LookupSpec]:
+    """The lookup joins the launch needs (configuration metadata only)."""
+    return launch_layout(content)["lookups"]
+
+
 def recipient_columns(content: DataFrame) -> list[str]:
     """Recipient attributes any binding (left side) or template token names."""
-    left = content.filter(F.col("var_source").isNotNull()).select(F.explode(binding_left_keys("var_source")).alias("c"))
-    toks = (
-        content.select(F.explode(template_tokens("var_structure")).alias("t"))
-        .filter(token_table("t") == F.lit(RECIPIENT_TABLE))
-        .select(token_column("t").alias("c"))
-    )
-    return sorted(r.c for r in left.union(toks).distinct().collect() if r.c)
+    return launch_layout(content)["attributes"]
 
 
 def missing_lookups(specs: list[LookupSpec], lookups: dict[str, DataFrame]) -> list[tuple[str, str]]:

@@ -32,6 +32,10 @@ class RunParams:
     reference's substring test, ``"strict"`` only trusts the pipeline's own
     markers (an unresolved token or a template without options).
 
+    ``share_content`` — render once per distinct content key and join back
+    (True), render every audience row in place (False), or decide from the
+    counted key set (None: share while the keys fit a broadcast).
+
     ``checkpoint_audience`` writes the audience to the session's reliable
     checkpoint folder (``spark.checkpoint.dir``) instead of caching it, so a
     lost executor costs a re-read rather than a re-run of the recipient join.
@@ -47,6 +51,7 @@ class RunParams:
     max_broadcast_bytes: int = 128 * 1024 * 1024
     output_files: int = 10
     checkpoint_audience: bool = False
+    share_content: bool | None = None
     required_slots: tuple[int, ...] = (1, 2)
     extra: dict = field(default_factory=dict)
 

@@ -126,34 +126,61 @@ class CampaignRun:
 
     @cached_property
     def content_keys(self) -> DataFrame:
-        return audience.content_keys(self.audience, self.attributes)
+        """Distinct content keys; persisted because it is counted (sharing
+        decision) and then rendered."""
+        return audience.content_keys(self.audience, self.attributes).persist()
 
     @cached_property
-    def rendered(self) -> DataFrame:
-        """One row per content key: wide slot columns, trace, campaign priority.
-        Persisted: the join-back's size check materialises it."""
+    def share_content(self) -> bool:
+        """Render once per content key and join back, or render in place?
+
+        Sharing pays when keys repeat: the rendered table is then small enough
+        to broadcast and the join-back adds no shuffle. When the keys are too
+        many to broadcast (a template naming a per-recipient attribute makes
+        them as many as the audience rows), sharing would save little and the
+        join-back would shuffle the whole audience — so every audience row is
+        rendered where it sits instead.
+        """
+        if self.params.share_content is not None:
+            return self.params.share_content
+        return self.content_keys.count() <= self.params.max_broadcast_rows
+
+    def _render(self, rows: DataFrame) -> DataFrame:
+        """Allocation, lookup values, rendering and slot fold on any frame
+        holding the content-key columns (keys or whole audience rows)."""
         p = self.params
-        rows = render.content_rows(self.content_keys, self.allocation, p.max_broadcast_rows, p.max_broadcast_bytes)
+        rows = render.content_rows(rows, self.allocation, p.max_broadcast_rows, p.max_broadcast_bytes)
         rows = render.attach_values(
             rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows, p.max_broadcast_bytes
         )
-        rows = render.render_slots(rows, p.rotation_seed(), p.missing)
-        rows = slots.fill_slots(rows, self.slots)
+        return slots.fill_slots(render.render_slots(rows, p.rotation_seed(), p.missing), self.slots)
+
+    @cached_property
+    def rendered(self) -> DataFrame:
+        """One row per content key: wide slot columns, trace, campaign priority.
+        Persisted: the join-back's size check materialises it."""
         keys = audience.content_key_columns(self.attributes)
-        return rows.select(*keys, *slots.personalise_columns(self.slots, p.compat)).persist()
+        return self._render(self.content_keys).select(*keys, *slots.personalise_columns(self.slots, self.params.compat)).persist()
 
     @cached_property
     def personalised(self) -> DataFrame:
-        """C14 + C15: content joined back to every recipient by content key
-        (null-safe on the attribute columns, Q7), launch time attached."""
+        """C14 + C15: content for every recipient, launch time attached.
+
+        Shared: content joined back by content key (null-safe on the attribute
+        columns, Q7), broadcast under the checked bound. In place: the same
+        rendering applied to the audience rows directly.
+        """
         keys = audience.content_key_columns(self.attributes)
-        content = self.rendered.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in self.rendered.columns if c not in keys])
-        content = broadcast_checked(content, self.params.max_broadcast_rows, max_bytes=self.params.max_broadcast_bytes)
-        cond = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-        out_cols = [c for c in self.rendered.columns if c not in keys]
-        joined = self.audience.join(content, cond).select(
-            *OUTPUT_RECIPIENT_COLUMNS, "campaign_id", *out_cols, F.lit(len(self.slots)).alias("ModuleCount")
-        )
+        slot_cols = slots.personalise_columns(self.slots, self.params.compat)
+        if self.share_content:
+            out_cols = [c for c in self.rendered.columns if c not in keys]
+            content = self.rendered.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *out_cols)
+            content = broadcast_checked(content, self.params.max_broadcast_rows, max_bytes=self.params.max_broadcast_bytes)
+            cond = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+            joined = self.audience.join(content, cond).select(*OUTPUT_RECIPIENT_COLUMNS, "campaign_id", *out_cols)
+        else:
+            joined = self._render(self.audience).select(*OUTPUT_RECIPIENT_COLUMNS, "campaign_id", *slot_cols)
+        joined = joined.withColumn("ModuleCount", F.lit(len(self.slots)))
         # Launch times of the day's campaigns. Taken from the metadata: a row of
         # the result always belongs to a campaign that made it into ``meta``.
         launch = self.meta.select("campaign_id", "locale", "LaunchDateTimeUTC").distinct()

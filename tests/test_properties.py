@@ -61,3 +61,14 @@ def test_rank_before_suppression(spark):
     best_prio = run.personalised.groupBy("email_address").agg(F.min("campaign_priority").alias("m"))
     suppressed = best_prio.filter("m = 9999").select("email_address")
     assert run.best.join(suppressed, "email_address").count() == 0
+
+
+def test_render_in_place_equals_shared(spark):
+    """The in-place path (chosen when content keys are too many to broadcast)
+    delivers the same table as the shared path."""
+    from slotwise.plans.fixture_run import fixture_run as run_with
+
+    shared = run_with(spark, SMALL, share_content=True)
+    in_place = run_with(spark, SMALL, share_content=False)
+    assert shared.share_content and not in_place.share_content
+    assert rows_of(shared.output.toPandas()) == rows_of(in_place.output.toPandas())

@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+# Fixed values (must equal the reference's): click-token wrapping and the
+# status that marks an active loyalty member.
+CLICK_PREFIX = "emailclick/"
+CLICK_SUFFIX = "/"
+ACTIVE_STATUS = "Active"
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -43,11 +50,11 @@ def null_literals(df: DataFrame, literal: str = "None") -> DataFrame:
     )
 
 
-def status_flag(col, active: str = "Active") -> Column:
+def status_flag(col, active: str = ACTIVE_STATUS) -> Column:
     """``"1"`` when the status equals ``active``, else ``"0"`` (null included)."""
     return F.when(_c(col) == F.lit(active), F.lit("1")).otherwise(F.lit("0"))
 
 
 def click_token(token) -> Column:
     """``emailclick/<token>/`` (null stays null, so H14 can fall through)."""
-    return F.concat(F.lit("emailclick/"), _c(token), F.lit("/"))
+    return F.concat(F.lit(CLICK_PREFIX), _c(token), F.lit(CLICK_SUFFIX))

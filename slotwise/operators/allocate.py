@@ -17,6 +17,7 @@ from slotwise.functions.text import value_key
 from slotwise.operators.audience import COHORT_KEYS, segment_members
 from slotwise.operators.util import broadcast_checked
 
+# Fixed values (must equal the reference's): placements whose missing content demotes a module.
 PLACEMENTS_DEMOTABLE = ("hero", "banner")
 
 

@@ -23,6 +23,7 @@ DROPPED_META_COLUMNS = (
     "campaign_type_id", "dayofweek", "program_type", "derived_module_id",
     "context", "language", "lob_intent", "status",
 )
+# Fixed value (must equal the reference's): status of a usable module.
 LIVE_STATUS = "active published"
 
 

@@ -18,6 +18,7 @@ LOYALTY_RENAMES = {
     "MemberID": "LoyaltyMemberID", "LRMTierName": "LoyaltyMemberTierName",
     "MonetaryValue": "MonetaryValue", "LRMAvailablePoints": "LoyaltyAvailablePoints",
 }
+# Fixed values (must equal the reference's): columns dropped from the delivered table.
 LOYALTY_DROPPED = ("LANG_ID", "LRMPendingPoints")
 FINAL_DROPPED = ("AudienceTableName", "LRMStatus", "campaign_priority")
 DROPPED_SUBSTRING = "authrealm"

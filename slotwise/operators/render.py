@@ -24,6 +24,7 @@ from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope
 from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
 
+# Fixed value (must equal the reference's): priority of demoted content / suppressed campaigns.
 SUPPRESSED_PRIORITY = 9999
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from slotwise.operators.render import SUPPRESSED_PRIORITY
 from slotwise.operators.slots import PLACEHOLDER_ID
 
+# Fixed values (must equal the reference's): account id of seed rows, seed category.
 SEED_ACCOUNT = 999999999
 SEED_CATEGORY = "Merch"
 

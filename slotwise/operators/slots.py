@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from slotwise.functions.text import NONE_TEXT
 from slotwise.operators.render import SUPPRESSED_PRIORITY
 
+# Fixed values (must equal the reference's): placeholder module id, and the
+# labels of a slot with no allocation and of a slot whose candidates were all used.
 PLACEHOLDER_ID = 999
 DUMMY = "dummy"
 PIXEL = "pixel_module"

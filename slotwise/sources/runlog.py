@@ -31,6 +31,7 @@ LOG_SCHEMA = StructType(
         StructField("FilePath", StringType(), True),
     ]
 )
+# Fixed value (must equal the reference's): log times are written in Pacific time.
 LOG_TIMEZONE = "America/Los_Angeles"
 
 

@@ -28,9 +28,11 @@ class RunParams:
     ``compat`` switches the places where the reference's behaviour is
     accidental back to it: fan-out of duplicate bindings, one surviving row
     per seed address, slot trace punctuation by slot count.
-    ``missing`` chooses the empty-content test: ``"compat"`` is the
-    reference's substring test, ``"strict"`` only trusts the pipeline's own
-    markers (an unresolved token or a template without options).
+    ``missing`` chooses the rendering rules: ``"compat"`` is the reference's
+    (substring empty-content test, Q14; token text substituted before options
+    are split, Q20); ``"strict"`` only trusts the pipeline's own markers (an
+    unresolved token or a template without options) and substitutes
+    ``%%token%%`` inside each option after splitting.
 
     ``share_content`` — render once per distinct content key and join back
     (True), render every audience row in place (False), or decide from the

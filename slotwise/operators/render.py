@@ -18,7 +18,7 @@ from slotwise.functions.bindings import (
     QUALIFIER, RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
 )
 from slotwise.functions.keys import normalize_locale
-from slotwise.functions.text import options, render_keyed, resolve_parts
+from slotwise.functions.text import render_options, resolve_parts
 from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope
@@ -190,7 +190,7 @@ def _rendered_candidate(cand, slot, values, bucket, seed: int, mode: str):
         lambda v: F.struct(
             v["pos"].alias("pos"),
             ((slot == F.lit(1)) & (v["pos"] == F.lit(1))).alias("is_first"),
-            options(render_keyed(v["template"], v["keyed"], values, mode)).alias("parts"),
+            render_options(v["template"], v["keyed"], values, mode).alias("parts"),
         ),
     )
     return F.struct(

@@ -23,9 +23,9 @@ def cand(prio, type_id, mid, placement="hero", default=1, vars_=None):
     return (prio, type_id, mid, placement, default, vars_ or [var(1, "d|A"), var(2, "d|B")])
 
 
-def run_fold(spark, rows, slot_list, compat=False):
+def run_fold(spark, rows, slot_list, compat=False, mode="compat"):
     df = spark.createDataFrame(rows, ROW_T)
-    r = render.render_slots(df, SEED, "compat")
+    r = render.render_slots(df, SEED, mode)
     f = slots.fill_slots(r, slot_list)
     return f.select("test_keys", *slots.personalise_columns(slot_list, compat)).collect()
 
@@ -117,3 +117,15 @@ def test_backfill_binding_modes(spark):
     own = campaigns.backfill_binding(df).filter("module_id = 4").first().var_source
     lost = campaigns.backfill_binding(df, compat=True).filter("module_id = 4").first().var_source
     assert (own, lost) == ("traveler.z|Z.k", None)
+
+
+def test_strict_substitution_keeps_options(spark):
+    """Q20 strict: a value holding ``|`` stays inside its option, and token text
+    outside ``%%`` is left alone."""
+    vars_ = [var(1, "d|a|b|c"), var(2, "d|%%traveler.x%% not traveler.x", ["traveler.x"])]
+    rows = [(0, 1, {"traveler.x": "p|q"}, {1: [cand(1, 1, 601, "subject", 1, vars_)]})]
+    (r,) = run_fold(spark, rows, [(1, 2)], mode="strict")
+    assert r.S1_P2 == "p|q not traveler.x"
+    # compat: "d|p|q not p|q" after substitution -> 4 parts, option (0 + 11 % 3) % 3 = 2
+    (c,) = run_fold(spark, rows, [(1, 2)], mode="compat")
+    assert c.S1_P2 == "q"

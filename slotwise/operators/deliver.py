@@ -63,12 +63,18 @@ def dedupe_recipients(
     ``per_campaign_col`` names a column that, where set, joins the key — used
     so each seed address keeps one row per campaign (Q10).
     """
-    order_cols = [F.col(c).asc_nulls_last() for c in order] + [F.col("AudienceTableName").asc_nulls_last()]
+    order_cols = [F.col(c).asc_nulls_last() for c in order] + [F.col("AudienceTableName").asc_nulls_last(), row_hash(df)]
     part = [F.col(k) for k in keys] + ([F.col(per_campaign_col)] if per_campaign_col else [])
     w = Window.partitionBy(*part).orderBy(*order_cols)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def row_hash(df: DataFrame):
+    """Last-resort tiebreak: a hash of the whole row, so that rows differing in
+    any column are always ordered the same way (identical rows tie harmlessly)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def add_loyalty(df: DataFrame, members: DataFrame) -> DataFrame:
     """C19 + B16: loyalty fields by (TPID, PAID); status becomes a ``"1"``/``"0"`` flag."""
     m = members.drop(*LOYALTY_DROPPED)

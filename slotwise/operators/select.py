@@ -24,7 +24,9 @@ def best_campaign(df: DataFrame, ties: str = "keep") -> DataFrame:
     if ties == "keep":
         w = Window.partitionBy("email_address").orderBy("campaign_priority")
         return df.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
-    w = Window.partitionBy("email_address").orderBy("campaign_priority", "campaign_id")
+    from slotwise.operators.deliver import row_hash
+
+    w = Window.partitionBy("email_address").orderBy("campaign_priority", "campaign_id", row_hash(df))
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -62,7 +64,9 @@ def active_seeds(seeds: DataFrame, scope) -> DataFrame:
 def seed_rows(df: DataFrame, seeds: DataFrame, n_seeds: int) -> DataFrame:
     """C17 + E4: the first n_seeds recipients of each campaign (by bucket, then
     address — Q9) re-addressed to the seed addresses, account ``999999999``."""
-    sample = top_k(df, ["campaign_id"], ["test_keys", "email_address"], n_seeds)
+    from slotwise.operators.deliver import row_hash
+
+    sample = top_k(df, ["campaign_id"], ["test_keys", "email_address", row_hash(df)], n_seeds)
     return (
         # n_seeds is the counted size of the seed list: a checked broadcast.
         sample.join(F.broadcast(seeds), ["tpid", "eapid", "locale", "row_id"])

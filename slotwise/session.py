@@ -8,8 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Spark settings the pipeline relies on: AQE re-plans joins on measured sizes
-# (a shuffle join becomes a broadcast when the build side turns out small) and
-# splits skewed join partitions; timestamps are compared in UTC.
+# (a shuffle join becomes a broadcast when the build side turns out small),
+# splits skewed join partitions; timestamps are compared in UTC. Applied to the
+# sessions this package builds; a caller's own session is never modified.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -34,6 +34,10 @@ class RunParams:
     unresolved token or a template without options) and substitutes
     ``%%token%%`` inside each option after splitting.
 
+    ``output_files`` caps the number of result files (the reference writes at
+    most 10; ``compat=True`` keeps that). Unset, files follow the final
+    stage's partitions, so the last stage is not funnelled into a few tasks.
+
     ``share_content`` — render once per distinct content key and join back
     (True), render every audience row in place (False), or decide from the
     counted key set (None: share while the keys fit a broadcast).
@@ -51,12 +55,16 @@ class RunParams:
     seeds_per_campaign: bool = True
     max_broadcast_rows: int = 2_000_000
     max_broadcast_bytes: int = 128 * 1024 * 1024
-    output_files: int = 10
+    output_files: int | None = None
     checkpoint_audience: bool = False
     share_content: bool | None = None
     required_slots: tuple[int, ...] = (1, 2)
     extra: dict = field(default_factory=dict)
 
+    @property
+    def result_files(self) -> int | None:
+        return self.output_files if self.output_files is not None else (10 if self.compat else None)
+
     @property
     def locale(self) -> str:
         return self.scope.locale

@@ -273,7 +273,7 @@ def run_campaign(
     if paths is not None:
         obs = Observation("output")
         with log.step("write output", paths.output) as box:
-            tables.write_output(out.observe(obs, F.count(F.lit(1)).alias("rows")), paths.output, params.output_files)
+            tables.write_output(out.observe(obs, F.count(F.lit(1)).alias("rows")), paths.output, params.result_files)
             box["rows"] = obs.get["rows"]
         if paths.manifest:
             with log.step("write manifest", paths.manifest):

@@ -92,13 +92,17 @@ def load_lookups(spark: SparkSession, names, source: TableSource) -> dict[str, D
     return {n: read_table(spark, n, source) for n in names}
 
 
-def write_output(df: DataFrame, path: str, max_files: int = 10) -> None:
-    """Overwrite parquet with at most ``max_files`` files.
-
-    ``coalesce`` narrows the final stage without a shuffle; at large scale set
-    ``max_files`` so each file stays within a few hundred MB.
+def write_output(df: DataFrame, path: str, max_files: int | None = None, max_records_per_file: int = 5_000_000) -> None:
+    """Overwrite parquet.
+
+    By default the final stage keeps its parallelism: file count follows the
+    (AQE-sized) partitions and no file exceeds ``max_records_per_file`` rows.
+    ``max_files`` reproduces the reference's cap (``coalesce``), which is only
+    sensible for small outputs: ``coalesce`` runs the whole last stage — here
+    the dedupe window and the loyalty join — in that many tasks.
     """
-    df.coalesce(max_files).write.mode("overwrite").parquet(path)
+    out = df.coalesce(max_files) if max_files else df
+    out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
 def manifest_frame(spark: SparkSession, output_path: str) -> DataFrame:

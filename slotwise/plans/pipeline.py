@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +113,8 @@ class CampaignRun:
         if self.params.checkpoint_audience:
             ensure_checkpoint_dir(self.spark)
             return built.checkpoint(eager=True)
-        return built.persist()
+        # serialized blocks: the audience is the largest cached table
+        return built.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def cohorts(self) -> DataFrame:
@@ -226,6 +228,13 @@ class CampaignRun:
         """The delivered table."""
         return deliver.finalize(self.deduped, self.inputs.members)
 
+    def release(self) -> None:
+        """Unpersist every cached stage of this run (after delivery)."""
+        for name in ("content", "audience", "allocation", "content_keys", "rendered"):
+            df = self.__dict__.get(name)
+            if df is not None and df.is_cached:
+                df.unpersist()
+
     # ---- control ------------------------------------------------------------
     def check_gates(self) -> dict:
         """D-9: the reference's non-empty gates, each a bounded ``limit(1)`` probe."""
@@ -284,4 +293,6 @@ def run_campaign(
     if writer is not None:
         with log.step("write output"):
             writer(out)
+    if paths is not None or writer is not None:
+        run.release()
     return out

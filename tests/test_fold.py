@@ -1,6 +1,5 @@
 """Hand-built rows for the slot fold, rendering and suppression."""
 
-from pyspark.sql import functions as F
 
 from slotwise.operators import campaigns, render, slots
 

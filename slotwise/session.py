@@ -41,11 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is left
-    alone. Local runs (tests, bench) get a fresh temporary folder.
+    alone; if it is missing there, this fails rather than pick a machine-local
+    folder. Local runs (tests, bench) get a fresh temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="slotwise-ckpt-", dir=os.environ.get("SLOTWISE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -14,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,8 +112,8 @@ class CampaignRun:
         if self.params.checkpoint_audience:
             ensure_checkpoint_dir(self.spark)
             return built.checkpoint(eager=True)
-        # serialized blocks: the audience is the largest cached table
-        return built.persist(StorageLevel.MEMORY_AND_DISK)
+        # The SQL cache stores compressed columnar batches and spills to disk.
+        return built.persist()
 
     @cached_property
     def cohorts(self) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from slotwise.llm import mixing, quality
+from slotwise.llm import mixing, pieces, prefix_tokens, quality, secrets, toxicity
 
 QUERIES = {
     "op1_line_quality": quality.op1_line_quality,
+    "op2_toxic_spans": toxicity.op2_toxic_spans,
+    "op5_secret_scan": secrets.op5_secret_scan,
+    "op6_prefix_token_counts": prefix_tokens.op6_prefix_token_counts,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 
 ORACLE = {

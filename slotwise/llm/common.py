@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +39,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package sent to the executors (once a session)."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        path = os.path.join(tempfile.mkdtemp(prefix="slotwise-"), "slotwise.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, files in os.walk(os.path.join(top, "slotwise")):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, top))
+        sc.addPyFile(path)  # Spark's own file server sends it; executors never read the driver's folder
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on keys that may be null; the right side's keys are dropped."""
     names = {k: f"_right_{k}" for k in keys}

@@ -16,15 +16,37 @@ from collections.abc import Callable, Iterable, Iterator
 PAIR_MEMO = 400_000  # remembered neighbour tests; forgotten together when full
 
 
+class Memo:
+    """A bounded memo in two generations: what is used again survives, the rest goes."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.now: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys to be computed, sorted; known ones are in ``now`` afterwards."""
+        if len(self.now) > self.size:
+            self.now, self.old = {}, self.now
+        now, old, out = self.now, self.old, []
+        for k in keys.difference(now):
+            if k in old:
+                now[k] = old[k]
+            else:
+                out.append(k)
+        out.sort()
+        return out
+
+
 class PrefixCoder:
-    """``vocab``: the tokens as strings over base symbols (one symbol a character).
+    """``vocab``: ids of the tokens, strings over base symbols (one symbol a character).
 
     ``rank(a, b)``: priority of merging neighbours ``a`` and ``b`` (lower first),
     or None if they don't merge. A symbol outside the vocabulary stands alone.
     """
 
-    def __init__(self, vocab: Iterable[str], rank: Callable[[str, str], float | None]):
-        self.vocab = frozenset(vocab)
+    def __init__(self, vocab: dict[str, int], rank: Callable[[str, str], float | None]):
+        self.vocab = vocab
         self.rank = rank
         self.longest = max(map(len, self.vocab), default=1)
         self._fits: dict[tuple[str, str], bool] = {}
@@ -57,15 +79,16 @@ class PrefixCoder:
         ok = self._whole[a] = self.merged(a) == [a]
         return ok
 
-    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int], list[int]]]:
-        """For sorted words: (word, last, count), lists by prefix length.
+    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int], list[int], list[int | None]]]:
+        """For sorted words: (word, last, count, token), lists by prefix length.
 
         ``last[i]`` is the length of the last token of the prefix of length i,
-        ``count[i]`` its number of tokens. The lists are reused: read them
-        before asking for the next word.
+        ``token[i]`` its id (None outside the vocabulary) and ``count[i]`` the
+        number of tokens. The lists are reused: read them before asking for the
+        next word.
         """
         vocab, longest, fits, whole = self.vocab, self.longest, self._fits, self._whole
-        before, last, count = "", [0], [0]
+        before, last, count, token = "", [0], [0], [None]
         for word in words:
             n, k = len(word), 0
             most = min(n, len(before))
@@ -74,36 +97,28 @@ class PrefixCoder:
             else:
                 while word[k] == before[k]:
                     k += 1
-            del last[k + 1 :], count[k + 1 :]
+            del last[k + 1 :], count[k + 1 :], token[k + 1 :]
             for i in range(k + 1, n + 1):
                 t = i if i < longest else longest
                 while t > 1:
                     j = i - t
-                    token = word[j:i]
-                    if token in vocab:
+                    right = word[j:i]
+                    if right in vocab:
                         if j == 0:
-                            ok = whole.get(token)
+                            ok = whole.get(right)
                             if ok is None:
-                                ok = self._self(token)
+                                ok = self._self(right)
                         else:
                             left = word[j - last[j] : j]
-                            ok = fits.get((left, token))
+                            ok = fits.get((left, right))
                             if ok is None:
-                                ok = self._fit(left, token)
+                                ok = self._fit(left, right)
                         if ok:
                             break
                     t -= 1
-                # no longer token fits: the symbol itself is the last token
+                # if no longer token fits, the symbol itself is the last token
                 last.append(t)
+                token.append(vocab.get(word[i - t : i]))
                 count.append(count[i - t] + 1)
             before = word
-            yield word, last, count
-
-    @staticmethod
-    def tokens(word: str, last: list[int]) -> list[str]:
-        """The word's tokens, traced back from its end."""
-        out, i = [], len(word)
-        while i:
-            out.append(word[i - last[i] : i])
-            i -= last[i]
-        return out[::-1]
+            yield word, last, count, token

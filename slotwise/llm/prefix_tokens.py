@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import map_arrow, table
-from slotwise.llm.prefix_coder import PrefixCoder
+from slotwise.llm.prefix_coder import Memo, PrefixCoder
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 LIMIT = 512  # fixed by the query contract
-CACHE = 300_000  # distinct pre-tokens a worker remembers
+CACHE = 400_000  # distinct pre-tokens per generation of a worker's memo
 KEEP = 64  # longer pre-tokens are computed each time
 GROUP_CHARS = 4_000_000  # characters handled at once
 
@@ -63,10 +63,10 @@ class PrefixCounter:
         back = str.maketrans(_byte_alphabet())
         ranks = {tuple(x.translate(back) for x in (m.split(" ") if isinstance(m, str) else m)): k for k, m in enumerate(spec["model"]["merges"])}
         added = [t["content"] for t in spec["added_tokens"]]
-        self.coder = PrefixCoder((t.translate(back) for t in spec["model"]["vocab"] if t not in added), lambda a, b: ranks.get((a, b)))
+        self.coder = PrefixCoder({t.translate(back): i for t, i in spec["model"]["vocab"].items() if t not in added}, lambda a, b: ranks.get((a, b)))
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.cache = Memo(CACHE)
 
     def split(self, text: str) -> list[str]:
         if _SIMPLE(text):
@@ -78,18 +78,16 @@ class PrefixCounter:
 
         Returns the long ones, to be forgotten after use.
         """
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = tokens - self.cache.keys()
+        new = self.cache.missing(tokens)
         by_bytes = {t.encode("utf-8").decode("latin-1"): t for t in new}
-        for word, _, count in self.coder.walk(sorted(by_bytes)):
+        for word, _, count, _ in self.coder.walk(sorted(by_bytes)):
             t = by_bytes[word]
             c = count
             if len(t) < len(word):
                 c = [0, *(count[i] for i in accumulate(len(x.encode("utf-8")) for x in t))]
             elif t in _PAIR:
                 c = [0, 1, 2, count[3]]
-            self.cache[t] = bytes([(y - x) & 255 for x, y in zip(c, c[1:])])
+            self.cache.now[t] = bytes([(y - x) & 255 for x, y in zip(c, c[1:])])
         return [t for t in new if len(t) > KEEP]
 
     def changes(self, texts: list[str]) -> list[np.ndarray]:
@@ -108,7 +106,7 @@ class PrefixCounter:
         for p, r in zip(split, runs):
             every.update(*p, *r)
         long = self.learn(every)
-        get, out = self.cache.__getitem__, []
+        get, out = self.cache.now.__getitem__, []
         for t, p, s, r in zip(texts, parts, split, runs):
             done = []
             for k, (x, tokens) in enumerate(zip(p, s)):
@@ -122,7 +120,7 @@ class PrefixCounter:
                 done.append(d)
             out.append(done[0] if len(done) == 1 else np.concatenate(done))
         for t in long:
-            del self.cache[t]
+            del self.cache.now[t]
         return out
 
     @staticmethod

@@ -7,13 +7,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.llm.mixing import mixing_stage
+from slotwise.llm.neardup import neardup_stage
+from slotwise.llm.pieces import pieces_stage
 from slotwise.llm.quality import quality_stage
+from slotwise.llm.secrets import secrets_stage
 from slotwise.session import ensure_checkpoint_dir
 
 # (name, function(spark, docs, sf_dir)); each stage works on all its predecessor kept.
 STAGES = [
     ("quality rules", quality_stage),
+    ("near duplicates", neardup_stage),
+    ("secret scan", secrets_stage),
     ("mixing", mixing_stage),
+    ("pieces", pieces_stage),
 ]
 
 # Alignment, the character network and the tokenizer have no SQL form.

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import BLANKS, join_null_safe, table, text_key, words
+from slotwise.llm.common import BLANKS, checkpointed, join_null_safe, table, text_key, words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -152,9 +152,9 @@ def op1_line_quality(spark, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: drop rejected documents, keep all columns of the rest."""
-    good = quality_rules(docs).filter("kept").select("doc_id", F.col("host").alias("source"), F.col("text_key").alias("_key")).distinct()
+    verdicts = quality_rules(docs).filter("not kept").select("doc_id", F.col("host").alias("source"), F.col("text_key").alias("_key"))
     keyed = docs.withColumn("_key", text_key(F.coalesce("text", F.lit(""))))
-    return join_null_safe(keyed, good, ["doc_id", "source", "_key"], "left_semi").drop("_key")
+    return join_null_safe(keyed, checkpointed(verdicts.distinct()), ["doc_id", "source", "_key"], "left_anti").drop("_key")
 
 
 OP1_SQL = rf"""

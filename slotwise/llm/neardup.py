@@ -9,11 +9,14 @@ the band that the similarity allows: similarity is the length of the longest
 common subsequence over the number of shingles in either, at least ``LIMIT``.
 
 Candidates without all pairs: equal texts are collapsed first; in every bucket
-each member is verified against two centres (the smallest id and a
-hash-chosen one). Buckets whose members then still lie in different components
-are resolved exactly: their cross-component pairs that share ``SHARED`` sketches
-and may reach the similarity by length are verified too. Pairs inside a
-component need no test, as a link between them changes nothing.
+each member is compared with two centres (the smallest id and a hash-chosen
+one). Buckets whose members then still lie in different components are resolved
+exactly: inside blocks of bounded size the tasks compare their cross-component
+members and hand on only pairs that may reach the similarity by length and by a
+one-permutation signature (``SLACK`` standard deviations below the limit). Pairs
+inside a component need no test, as a link between them changes nothing. A
+bucket of more than ``TILE`` members is dealt out in pairs of tiles; no pair of
+it is dropped. Only what passes the signature is aligned.
 
 Defined cases: null texts and texts without a word are equal (empty); texts of
 fewer than five words are one shingle; rows with a null id stay alone and are
@@ -33,14 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.llm.blocks import dealt, in_blocks, neighbours
 from slotwise.llm.common import WORD, checkpointed, components, join_null_safe, map_arrow, table
 from slotwise.llm.prefix_tokens import grouped
 
 SHINGLE = 5
 LIMIT = 0.8
-KEPT = 3  # shingles per sketch: about 0.8^3 of the sketches agree at the limit
-SKETCHES = 16  # one agrees with chance 0.99999, SHARED of them with 0.9998
-SHARED = 2
+KEPT = 5  # shingles per sketch: about 0.8^5 of the sketches agree at the limit
+SKETCHES = 24  # one agrees with chance 0.9999
+NEAR = 24  # shingles expected below the first cut of a sketch's hashes
+BINS = 128  # of the signature
+SLACK = 4.0
+TILE = 1024
+BROADCAST = 1_000_000  # ids (16 bytes each) that may be broadcast
 CACHE = 400_000
 
 _words = re.compile(WORD).findall
@@ -91,25 +99,50 @@ def labelled(sh: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def sketches(lab: np.ndarray, starts: np.ndarray, counts: np.ndarray, n: int = SKETCHES, kept: int = KEPT) -> np.ndarray:
     """(documents, n) order MinHash values of non-empty documents."""
-    out = np.empty((len(starts), n), np.int64)
+    docs = len(starts)
+    out = np.empty((docs, n), np.int64)
+    doc_of = np.repeat(np.arange(docs), counts)
+    # Hashes below the cut hold the smallest ones, except in rare documents that are taken whole.
+    cut = np.where(counts > NEAR, np.minimum(float(NEAR) / counts, 1.0) * 2.0**63, 2.0**63).astype(np.uint64)
+    cut_of = np.repeat(cut, counts)
     for j in range(n):
-        p = _mixed(lab ^ (np.uint64(j + 1) * _STEP))
-        where = np.full((len(starts), kept), -1, np.int64)
-        for k in range(kept):
-            low = np.minimum.reduceat(p, starts)
-            hit = np.flatnonzero(p == np.repeat(low, counts))
-            hit = hit[p[hit] != _MAX]
-            doc = np.searchsorted(starts, hit, side="right") - 1
-            where[doc, k] = hit
-            p[hit] = _MAX
+        p = ((lab ^ (np.uint64(2 * j + 1) * _STEP)) * (_M1 + np.uint64(2 * j) * _M2 | np.uint64(1))) >> np.uint64(1)
+        hit = np.flatnonzero(p < cut_of)
+        few = np.bincount(doc_of[hit], minlength=docs) < np.minimum(kept, counts)
+        if few.any():
+            hit = np.union1d(hit, np.flatnonzero(few[doc_of]))
+        d = doc_of[hit]
+        order = np.lexsort((hit, p[hit], d))
+        hit, d = hit[order], d[order]
+        first = np.searchsorted(d, np.arange(docs))
+        rank = np.arange(len(d)) - first[d]
+        top = rank < kept
+        where = np.full((docs, kept), -1, np.int64)
+        where[d[top], rank[top]] = hit[top]
         where.sort(axis=1)  # text order; -1 where the document has fewer shingles
-        h = np.full(len(starts), np.uint64(j + 1))
+        h = np.full(docs, np.uint64(j + 1))
         for k in range(kept):
             h = _mixed(h * _STEP + np.where(where[:, k] >= 0, lab[where[:, k]], np.uint64(0)))
         out[:, j] = h.view(np.int64)
     return out
 
 
+def signatures(lab: np.ndarray, counts: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """(documents, bins) bytes: of the smallest hash in each bin, 0 for an empty bin."""
+    low = np.full(len(counts) * bins, _MAX, np.uint64)
+    x = _mixed(lab + _STEP)
+    at = np.repeat(np.arange(len(counts)), counts) * bins + (x % np.uint64(bins)).astype(np.int64)
+    np.minimum.at(low, at, x)
+    return np.where(low == _MAX, 0, 1 + (low >> np.uint64(20)) % np.uint64(255)).astype(np.uint8).reshape(-1, bins)
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, limit: float = LIMIT, slack: float = SLACK) -> np.ndarray:
+    """Rows of signatures whose similarity may be the limit or more."""
+    used = ((a | b) != 0).sum(1)
+    same = ((a == b) & (a != 0)).sum(1)
+    return same >= limit * used - slack * np.sqrt(limit * (1 - limit) * used)
+
+
 def similar(a: np.ndarray, b: np.ndarray, limit: float = LIMIT) -> bool:
     """Banded alignment of two labelled shingle sequences.
 
@@ -137,24 +170,25 @@ def similar(a: np.ndarray, b: np.ndarray, limit: float = LIMIT) -> bool:
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, t, k1, k2, n, sketches``: text hash, word-sequence key, shingles."""
+    """``doc_id, t, k1, k2, n, sketches, sig``: text hash, word-sequence key, shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in grouped((t or "" for t in batch.column(2).to_pylist()), 2_000_000):
+            for texts in grouped((t.as_py() or "" for t in batch.column(2)), 2_000_000):
                 hs = word_hashes(texts)
                 keys = np.frombuffer(b"".join(hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in hs), np.int64).reshape(-1, 2)
                 sh = [shingles(h) for h in hs]
                 counts = np.array([len(s) for s in sh])
                 some = np.flatnonzero(counts)
-                values = np.zeros((len(texts), 0), np.int64)
-                ends = np.zeros(len(texts) + 1, np.int32)
+                values = np.zeros((0, SKETCHES), np.int64)
+                sig = np.zeros((len(texts), BINS), np.uint8)
                 if len(some):
                     c = counts[some]
                     lab = labelled(np.concatenate(sh), np.repeat(np.arange(len(c), dtype=np.uint64), c))
                     values = sketches(lab, np.concatenate(([0], np.cumsum(c)[:-1])), c)
-                    ends[1:] = np.cumsum(np.where(counts > 0, SKETCHES, 0))
+                    sig[some] = signatures(lab, c)
+                ends = np.concatenate(([0], np.cumsum(np.where(counts > 0, SKETCHES, 0)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
@@ -163,20 +197,39 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         pa.array(keys[:, 1]),
                         pa.array(counts.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel())),
+                        pa.array([x.tobytes() for x in sig], pa.binary()),
                     ],
-                    names=["doc_id", "t", "k1", "k2", "n", "sketches"],
+                    names=["doc_id", "t", "k1", "k2", "n", "sketches", "sig"],
                 )
                 at += len(texts)
 
     text = F.col(text_col).cast("string")
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    return map_arrow(d, run, f"doc_id {kind}, t bigint, k1 bigint, k2 bigint, n bigint, sketches array<bigint>")
+    return map_arrow(d, run, f"doc_id {kind}, t bigint, k1 bigint, k2 bigint, n bigint, sketches array<bigint>, sig binary")
+
+
+def _matrix(sig: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
+def promising(pairs: DataFrame, reps: DataFrame, limit: float = LIMIT) -> DataFrame:
+    """The pairs ``a, ta, b, tb`` whose signatures may reach the limit."""
+    side = lambda k: reps.select(F.col("rep").alias(k), F.col("t").alias(f"t{k}"), F.col("sig").alias(f"sig_{k}"))
+    both = pairs.join(side("a"), ["a", "ta"]).join(side("b"), ["b", "tb"]).select("a", "ta", "b", "tb", "sig_a", "sig_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            yield x.select(["a", "ta", "b", "tb"]).filter(pa.array(may_reach(_matrix(x.column(4)), _matrix(x.column(5)), limit)))
+
+    return map_arrow(both, run, pairs.select("a", "ta", "b", "tb").schema)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limit: float = LIMIT) -> DataFrame:
     """The pairs ``a, ta, b, tb`` whose texts align: ``a, b``."""
     need = pairs.select(F.col("a").alias("i"), F.col("ta").alias("h")).unionByName(pairs.select(F.col("b").alias("i"), F.col("tb").alias("h"))).distinct()
+    if pairs.count() <= BROADCAST // 2:
+        need = F.broadcast(need)  # then only texts of candidates are shuffled
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text).alias("h"), text.alias("text")).join(need, ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
     side = lambda k: texts.select(F.col("i").alias(k), F.col("h").alias(f"t{k}"), F.col("text").alias(f"text_{k}"))
@@ -195,31 +248,57 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limi
     return map_arrow(both, run, f"a {kind}, b {kind}")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
+def cross_pairs(members: DataFrame, limit: float = LIMIT, tile: int = TILE) -> DataFrame:
+    """Promising pairs of different components in a bucket, each bucket on its own.
+
+    ``members``: ``sketch, rep, t, n, sig, component``. Returns ``a, ta, b, tb``.
+    """
+    size = members.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"))
+    spread = dealt(members.join(size, "sketch"), ["sketch"], "size", "rep", tile)
+    spread = spread.select("block", "own", "left", "rep", "t", "n", "sig", F.xxhash64("component").alias("component"))
+    kind = members.schema["rep"].dataType.simpleString()
+
+    def work(x: pa.Table) -> pa.RecordBatch:
+        block, own, left, component = (x[c].to_numpy() for c in ("block", "own", "left", "component"))
+        n, sig, found = x["n"].to_numpy(), _matrix(x["sig"]), [np.zeros((2, 0), np.int64)]
+        for i, j in neighbours(block):
+            ok = (own[i] | (left[i] != left[j])) & (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= limit * np.maximum(n[i], n[j]))
+            i, j = i[ok], j[ok]
+            for s in range(0, len(i), 65536):
+                p, q = i[s : s + 65536], j[s : s + 65536]
+                near = may_reach(sig[p], sig[q], limit)
+                found.append(np.stack([p[near], q[near]]))
+        i, j = np.concatenate(found, axis=1)
+        rep, t = x["rep"].combine_chunks(), x["t"].combine_chunks()
+        return pa.RecordBatch.from_arrays([rep.take(pa.array(i)), t.take(pa.array(i)), rep.take(pa.array(j)), t.take(pa.array(j))], names=["a", "ta", "b", "tb"])
+
+    return map_arrow(spread, in_blocks(work), f"a {kind}, ta bigint, b {kind}, tb bigint")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT, tile: int = TILE) -> DataFrame:
     """``doc_id, class_id, component_id, kept`` per input row.
 
     ``class_id``: smallest id with the same words; ``component_id``: smallest id
     reachable by near-duplicate links; ``kept``: the row stands for its component.
     """
     d = checkpointed(sketch_documents(docs, id_col, text_col))
-    reps = d.filter("doc_id is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("r"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
-    reps = checkpointed(reps.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "n", "sketches"))
-    rows = reps.select("rep", "t", "n", F.explode("sketches").alias("sketch")).distinct()
+    first = [F.first(c).alias(c) for c in ("n", "sketches", "sig")]
+    reps = d.filter("doc_id is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("r"), *first)
+    reps = checkpointed(reps.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "n", "sketches", "sig"))
+    rows = reps.select("rep", "t", "n", F.explode("sketches").alias("sketch"))
     me = F.struct("rep", "t", "n")
     buckets = rows.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.min_by(me, F.xxhash64("rep", "sketch")).alias("some")).filter("size > 1")
-    members = rows.join(buckets.drop("size"), "sketch")
+    members = checkpointed(rows.join(buckets.drop("size"), "sketch"))
     centre = F.explode(F.array_distinct(F.array("low", "some"))).alias("c")
-    star = members.select("rep", "t", "n", centre).filter("c.rep <> rep").filter(_lengths("n", "c.n", limit))
-    done = checkpointed(verified(_pairs(star, "rep", "t", "c.rep", "c.t"), docs, id_col, text_col, limit))
+    star = members.select("rep", "t", "n", centre).filter("c.rep <> rep").filter(F.least("n", "c.n") >= limit * F.greatest("n", "c.n"))
+    star = promising(_pairs(star.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("c.rep").alias("b"), F.col("c.t").alias("tb"))), reps, limit)
+    done = checkpointed(verified(checkpointed(star), docs, id_col, text_col, limit))
     comp = components(done).withColumnsRenamed({"node": "rep"})
     # What the centres have not joined: members of one bucket in different components.
     split = members.select("sketch", "rep", "t", "n").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = split.groupBy("sketch").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sketch")
-    left = checkpointed(split.join(open_, "sketch").join(reps.select("rep", "t", "sketches"), ["rep", "t"]))
-    right = left.select([F.col(c).alias(f"{c}_2") for c in left.columns])
-    on = (F.col("sketch") == F.col("sketch_2")) & (F.col("rep") < F.col("rep_2")) & (F.col("component") != F.col("component_2")) & _lengths("n", "n_2", limit)
-    cross = left.join(right, on & (F.size(F.array_intersect("sketches", "sketches_2")) >= SHARED))
-    more = verified(_pairs(cross, "rep", "t", "rep_2", "t_2"), docs, id_col, text_col, limit)
+    left = split.join(open_, "sketch").join(reps.select("rep", "t", "sig"), ["rep", "t"])
+    more = verified(checkpointed(_pairs(cross_pairs(left, limit, tile))), docs, id_col, text_col, limit)
     comp = components(checkpointed(done.unionByName(more)))
     found = join_null_safe(d.filter("doc_id is not null").select("doc_id", "k1", "k2").distinct(), reps.select("k1", "k2", "rep"), ["k1", "k2"])
     found = found.join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
@@ -228,16 +307,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "class_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _lengths(a: str, b: str, limit: float):
-    """Texts whose lengths alone don't rule out the similarity."""
-    return F.least(a, b) >= limit * F.greatest(a, b)
-
-
-def _pairs(df: DataFrame, a: str, ta: str, b: str, tb: str) -> DataFrame:
-    """Distinct pairs, smaller id first."""
-    x, y = F.struct(F.col(a).alias("i"), F.col(ta).alias("h")), F.struct(F.col(b).alias("i"), F.col(tb).alias("h"))
+def _pairs(df: DataFrame) -> DataFrame:
+    """Distinct pairs ``a, ta, b, tb``, smaller id first."""
+    x, y = F.struct(F.col("a").alias("i"), F.col("ta").alias("h")), F.struct(F.col("b").alias("i"), F.col("tb").alias("h"))
     p = df.select(F.least(x, y).alias("p"), F.greatest(x, y).alias("q")).distinct()
-    return checkpointed(p.select(F.col("p.i").alias("a"), F.col("p.h").alias("ta"), F.col("q.i").alias("b"), F.col("q.h").alias("tb")))
+    return p.select(F.col("p.i").alias("a"), F.col("p.h").alias("ta"), F.col("q.i").alias("b"), F.col("q.h").alias("tb"))
 
 
 def op3_order_minhash(spark, sf_dir: str) -> DataFrame:

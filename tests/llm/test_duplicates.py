@@ -109,9 +109,9 @@ def test_near_duplicates_match_brute_force(make_docs):
     assert sum(got[a] != want[a] for a in want) == 0
 
 
-def test_a_bucket_whose_centre_is_far_from_the_rest_is_resolved(make_docs, monkeypatch):
-    # one sketch of one shingle: all that share a line meet in one bucket, around unrelated centres
-    monkeypatch.setattr(neardup, "SHARED", 1)
+@pytest.mark.parametrize("tile", [5, 1024])
+def test_a_bucket_whose_centre_is_far_from_the_rest_is_resolved(make_docs, tile):
+    # documents that share half of their text meet in buckets around unrelated centres
     rng = random.Random(6)
     line = " ".join(f"common{k}" for k in range(60))
     rows, i = [], 0
@@ -120,7 +120,7 @@ def test_a_bucket_whose_centre_is_far_from_the_rest_is_resolved(make_docs, monke
         for _ in range(4):
             rows.append((i, line + " " + " ".join(altered(rng, words, 1))))
             i += 1
-    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(make_docs([(a, t, "s") for a, t in rows])).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(make_docs([(a, t, "s") for a, t in rows]), tile=tile).collect()}
     assert got == brute(rows)
 
 
@@ -138,6 +138,18 @@ def test_near_duplicate_rows_of_odd_tables(odd, make_docs):
     assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(["1", "4", "5", "6", "8", "9", "None", "None"])
 
 
+def test_signatures_estimate_the_similarity():
+    rng = np.random.default_rng(4)
+    for n in (3, 20, 400, 3000):
+        x = rng.integers(0, 2**63, n, dtype=np.uint64)
+        y = x.copy()
+        y[: n // 10] = rng.integers(0, 2**63, n // 10, dtype=np.uint64)  # similarity 0.82
+        z = np.concatenate([x[: n // 3], rng.integers(0, 2**63, n - n // 3, dtype=np.uint64)])
+        a, b, c = (neardup.signatures(v, np.array([n])) for v in (x, y, z))
+        assert neardup.may_reach(a, a)[0] and neardup.may_reach(a, b)[0]
+        assert n < 100 or not neardup.may_reach(a, c)[0]
+
+
 def vectors(spark, rows):
     kinds = [("vec_id", T.LongType()), ("embedding", T.ArrayType(T.FloatType())), ("label", T.IntegerType()), ("rep", T.StringType()), ("v", T.StringType())]
     schema = T.StructType([T.StructField(n, k) for n, k in kinds])

@@ -29,7 +29,7 @@ def fixture_inputs(f: fx.Fixtures) -> Inputs:
         config=cfg,
         profiles=f.fx_profiles,
         segments=f.fx_segments,
-        lookups={"fx_nation_lookup": f.fx_nation_lookup},
+        lookups={"fx_nation_lookup": f.fx_nation_lookup, "fx_offer_lookup": f.fx_offer_lookup},
         account_tokens=f.fx_account_tokens,
         subscriber_tokens=f.fx_subscriber_tokens,
         seeds=f.fx_seeds,

@@ -4,8 +4,9 @@ Written independently of the Spark code, from the reference's semantics:
 named CTEs over the fixture views, composed per query. The slot fold is
 unrolled as one CTE per slot, each excluding the ids picked before it.
 Fixture-specific facts used here: the launch has slots 1–4 of width 2, the
-templates name ``traveler.home_city``, ``traveler.nation_key`` and
-``fx_nation_lookup.label`` bound on ``nation_key``.
+templates name ``traveler.home_city``, ``traveler.nation_key``,
+``fx_nation_lookup.label`` bound on ``nation_key`` and ``fx_offer_lookup.offer``
+bound on ``nation_key`` and ``first_name``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from slotwise.sources import fixtures as fx
 SEED = "(week(DATE '2024-03-05') + isodow(DATE '2024-03-05') - 1)"
 SLOTS = [1, 2, 3, 4]
 WIDTH = 2
-KEYS = ["campaign_id", "test_keys", "segment_type_id", "priority", "home_city", "nation_key"]
+KEYS = ["campaign_id", "test_keys", "segment_type_id", "priority", "first_name", "home_city", "nation_key"]
 MISSING_RE = "(?i:value_not_found|none|null)|NaN|nan"
 
 
@@ -45,10 +46,13 @@ def token_text(null_text: str) -> str:
     return f"""CASE WHEN split_part(t, '.', 1) = 'traveler' THEN
       CASE split_part(t, '.', 2)
         WHEN 'home_city' THEN CASE WHEN home_city IS NULL THEN '{null_text}' WHEN home_city = '' THEN 'value_not_found' ELSE home_city END
+        WHEN 'first_name' THEN CASE WHEN first_name IS NULL THEN '{null_text}' WHEN first_name = '' THEN 'value_not_found' ELSE first_name END
         WHEN 'nation_key' THEN CASE WHEN nation_key IS NULL THEN '{null_text}' WHEN nation_key = '' THEN 'value_not_found' ELSE nation_key END
         ELSE 'value_not_found' END
     WHEN t = 'fx_nation_lookup.label' AND spec = 'nation_key|nation_key' THEN
       CASE WHEN NOT hit OR label = '' THEN 'value_not_found' WHEN label IS NULL THEN '{null_text}' ELSE label END
+    WHEN t = 'fx_offer_lookup.offer' AND spec = 'nation_key;first_name|nation_key;segment' THEN
+      CASE WHEN NOT hit2 OR offer = '' THEN 'value_not_found' WHEN offer IS NULL THEN '{null_text}' ELSE offer END
     ELSE 'value_not_found' END"""
 
 
@@ -206,7 +210,17 @@ def _ctes(tt: str, missing: str, dedupe_part: str) -> dict[str, tuple[str, list[
     WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 GROUP BY 1""",
             ["fx_nation_lookup"],
         ),
-        "kv": ("SELECT k.*, l.k IS NOT NULL AS hit, l.label FROM ckeys k LEFT JOIN lkp l ON CAST(k.nation_key AS VARCHAR) = l.k", ["ckeys", "lkp"]),
+        "lkp2": (
+            """SELECT CAST(nation_key AS VARCHAR) AS k1, CAST(segment AS VARCHAR) AS k2, max(offer) AS offer FROM fx_offer_lookup
+    WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 GROUP BY 1, 2""",
+            ["fx_offer_lookup"],
+        ),
+        "kv": (
+            """SELECT k.*, l.k IS NOT NULL AS hit, l.label, o.k1 IS NOT NULL AS hit2, o.offer FROM ckeys k
+    LEFT JOIN lkp l ON CAST(k.nation_key AS VARCHAR) = l.k
+    LEFT JOIN lkp2 o ON CAST(k.nation_key AS VARCHAR) = o.k1 AND CAST(k.first_name AS VARCHAR) = o.k2""",
+            ["ckeys", "lkp", "lkp2"],
+        ),
         "cv": (
             f"""SELECT kv.*, c.slot_position, c.module_type_id AS type_id, c.module_priority_in_slot AS cpriority, c.module_id,
       a.placement_type, a.default_flag, v.pos, v.binding, v.template, v.tokens, v.spec,
@@ -357,7 +371,10 @@ def _cv_choose() -> str:
 FROM (SELECT DISTINCT module_id, var_position, var_structure FROM content)"""
 
 
-LOOKUP_COLUMNS = ["locale", "tpid", "eapid", "nation_key", "label"]
+LOOKUP_COLUMNS = {
+    "fx_nation_lookup": ["locale", "tpid", "eapid", "nation_key", "label"],
+    "fx_offer_lookup": ["locale", "tpid", "eapid", "nation_key", "segment", "offer"],
+}
 
 ORACLE: dict[str, str] = {
     "scan_table": "SELECT * FROM customer",
@@ -392,7 +409,7 @@ FROM fx_run_log WHERE IsComplete = 1 GROUP BY SourceID, SourceName""",
     "missing_lookups": compose(
         ["req"],
         "SELECT table_name, column_name FROM req r WHERE NOT EXISTS (SELECT 1 FROM (VALUES "
-        + ", ".join(f"('fx_nation_lookup', '{c}')" for c in LOOKUP_COLUMNS)
+        + ", ".join(f"('{t}', '{c}')" for t, cols in LOOKUP_COLUMNS.items() for c in cols)
         + ") v(t, c) WHERE v.t = r.table_name AND v.c = r.column_name)",
     ),
     "normalize_locale": compose(["fx_module_vars"], "SELECT * REPLACE (lower(locale) AS locale) FROM fx_module_vars"),
@@ -476,7 +493,9 @@ FROM (SELECT DISTINCT campaign_id, test_keys FROM cohorts) c JOIN vc v ON c.camp
     "lookup_values": compose(
         ["kv"],
         f"""SELECT {', '.join(KEYS)}, 'traveler.home_city' AS value_key, home_city AS value FROM kv
+UNION ALL SELECT {', '.join(KEYS)}, 'traveler.first_name', first_name FROM kv
 UNION ALL SELECT {', '.join(KEYS)}, 'traveler.nation_key', nation_key FROM kv
+UNION ALL SELECT {', '.join(KEYS)}, 'fx_offer_lookup.offer@nation_key;first_name|nation_key;segment', offer FROM kv WHERE hit2
 UNION ALL SELECT {', '.join(KEYS)}, 'fx_nation_lookup.label@nation_key|nation_key', label FROM kv WHERE hit""",
     ),
     "demoted_modules": compose(["rc"], f"SELECT {', '.join(KEYS)}, slot_position, module_id, eff AS effective_priority, att_option FROM rc"),

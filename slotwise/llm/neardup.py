@@ -106,7 +106,8 @@ def sketches(lab: np.ndarray, starts: np.ndarray, counts: np.ndarray, n: int = S
     cut = np.where(counts > NEAR, np.minimum(float(NEAR) / counts, 1.0) * 2.0**63, 2.0**63).astype(np.uint64)
     cut_of = np.repeat(cut, counts)
     for j in range(n):
-        p = ((lab ^ (np.uint64(2 * j + 1) * _STEP)) * (_M1 + np.uint64(2 * j) * _M2 | np.uint64(1))) >> np.uint64(1)
+        add, times = (np.uint64(x % 2**64) for x in ((2 * j + 1) * int(_STEP), int(_M1) + 2 * j * int(_M2) | 1))
+        p = ((lab ^ add) * times) >> np.uint64(1)
         hit = np.flatnonzero(p < cut_of)
         few = np.bincount(doc_of[hit], minlength=docs) < np.minimum(kept, counts)
         if few.any():

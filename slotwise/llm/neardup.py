@@ -12,8 +12,9 @@ Candidates without all pairs: equal texts are collapsed first; in every bucket
 each member is compared with two centres (the smallest id and a hash-chosen
 one). Buckets whose members then still lie in different components are resolved
 exactly: inside blocks of bounded size the tasks compare their cross-component
-members and hand on only pairs that may reach the similarity by length and by a
-one-permutation signature (``SLACK`` standard deviations below the limit). Pairs
+members and hand on only pairs that may reach the similarity by length and by
+signature: a bitmap of all shingles for texts of up to ``SHORT`` shingles, else
+one-permutation minima (``SLACK`` standard deviations below the limit). Pairs
 inside a component need no test, as a link between them changes nothing. A
 bucket of more than ``TILE`` members is dealt out in pairs of tiles; no pair of
 it is dropped. Only what passes the signature is aligned.
@@ -45,7 +46,8 @@ LIMIT = 0.8
 KEPT = 5  # shingles per sketch: about 0.8^5 of the sketches agree at the limit
 SKETCHES = 24  # one agrees with chance 0.9999
 NEAR = 24  # shingles expected below the first cut of a sketch's hashes
-BINS = 128  # of the signature
+BYTES = 256  # of a signature
+SHORT = 512  # shingles: up to here a bitmap tells all
 SLACK = 4.0
 TILE = 1024
 BROADCAST = 1_000_000  # ids (16 bytes each) that may be broadcast
@@ -128,20 +130,38 @@ def sketches(lab: np.ndarray, starts: np.ndarray, counts: np.ndarray, n: int = S
     return out
 
 
-def signatures(lab: np.ndarray, counts: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """(documents, bins) bytes: of the smallest hash in each bin, 0 for an empty bin."""
-    low = np.full(len(counts) * bins, _MAX, np.uint64)
+def signatures(lab: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """(documents, 2 * BYTES): bitmap of the shingles, then smallest hashes by bin.
+
+    The bitmap is left out (zero) above ``SHORT`` shingles. The minima, a byte
+    for each of ``BYTES`` bins and 0 for an empty one, are left out where no
+    text of a similar length can be above ``SHORT``.
+    """
     x = _mixed(lab + _STEP)
-    at = np.repeat(np.arange(len(counts)), counts) * bins + (x % np.uint64(bins)).astype(np.int64)
-    np.minimum.at(low, at, x)
-    return np.where(low == _MAX, 0, 1 + (low >> np.uint64(20)) % np.uint64(255)).astype(np.uint8).reshape(-1, bins)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    out = np.zeros((len(counts), 2 * BYTES), np.uint8)
+    short = np.repeat(counts <= SHORT, counts)
+    bits = np.zeros((len(counts), 8 * BYTES), bool)
+    bits[doc[short], (x[short] % np.uint64(8 * BYTES)).astype(np.int64)] = True
+    out[:, :BYTES] = np.packbits(bits, axis=1)
+    long = np.repeat(counts > LIMIT * SHORT, counts)
+    low = np.full(len(counts) * BYTES, _MAX, np.uint64)
+    np.minimum.at(low, doc[long] * BYTES + (x[long] % np.uint64(BYTES)).astype(np.int64), x[long])
+    out[:, BYTES:] = np.where(low == _MAX, 0, 1 + (low >> np.uint64(20)) % np.uint64(255)).reshape(-1, BYTES)
+    return out
 
 
-def may_reach(a: np.ndarray, b: np.ndarray, limit: float = LIMIT, slack: float = SLACK) -> np.ndarray:
-    """Rows of signatures whose similarity may be the limit or more."""
-    used = ((a | b) != 0).sum(1)
-    same = ((a == b) & (a != 0)).sum(1)
-    return same >= limit * used - slack * np.sqrt(limit * (1 - limit) * used)
+def may_reach(a: np.ndarray, b: np.ndarray, n: np.ndarray, limit: float = LIMIT, slack: float = SLACK) -> np.ndarray:
+    """Rows of signatures whose similarity may be the limit or more; ``n``: shingles of the longer text."""
+    out = np.zeros(len(a), bool)
+    short = n <= SHORT
+    x, y = a[short, :BYTES], b[short, :BYTES]
+    both, either = np.bitwise_count(x & y).sum(1, dtype=np.int64), np.bitwise_count(x | y).sum(1, dtype=np.int64)
+    out[short] = both >= (limit - 0.02) * either - 1  # room for two shingles on one bit
+    x, y = a[~short, BYTES:], b[~short, BYTES:]
+    used = ((x | y) != 0).sum(1)
+    out[~short] = ((x == y) & (x != 0)).sum(1) >= limit * used - slack * np.sqrt(limit * (1 - limit) * used)
+    return out
 
 
 def similar(a: np.ndarray, b: np.ndarray, limit: float = LIMIT) -> bool:
@@ -171,7 +191,7 @@ def similar(a: np.ndarray, b: np.ndarray, limit: float = LIMIT) -> bool:
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, t, k1, k2, n, sketches, sig``: text hash, word-sequence key, shingles."""
+    """``doc_id, t, k1, k2, n, sketches, bits, low``: text hash, word-sequence key, shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +203,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 counts = np.array([len(s) for s in sh])
                 some = np.flatnonzero(counts)
                 values = np.zeros((0, SKETCHES), np.int64)
-                sig = np.zeros((len(texts), BINS), np.uint8)
+                sig = np.zeros((len(texts), 2 * BYTES), np.uint8)
                 if len(some):
                     c = counts[some]
                     lab = labelled(np.concatenate(sh), np.repeat(np.arange(len(c), dtype=np.uint64), c))
@@ -198,30 +218,36 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         pa.array(keys[:, 1]),
                         pa.array(counts.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel())),
-                        pa.array([x.tobytes() for x in sig], pa.binary()),
+                        pa.array([x[:BYTES].tobytes() if n <= SHORT else b"" for x, n in zip(sig, counts)], pa.binary()),
+                        pa.array([x[BYTES:].tobytes() if n > LIMIT * SHORT else b"" for x, n in zip(sig, counts)], pa.binary()),
                     ],
-                    names=["doc_id", "t", "k1", "k2", "n", "sketches", "sig"],
+                    names=["doc_id", "t", "k1", "k2", "n", "sketches", "bits", "low"],
                 )
                 at += len(texts)
 
     text = F.col(text_col).cast("string")
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    return map_arrow(d, run, f"doc_id {kind}, t bigint, k1 bigint, k2 bigint, n bigint, sketches array<bigint>, sig binary")
+    return map_arrow(d, run, f"doc_id {kind}, t bigint, k1 bigint, k2 bigint, n bigint, sketches array<bigint>, bits binary, low binary")
 
 
-def _matrix(sig: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(-1, BINS)
+def _matrix(bits, low) -> np.ndarray:
+    """Signatures of the rows of two binary columns; what is left out is zero."""
+    none = bytes(BYTES)
+    return np.frombuffer(b"".join(x or none for pair in zip(bits.to_pylist(), low.to_pylist()) for x in pair), np.uint8).reshape(-1, 2 * BYTES)
 
 
 def promising(pairs: DataFrame, reps: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The pairs ``a, ta, b, tb`` whose signatures may reach the limit."""
-    side = lambda k: reps.select(F.col("rep").alias(k), F.col("t").alias(f"t{k}"), F.col("sig").alias(f"sig_{k}"))
-    both = pairs.join(side("a"), ["a", "ta"]).join(side("b"), ["b", "tb"]).select("a", "ta", "b", "tb", "sig_a", "sig_b")
+    side = lambda k: reps.select(F.col("rep").alias(k), F.col("t").alias(f"t{k}"), *[F.col(c).alias(f"{c}_{k}") for c in ("bits", "low", "n")])
+    both = pairs.join(side("a"), ["a", "ta"]).join(side("b"), ["b", "tb"]).select("a", "ta", "b", "tb", "bits_a", "low_a", "bits_b", "low_b", F.greatest("n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            yield x.select(["a", "ta", "b", "tb"]).filter(pa.array(may_reach(_matrix(x.column(4)), _matrix(x.column(5)), limit)))
+        for batch in batches:
+            for s in range(0, len(batch), 20_000):
+                x = batch.slice(s, 20_000)
+                near = may_reach(_matrix(x.column(4), x.column(5)), _matrix(x.column(6), x.column(7)), x.column(8).to_numpy(), limit)
+                yield x.select(["a", "ta", "b", "tb"]).filter(pa.array(near))
 
     return map_arrow(both, run, pairs.select("a", "ta", "b", "tb").schema)
 
@@ -252,22 +278,22 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limi
 def cross_pairs(members: DataFrame, limit: float = LIMIT, tile: int = TILE) -> DataFrame:
     """Promising pairs of different components in a bucket, each bucket on its own.
 
-    ``members``: ``sketch, rep, t, n, sig, component``. Returns ``a, ta, b, tb``.
+    ``members``: ``sketch, rep, t, n, bits, low, component``. Returns ``a, ta, b, tb``.
     """
     size = members.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"))
     spread = dealt(members.join(size, "sketch"), ["sketch"], "size", "rep", tile)
-    spread = spread.select("block", "own", "left", "rep", "t", "n", "sig", F.xxhash64("component").alias("component"))
+    spread = spread.select("block", "own", "left", "rep", "t", "n", "bits", "low", F.xxhash64("component").alias("component"))
     kind = members.schema["rep"].dataType.simpleString()
 
     def work(x: pa.Table) -> pa.RecordBatch:
         block, own, left, component = (x[c].to_numpy() for c in ("block", "own", "left", "component"))
-        n, sig, found = x["n"].to_numpy(), _matrix(x["sig"]), [np.zeros((2, 0), np.int64)]
+        n, sig, found = x["n"].to_numpy(), _matrix(x["bits"], x["low"]), [np.zeros((2, 0), np.int64)]
         for i, j in neighbours(block):
             ok = (own[i] | (left[i] != left[j])) & (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= limit * np.maximum(n[i], n[j]))
             i, j = i[ok], j[ok]
-            for s in range(0, len(i), 65536):
-                p, q = i[s : s + 65536], j[s : s + 65536]
-                near = may_reach(sig[p], sig[q], limit)
+            for s in range(0, len(i), 20_000):
+                p, q = i[s : s + 20_000], j[s : s + 20_000]
+                near = may_reach(sig[p], sig[q], np.maximum(n[p], n[q]), limit)
                 found.append(np.stack([p[near], q[near]]))
         i, j = np.concatenate(found, axis=1)
         rep, t = x["rep"].combine_chunks(), x["t"].combine_chunks()
@@ -283,9 +309,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reachable by near-duplicate links; ``kept``: the row stands for its component.
     """
     d = checkpointed(sketch_documents(docs, id_col, text_col))
-    first = [F.first(c).alias(c) for c in ("n", "sketches", "sig")]
+    first = [F.first(c).alias(c) for c in ("n", "sketches", "bits", "low")]
     reps = d.filter("doc_id is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("r"), *first)
-    reps = checkpointed(reps.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "n", "sketches", "sig"))
+    reps = checkpointed(reps.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "n", "sketches", "bits", "low"))
     rows = reps.select("rep", "t", "n", F.explode("sketches").alias("sketch"))
     me = F.struct("rep", "t", "n")
     buckets = rows.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.min_by(me, F.xxhash64("rep", "sketch")).alias("some")).filter("size > 1")
@@ -298,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # What the centres have not joined: members of one bucket in different components.
     split = members.select("sketch", "rep", "t", "n").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = split.groupBy("sketch").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sketch")
-    left = split.join(open_, "sketch").join(reps.select("rep", "t", "sig"), ["rep", "t"])
+    left = split.join(open_, "sketch").join(reps.select("rep", "t", "bits", "low"), ["rep", "t"])
     more = verified(checkpointed(_pairs(cross_pairs(left, limit, tile))), docs, id_col, text_col, limit)
     comp = components(checkpointed(done.unionByName(more)))
     found = join_null_safe(d.filter("doc_id is not null").select("doc_id", "k1", "k2").distinct(), reps.select("k1", "k2", "rep"), ["k1", "k2"])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,8 @@ class RunParams:
 
     ``share_content`` — render once per distinct content key and join back
     (True), render every audience row in place (False), or decide from the
-    counted key set (None: share while the keys fit a broadcast).
+    counted audience rows and keys (None: share while a key serves
+    ``share_ratio`` rows or more on average).
 
     ``checkpoint_audience`` writes the audience to the session's reliable
     checkpoint folder (``spark.checkpoint.dir``) instead of caching it, so a
@@ -58,8 +59,8 @@ class RunParams:
     output_files: int | None = None
     checkpoint_audience: bool = False
     share_content: bool | None = None
+    share_ratio: float = 2.0
     required_slots: tuple[int, ...] = (1, 2)
-    extra: dict = field(default_factory=dict)
 
     @property
     def result_files(self) -> int | None:

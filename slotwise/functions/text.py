@@ -40,21 +40,12 @@ def value_key(token, spec) -> Column:
     ).otherwise(F.concat(t, F.lit("@"), _c(spec)))
 
 
-def token_text(values, token, spec, mode: str = "compat") -> Column:
-    """Text a token renders to: its value, or the missing marker.
+def text_for_key(values, key, mode: str = "compat") -> Column:
+    """Text of a value-map key: its value, or the missing marker.
 
     Empty or unresolved → ``value_not_found``. A null value prints as ``None``
     in compat mode (the reference's ``str(None)``), as the marker in strict.
     """
-    key = value_key(token, spec)
-    present = F.map_contains_key(_c(values), key)
-    v = F.try_element_at(_c(values), key)
-    null_text = NONE_TEXT if mode == "compat" else MISSING_TEXT
-    return F.when(~present | (v == F.lit("")), F.lit(MISSING_TEXT)).when(v.isNull(), F.lit(null_text)).otherwise(v)
-
-
-def text_for_key(values, key, mode: str = "compat") -> Column:
-    """Text of a value-map key: its value, or the missing marker (see ``token_text``)."""
     present = F.map_contains_key(_c(values), key)
     v = F.try_element_at(_c(values), key)
     null_text = NONE_TEXT if mode == "compat" else MISSING_TEXT
@@ -94,21 +85,6 @@ def render_options(template, keyed_tokens, values, mode: str = "compat") -> Colu
     return F.transform(options(F.coalesce(_c(template), F.lit(""))), fill)
 
 
-def render(template, tokens, values, spec, mode: str = "compat") -> Column:
-    """H5: replace every token's text by its value, in token order, then drop ``%%``.
-
-    Null or empty template → ``""``. As in the reference the token text is
-    replaced wherever it occurs, and values are substituted before options
-    are split.
-    """
-    filled = F.aggregate(
-        _c(tokens),
-        F.coalesce(_c(template), F.lit("")),
-        lambda acc, t: F.replace(acc, t, token_text(values, t, spec, mode)),
-    )
-    return F.replace(filled, F.lit("%%"), F.lit(""))
-
-
 def options(text) -> Column:
     return F.split(_c(text), r"\|", -1)
 
@@ -147,32 +123,33 @@ def is_missing(col, mode: str = "compat") -> Column:
     return F.coalesce(c.contains(MISSING_TEXT) | (c == F.lit(NONE_TEXT)), F.lit(False))
 
 
-def resolve_variables(texts, bucket, seed, mode: str = "compat") -> Column:
-    """H6 + H9 over an array of struct(pos, text, is_first).
+def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
+    """H6 + H9 over an array of struct(pos, is_first, parts).
 
     Each step is its own ``transform`` reading the previous step's fields
-    through the lambda variable, so a rendered text is split once and tested
-    once (re-using one Column object in several places would copy its whole
+    through the lambda variable, so an option is chosen once and tested once
+    (re-using one Column object in several places would copy its whole
     expression into the plan and evaluate it again).
 
     Result elements: struct(pos, value, att, missing). Missing content becomes
     ``None`` (slot 1 variable 1 keeps its default text) with att ``default``.
     """
-    split = F.transform(_c(texts), lambda v: F.struct(v["pos"].alias("pos"), v["is_first"].alias("is_first"), options(v["text"]).alias("parts")))
-    return resolve_parts(split, bucket, seed, mode)
-
-
-def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
-    """``resolve_variables`` on already split options: struct(pos, is_first, parts)."""
-    def choose(v):
-        pick = choose_from_parts(v["parts"], bucket, seed, v["is_first"])
-        return F.struct(
-            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"), pick.alias("pick"),
-            is_missing(choose_from_parts(v["parts"], bucket, seed, v["is_first"])["value"], mode).alias("missing"),
-        )
-
+    picked = F.transform(
+        _c(split),
+        lambda v: F.struct(
+            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"),
+            choose_from_parts(v["parts"], bucket, seed, v["is_first"]).alias("pick"),
+        ),
+    )
+    tested = F.transform(
+        picked,
+        lambda v: F.struct(
+            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"), v["pick"].alias("pick"),
+            is_missing(v["pick"]["value"], mode).alias("missing"),
+        ),
+    )
     return F.transform(
-        F.transform(_c(split), choose),
+        tested,
         lambda v: F.struct(
             v["pos"].alias("pos"),
             F.when(v["missing"], F.when(v["is_first"], F.get(v["parts"], 0)).otherwise(F.lit(NONE_TEXT)))
@@ -182,17 +159,3 @@ def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
             v["missing"].alias("missing"),
         ),
     )
-
-
-def resolve_variable(text, bucket, seed, is_first, mode: str = "compat") -> Column:
-    """Option choice followed by the empty-content fallback for one text."""
-    one = F.array(F.struct(F.lit(1).alias("pos"), _c(text).alias("text"), _c(is_first).alias("is_first")))
-    return F.get(resolve_variables(one, bucket, seed, mode), 0).dropFields("pos")
-
-
-def module_trace(picks, slot_field: str = "slot", id_field: str = "module_id") -> Column:
-    """``1.101_2.202`` from an ordered array of picked slots."""
-    return F.array_join(
-        F.transform(_c(picks), lambda p: F.concat(p[slot_field].cast("string"), F.lit("."), p[id_field].cast("string"))),
-        "_",
-    )

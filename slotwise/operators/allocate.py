@@ -35,18 +35,18 @@ def offered_modules(content: DataFrame) -> DataFrame:
 
 
 def allocate_modules(
-    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None
+    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
     """One row per (cohort, slot, module type, priority) with the chosen module.
 
     The cohort's segment list is exploded and equi-joined on (campaign,
     segment) against the offered modules (a projection of the expanded
-    content, so ``config_rows`` — the content's row count — bounds it); the version filter is today's rotation ``(bucket + seed % v) % v + 1``
+    content, so ``known`` — the content's row count — bounds it); the version filter is today's rotation ``(bucket + seed % v) % v + 1``
     with ``v`` the count of the row's own (type, placement) (Q16). Several
     modules under one (type, priority) keep the greatest id (Q8).
     """
     members = segment_members(cohort_df).withColumnRenamed("segment_id", "_seg")
-    offered = broadcast_checked(offered_modules(content).withColumnRenamed("segment_type_id", "_seg"), max_broadcast_rows, config_rows)
+    offered = broadcast_checked(offered_modules(content).withColumnRenamed("segment_type_id", "_seg"), max_broadcast_rows, known)
     picked = members.join(offered, ["campaign_id", "_seg"]).filter(
         F.col("version") == pick_version(F.col("test_keys"), seed, F.col("ttl_versions"))
     )
@@ -84,7 +84,7 @@ def module_variables(content: DataFrame) -> DataFrame:
 
 
 def allocation(
-    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None
+    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
     """I1 + I2: per cohort, a map slot → candidate modules with their variables.
 
@@ -92,9 +92,9 @@ def allocation(
     slot fold can take ``array_min`` for the lowest-priority pick (Q4: ties
     broken by type, then id).
     """
-    picked = allocate_modules(cohort_df, content, seed, max_broadcast_rows, config_rows)
+    picked = allocate_modules(cohort_df, content, seed, max_broadcast_rows, known)
     modules = module_attributes(content).join(module_variables(content), "module_id")
-    cands = picked.join(broadcast_checked(modules, max_broadcast_rows, config_rows), "module_id").select(
+    cands = picked.join(broadcast_checked(modules, max_broadcast_rows, known), "module_id").select(
         *COHORT_KEYS,
         "slot_position",
         F.struct(

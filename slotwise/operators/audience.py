@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from slotwise.functions.keys import normalize_locale, segment_ids
 from slotwise.operators.util import broadcast_checked
 
+# Fixed values (must equal the reference's): join and cohort keys.
 CAMPAIGN_KEYS = ["campaign_segment_type_id", "tpid", "eapid", "locale"]
 RECIPIENT_KEYS = ["email_address", "test_keys", "tpid", "eapid", "locale"]
 COHORT_KEYS = ["campaign_id", "test_keys", "segment_type_id"]
@@ -31,14 +32,14 @@ def launch_campaigns(meta: DataFrame) -> DataFrame:
 
 
 def assign_campaigns(
-    segments: DataFrame, meta: DataFrame, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None
+    segments: DataFrame, meta: DataFrame, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
     """Recipients receive every campaign targeting one of their segments.
 
     ``segment_type_id`` becomes the recipient's ``#``-joined segment list.
-    ``config_rows`` is a known upper bound of the metadata's row count.
+    ``known`` is a measured upper bound (rows, bytes) of the metadata.
     """
-    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows, config_rows)
+    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows, known)
     seg = (
         normalize_locale(segments)
         .withColumnRenamed("segment_type_id", "campaign_segment_type_id")
@@ -47,8 +48,15 @@ def assign_campaigns(
     return seg.join(campaigns, CAMPAIGN_KEYS)
 
 
-def build_audience(assigned: DataFrame, profiles: DataFrame) -> DataFrame:
-    """C7 + D-5: assigned campaigns ⋈ active profiles, distinct."""
+def build_audience(assigned: DataFrame, profiles: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """C7 + D-5: assigned campaigns ⋈ active profiles, distinct.
+
+    ``columns``: the profile columns later stages read; only they (and the
+    keys) are shuffled, hashed and cached, however wide the profile table is.
+    Profile rows that differ in other columns only become one row.
+    """
+    if columns is not None:
+        profiles = profiles.select(*dict.fromkeys([*RECIPIENT_KEYS, *columns]))
     return assigned.join(profiles, RECIPIENT_KEYS).distinct()
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from slotwise.config import RunParams, Scope
 from slotwise.functions.keys import normalize_locale
 
+# Fixed values (must equal the reference's): join and grouping keys.
 MODULE_JOIN_KEYS = ["locale", "module_type_id", "tpid", "eapid", "placement_type", "channel"]
 SEGMENT_JOIN_KEYS = ["tpid", "eapid", "segment_type_id"]
 VERSION_GROUP = ["campaign_id", "slot_position", "module_type_id", "placement_type"]

@@ -16,7 +16,11 @@ OUTPUT_RENAMES = {
 }
 LOYALTY_RENAMES = {
     "MemberID": "LoyaltyMemberID", "LRMTierName": "LoyaltyMemberTierName",
-    "MonetaryValue": "MonetaryValue", "LRMAvailablePoints": "LoyaltyAvailablePoints",
+    "LRMAvailablePoints": "LoyaltyAvailablePoints",
+}
+# Loyalty columns of a run without a members table.
+LOYALTY_COLUMNS = {
+    "MemberID": "string", "LRMTierName": "string", "MonetaryValue": "double", "LRMAvailablePoints": "bigint", "LRMStatus": "string",
 }
 # Fixed values (must equal the reference's): columns dropped from the delivered table.
 LOYALTY_DROPPED = ("LANG_ID", "LRMPendingPoints")
@@ -37,20 +41,24 @@ def has_account(df: DataFrame) -> DataFrame:
     return df.filter(F.col("paid").isNotNull())
 
 
-def add_tokens(df: DataFrame, account_tokens: DataFrame, subscriber_tokens: DataFrame) -> DataFrame:
+def add_tokens(df: DataFrame, account_tokens: DataFrame | None, subscriber_tokens: DataFrame | None) -> DataFrame:
     """C16 + H13 + H14: click token from the account table, else the subscriber
     table, else ``""``. Two left joins on the same key: the second reuses the
-    first one's partitioning, so only the token tables are shuffled again."""
-    a = account_tokens.select(F.col("ProtoAccountID").alias("_paid_a"), click_token("UserToken").alias("_tok_a"))
-    s = subscriber_tokens.select(F.col("SubscriberID").alias("_paid_s"), click_token("UserToken").alias("_tok_s"))
-    out = df.join(a, F.col("paid") == F.col("_paid_a"), "left").join(s, F.col("paid") == F.col("_paid_s"), "left")
-    return out.withColumn("UserToken", F.coalesce("_tok_a", "_tok_s", F.lit(""))).drop("_paid_a", "_tok_a", "_paid_s", "_tok_s")
-
-
-def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000, config_rows: int | None = None) -> DataFrame:
+    first one's partitioning, so only the token tables are shuffled again.
+    A run without one of the tables finds no token in it."""
+    out, found = df, []
+    for name, key, t in (("a", "ProtoAccountID", account_tokens), ("s", "SubscriberID", subscriber_tokens)):
+        if t is not None:
+            side = t.select(F.col(key).alias(f"_paid_{name}"), click_token("UserToken").alias(f"_tok_{name}"))
+            out = out.join(side, F.col("paid") == F.col(f"_paid_{name}"), "left")
+            found.append(f"_tok_{name}")
+    return out.withColumn("UserToken", F.coalesce(*found, F.lit(""))).drop("_paid_a", "_tok_a", "_paid_s", "_tok_s")
+
+
+def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None) -> DataFrame:
     """Per-campaign slot count (Q23), campaign id compared as int."""
     c = counts.select(F.col("campaign_id").cast("int").alias("_cid"), "AudienceTableName", "ModuleCount")
-    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows, config_rows), F.col("campaign_id") == F.col("_cid"))
+    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows, known), F.col("campaign_id") == F.col("_cid"))
     return out.drop("_cid")
 
 
@@ -75,15 +83,18 @@ def row_hash(df: DataFrame):
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def add_loyalty(df: DataFrame, members: DataFrame) -> DataFrame:
-    """C19 + B16: loyalty fields by (TPID, PAID); status becomes a ``"1"``/``"0"`` flag."""
-    m = members.drop(*LOYALTY_DROPPED)
-    out = df.join(m, ["TPID", "PAID"], "left")
+def add_loyalty(df: DataFrame, members: DataFrame | None) -> DataFrame:
+    """C19 + B16: loyalty fields by (TPID, PAID); status becomes a ``"1"``/``"0"`` flag.
+    Without a members table the fields are null and the flag is ``"0"``."""
+    if members is None:
+        out = df.withColumns({c: F.lit(None).cast(t) for c, t in LOYALTY_COLUMNS.items()})
+    else:
+        out = df.join(members.drop(*LOYALTY_DROPPED), ["TPID", "PAID"], "left")
     out = out.withColumnsRenamed(LOYALTY_RENAMES)
     return out.withColumn("LoyaltyMemberStatus", status_flag("LRMStatus"))
 
 
-def finalize(df: DataFrame, members: DataFrame) -> DataFrame:
+def finalize(df: DataFrame, members: DataFrame | None) -> DataFrame:
     """I9 (after module counts and dedupe): null literals, contract renames and
     copies, loyalty join, dropped columns."""
     out = null_literals(df)

@@ -21,7 +21,7 @@ from slotwise.functions.keys import normalize_locale
 from slotwise.functions.text import render_options, resolve_parts
 from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE
 from slotwise.operators.audience import COHORT_KEYS
-from slotwise.operators.campaigns import in_scope
+from slotwise.operators.campaigns import in_scope, slot_widths
 from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
 
 # Fixed value (must equal the reference's): priority of demoted content / suppressed campaigns.
@@ -68,55 +68,29 @@ def lookup_requirements(content: DataFrame) -> DataFrame:
 
 
 def launch_layout(content: DataFrame) -> dict:
-    """All configuration metadata the plan needs, in one small job: slot list
-    and widths (D-2, D-4), recipient attributes (H11), lookup joins (A12) and
-    the content's row count (the size bound of configuration-derived frames).
+    """All configuration metadata the plan needs: slot list and widths (D-2,
+    D-4), recipient attributes (H11) and lookup joins (A12).
 
-    Bindings and templates are parsed by the Spark expressions of
-    ``functions.bindings``; only the distinct parsed variable rows of the
-    launch (configuration-sized) reach the driver.
+    Bindings and templates are parsed and aggregated in Spark; what reaches the
+    driver is one row per slot, per attribute and per lookup join, whatever
+    the number of modules.
     """
-    parsed = content.select(
-        F.col("slot_position").cast("int").alias("slot"),
-        F.col("var_position").cast("int").alias("pos"),
-        F.when(F.col("var_source").isNotNull(), binding_left_keys("var_source")).alias("left_keys"),
-        binding_right_keys("var_source").alias("right_keys"),
-        F.coalesce(has_lookup("var_source"), F.lit(False)).alias("lookup"),
-        template_tokens("var_structure").alias("tokens"),
-    )
-    grouped_rows = parsed.groupBy(*parsed.columns).agg(F.count(F.lit(1)).alias("n")).collect()
-    widths: dict[int, int] = {}
-    attributes: set[str] = set()
-    grouped: dict[tuple, set] = {}
-    for r in grouped_rows:
-        if r.pos is not None:
-            widths[r.slot] = max(widths.get(r.slot, 0), r.pos)
-        attributes.update(c for c in (r.left_keys or []) if c)
-        for t in r.tokens:
-            table, _, rest = t.partition(QUALIFIER)
-            column = rest.split(QUALIFIER, 1)[0]
-            if table == RECIPIENT_TABLE:
-                attributes.add(column)
-            elif r.lookup and r.pos is not None:
-                grouped.setdefault((table, tuple(r.left_keys or ()), tuple(r.right_keys)), set()).add(column)
+    widths = slot_widths(content).filter(F.col("var_position").isNotNull())
+    left = F.when(F.col("var_source").isNotNull(), binding_left_keys("var_source"))
+    own = F.transform(F.filter(template_tokens("var_structure"), lambda t: token_table(t) == F.lit(RECIPIENT_TABLE)), token_column)
+    attributes = content.select(F.explode(F.array_union(F.coalesce(left, F.array().cast("array<string>")), own)).alias("c")).filter("c <> ''").distinct()
+    specs = lookup_requirements(content).groupBy("table_name", "left_keys", "right_keys").agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
+    lookups = [LookupSpec(r.table_name, tuple(r.left_keys), tuple(r.right_keys), tuple(r["columns"])) for r in specs.collect()]
+    for s in lookups:
+        if len(s.left) != len(s.right) or not s.left:
+            raise ValueError(f"binding '{s.spec}' of table {s.table} joins {len(s.left)} recipient columns with {len(s.right)} key columns")
     return {
-        "rows": sum(r.n for r in grouped_rows),
-        "slots": sorted(widths.items()),
-        "attributes": sorted(c for c in attributes if c),
-        "lookups": [LookupSpec(t, l, rk, tuple(sorted(cols))) for (t, l, rk), cols in sorted(grouped.items())],
+        "slots": sorted((int(r.slot_position), int(r.var_position)) for r in widths.collect()),
+        "attributes": sorted(r.c for r in attributes.collect()),
+        "lookups": sorted(lookups, key=lambda s: (s.table, s.left, s.right)),
     }
 
 
-def required_lookups(content: DataFrame) -> list[LookupSpec]:
-    """The lookup joins the launch needs (configuration metadata only)."""
-    return launch_layout(content)["lookups"]
-
-
-def recipient_columns(content: DataFrame) -> list[str]:
-    """Recipient attributes any binding (left side) or template token names."""
-    return launch_layout(content)["attributes"]
-
-
 def missing_lookups(specs: list[LookupSpec], lookups: dict[str, DataFrame]) -> list[tuple[str, str]]:
     """D-10: (table, column) pairs that cannot be served: table absent, or a key
     or content column it lacks. The reference fails the run on any; so do we."""
@@ -156,20 +130,27 @@ def attach_values(
     scope: Scope,
     max_broadcast_rows: int = 2_000_000,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    cached: list | None = None,
 ) -> DataFrame:
     """Add ``values: map<string,string>`` holding every recipient attribute
     (``traveler.<col>``) and every matched lookup value (``T.col@spec``).
 
     Keys are compared column by column as text (Q5: no separator-less
-    concatenation); a null key never matches.
+    concatenation); a null key never matches, and as the lookup has one row per
+    key the number of rows never changes. ``cached`` collects the persisted
+    lookups for a later release.
     """
     entries = [F.struct(F.lit(f"{RECIPIENT_TABLE}.{c}").alias("k"), F.col(c).cast("string").alias("v")) for c in attributes]
     helper_cols = []
     for n, spec in enumerate(specs):
         lk = prepare_lookup(lookups[spec.table], spec, scope, n)
         cond = [F.col(l).cast("string") == F.col(f"_lk{n}_k{i}") for i, l in enumerate(spec.left)]
-        if not cond:
-            continue
+        if len(spec.left) != len(spec.right) or not cond:
+            raise ValueError(f"binding '{spec.spec}' of table {spec.table} has uneven key lists")
+        # Measured and joined from the cache: a database table is read once.
+        lk = lk.persist()
+        if cached is not None:
+            cached.append(lk)
         rows = rows.join(broadcast_checked(lk, max_broadcast_rows, max_bytes=max_broadcast_bytes), cond, "left")
         hit = F.coalesce(F.col(f"_lk{n}_hit"), F.lit(False))
         for j, c in enumerate(spec.columns):

@@ -12,22 +12,17 @@ from pyspark.sql import functions as F
 
 from slotwise.operators.render import SUPPRESSED_PRIORITY
 from slotwise.operators.slots import PLACEHOLDER_ID
+from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
 
 # Fixed values (must equal the reference's): account id of seed rows, seed category.
 SEED_ACCOUNT = 999999999
 SEED_CATEGORY = "Merch"
 
 
-def best_campaign(df: DataFrame, ties: str = "keep") -> DataFrame:
-    """Each recipient's lowest ``campaign_priority``. ``keep`` keeps ties
-    (``rank``, as the reference); ``break`` keeps one (lowest campaign id)."""
-    if ties == "keep":
-        w = Window.partitionBy("email_address").orderBy("campaign_priority")
-        return df.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
-    from slotwise.operators.deliver import row_hash
-
-    w = Window.partitionBy("email_address").orderBy("campaign_priority", "campaign_id", row_hash(df))
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+def best_campaign(df: DataFrame) -> DataFrame:
+    """Each recipient's lowest ``campaign_priority``; ties stay (``rank``, as the reference)."""
+    w = Window.partitionBy("email_address").orderBy("campaign_priority")
+    return df.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def suppress(df: DataFrame, required_slots=(1, 2)) -> DataFrame:
@@ -61,15 +56,14 @@ def active_seeds(seeds: DataFrame, scope) -> DataFrame:
     return s.withColumn("row_id", F.row_number().over(Window.orderBy("SeedEmail")))
 
 
-def seed_rows(df: DataFrame, seeds: DataFrame, n_seeds: int) -> DataFrame:
+def seed_rows(df: DataFrame, seeds: DataFrame, n_seeds: int, max_broadcast_rows: int = 2_000_000, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """C17 + E4: the first n_seeds recipients of each campaign (by bucket, then
     address — Q9) re-addressed to the seed addresses, account ``999999999``."""
     from slotwise.operators.deliver import row_hash
 
     sample = top_k(df, ["campaign_id"], ["test_keys", "email_address", row_hash(df)], n_seeds)
     return (
-        # n_seeds is the counted size of the seed list: a checked broadcast.
-        sample.join(F.broadcast(seeds), ["tpid", "eapid", "locale", "row_id"])
+        sample.join(broadcast_checked(seeds, max_broadcast_rows, max_bytes=max_broadcast_bytes), ["tpid", "eapid", "locale", "row_id"])
         .drop("row_id", "email_address")
         .withColumnRenamed("SeedEmail", "email_address")
         .withColumn("paid", F.lit(SEED_ACCOUNT))

@@ -14,19 +14,14 @@ class EmptyStageError(RuntimeError):
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> int:
-    """Count rows but stop after ``limit + 1``: a cheap bound, not a full count."""
-    return df.limit(limit + 1).count()
-
-
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of a frame in one parallel aggregate (partial sums per task,
     no ``limit``: a global limit would funnel the rows into one partition).
 
     Bytes are the JSON text length of each row — an over-estimate of the
     in-memory size that also covers nested arrays and long strings, which a
-    per-type width guess would miss. Used on persisted frames, so the pass
-    reads cached blocks.
+    per-type width guess would miss. A frame that is not persisted is computed
+    for it once more.
     """
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
@@ -34,7 +29,7 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
 
 
 def broadcast_checked(
-    df: DataFrame, max_rows: int, known_rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    df: DataFrame, max_rows: int, known: tuple[int, int] | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Broadcast hint only for a side whose size is checked to be small.
 
@@ -44,19 +39,17 @@ def broadcast_checked(
     AQE still switches it to a broadcast at run time if the measured shuffle
     output turns out small.
 
-    ``known_rows`` is an already proven upper bound (for instance the row
-    count of the persisted configuration table the frame is a projection or
-    aggregate of); for such configuration-sized frames it replaces the check.
+    ``known`` is an already measured upper bound (rows, bytes), for instance
+    of the configuration table the frame is a projection or aggregate of; it
+    replaces the check.
     """
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    rows, size = measured_size(df)
+    rows, size = known if known is not None else measured_size(df)
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def gate(df: DataFrame, name: str, min_rows: int = 1) -> int:
-    """D-9: fail the run when a stage is empty; returns the (bounded) row count."""
-    n = df.limit(max(min_rows, 1)).count()
+    """D-9: fail the run when a stage is empty; returns the stage's row count."""
+    n = df.count()
     if n < min_rows:
         raise EmptyStageError(f"stage '{name}' produced {n} rows (need >= {min_rows})")
     return n

@@ -94,19 +94,17 @@ def q_process_identity(spark, sf_dir):
 
 @query("required_lookups")
 def q_required_lookups(spark, sf_dir):
-    req = render.lookup_requirements(_run(spark, sf_dir).content)
-    return req.select("table_name", F.array_join("left_keys", ";").alias("left_keys"), F.array_join("right_keys", ";").alias("right_keys"), "column_name", "spec")
+    rows = [(s.table, ";".join(s.left), ";".join(s.right), c, s.spec) for s in _run(spark, sf_dir).lookup_specs for c in s.columns]
+    return spark.createDataFrame(rows, "table_name string, left_keys string, right_keys string, column_name string, spec string")
 
 
 @query("missing_lookups")
 def q_missing_lookups(spark, sf_dir):
+    """D-10 on the run's lookup joins, with one table absent and one lacking a column."""
     run = _run(spark, sf_dir)
-    req = render.lookup_requirements(run.content).select("table_name", "column_name")
-    avail = reduce(
-        DataFrame.unionByName,
-        [spark.createDataFrame([(n, c) for c in df.columns], "table_name string, column_name string") for n, df in run.inputs.lookups.items()],
-    )
-    return req.join(avail, ["table_name", "column_name"], "left_anti")
+    have = {"fx_nation_lookup": run.inputs.lookups["fx_nation_lookup"].drop("label")}
+    gaps = render.missing_lookups(run.layout["lookups"], have)
+    return spark.createDataFrame(gaps, "table_name string, column_name string")
 
 
 # ---------------------------------------------------------------- B: projections / filters
@@ -164,13 +162,13 @@ def q_version_rank(spark, sf_dir):
 
 @query("slot_widths")
 def q_slot_widths(spark, sf_dir):
-    return campaigns.slot_widths(_run(spark, sf_dir).content)
+    return spark.createDataFrame(_run(spark, sf_dir).slots, "slot_position int, var_position int")
 
 
 @query("slot_list")
 def q_slot_list(spark, sf_dir):
-    sl = campaigns.slot_list(_run(spark, sf_dir).content)
-    return sl.select("number_slots", F.array_join("slots", ",").alias("slots"))
+    slots = [s for s, _ in _run(spark, sf_dir).slots]
+    return spark.createDataFrame([(len(slots), ",".join(map(str, slots)))], "number_slots int, slots string")
 
 
 @query("module_count")
@@ -419,12 +417,24 @@ def q_output(spark, sf_dir):
 
 @query("gate_counts")
 def q_gate_counts(spark, sf_dir):
-    run = _run(spark, sf_dir)
-    stages = {"module variables": run.module_vars, "campaign metadata": run.meta, "expanded content": run.content, "audience": run.audience, "cohorts": run.cohorts}
-    parts = [df.limit(1).agg((F.count(F.lit(1)) > 0).alias("passed")).withColumn("stage", F.lit(n)) for n, df in stages.items()]
+    stages = _run(spark, sf_dir).gated_stages()
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("stage", F.lit(n)) for n, df in stages.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("backfill_binding_compat")
+def q_backfill_compat(spark, sf_dir):
+    """C1 with the reference's fan-out: one row per binding row of the module and connection (Q2)."""
+    return campaigns.backfill_binding(_fx(spark, sf_dir).fx_module_vars, compat=True)
+
+
+@query("log_times")
+def q_log_times(spark, sf_dir):
+    """Run-log times shifted from UTC to the log's time zone."""
+    df = runlog.in_log_time(_fx(spark, sf_dir).fx_run_log.select("LogID", "StartDate", "EndDate"))
+    return df.select("LogID", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("StartDate", "EndDate")])
+
+
 @query("output_contract_compat")
 def q_output_compat(spark, sf_dir):
     """The delivered table with the reference's accidental behaviours (Q2, Q10, Q15)."""

@@ -172,7 +172,7 @@ def _ctes(tt: str, missing: str, dedupe_part: str) -> dict[str, tuple[str, list[
         "lc": ("SELECT DISTINCT campaign_segment_type_id, campaign_id, priority, tpid, eapid, locale FROM meta", ["meta"]),
         "assigned": ("SELECT * FROM seg JOIN lc USING (campaign_segment_type_id, tpid, eapid, locale)", ["seg", "lc"]),
         "prof": ("SELECT * REPLACE (lower(locale) AS locale) FROM fx_profiles WHERE mer_status = 1", ["fx_profiles"]),
-        "audience": ("SELECT DISTINCT * FROM assigned JOIN prof USING (email_address, test_keys, tpid, eapid, locale)", ["assigned", "prof"]),
+        "audience": ("SELECT DISTINCT * EXCLUDE (profile_note) FROM assigned JOIN prof USING (email_address, test_keys, tpid, eapid, locale)", ["assigned", "prof"]),
         "cohorts": ("SELECT DISTINCT campaign_id, test_keys, segment_type_id FROM audience", ["audience"]),
         "ckeys": (f"SELECT DISTINCT {', '.join(KEYS)} FROM audience", ["audience"]),
         "offered": (
@@ -371,11 +371,6 @@ def _cv_choose() -> str:
 FROM (SELECT DISTINCT module_id, var_position, var_structure FROM content)"""
 
 
-LOOKUP_COLUMNS = {
-    "fx_nation_lookup": ["locale", "tpid", "eapid", "nation_key", "label"],
-    "fx_offer_lookup": ["locale", "tpid", "eapid", "nation_key", "segment", "offer"],
-}
-
 ORACLE: dict[str, str] = {
     "scan_table": "SELECT * FROM customer",
     "load_config": compose(
@@ -408,9 +403,8 @@ FROM fx_run_log WHERE IsComplete = 1 GROUP BY SourceID, SourceName""",
     "required_lookups": compose(["req"], "SELECT * FROM req"),
     "missing_lookups": compose(
         ["req"],
-        "SELECT table_name, column_name FROM req r WHERE NOT EXISTS (SELECT 1 FROM (VALUES "
-        + ", ".join(f"('{t}', '{c}')" for t, cols in LOOKUP_COLUMNS.items() for c in cols)
-        + ") v(t, c) WHERE v.t = r.table_name AND v.c = r.column_name)",
+        """SELECT DISTINCT table_name, CASE WHEN table_name = 'fx_nation_lookup' THEN column_name ELSE '*' END AS column_name
+FROM req WHERE table_name <> 'fx_nation_lookup' OR column_name NOT IN ('locale', 'tpid', 'eapid', 'nation_key')""",
     ),
     "normalize_locale": compose(["fx_module_vars"], "SELECT * REPLACE (lower(locale) AS locale) FROM fx_module_vars"),
     "derive_scope": compose(
@@ -518,12 +512,27 @@ FROM nl n LEFT JOIN fx_members m ON n.tpid = m.TPID AND n.paid = m.PAID""",
     ),
     "output_contract": compose(["final"], "SELECT * FROM final"),
     "gate_counts": compose(
-        ["mv", "meta", "content", "audience", "cohorts"],
-        """SELECT 'module variables' AS stage, (SELECT count(*) > 0 FROM mv) AS passed
-UNION ALL SELECT 'campaign metadata', (SELECT count(*) > 0 FROM meta)
-UNION ALL SELECT 'expanded content', (SELECT count(*) > 0 FROM content)
-UNION ALL SELECT 'audience', (SELECT count(*) > 0 FROM audience)
-UNION ALL SELECT 'cohorts', (SELECT count(*) > 0 FROM cohorts)""",
+        ["mv", "meta", "vc", "content", "audience", "cohorts", "cands", "modvars"],
+        """SELECT 'module variables' AS stage, (SELECT count(*) FROM mv) AS row_count
+UNION ALL SELECT 'campaign metadata', (SELECT count(*) FROM meta)
+UNION ALL SELECT 'version counts', (SELECT count(*) FROM vc)
+UNION ALL SELECT 'expanded content', (SELECT count(*) FROM content)
+UNION ALL SELECT 'audience', (SELECT count(*) FROM audience)
+UNION ALL SELECT 'cohorts', (SELECT count(*) FROM cohorts)
+UNION ALL SELECT 'allocation', (SELECT count(*) FROM (SELECT DISTINCT campaign_id, test_keys, segment_type_id FROM cands c
+  WHERE EXISTS (SELECT 1 FROM modvars v WHERE v.module_id = c.module_id)))
+UNION ALL SELECT 'module content', (SELECT count(DISTINCT module_id) FROM modvars)""",
+    ),
+    "backfill_binding_compat": compose(
+        ["fx_module_vars"],
+        """SELECT m.* EXCLUDE (var_source), b.vs AS var_source FROM fx_module_vars m
+LEFT JOIN (SELECT module_id, source_connection, var_source AS vs FROM fx_module_vars WHERE var_source <> '') b
+  ON m.module_id = b.module_id AND m.source_connection = b.source_connection""",
+    ),
+    "log_times": compose(
+        ["fx_run_log"],
+        """SELECT LogID, strftime(StartDate AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d %H:%M:%S') AS StartDate,
+  strftime(EndDate AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d %H:%M:%S') AS EndDate FROM fx_run_log""",
     ),
 }
 ORACLE["flagship"] = ORACLE["output_contract"]

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, render, select, slots
-from slotwise.operators.util import broadcast_checked, gate
-from slotwise.sources import tables
+from slotwise.operators.util import broadcast_checked, gate, measured_size
+from slotwise.sources import runlog, tables
 from slotwise.session import ensure_checkpoint_dir
 from slotwise.sources.runlog import RunLog
 
@@ -54,6 +54,7 @@ class CampaignRun:
     inputs: Inputs
     log: RunLog | None = None
     counts: dict = field(default_factory=dict)
+    cached_lookups: list = field(default_factory=list)
 
     # ---- configuration path -------------------------------------------------
     @cached_property
@@ -71,17 +72,17 @@ class CampaignRun:
         return campaigns.expand_content(self.meta, self.module_vars).persist()
 
     @cached_property
-    def config_rows(self) -> int:
-        """Row count of the persisted expanded content. Every configuration-
-        derived frame (offered modules, module variables, launch campaigns,
-        module counts) is a projection or aggregate of it or of ``meta``
-        (which the left join into ``content`` cannot shrink), so this count is
-        their proven size bound. Counted by the layout job."""
-        return self.layout["rows"]
+    def config_size(self) -> tuple[int, int]:
+        """Measured rows and bytes of the expanded content and the metadata
+        together. Every configuration-derived frame (offered modules, module
+        variables, launch campaigns, module counts) is a projection or
+        aggregate of one of the two, so this bounds each of them."""
+        a, b = measured_size(self.content), measured_size(self.meta)
+        return a[0] + b[0], a[1] + b[1]
 
     @cached_property
     def layout(self) -> dict:
-        """Slot list + widths, recipient attributes, lookup joins (one job)."""
+        """Slot list + widths, recipient attributes, lookup joins."""
         return render.launch_layout(self.content)
 
     @cached_property
@@ -107,8 +108,9 @@ class CampaignRun:
         """Recipients × campaigns. Persisted: cohorts, content keys and the
         join-back all read it, and it is the one table built by a shuffle
         join of two recipient-sized inputs."""
-        assigned = audience.assign_campaigns(self.inputs.segments, self.meta, self.params.max_broadcast_rows, self.config_rows)
-        built = audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles))
+        assigned = audience.assign_campaigns(self.inputs.segments, self.meta, self.params.max_broadcast_rows, self.config_size)
+        columns = [c for c in (*OUTPUT_RECIPIENT_COLUMNS, *self.attributes) if c not in assigned.columns or c in audience.RECIPIENT_KEYS]
+        built = audience.build_audience(assigned, audience.read_profiles(self.inputs.profiles), columns)
         if self.params.checkpoint_audience:
             ensure_checkpoint_dir(self.spark)
             return built.checkpoint(eager=True)
@@ -123,7 +125,7 @@ class CampaignRun:
     def allocation(self) -> DataFrame:
         """Per-cohort candidates; persisted because its size check materialises it."""
         p = self.params
-        return allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_rows).persist()
+        return allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_size).persist()
 
     @cached_property
     def content_keys(self) -> DataFrame:
@@ -135,16 +137,16 @@ class CampaignRun:
     def share_content(self) -> bool:
         """Render once per content key and join back, or render in place?
 
-        Sharing pays when keys repeat: the rendered table is then small enough
-        to broadcast and the join-back adds no shuffle. When the keys are too
-        many to broadcast (a template naming a per-recipient attribute makes
-        them as many as the audience rows), sharing would save little and the
-        join-back would shuffle the whole audience — so every audience row is
-        rendered where it sits instead.
+        Sharing pays when keys repeat: with ``share_ratio`` audience rows per
+        key or more, rendering once per key saves more than the join back
+        costs (a broadcast while the rendered table is small, else a shuffle
+        join whose hot keys AQE splits). When keys are about as many as rows (a
+        template naming a per-recipient attribute), every audience row is
+        rendered where it sits. Both counts come from persisted frames.
         """
         if self.params.share_content is not None:
             return self.params.share_content
-        return self.content_keys.count() <= self.params.max_broadcast_rows
+        return self.content_keys.count() * self.params.share_ratio <= self.audience.count()
 
     def _render(self, rows: DataFrame) -> DataFrame:
         """Allocation, lookup values, rendering and slot fold on any frame
@@ -152,7 +154,7 @@ class CampaignRun:
         p = self.params
         rows = render.content_rows(rows, self.allocation, p.max_broadcast_rows, p.max_broadcast_bytes)
         rows = render.attach_values(
-            rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows, p.max_broadcast_bytes
+            rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows, p.max_broadcast_bytes, self.cached_lookups
         )
         return slots.fill_slots(render.render_slots(rows, p.rotation_seed(), p.missing), self.slots)
 
@@ -185,12 +187,12 @@ class CampaignRun:
         # Launch times of the day's campaigns. Taken from the metadata: a row of
         # the result always belongs to a campaign that made it into ``meta``.
         launch = self.meta.select("campaign_id", "locale", "LaunchDateTimeUTC").distinct()
-        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows, self.config_rows), ["campaign_id", "locale"])
+        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows, self.config_size), ["campaign_id", "locale"])
 
     @cached_property
     def best(self) -> DataFrame:
         """Rank, then suppress (Q18); campaign id as int."""
-        ranked = select.best_campaign(self.personalised, "keep")
+        ranked = select.best_campaign(self.personalised)
         kept = select.suppress(ranked, self.params.required_slots)
         return kept.withColumn("campaign_id", F.col("campaign_id").cast("int"))
 
@@ -201,11 +203,11 @@ class CampaignRun:
 
     @cached_property
     def seeds(self) -> DataFrame:
-        return select.active_seeds(self.inputs.seeds, self.params.scope)
+        return select.active_seeds(self.inputs.seeds, self.params.scope).persist()
 
     @cached_property
     def n_seeds(self) -> int:
-        return self.seeds.count()
+        return self.seeds.count() if self.inputs.seeds is not None else 0
 
     @cached_property
     def seeded(self) -> DataFrame:
@@ -213,12 +215,14 @@ class CampaignRun:
         base = self.with_tokens.withColumn("_seed_campaign", F.lit(None).cast("int"))
         if self.n_seeds == 0:
             return base
-        extra = select.seed_rows(self.with_tokens, self.seeds, self.n_seeds).withColumn("_seed_campaign", F.col("campaign_id"))
+        extra = select.seed_rows(
+            self.with_tokens, self.seeds, self.n_seeds, self.params.max_broadcast_rows, self.params.max_broadcast_bytes
+        ).withColumn("_seed_campaign", F.col("campaign_id"))
         return select.append_seeds(base, extra)
 
     @cached_property
     def deduped(self) -> DataFrame:
-        counted = deliver.add_module_count(self.seeded, campaigns.module_counts(self.content), self.params.max_broadcast_rows, self.config_rows)
+        counted = deliver.add_module_count(self.seeded, campaigns.module_counts(self.content), self.params.max_broadcast_rows, self.config_size)
         per_campaign = "_seed_campaign" if self.params.seeds_per_campaign and not self.params.compat else None
         return deliver.dedupe_recipients(counted, per_campaign_col=per_campaign).drop("_seed_campaign")
 
@@ -229,25 +233,38 @@ class CampaignRun:
 
     def release(self) -> None:
         """Unpersist every cached stage of this run (after delivery)."""
-        for name in ("content", "audience", "allocation", "content_keys", "rendered"):
-            df = self.__dict__.get(name)
+        stages = [self.__dict__.get(name) for name in ("content", "audience", "allocation", "content_keys", "rendered", "seeds")]
+        for df in [*stages, *self.cached_lookups]:
             if df is not None and df.is_cached:
                 df.unpersist()
 
     # ---- control ------------------------------------------------------------
+    def gated_stages(self) -> dict[str, DataFrame]:
+        """D-9: the stages that must not be empty, in the order of the run."""
+        return {
+            "module variables": self.module_vars,
+            "campaign metadata": self.meta,
+            "version counts": campaigns.version_counts(self.meta),
+            "expanded content": self.content,
+            "audience": self.audience,
+            "cohorts": self.cohorts,
+            "allocation": self.allocation,
+            "module content": allocate.module_variables(self.content),
+        }
+
     def check_gates(self) -> dict:
-        """D-9: the reference's non-empty gates, each a bounded ``limit(1)`` probe."""
-        for name, df in (
-            ("module variables", self.module_vars),
-            ("campaign metadata", self.meta),
-            ("expanded content", self.content),
-            ("audience", self.audience),
-            ("cohorts", self.cohorts),
-        ):
+        """Count every gated stage; a stage without rows ends the run. The large
+        ones are persisted, so counting them builds what later stages read."""
+        for name, df in self.gated_stages().items():
             self.counts[name] = gate(df, name)
         return self.counts
 
 
+GATED = (
+    "module variables", "campaign metadata", "version counts", "expanded content", "audience", "cohorts", "allocation", "module content",
+)
+
+
 @dataclass
 class OutputPaths:
     """Where a run delivers: result parquet, one-row manifest, config snapshot."""
@@ -264,34 +281,112 @@ def run_campaign(
     writer=None,
     log: RunLog | None = None,
     paths: OutputPaths | None = None,
+    log_writer=None,
+    central_writer=None,
 ) -> DataFrame:
     """Build the day's output and deliver it.
 
     With ``paths`` the result, the manifest and the configuration snapshot are
     written (A9–A11); the output row count for the log is observed on the
     write itself (``Observation``), not by a second job. ``writer`` is an
-    alternative sink taking the output frame. Each step is logged (I10); a
-    failing step is logged with its cause and re-raised.
+    alternative sink taking the output frame.
+
+    I10: every stage is a logged step with its row count; a failing step is
+    logged with its cause and re-raised. ``log_writer(df)`` appends the step
+    rows at the end of the run, failed or not. ``central_writer(df)`` appends
+    the run's row of the central log at its start, and at its end with the
+    output path (``IsComplete = 1``) or as failed.
     """
     run = CampaignRun(spark, params, inputs, log)
     log = log or RunLog("campaign run", 0)
-    with log.step("gates") as box:
-        box["rows"] = sum(run.check_gates().values())
-    out = run.output
-    if paths is not None:
-        obs = Observation("output")
-        with log.step("write output", paths.output) as box:
-            tables.write_output(out.observe(obs, F.count(F.lit(1)).alias("rows")), paths.output, params.result_files)
-            box["rows"] = obs.get["rows"]
-        if paths.manifest:
-            with log.step("write manifest", paths.manifest):
-                tables.write_manifest(spark, paths.output, paths.manifest)
-        if paths.snapshot:
-            with log.step("write snapshot", paths.snapshot):
-                tables.write_snapshot(run.content, paths.snapshot)
-    if writer is not None:
-        with log.step("write output"):
-            writer(out)
+    start = log.clock()
+    log_id = int(start.timestamp() * 1000)
+    central = (lambda done, path=" ": central_writer(log.central_frame(spark, log_id, done, start, path))) if central_writer else (lambda *a: None)
+    central(0)
+    try:
+        with log.step("launch layout"):
+            run.lookup_specs  # noqa: B018 - parses the bindings and checks the lookups
+        for name in GATED:
+            with log.step(name) as box:
+                box["rows"] = run.counts[name] = gate(run.gated_stages()[name], name)
+        with log.step("plan output"):
+            out = run.output
+        if paths is not None:
+            obs = Observation("output")
+            with log.step("write output", paths.output) as box:
+                tables.write_output(out.observe(obs, F.count(F.lit(1)).alias("rows")), paths.output, params.result_files)
+                box["rows"] = obs.get["rows"]
+            if paths.manifest:
+                with log.step("write manifest", paths.manifest):
+                    tables.write_manifest(spark, paths.output, paths.manifest)
+            if paths.snapshot:
+                with log.step("write snapshot", paths.snapshot):
+                    tables.write_snapshot(run.content, paths.snapshot)
+        if writer is not None:
+            with log.step("write output"):
+                writer(out)
+        central(1, paths.output if paths is not None else " ")
+    except Exception:
+        central(0)
+        raise
+    finally:
+        if log_writer is not None:
+            log.write(spark, log_writer)
     if paths is not None or writer is not None:
         run.release()
     return out
+
+
+@dataclass(frozen=True)
+class ControlTables:
+    """Names under which a run's control tables and producers are known."""
+
+    environment: str | None = None
+    schedules: str = "schedule_config"
+    run_log: str = "run_log"
+    processes: str = "process_config"
+    token_config: str = "token_config"
+    subscriber_tokens: str = "subscriber_tokens"
+    seeds: str = "seed_list"
+    members: str = "loyalty_members"
+    profile_producer: str = "ETL"
+    segment_producer: str = "Segment_mapping"
+
+
+def daily_inputs(spark: SparkSession, source: tables.TableSource, locale: str, launch_date: str, brand: str, names: ControlTables = ControlTables()):
+    """Resolve a day's run from its sources: (params, inputs).
+
+    A5 → A6 → A3: the locale's schedule, its newest complete run, the profiles
+    at that run's path; their scope (B2). A7 → A6 → A4: the brand's process and
+    its newest segment run. Then the configuration (A2), the lookup tables the
+    launch's bindings name (A12) and the token table of the scope (I8).
+    """
+    def one(df: DataFrame, what: str):
+        row = df.first()
+        if row is None:
+            raise LookupError(f"no {what} for {locale}, {brand}")
+        return row
+
+    log = source.read(spark, names.run_log)
+    schedule = one(runlog.latest_schedule(source.read(spark, names.schedules), locale), "schedule")
+    produced = one(runlog.latest_run(log, schedule.ID, names.profile_producer, "StartDate"), "complete profile run")
+    profiles = tables.read_profiles(spark, produced.FilePath)
+    scope = runlog.scope_of(profiles)
+    process = one(runlog.process_identity(source.read(spark, names.processes), locale, brand), "process")
+    mapped = one(runlog.latest_run(log, process.id, names.segment_producer, "EndDate"), "complete segment run")
+    cfg = tables.load_config(spark, source, names.environment)
+    config = campaigns.CampaignConfig(
+        campaigns=cfg["campaign_definition"], templates=cfg["template_definition"], segment_modules=cfg["segment_module"],
+        module_defs=cfg["module_definition"], segment_defs=cfg["segment_definition"], module_vars=cfg["module_variable_definition"],
+    )
+    params = RunParams(scope=scope, launch_date=launch_date)
+    inputs = Inputs(config, profiles, tables.read_segments(spark, mapped.FilePath), {})
+    launch = CampaignRun(spark, params, inputs)
+    inputs.lookups = tables.load_lookups(spark, sorted({s.table for s in launch.layout["lookups"]}), source)
+    launch.content.unpersist()
+    tokens = one(deliver.token_table_for_scope(source.read(spark, names.token_config), scope), "token table")
+    inputs.account_tokens = source.read(spark, tokens.UserTokenTableName)
+    inputs.subscriber_tokens = source.read(spark, names.subscriber_tokens)
+    inputs.seeds = source.read(spark, names.seeds)
+    inputs.members = source.read(spark, names.members)
+    return params, inputs

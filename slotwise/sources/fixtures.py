@@ -28,7 +28,7 @@ AS_OF = "2024-03-05"
 
 FIXTURE_SQL: dict[str, str] = {
     "fx_profiles": (
-        "SELECT 'r' || CAST(c_custkey AS VARCHAR(20)) || '@example.com' AS email_address, CAST(c_custkey % 100 AS INT) AS test_keys, 1 AS tpid, 0 AS eapid, CASE WHEN c_custkey % 2 = 0 THEN 'en_US' ELSE 'en_us' END AS locale, CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END AS mer_status, c_custkey + 5000000 AS expuserid, c_mktsegment AS first_name, c_name AS last_name, 1033 AS lang_id, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey END AS paid, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'City' || CAST(c_nationkey AS VARCHAR(20)) END AS home_city, CAST(c_nationkey AS VARCHAR(20)) AS nation_key"
+        "SELECT 'r' || CAST(c_custkey AS VARCHAR(20)) || '@example.com' AS email_address, CAST(c_custkey % 100 AS INT) AS test_keys, 1 AS tpid, 0 AS eapid, CASE WHEN c_custkey % 2 = 0 THEN 'en_US' ELSE 'en_us' END AS locale, CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END AS mer_status, c_custkey + 5000000 AS expuserid, c_mktsegment AS first_name, c_name AS last_name, 1033 AS lang_id, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey END AS paid, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'City' || CAST(c_nationkey AS VARCHAR(20)) END AS home_city, CAST(c_nationkey AS VARCHAR(20)) AS nation_key, 'n' || CAST(c_custkey % 3 AS VARCHAR(20)) AS profile_note"
         ' FROM customer'
     ),
     "fx_segments": (

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from slotwise.config import Scope
 
@@ -27,7 +27,19 @@ LOG_SCHEMA = StructType(
         StructField("StartDate", TimestampType(), True),
         StructField("EndDate", TimestampType(), True),
         StructField("ErrorMessage", StringType(), True),
-        StructField("RowCounts", IntegerType(), True),
+        StructField("RowCounts", LongType(), True),
+        StructField("FilePath", StringType(), True),
+    ]
+)
+# The central log has one row per state of a run (its path once it is complete).
+CENTRAL_SCHEMA = StructType(
+    [
+        StructField("LogID", LongType(), True),
+        StructField("SourceID", IntegerType(), True),
+        StructField("SourceName", StringType(), True),
+        StructField("IsComplete", IntegerType(), True),
+        StructField("StartDate", TimestampType(), True),
+        StructField("EndDate", TimestampType(), True),
         StructField("FilePath", StringType(), True),
     ]
 )
@@ -114,6 +126,11 @@ def scope_of(profiles: DataFrame) -> Scope:
     return Scope(r.locale, int(r.tpid), int(r.eapid))
 
 
+def in_log_time(df: DataFrame) -> DataFrame:
+    """UTC times shifted to the log's time zone."""
+    return df.withColumns({c: F.from_utc_timestamp(c, LOG_TIMEZONE) for c in ("StartDate", "EndDate")})
+
+
 @dataclass
 class RunLog:
     """A8 + I10: step rows of one run; written in one append.
@@ -140,15 +157,17 @@ class RunLog:
         try:
             yield box
         except Exception as e:  # noqa: BLE001 - logged and re-raised
-            self.append(0, name, start, error=f"{type(e).__name__}: {e}"[:4000], path=path)
+            self.append(0, name, start, error=f"{type(e).__name__}: {e}", path=path)
             raise
         self.append(1, name, start, row_count=box["rows"], path=path)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        df = spark.createDataFrame(self.rows, LOG_SCHEMA)
-        return df.withColumn("StartDate", F.from_utc_timestamp("StartDate", LOG_TIMEZONE)).withColumn(
-            "EndDate", F.from_utc_timestamp("EndDate", LOG_TIMEZONE)
-        )
+        return in_log_time(spark.createDataFrame(self.rows, LOG_SCHEMA))
+
+    def central_frame(self, spark: SparkSession, log_id: int, is_complete: int, start, path: str = " ") -> DataFrame:
+        """The run's row of the central log, as ``latest_run`` reads it."""
+        row = (log_id, self.source_id, self.source_name, is_complete, start, self.clock(), path)
+        return in_log_time(spark.createDataFrame([row], CENTRAL_SCHEMA))
 
     def write(self, spark: SparkSession, writer) -> None:
         """Append the rows through ``writer(df)``."""

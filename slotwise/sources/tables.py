@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.keys import normalize_locale
 
+# Fixed values (must equal the reference's): the configuration tables.
 CONFIG_TABLES = (
     "campaign_definition", "template_definition", "segment_module",
     "module_variable_definition", "segment_definition", "module_definition",

@@ -34,7 +34,8 @@ def model_choose(text, bucket, first):
 @given(st.lists(st.tuples(st.lists(PART, min_size=1, max_size=5).map("|".join), st.integers(-300, 300), st.booleans()), min_size=1, max_size=60))
 def test_resolve_variable_matches_model(spark, cases):
     df = spark.createDataFrame(cases, "t string, k int, f boolean")
-    got = df.select(T.resolve_variable(F.col("t"), F.col("k"), SEED, F.col("f"), "compat").alias("r")).collect()
+    one = F.array(F.struct(F.lit(1).alias("pos"), F.col("f").alias("is_first"), T.options("t").alias("parts")))
+    got = df.select(F.get(T.resolve_parts(one, F.col("k"), SEED, "compat"), 0).dropFields("pos").alias("r")).collect()
     assert [tuple(r.r) for r in got] == [model_choose(t, k, f) for t, k, f in cases]
 
 

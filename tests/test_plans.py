@@ -28,7 +28,33 @@ def test_join_back_is_broadcast_when_small(spark):
 def test_layout_is_configuration_metadata(spark):
     run = fixture_run(spark, SMALL)
     assert run.slots == [(1, 2), (2, 2), (3, 2), (4, 2)]
-    assert run.attributes == ["home_city", "nation_key"]
+    assert run.attributes == ["first_name", "home_city", "nation_key"]
     assert [(s.table, s.left, s.right, s.columns) for s in run.lookup_specs] == [
-        ("fx_nation_lookup", ("nation_key",), ("nation_key",), ("label",))
+        ("fx_nation_lookup", ("nation_key",), ("nation_key",), ("label",)),
+        ("fx_offer_lookup", ("nation_key", "first_name"), ("nation_key", "segment"), ("offer",)),
     ]
+
+
+def test_unused_profile_columns_are_not_shuffled_or_cached(spark):
+    run = fixture_run(spark, SMALL)
+    assert "profile_note" in run.inputs.profiles.columns and "profile_note" not in run.audience.columns
+    plan = _plan(run.audience)
+    assert "InMemoryTableScan" in plan and "profile_note" not in plan
+
+
+def test_oversized_sides_are_not_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from slotwise.operators import allocate, select
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    run = fixture_run(spark, SMALL)
+    rows = run.with_tokens.limit(5).persist()  # hides the hints of earlier stages
+    wide = run.seeds.withColumn("pad", F.repeat(F.lit("x"), 5000))
+    assert hinted(select.seed_rows(rows, run.seeds, run.n_seeds))
+    assert not hinted(select.seed_rows(rows, wide, run.n_seeds, max_broadcast_bytes=1000))
+    cohorts, content = run.cohorts.limit(5).persist(), run.content
+    assert hinted(allocate.allocation(cohorts, content, 11, 2_000_000, (10, 1000)))
+    assert not hinted(allocate.allocation(cohorts, content, 11, 2_000_000, (10, 10**9)))  # few modules, long templates

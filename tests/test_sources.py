@@ -31,11 +31,107 @@ def test_run_writes_output_manifest_and_snapshot(spark):
     tables.write_manifest(spark, path, os.path.join(out_dir, "manifest"))
     assert spark.read.parquet(os.path.join(out_dir, "manifest")).first().path == path + "/*"
     rows = log.frame(spark).collect()
-    assert rows[0].IsComplete == 1 and rows[0].RowCounts > 0
+    counts = {r.Status: r.RowCounts for r in rows}
+    assert all(r.IsComplete == 1 for r in rows) and counts["audience"] == f_audience(spark) > 1
     # 20:00 UTC is 12:00 in Los Angeles in March (PST)
     assert rows[0].StartDate == dt.datetime(2024, 3, 5, 12, 0, 0)
 
 
+def f_audience(spark):
+    from slotwise.plans.fixture_run import fixture_run
+
+    return fixture_run(spark, SMALL).audience.count()
+
+
+def failing_run(spark, inputs):
+    log, steps, central = runlog.RunLog("campaign run", 9), [], []
+    with pytest.raises(Exception) as e:
+        run_campaign(spark, fixture_params(), inputs, log=log, log_writer=lambda d: steps.extend(d.collect()), central_writer=lambda d: central.extend(d.collect()))
+    assert [r.IsComplete for r in central] == [0, 0]
+    return str(e.value), steps[-1]
+
+
+def test_failures_leave_a_failed_row(spark):
+    inputs = fixture_inputs(fx.Fixtures(spark, SMALL))
+    del inputs.lookups["fx_offer_lookup"]
+    text, row = failing_run(spark, inputs)
+    assert "fx_offer_lookup.*" in text and row.IsComplete == 0 and row.Status == "launch layout" and "fx_offer_lookup.*" in row.ErrorMessage
+    inputs = fixture_inputs(fx.Fixtures(spark, SMALL))
+    inputs.profiles = inputs.profiles.filter("mer_status = 7")
+    text, row = failing_run(spark, inputs)
+    assert row.IsComplete == 0 and row.Status == "audience" and "'audience' produced 0 rows" in row.ErrorMessage
+
+
+def test_error_text_and_counts_are_whole(spark):
+    log = runlog.RunLog("x", 1)
+    with pytest.raises(ValueError):
+        with log.step("long"):
+            raise ValueError("y" * 10_000)
+    log.append(1, "many", log.clock(), row_count=5_000_000_000)
+    rows = log.frame(spark).collect()
+    assert len(rows[0].ErrorMessage) > 10_000 and rows[1].RowCounts == 5_000_000_000
+
+
+def test_optional_inputs_may_be_missing(spark):
+    inputs = fixture_inputs(fx.Fixtures(spark, SMALL))
+    inputs.account_tokens = inputs.subscriber_tokens = inputs.seeds = inputs.members = None
+    out = run_campaign(spark, fixture_params(), inputs)
+    row = out.first()
+    assert row.UserToken == "" and row.LoyaltyMemberID is None and row.LoyaltyMemberStatus == "0"
+    assert out.filter("EmailAddress like 'seed%'").count() == 0
+
+
+@pytest.mark.parametrize("binding", ["traveler.nation_key|fx_nation_lookup.nation_key;fx_nation_lookup.label", "traveler.|fx_nation_lookup.nation_key"])
+def test_uneven_key_lists_fail_with_the_binding(spark, binding):
+    f = fx.Fixtures(spark, SMALL)
+    inputs = fixture_inputs(f)
+    inputs.config.module_vars = f.fx_module_vars.withColumn("var_source", F.when(F.col("var_source") != "", F.lit(binding)).otherwise(""))
+    text, row = failing_run(spark, inputs)
+    assert "key columns" in text and "key columns" in row.ErrorMessage
+
+
+def test_lookup_join_never_changes_the_row_count(spark):
+    from slotwise.operators import render
+    from slotwise.plans.fixture_run import fixture_run
+
+    run = fixture_run(spark, SMALL)
+    rows = render.attach_values(run.content_keys, run.attributes, run.lookup_specs, run.inputs.lookups, run.params.scope)
+    assert rows.count() == run.content_keys.count()
+
+
+def test_daily_run_from_sources(spark):
+    from slotwise.plans.pipeline import ControlTables, daily_inputs
+    from tools.oracle_check import rows_of
+
+    d = scratch()
+    f = fx.Fixtures(spark, SMALL)
+    frames = {
+        "campaign_definition_test": f.fx_campaigns, "template_definition_test": f.fx_templates, "segment_module_test": f.fx_segment_modules,
+        "module_variable_definition_test": f.fx_module_vars, "segment_definition_test": f.fx_segment_defs, "module_definition_test": f.fx_modules,
+        "fx_nation_lookup": f.fx_nation_lookup, "fx_offer_lookup": f.fx_offer_lookup, "process_config": f.fx_process_config,
+        "subscriber_tokens": f.fx_subscriber_tokens, "accounts": f.fx_account_tokens, "seed_list": f.fx_seeds, "loyalty_members": f.fx_members,
+        "token_config": spark.createDataFrame([("en_us", 1, 0, "accounts"), ("fr_fr", 1, 0, "other")], "locale string, tpid int, eapid int, UserTokenTableName string"),
+        "schedule_config": spark.createDataFrame([(5, "en_us", 1, "job", 2.0), (6, "en_us", 1, "old", 1.0)], "ID int, Locale string, IsFinal int, Job_Name string, ScheduleTimes double"),
+        "run_log": spark.createDataFrame(
+            [(1, 5, "ETL", 1, 1, 1, f"{d}/old"), (2, 5, "ETL", 1, 2, 2, f"{d}/profiles"), (3, 5, "ETL", 0, 3, 3, f"{d}/none"), (4, 0, "Segment_mapping", 1, 1, 1, f"{d}/segments")],
+            "LogID int, SourceID int, SourceName string, IsComplete int, StartDate int, EndDate int, FilePath string",
+        ),
+    }
+    f.fx_profiles.write.parquet(f"{d}/profiles")
+    f.fx_segments.write.parquet(f"{d}/segments")
+    for name, df in frames.items():
+        df.write.parquet(f"{d}/db/{name}.parquet")
+    params, inputs = daily_inputs(spark, tables.ParquetSource(f"{d}/db"), fx.LOCALE, fx.LAUNCH_DATE, "Brand A", ControlTables(environment="test"))
+    assert params.scope == fixture_params().scope and set(inputs.lookups) == {"fx_nation_lookup", "fx_offer_lookup"}
+    central = []
+    out = run_campaign(spark, params, inputs, central_writer=lambda df: central.extend(df.collect()))
+    want = run_campaign(spark, fixture_params(), fixture_inputs(f))
+    assert rows_of(out.toPandas()) == rows_of(want.toPandas())
+    assert [r.IsComplete for r in central] == [0, 1]
+    with pytest.raises(LookupError):
+        daily_inputs(spark, tables.ParquetSource(f"{d}/db"), fx.LOCALE, fx.LAUNCH_DATE, "No brand", ControlTables(environment="test"))
+
+
 def test_run_delivers_paths_with_observed_count(spark):
     from slotwise.plans.pipeline import OutputPaths
 
@@ -63,7 +159,7 @@ def test_gate_and_broadcast_check(spark):
     empty = spark.range(0)
     with pytest.raises(EmptyStageError):
         gate(empty, "empty")
-    assert gate(spark.range(5), "five") == 1
+    assert gate(spark.range(5), "five") == 5
     small = spark.range(10)
     big = spark.range(100)
     plan_small = spark.range(3).join(broadcast_checked(small, 50), "id")._jdf.queryExecution().optimizedPlan().toString()

@@ -9,8 +9,8 @@ the band that the similarity allows: similarity is the length of the longest
 common subsequence over the number of shingles in either, at least ``LIMIT``.
 
 Candidates without all pairs: equal texts are collapsed first; in every bucket
-each member is compared with two centres (the smallest id and a hash-chosen
-one). Buckets whose members then still lie in different components are resolved
+each member is compared with two centres (the smallest and the greatest id) if
+it meets them in ``SHARED`` buckets or more. Buckets whose members then still lie in different components are resolved
 exactly: inside blocks of bounded size the tasks compare their cross-component
 members and hand on only pairs that may reach the similarity by length and by
 signature: a bitmap of all shingles for texts of up to ``SHORT`` shingles, else
@@ -49,9 +49,10 @@ NEAR = 24  # shingles expected below the first cut of a sketch's hashes
 BYTES = 256  # of a signature
 SHORT = 512  # shingles: up to here a bitmap tells all
 SLACK = 4.0
+SHARED = 2  # of the sketches, for a comparison with a centre
 TILE = 1024
 BROADCAST = 1_000_000  # ids (16 bytes each) that may be broadcast
-CACHE = 400_000
+CACHE = 200_000
 
 _words = re.compile(WORD).findall
 _known: dict[str, int] = {}
@@ -314,11 +315,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = checkpointed(reps.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "n", "sketches", "bits", "low"))
     rows = reps.select("rep", "t", "n", F.explode("sketches").alias("sketch"))
     me = F.struct("rep", "t", "n")
-    buckets = rows.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.min_by(me, F.xxhash64("rep", "sketch")).alias("some")).filter("size > 1")
+    buckets = rows.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.max(me).alias("high")).filter("size > 1")
     members = checkpointed(rows.join(buckets.drop("size"), "sketch"))
-    centre = F.explode(F.array_distinct(F.array("low", "some"))).alias("c")
-    star = members.select("rep", "t", "n", centre).filter("c.rep <> rep").filter(F.least("n", "c.n") >= limit * F.greatest("n", "c.n"))
-    star = promising(_pairs(star.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("c.rep").alias("b"), F.col("c.t").alias("tb"))), reps, limit)
+    # A pair is named once per bucket: the greatest member's by the smallest.
+    centres = F.when(F.col("rep") == F.col("low.rep"), F.slice(F.array("low"), 1, 0)).when(F.col("rep") == F.col("high.rep"), F.array("low"))
+    star = members.withColumn("c", F.explode(centres.otherwise(F.array("low", "high")))).filter(F.least("n", "c.n") >= limit * F.greatest("n", "c.n"))
+    star = _pairs(star.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("c.rep").alias("b"), F.col("c.t").alias("tb")), SHARED)
+    star = promising(star, reps, limit)
     done = checkpointed(verified(checkpointed(star), docs, id_col, text_col, limit))
     comp = components(done).withColumnsRenamed({"node": "rep"})
     # What the centres have not joined: members of one bucket in different components.
@@ -334,10 +337,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "class_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    """Distinct pairs ``a, ta, b, tb``, smaller id first."""
+def _pairs(df: DataFrame, least: int = 1) -> DataFrame:
+    """Pairs ``a, ta, b, tb`` named ``least`` times or more, smaller id first."""
     x, y = F.struct(F.col("a").alias("i"), F.col("ta").alias("h")), F.struct(F.col("b").alias("i"), F.col("tb").alias("h"))
-    p = df.select(F.least(x, y).alias("p"), F.greatest(x, y).alias("q")).distinct()
+    p = df.groupBy(F.least(x, y).alias("p"), F.greatest(x, y).alias("q")).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= least)
     return p.select(F.col("p.i").alias("a"), F.col("p.h").alias("ta"), F.col("q.i").alias("b"), F.col("q.h").alias("tb"))
 
 

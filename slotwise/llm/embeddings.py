@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.llm.blocks import dealt, in_blocks, neighbours
 from slotwise.llm.common import checkpointed, components, join_null_safe, map_arrow, table
 
 COSINE = 0.98  # fixed by the query contract
@@ -95,7 +96,7 @@ def link_vectors(
     reps = d.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
     reps = checkpointed(reps)
     sizes = reps.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    dims = [r[0] for r in reps.select(F.size("v").alias("m")).distinct().limit(1000).collect()]
+    dims = [r[0] for r in reps.select(F.size("v").alias("m")).distinct().collect()]
     parts = [_links(reps.filter(F.size("v") == m), m, sizes, cosine, recall, tile) for m in sorted(dims)]
     found = parts[0] if parts else None
     for p in parts[1:]:
@@ -148,90 +149,48 @@ def _links(reps: DataFrame, dim: int, n: int, cosine: float, recall: float, tile
     label = reps.schema["label"].dataType.simpleString()
     d = map_arrow(reps.select("rep", "copies", "label", "v"), cells, f"rep {kind}, copies bigint, label {label}, v array<double>, cells array<bigint>")
     d = checkpointed(d)  # cells are hashed once: every later step sees the same ones
-    spread = d.select("rep", "copies", "label", F.col("v").cast("array<float>").alias("v32"), "v", "cells", F.posexplode("cells").alias("g", "cell"))
+    spread = d.select("rep", "copies", "label", "v", "cells", F.posexplode("cells").alias("g", "cell"))
     size = spread.groupBy("label", "g", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    spread = spread.join(size, ["label", "g", "cell"])
-    # A cell of many vectors: tile i of k meets tiles i..k, in a group of rows each.
-    k = F.ceil(F.col("n") / tile).cast("int")
-    spread = spread.withColumn("_k", k).withColumn("_i", F.pmod(F.xxhash64("rep"), F.col("_k")).cast("int"))
-    other = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.struct(F.least(j, F.col("_i")).alias("i"), F.greatest(j, F.col("_i")).alias("j")))
-    spread = spread.withColumn("t", F.explode(other)).select(
-        F.xxhash64("label", "g", "cell", "t").alias("block"),
-        "g",
-        "rep",
-        "copies",
-        "v",
-        "cells",
-        (F.col("_i") == F.col("t.i")).alias("left"),
-        (F.col("t.i") == F.col("t.j")).alias("own"),
-        F.xxhash64("label").alias("lab"),
-    )
-    spread = spread.repartition("block").sortWithinPartitions("block")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(SEED + 1)
-        axes = rng.normal(size=(dim, LINES))
-        axes /= np.linalg.norm(axes, axis=0)
-        held: list[pa.RecordBatch] = []
-
-        def work(t: pa.Table) -> pa.RecordBatch:
-            rep, block = t["rep"].to_numpy(), t["block"].to_numpy()
-            copies, g, lab = t["copies"].to_numpy(), t["g"].to_numpy(), t["lab"].to_numpy()
-            left, own = t["left"].to_numpy(), t["own"].to_numpy()
-            v = t["v"].combine_chunks()
-            u = _unit(v.flatten().to_numpy(zero_copy_only=False), np.asarray(v.offsets))
-            c = t["cells"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(u), -1)
-            p = (u @ axes).astype(np.float32)
-            pa_, pb_ = [], []
-            lag, at = 1, np.arange(len(u))
-            while True:  # rows of a block stand together: partners are at lag 1, 2, ... within it
-                at = at[at + lag < len(u)]
-                at = at[block[at] == block[at + lag]]
-                if not len(at):
-                    break
-                i, j = at, at + lag
-                ok = (own[i] | (left[i] != left[j])) & (rep[i] != rep[j]) & (lab[i] == lab[j])
-                i, j = i[ok], j[ok]
-                for s in range(0, len(i), 65536):
-                    a, b = i[s : s + 65536], j[s : s + 65536]
-                    n_hit = (np.abs(p[a] - p[b]) <= window).sum(1)
-                    a, b = a[n_hit >= least], b[n_hit >= least]
-                    first = (c[a] == c[b]).argmax(1) == g[a]  # else an earlier group has handled it
-                    a, b = a[first], b[first]
-                    near = np.einsum("ij,ij->i", u[a], u[b]) >= cosine
-                    pa_.append(a[near])
-                    pb_.append(b[near])
-                lag += 1
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (pa_, pb_))
-            weight = np.bincount(np.concatenate([a, b]), np.concatenate([copies[b], copies[a]]), len(u)).astype(np.int64)
-            root = rep.copy()
-            while len(a):  # smallest id reachable by the links found here
-                low = root.copy()
-                np.minimum.at(low, a, root[b])
-                np.minimum.at(low, b, root[a])
-                if (low == root).all():
-                    break
-                root = low
-            hit = np.flatnonzero(weight)
-            return pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(weight[hit]), pa.array(root[hit])], names=["a", "w", "b"])
-
-        rows = 0
-        for b in batches:
-            held.append(b)
-            rows += len(b)
-            if rows < 20_000:
-                continue
-            t = pa.Table.from_batches(held)
-            blocks = t["block"].to_numpy()
-            cut = int(np.flatnonzero(blocks != blocks[-1])[-1]) + 1 if (blocks != blocks[-1]).any() else 0
-            if cut:
-                yield work(t.slice(0, cut))
-                held = t.slice(cut).to_batches()
-                rows = len(t) - cut
-        if held:
-            yield work(pa.Table.from_batches(held))
-
-    return map_arrow(spread, compare, f"a {kind}, w bigint, b {kind}")
+    spread = dealt(spread.join(size, ["label", "g", "cell"]), ["label", "g", "cell"], "n", "rep", tile)
+    spread = spread.select("block", "g", "rep", "copies", "v", "cells", "left", "own", F.xxhash64("label").alias("lab"))
+    rng = np.random.default_rng(SEED + 1)
+    counted = rng.normal(size=(dim, LINES))
+    counted /= np.linalg.norm(counted, axis=0)
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        rep, block = t["rep"].to_numpy(), t["block"].to_numpy()
+        copies, g, lab = t["copies"].to_numpy(), t["g"].to_numpy(), t["lab"].to_numpy()
+        left, own = t["left"].to_numpy(), t["own"].to_numpy()
+        v = t["v"].combine_chunks()
+        u = _unit(v.flatten().to_numpy(zero_copy_only=False), np.asarray(v.offsets))
+        c = t["cells"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(u), -1)
+        p = (u @ counted).astype(np.float32)
+        found = [np.zeros((2, 0), np.int64)]
+        for i, j in neighbours(block):
+            ok = (own[i] | (left[i] != left[j])) & (rep[i] != rep[j]) & (lab[i] == lab[j])
+            i, j = i[ok], j[ok]
+            for s in range(0, len(i), 65536):
+                a, b = i[s : s + 65536], j[s : s + 65536]
+                enough = (np.abs(p[a] - p[b]) <= window).sum(1) >= least
+                a, b = a[enough], b[enough]
+                first = (c[a] == c[b]).argmax(1) == g[a]  # else an earlier group has handled it
+                a, b = a[first], b[first]
+                near = np.einsum("ij,ij->i", u[a], u[b]) >= cosine
+                found.append(np.stack([a[near], b[near]]))
+        a, b = np.concatenate(found, axis=1)
+        weight = np.bincount(np.concatenate([a, b]), np.concatenate([copies[b], copies[a]]), len(u)).astype(np.int64)
+        root = rep.copy()
+        while len(a):  # smallest id reachable by the links found here
+            low = root.copy()
+            np.minimum.at(low, a, root[b])
+            np.minimum.at(low, b, root[a])
+            if (low == root).all():
+                break
+            root = low
+        hit = np.flatnonzero(weight)
+        return pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(weight[hit]), pa.array(root[hit])], names=["a", "w", "b"])
+
+    return map_arrow(spread, in_blocks(compare), f"a {kind}, w bigint, b {kind}")
 
 
 def op4_collision_projections(spark, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ labelled document every score is the labelled rate; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -42,6 +43,7 @@ BITS = 18
 WINDOW = 24  # tokens of a training sequence
 MIN_DOCS, MIN_SHARE = 4, 0.02  # toxic documents (and share of them) a feature must occur in to label tokens
 PURITY = 0.9
+CHANCE = 0.05
 FLAG = 0.5
 CACHE = 400_000
 
@@ -132,10 +134,14 @@ def label_tokens(texts: list[str], toxic: list[int]) -> list[tuple[list[str], np
         count[y] += 1
         seen[y].update({f for w in set(ts) for f in feats[w]})
     n0, n1 = max(1, count[0]), max(1, count[1])
+    # So many toxic documents and no clean one must not be likely by chance for any of the features.
+    often = sum(k >= MIN_DOCS for k in seen[1].values())
+    chance = math.log(max(often, 1) / CHANCE) / math.log((n0 + n1) / n1)
+    support = max(MIN_DOCS, MIN_SHARE * n1, chance)
     bad = set()
     for f, k in seen[1].items():
         t, c = k / n1, seen[0][f] / n0
-        if k >= max(MIN_DOCS, MIN_SHARE * n1) and t / (t + c + 0.2 / n0) >= PURITY:
+        if k >= support and t / (t + c + 0.2 / n0) >= PURITY:
             bad.add(f)
     is_bad = {w: int(any(f in bad for f in fs)) for w, fs in feats.items()}
     return [(ts, np.array([is_bad[w] if y else 0 for w in ts], np.int8)) for ts, y in zip(tokens, toxic)]

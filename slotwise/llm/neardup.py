@@ -52,7 +52,7 @@ SLACK = 4.0
 SHARED = 2  # of the sketches, for a comparison with a centre
 TILE = 1024
 BROADCAST = 1_000_000  # ids (16 bytes each) that may be broadcast
-CACHE = 200_000
+CACHE = 100_000
 
 _words = re.compile(WORD).findall
 _known: dict[str, int] = {}
@@ -197,7 +197,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in grouped((t.as_py() or "" for t in batch.column(2)), 2_000_000):
+            for texts in grouped((t.as_py() or "" for t in batch.column(2)), 1_000_000):
                 hs = word_hashes(texts)
                 keys = np.frombuffer(b"".join(hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in hs), np.int64).reshape(-1, 2)
                 sh = [shingles(h) for h in hs]
@@ -225,6 +225,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     names=["doc_id", "t", "k1", "k2", "n", "sketches", "bits", "low"],
                 )
                 at += len(texts)
+        _known.clear()  # the worker goes on to other stages
 
     text = F.col(text_col).cast("string")
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
@@ -272,6 +273,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limi
                 x, y = (word_hashes([t or "" for t in batch.column(k).slice(s, 256).to_pylist()]) for k in (2, 3))
                 good += [similar(zero(shingles(p)), zero(shingles(q)), limit) for p, q in zip(x, y)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        _known.clear()
 
     return map_arrow(both, run, f"a {kind}, b {kind}")
 

@@ -32,8 +32,8 @@ from slotwise.llm.prefix_coder import Memo, PrefixCoder
 from slotwise.llm.prefix_tokens import grouped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE = 400_000  # distinct words per generation of a worker's memo
-GROUP = 1_000_000  # characters handled at once
+CACHE = 100_000  # distinct words per generation of a worker's memo
+GROUP = 500_000  # characters handled at once
 KEEP = 64  # longer words are computed each time
 MARK = "▁"  # the library's word marker
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-PAIR_MEMO = 400_000  # remembered neighbour tests; forgotten together when full
+PAIR_MEMO = 150_000  # remembered neighbour tests; forgotten together when full
 
 
 class Memo:

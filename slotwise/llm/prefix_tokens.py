@@ -31,9 +31,9 @@ from slotwise.llm.prefix_coder import Memo, PrefixCoder
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 LIMIT = 512  # fixed by the query contract
-CACHE = 400_000  # distinct pre-tokens per generation of a worker's memo
+CACHE = 100_000  # distinct pre-tokens per generation of a worker's memo
 KEEP = 64  # longer pre-tokens are computed each time
-GROUP_CHARS = 4_000_000  # characters handled at once
+GROUP_CHARS = 2_000_000  # characters handled at once
 
 # Letters and digits of the common Latin range; texts with anything else are
 # split by the tokenizer library itself, whose Unicode tables decide.
@@ -177,7 +177,7 @@ def prefix_token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         counter = _counter(path)
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in grouped(t or "" for t in batch.column(1).to_pylist()):
+            for texts in grouped(t.as_py() or "" for t in batch.column(1)):
                 ch = counter.changes(texts)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -45,7 +45,7 @@ MIN_DOCS, MIN_SHARE = 4, 0.02  # toxic documents (and share of them) a feature m
 PURITY = 0.9
 CHANCE = 0.05
 FLAG = 0.5
-CACHE = 400_000
+CACHE = 200_000
 
 _words = re.compile(WORD)
 _core = re.compile(r"[\W_]+")
@@ -251,7 +251,7 @@ def score_documents(docs: DataFrame, field: Field, id_col: str = "doc_id", text_
         emit: dict[str, float] = {}
         for batch in batches:
             at = 0
-            for texts in grouped(t or "" for t in batch.column(1).to_pylist()):
+            for texts in grouped(t.as_py() or "" for t in batch.column(1)):
                 tokens = [_words.findall(t) for t in texts]
                 if len(emit) > CACHE:
                     emit.clear()

@@ -63,7 +63,8 @@ class CampaignRun:
 
     @cached_property
     def meta(self) -> DataFrame:
-        return campaigns.expand_campaigns(self.inputs.config, self.params)
+        """Expanded metadata (configuration-sized); persisted as ``content`` is."""
+        return campaigns.expand_campaigns(self.inputs.config, self.params).persist()
 
     @cached_property
     def content(self) -> DataFrame:
@@ -233,7 +234,7 @@ class CampaignRun:
 
     def release(self) -> None:
         """Unpersist every cached stage of this run (after delivery)."""
-        stages = [self.__dict__.get(name) for name in ("content", "audience", "allocation", "content_keys", "rendered", "seeds")]
+        stages = [self.__dict__.get(name) for name in ("meta", "content", "audience", "allocation", "content_keys", "rendered", "seeds")]
         for df in [*stages, *self.cached_lookups]:
             if df is not None and df.is_cached:
                 df.unpersist()
@@ -383,7 +384,7 @@ def daily_inputs(spark: SparkSession, source: tables.TableSource, locale: str, l
     inputs = Inputs(config, profiles, tables.read_segments(spark, mapped.FilePath), {})
     launch = CampaignRun(spark, params, inputs)
     inputs.lookups = tables.load_lookups(spark, sorted({s.table for s in launch.layout["lookups"]}), source)
-    launch.content.unpersist()
+    launch.release()
     tokens = one(deliver.token_table_for_scope(source.read(spark, names.token_config), scope), "token table")
     inputs.account_tokens = source.read(spark, tokens.UserTokenTableName)
     inputs.subscriber_tokens = source.read(spark, names.subscriber_tokens)

@@ -279,17 +279,18 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limi
 
 
 def cross_pairs(members: DataFrame, limit: float = LIMIT, tile: int = TILE) -> DataFrame:
-    """Promising pairs of different components in a bucket, each bucket on its own.
+    """Promising pairs of different components, each named in the first bucket they share.
 
-    ``members``: ``sketch, rep, t, n, bits, low, component``. Returns ``a, ta, b, tb``.
+    ``members``: ``sketch, sketches, rep, t, n, bits, low, component``. Returns ``a, ta, b, tb``.
     """
     size = members.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"))
     spread = dealt(members.join(size, "sketch"), ["sketch"], "size", "rep", tile)
-    spread = spread.select("block", "own", "left", "rep", "t", "n", "bits", "low", F.xxhash64("component").alias("component"))
+    spread = spread.select("block", "own", "left", "rep", "t", "n", "bits", "low", "sketch", "sketches", F.xxhash64("component").alias("component"))
     kind = members.schema["rep"].dataType.simpleString()
 
     def work(x: pa.Table) -> pa.RecordBatch:
         block, own, left, component = (x[c].to_numpy() for c in ("block", "own", "left", "component"))
+        sketch, sketches_ = x["sketch"].to_numpy(), x["sketches"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
         n, sig, found = x["n"].to_numpy(), _matrix(x["bits"], x["low"]), [np.zeros((2, 0), np.int64)]
         for i, j in neighbours(block):
             ok = (own[i] | (left[i] != left[j])) & (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= limit * np.maximum(n[i], n[j]))
@@ -297,7 +298,10 @@ def cross_pairs(members: DataFrame, limit: float = LIMIT, tile: int = TILE) -> D
             for s in range(0, len(i), 20_000):
                 p, q = i[s : s + 20_000], j[s : s + 20_000]
                 near = may_reach(sig[p], sig[q], np.maximum(n[p], n[q]), limit)
-                found.append(np.stack([p[near], q[near]]))
+                p, q = p[near], q[near]
+                at = (sketches_[p] == sketches_[q]).argmax(1)
+                first = sketches_[p, at] == sketch[p]
+                found.append(np.stack([p[first], q[first]]))
         i, j = np.concatenate(found, axis=1)
         rep, t = x["rep"].combine_chunks(), x["t"].combine_chunks()
         return pa.RecordBatch.from_arrays([rep.take(pa.array(i)), t.take(pa.array(i)), rep.take(pa.array(j)), t.take(pa.array(j))], names=["a", "ta", "b", "tb"])
@@ -329,7 +333,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # What the centres have not joined: members of one bucket in different components.
     split = members.select("sketch", "rep", "t", "n").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = split.groupBy("sketch").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sketch")
-    left = split.join(open_, "sketch").join(reps.select("rep", "t", "bits", "low"), ["rep", "t"])
+    left = split.join(open_, "sketch").join(reps.select("rep", "t", "sketches", "bits", "low"), ["rep", "t"])
     more = verified(checkpointed(_pairs(cross_pairs(left, limit, tile))), docs, id_col, text_col, limit)
     comp = components(checkpointed(done.unionByName(more)))
     found = join_null_safe(d.filter("doc_id is not null").select("doc_id", "k1", "k2").distinct(), reps.select("k1", "k2", "rep"), ["k1", "k2"])

@@ -11,6 +11,9 @@ result row; exact copies of a text count as one document of their host, so a
 text is not rejected for having copies (that is the deduplicator's task); the
 first document (smallest id) holding a frequent line keeps it, so no passage
 disappears from the corpus. Other columns of the input are ignored.
+
+``cleaned_documents`` gives the kept documents without those lines; the query's
+columns are fixed by its contract and hold the verdict and the counts.
 """
 
 from __future__ import annotations
@@ -92,7 +95,7 @@ def removed_words(
     line_docs: int = LINE_DOCS,
     line_share: float = LINE_SHARE,
 ) -> DataFrame:
-    """Words in lines above their host's limit, per ``(host, text_key)``.
+    """Words in lines above their host's limit and those lines' hashes, per ``(host, text_key)``.
 
     Texts without such a line have no row. Copies of a text collapse before
     lines are counted; both aggregations combine map-side, so a line or text
@@ -114,7 +117,7 @@ def removed_words(
     over = join_null_safe(freq, hosts, ["host"]).filter("n_docs > limit").select("host", "line", "first_id")
     # coalesce: with null ids there is no first holder and the line goes everywhere
     hit = join_null_safe(one, over, ["host", "line"]).filter(~F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False)))
-    return hit.groupBy("host", "text_key").agg(F.sum("w").alias("removed_words"))
+    return hit.groupBy("host", "text_key").agg(F.sum("w").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
 
 
 def quality_rules(
@@ -126,7 +129,7 @@ def quality_rules(
     line_share: float = LINE_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """Base counts, ``removed_words`` and the verdict ``kept`` per input row."""
+    """Base counts, ``removed_words``, ``removed_lines`` (hashes, null if none) and the verdict ``kept`` per input row."""
     base = base_rules(docs, id_col, host_col, text_col)
     gone = removed_words(docs, id_col, host_col, text_col, line_docs, line_share)
     out = join_null_safe(base, gone, ["host", "text_key"], "left")
@@ -142,19 +145,41 @@ def quality_rules(
         "n_repeat_words",
         "base_failed",
         removed.cast("bigint").alias("removed_words"),
+        "removed_lines",
         (~F.col("base_failed") & (F.col("n_words") - removed >= min_left * F.col("n_words"))).alias("kept"),
     )
 
 
 def op1_line_quality(spark, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key", "removed_lines")
 
 
-def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drop rejected documents, keep all columns of the rest."""
-    verdicts = quality_rules(docs).filter("not kept").select("doc_id", F.col("host").alias("source"), F.col("text_key").alias("_key"))
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines whose normalised form has one of the hashes ``gone``."""
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(gone, F.xxhash64(_normalised(x)))), "\n")
+
+
+def cleaned_documents(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+    """The kept documents, all columns; ``text`` without its removed lines, ``n_chars`` follows.
+
+    Only rejected documents and those with a removed line have a row on the
+    right side of the join.
+    """
+    rules = quality_rules(docs, line_docs=line_docs, line_share=line_share, min_left=min_left).filter("not kept or removed_lines is not null")
+    gone = F.when(F.col("kept"), F.col("removed_lines")).alias("_gone")
+    changes = rules.select("doc_id", F.col("host").alias("source"), F.col("text_key").alias("_key"), F.col("kept").alias("_kept"), gone).distinct()
     keyed = docs.withColumn("_key", text_key(F.coalesce("text", F.lit(""))))
-    return join_null_safe(keyed, checkpointed(verdicts.distinct()), ["doc_id", "source", "_key"], "left_anti").drop("_key")
+    out = join_null_safe(keyed, checkpointed(changes), ["doc_id", "source", "_key"], "left").filter(F.coalesce("_kept", F.lit(True)))
+    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("_gone"))))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(length))
+    return out.select(*docs.columns)
+
+
+def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: drop rejected documents, take frequent lines out of the rest."""
+    return cleaned_documents(docs)
 
 
 OP1_SQL = rf"""

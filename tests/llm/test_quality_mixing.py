@@ -47,6 +47,21 @@ def test_frequent_lines_are_removed_from_all_but_the_first(make_docs):
     assert got[30] == [(0, True)] and got[40] == [(n, False)] * 2
 
 
+def test_frequent_lines_leave_the_texts_of_kept_documents(make_docs):
+    menu = "Home 12 about us"
+    body = lambda k: "  " + " ".join(chr(97 + k) + chr(97 + j) for j in range(20)) + "\r"
+    rows = [(k, f"{menu}\n{body(k)}\n\n{menu.replace('12', str(k))}\n", "h" if k < 8 else None) for k in range(16)]
+    rows += [(20, f"{menu}\n{body(20)}", "z"), (21, rows[3][1], "h"), (None, f"{body(21)}\n{menu}", "h"), (22, None, "h"), (23, menu, "h")]
+    out = quality.cleaned_documents(make_docs(rows), line_docs=3, line_share=0.0)
+    got = {r["doc_id"]: r for r in out.collect()}
+    for k in range(16):
+        first = k in (0, 8)  # the first document of its host keeps the line
+        assert got[k]["text"] == (rows[k][1] if first else f"{body(k)}\n\n")
+    assert got[20]["text"] == rows[16][1] and got[21]["text"] == got[3]["text"] and got[None]["text"] == body(21)
+    assert 22 not in got and 23 not in got  # too few words
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and out.columns == make_docs([]).columns
+
+
 def test_copies_alone_are_no_reason_to_reject(make_docs):
     text = " ".join(f"word{j}" for j in range(30))
     got = quality.quality_rules(make_docs([(k, text, "h") for k in range(20)]), line_docs=3, line_share=0.0).collect()

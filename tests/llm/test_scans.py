@@ -110,6 +110,27 @@ def test_network_keeps_its_recall_and_leaves_others_alone():
     assert secrets.train(found[:5], other).threshold > 1
 
 
+def test_the_threshold_is_set_by_the_recall_alone():
+    # a third of the other candidates look like findings without their keyword
+    found, other = windows(random.Random(3), 400)
+    twins, _ = windows(random.Random(8), 200)
+    other += ["\0" * secrets.CONTEXT + w[secrets.CONTEXT :] for w in twins]
+    net = secrets.train(found, other)
+    assert net.threshold <= 1 and net.recall >= 0.95 and net.false_share > 0.005
+
+
+def test_rare_findings_of_a_large_table_train_the_network(spark):
+    i = F.col("id").cast("string")
+    text = F.when(F.col("id") % 2000 == 0, F.concat(F.lit('the token = "'), F.md5(i), F.lit('" of it')))
+    text = text.when(F.col("id") % 100 == 1, F.concat(F.lit("see mail"), i, F.lit(".example.com there"))).otherwise("some words")
+    docs = spark.range(120_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    net = secrets.train_on(docs)
+    assert net.threshold <= 1 and net.recall >= 0.95
+    few = secrets.train_on(docs, labels=40)  # as many as asked for, whatever the partitions
+    again = secrets.train_on(docs.repartition(3), labels=40)
+    assert few.threshold == again.threshold <= 1
+
+
 def test_scan_of_odd_rows(odd, make_docs):
     net = secrets.train_on(odd)
     got = secrets.scan_secrets(odd, net).collect()

@@ -40,8 +40,8 @@ SAMPLE = 3000  # labelled documents per class, about
 SAMPLE_CHARS = 8000
 FOLDS = 5  # fixed by the query contract; fold 0 is held out
 BITS = 18
-WINDOW = 24  # tokens of a training sequence
-MIN_DOCS, MIN_SHARE = 4, 0.02  # toxic documents (and share of them) a feature must occur in to label tokens
+WINDOW = 24  # tokens of a training sequence, at most
+MIN_DOCS = 4  # toxic documents a feature must occur in to label tokens, more where chance gives as many
 PURITY = 0.9
 CHANCE = 0.05
 FLAG = 0.5
@@ -137,7 +137,7 @@ def label_tokens(texts: list[str], toxic: list[int]) -> list[tuple[list[str], np
     # So many toxic documents and no clean one must not be likely by chance for any of the features.
     often = sum(k >= MIN_DOCS for k in seen[1].values())
     chance = math.log(max(often, 1) / CHANCE) / math.log((n0 + n1) / n1)
-    support = max(MIN_DOCS, MIN_SHARE * n1, chance)
+    support = max(MIN_DOCS, chance)
     bad = set()
     for f, k in seen[1].items():
         t, c = k / n1, seen[0][f] / n0
@@ -148,13 +148,13 @@ def label_tokens(texts: list[str], toxic: list[int]) -> list[tuple[list[str], np
 
 
 def fit_field(labelled: list[tuple[list[str], np.ndarray]], epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, float, np.ndarray]:
-    """Maximum likelihood of the tag sequences by AdaGrad over windows of tokens."""
+    """Maximum likelihood of the tag sequences by AdaGrad over windows of tokens; shorter ones are padded and masked."""
     rng = np.random.default_rng(seed)
     seqs, tags = [], []
     for ts, y in labelled:
-        for s in range(0, max(1, len(ts) - WINDOW + 1), WINDOW):
+        for s in range(0, len(ts), WINDOW):
             part = y[s : s + WINDOW]
-            if len(part) == WINDOW and (part.any() or rng.random() < 0.3):
+            if part.any() or rng.random() < 0.3:
                 seqs.append(ts[s : s + WINDOW])
                 tags.append(part)
     w, bias, trans = np.zeros(1 << BITS), -2.0, np.zeros((2, 2))
@@ -163,15 +163,17 @@ def fit_field(labelled: list[tuple[list[str], np.ndarray]], epochs: int = 12, se
     ids = {t: k for k, t in enumerate({t for s in seqs for t in s})}
     hashed = [_hashed(features(t)) for t in ids]
     width = max(map(len, hashed))
-    table_ = np.full((len(ids), width), 1 << BITS)  # one slot beyond for padding
+    table_ = np.full((len(ids) + 1, width), 1 << BITS)  # one slot and one token beyond for padding
     for k, h in enumerate(hashed):
         table_[k, : len(h)] = h
-    x, y = np.array([[ids[t] for t in s] for s in seqs]), np.array(tags)
+    real = np.arange(WINDOW) < np.array([[len(s)] for s in seqs])
+    x, y = np.full(real.shape, len(ids)), np.zeros(real.shape, np.int8)
+    x[real], y[real] = [ids[t] for s in seqs for t in s], np.concatenate(tags)
     w = np.zeros((1 << BITS) + 1)
     g_w, g_b, g_t = np.full_like(w, 1e-2), 1e-2, np.full((2, 2), 1e-2)
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // 256)):
-            xb, yb = x[rows], y[rows]
+            xb, yb, on = x[rows], y[rows], real[rows]
             e = bias + w[table_[xb]].sum(2)
             n, m = e.shape
             a = np.zeros((n, m, 2))
@@ -179,15 +181,17 @@ def fit_field(labelled: list[tuple[list[str], np.ndarray]], epochs: int = 12, se
             for t in range(1, m):
                 a[:, t] = np.logaddexp(a[:, t - 1, :1] + trans[0], a[:, t - 1, 1:] + trans[1])
                 a[:, t, 1] += e[:, t]
+                a[~on[:, t], t] = a[~on[:, t], t - 1]
             z = np.logaddexp(a[:, -1, 0], a[:, -1, 1])
             b = np.zeros((n, m, 2))
             pair = np.zeros((2, 2))
             for t in range(m - 2, -1, -1):
                 nxt = b[:, t + 1] + np.stack([np.zeros(n), e[:, t + 1]], 1)
                 b[:, t] = np.logaddexp(trans[:, 0] + nxt[:, :1], trans[:, 1] + nxt[:, 1:])
-                pair += np.exp(a[:, t, :, None] + trans + nxt[:, None, :] - z[:, None, None]).sum(0)
-            grad = yb - np.exp(a[:, :, 1] + b[:, :, 1] - z[:, None])
-            np.add.at(pair, (yb[:, :-1].ravel(), yb[:, 1:].ravel()), -1.0)
+                b[~on[:, t + 1], t] = 0
+                pair += np.exp(a[:, t, :, None] + trans + nxt[:, None, :] - z[:, None, None])[on[:, t + 1]].sum(0)
+            grad = (yb - np.exp(a[:, :, 1] + b[:, :, 1] - z[:, None])) * on
+            np.add.at(pair, (yb[:, :-1][on[:, 1:]], yb[:, 1:][on[:, 1:]]), -1.0)
             step = np.bincount(table_[xb].ravel(), np.repeat(grad.ravel(), width), len(w)) - 1e-3 * w
             step[-1] = 0
             g_w += step**2

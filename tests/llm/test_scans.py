@@ -55,6 +55,22 @@ def test_held_out_documents_are_told_apart(spark, make_docs):
     assert flagged and sum(bool(re.match("idiot|scum|Trash|lowei", x)) for x in flagged) >= 0.9 * len(flagged)
 
 
+def test_short_toxic_texts_teach_the_field():
+    rng = random.Random(2)
+    bad = ["idiot", "scum", "loweian"]
+    texts = [prose(rng, rng.randint(5, 20), [rng.choice(bad)] if k % 5 == 0 else []) for k in range(600)]
+    f = toxicity.fit(texts, [int(k % 5 == 0) for k in range(600)], 0.2)
+    emit = lambda w: f.marginals([np.array([f.emission(x) for x in w.split()])])[0]
+    assert all(emit(f"on the {w} table")[2] > 0 for w in bad) and (emit("on the table") < 0).all()
+
+
+def test_rarer_toxic_terms_are_labelled():
+    rng = random.Random(3)
+    texts = [prose(rng, 12, ["zoquix"] if k % 2 and k < 50 else []) for k in range(3000)]  # 25 of 1500: under 2 %
+    labelled = toxicity.label_tokens(texts, [k % 2 for k in range(3000)])
+    assert sum(int(y[ts.index("zoquix")]) for ts, y in labelled if "zoquix" in ts) == 25
+
+
 def test_scores_of_odd_rows(spark, odd):
     kind = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "quality", "toxic")])
     none = toxicity.train_field(odd, spark.createDataFrame([(1, 0, 0), (None, None, None)], kind))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotwise.llm import embeddings, mixing, neardup, packing, pieces, prefix_tokens, quality, secrets, toxicity, urls
+from slotwise.llm import alignment, byte_bpe, embeddings, mixing, neardup, packing, pieces, prefix_tokens, quality, secrets, toxicity, urls
 
 QUERIES = {
     "op1_line_quality": quality.op1_line_quality,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_pack_token_rows": packing.op8_pack_token_rows,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_path_templates": urls.op10_path_templates,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+    "op12_token_alignment": alignment.op12_token_alignment,
 }
 
 ORACLE = {

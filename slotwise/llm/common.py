@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -22,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where this machine keeps a public tokenizer's file; an absolute path is taken as it is.
+
+    Called inside the tasks, as executors may keep the file elsewhere.
+    """
+    if os.path.isabs(name):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null gives an empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), rf"[{BLANKS}]+"), "")
@@ -39,6 +52,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in ``spark.checkpoint.dir``, whose columns are read as needed.
+
+    Like a checkpoint it stays until the folder's owner clears it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

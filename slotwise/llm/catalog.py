@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotwise.llm import alignment, byte_bpe, embeddings, mixing, neardup, packing, pieces, prefix_tokens, quality, secrets, toxicity, urls
+from slotwise.llm import alignment, byte_bpe, embeddings, mixing, neardup, packing, pieces, prefix_tokens, quality, secrets, toxicity, urls, variants
 
 QUERIES = {
     "op1_line_quality": quality.op1_line_quality,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_path_templates": urls.op10_path_templates,
     "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 
 ORACLE = {

@@ -66,23 +66,11 @@ def render_keyed(template, keyed_tokens, values, mode: str = "compat") -> Column
 def render_options(template, keyed_tokens, values, mode: str = "compat") -> Column:
     """Rendered template already split into options (``array<string>``).
 
-    ``compat`` (Q20 as the reference): substitute every token's text wherever
-    it occurs, drop ``%%``, then split — a value holding ``|`` adds options.
-    ``strict``: split the template first, then replace only ``%%token%%`` in
-    each option, so values can neither add options nor touch plain text.
+    As the reference (Q20): substitute every token's text wherever it occurs,
+    drop ``%%``, then split — a value holding ``|`` adds options. The strict
+    rule is :func:`slotwise.functions.templates.render_compiled`.
     """
-    if mode == "compat":
-        return options(render_keyed(template, keyed_tokens, values, mode))
-
-    def fill(option):
-        done = F.aggregate(
-            _c(keyed_tokens),
-            option,
-            lambda acc, t: F.replace(acc, F.concat(F.lit("%%"), t["token"], F.lit("%%")), text_for_key(values, t["key"], mode)),
-        )
-        return F.replace(done, F.lit("%%"), F.lit(""))
-
-    return F.transform(options(F.coalesce(_c(template), F.lit(""))), fill)
+    return options(render_keyed(template, keyed_tokens, values, mode))
 
 
 def options(text) -> Column:

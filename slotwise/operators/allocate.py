@@ -2,19 +2,22 @@
 
 For every cohort (campaign, bucket, segment list) and slot, the candidate
 modules are the rows of that campaign and slot whose segment is in the
-cohort's list and whose version is today's rotation for the bucket.
-Everything is an equi-join against configuration-sized tables.
+cohort's list and whose version is today's rotation for the bucket. A
+campaign's offers are numbered and each of its segments has a bitmap of them,
+so a cohort finds its candidates in its own row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotwise.functions import templates
 from slotwise.functions.bindings import binding_left_keys, binding_right_keys, key_spec, template_tokens
+from slotwise.functions.keys import segment_ids
 from slotwise.functions.rotation import pick_version
 from slotwise.functions.text import value_key
-from slotwise.operators.audience import COHORT_KEYS, segment_members
+from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.util import broadcast_checked
 
 # Fixed values (must equal the reference's): placements whose missing content demotes a module.
@@ -34,24 +37,75 @@ def offered_modules(content: DataFrame) -> DataFrame:
     )
 
 
-def allocate_modules(
-    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
-) -> DataFrame:
-    """One row per (cohort, slot, module type, priority) with the chosen module.
+def module_index(content: DataFrame) -> DataFrame:
+    """One row per campaign: its offers in order, and per segment a bitmap of them.
 
-    The cohort's segment list is exploded and equi-joined on (campaign,
-    segment) against the offered modules (a projection of the expanded
-    content, so ``known`` — the content's row count — bounds it); the version filter is today's rotation ``(bucket + seed % v) % v + 1``
-    with ``v`` the count of the row's own (type, placement) (Q16). Several
-    modules under one (type, priority) keep the greatest id (Q8).
+    ``offers``: (slot, type, priority, module, its place ``at`` in the campaign's
+    module list, version, versions), sorted so that the greatest module of a
+    (slot, type, priority) comes first (Q8). ``index``: segment → words of 64
+    offers each. Configuration-sized; a campaign's offers are numbered, packed
+    and collected under one partitioning by campaign.
     """
-    members = segment_members(cohort_df).withColumnRenamed("segment_id", "_seg")
-    offered = broadcast_checked(offered_modules(content).withColumnRenamed("segment_type_id", "_seg"), max_broadcast_rows, known)
-    picked = members.join(offered, ["campaign_id", "_seg"]).filter(
-        F.col("version") == pick_version(F.col("test_keys"), seed, F.col("ttl_versions"))
+    by_campaign = Window.partitionBy("campaign_id")
+    order = ["slot_position", "module_type_id", "module_priority_in_slot", F.col("module_id").desc(), "version", "ttl_versions"]
+    offers = offered_modules(content).withColumns(
+        {
+            "no": F.dense_rank().over(by_campaign.orderBy(*order)) - 1,
+            "at": F.dense_rank().over(by_campaign.orderBy("module_id")) - 1,
+        }
     )
-    return picked.groupBy(*COHORT_KEYS, "slot_position", "module_type_id", "module_priority_in_slot").agg(
-        F.max("module_id").alias("module_id")
+    word = F.floor(F.col("no") / 64).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("no") % 64)
+    words = offers.groupBy("campaign_id", "segment_type_id", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    words = words.withColumn("n_words", F.max("word").over(by_campaign) + 1)
+    sparse = words.groupBy("campaign_id", "segment_type_id", "n_words").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
+    full = F.transform(F.sequence(F.lit(0), F.col("n_words") - 1), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("bigint")))
+    segments = sparse.groupBy("campaign_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("segment_type_id").cast("int"), full))).alias("index"))
+    offer = F.struct(
+        "no", F.col("slot_position").alias("slot"), F.col("module_type_id").alias("type"), F.col("module_priority_in_slot").alias("priority"),
+        "module_id", "at", "version", "ttl_versions",
+    )
+    return offers.groupBy("campaign_id").agg(F.sort_array(F.collect_set(offer)).alias("offers")).join(segments, "campaign_id")
+
+
+def allocated_offers(
+    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
+) -> DataFrame:
+    """Per cohort, the offers it receives (``chosen``), by bitmaps.
+
+    The bitmaps of the cohort's segments are OR-ed and the campaign's offers
+    tested against the result, so a cohort's candidates are found in its own
+    row: no segment list is exploded, nothing is regrouped, and the only join
+    is with one row per campaign (``known`` — the content's size — bounds it).
+    The version filter is today's rotation ``(bucket + seed % v) % v + 1`` with
+    ``v`` the count of the row's own (type, placement) (Q16). Several modules
+    under one (type, priority) keep the greatest id (Q8).
+    """
+    index = broadcast_checked(module_index(content), max_broadcast_rows, known)
+    own = F.filter(F.transform(F.array_distinct(segment_ids("segment_type_id")), lambda s: F.try_element_at("index", s)), lambda m: m.isNotNull())
+    none = F.array().cast("array<bigint>")
+    either = F.aggregate(own, none, lambda x, m: F.when(F.size(x) == 0, m).otherwise(F.zip_with(x, m, lambda a, b: a.bitwiseOR(b))))
+    rows = cohort_df.join(index, "campaign_id").withColumn("_mask", either)
+
+    def offered(o: Column) -> Column:
+        word = F.get("_mask", F.floor(o["no"] / 64).cast("int"))
+        return F.call_function("shiftright", word, o["no"] % 64).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+    today = lambda o: o["version"] == pick_version(F.col("test_keys"), seed, o["ttl_versions"])
+    rows = rows.withColumn("_all", F.filter("offers", lambda o: F.coalesce(offered(o) & today(o), F.lit(False))))
+    place = lambda o: F.struct(o["slot"], o["type"], o["priority"])
+    first = F.filter("_all", lambda o, i: (i == 0) | (place(o) != place(F.get("_all", F.greatest(i - 1, F.lit(0))))))
+    return rows.select(*COHORT_KEYS, first.alias("chosen")).filter(F.size("chosen") > 0)
+
+
+def allocate_modules(
+    cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
+) -> DataFrame:
+    """I1 as rows: one per (cohort, slot, module type, priority) with the chosen module."""
+    rows = allocated_offers(cohort_df, content, seed, max_broadcast_rows, known).select(*COHORT_KEYS, F.explode("chosen").alias("o"))
+    return rows.select(
+        *COHORT_KEYS, F.col("o.slot").alias("slot_position"), F.col("o.type").alias("module_type_id"),
+        F.col("o.priority").alias("module_priority_in_slot"), F.col("o.module_id").alias("module_id"),
     )
 
 
@@ -64,11 +118,13 @@ def module_attributes(content: DataFrame) -> DataFrame:
     )
 
 
-def module_variables(content: DataFrame) -> DataFrame:
+def module_variables(content: DataFrame, mode: str = "compat") -> DataFrame:
     """Per module, its variables sorted by position, with bindings and
     templates pre-parsed once here instead of once per recipient row.
 
-    Variables are taken from any campaign that offers the module (Q22).
+    Variables are taken from any campaign that offers the module (Q22). The
+    rendering mode decides what a variable carries: its tokens with their keys
+    (``keyed``), or in strict mode its compiled template (``compiled``).
     """
     v = (
         content.filter(F.col("var_position").isNotNull())
@@ -76,37 +132,59 @@ def module_variables(content: DataFrame) -> DataFrame:
         .agg(F.max("var_structure").alias("template"))
         .withColumn("tokens", template_tokens("template"))
         .withColumn("spec", key_spec(binding_left_keys("binding"), binding_right_keys("binding")))
-        .withColumn("keyed", F.transform("tokens", lambda t: F.struct(t.alias("token"), value_key(t, F.col("spec")).alias("key"))))
     )
+    if mode == "compat":
+        parsed, name = F.transform("tokens", lambda t: F.struct(t.alias("token"), value_key(t, F.col("spec")).alias("key"))), "keyed"
+    else:
+        parsed, name = templates.keyed(templates.compiled("template"), F.col("spec")), "compiled"
+    v = v.withColumn(name, parsed)
     return v.groupBy("module_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "binding", "template", "tokens", "spec", "keyed"))).alias("vars")
+        F.sort_array(F.collect_list(F.struct("pos", "binding", "template", "tokens", "spec", name))).alias("vars")
     )
 
 
+def campaign_modules(content: DataFrame, mode: str = "compat") -> DataFrame:
+    """Per campaign, its offered modules with attributes and variables, in the order
+    of ``module_index``'s places."""
+    offered = offered_modules(content).select("campaign_id", "module_id").distinct()
+    modules = module_attributes(content).join(module_variables(content, mode), "module_id")
+    rows = offered.join(modules, "module_id", "left")
+    module = F.struct("module_id", "placement_type", "default_flag", "vars")
+    return rows.groupBy("campaign_id").agg(F.sort_array(F.collect_list(module)).alias("modules"))
+
+
 def allocation(
     cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
-    """I1 + I2: per cohort, a map slot → candidate modules with their variables.
+    """Per cohort, a map slot → candidate modules (priority, type, id, place in
+    the campaign's module list). What the modules say is attached when a content
+    row is rendered (``with_modules``), so cohorts carry numbers only."""
+    rows = allocated_offers(cohort_df, content, seed, max_broadcast_rows, known)
+    slots = F.array_distinct(F.transform("chosen", lambda o: o["slot"].cast("int")))
+    candidate = lambda o: F.struct(
+        o["priority"].alias("priority"), o["type"].cast("int").alias("type_id"), o["module_id"].alias("module_id"), o["at"].alias("at")
+    )
+    per_slot = F.transform(slots, lambda s: F.struct(s, F.sort_array(F.transform(F.filter("chosen", lambda o: o["slot"] == s), candidate))))
+    return rows.select(*COHORT_KEYS, F.map_from_entries(per_slot).alias("slot_cands"))
+
 
-    Candidate struct fields start with (priority, type, module id) so the
-    slot fold can take ``array_min`` for the lowest-priority pick (Q4: ties
-    broken by type, then id).
+def with_modules(
+    rows: DataFrame, content: DataFrame, mode: str = "compat", max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
+) -> DataFrame:
+    """The candidates of each row with their modules' attributes and variables.
+
+    One join with a row per campaign (bounded by ``known``). Candidate fields
+    start with (priority, type, module id), so the slot fold can take
+    ``array_min`` for the lowest-priority pick (Q4: ties broken by type, then id).
     """
-    picked = allocate_modules(cohort_df, content, seed, max_broadcast_rows, known)
-    modules = module_attributes(content).join(module_variables(content), "module_id")
-    cands = picked.join(broadcast_checked(modules, max_broadcast_rows, known), "module_id").select(
-        *COHORT_KEYS,
-        "slot_position",
-        F.struct(
-            F.col("module_priority_in_slot").alias("priority"),
-            F.col("module_type_id").cast("int").alias("type_id"),
-            "module_id",
-            "placement_type",
-            "default_flag",
-            "vars",
-        ).alias("cand"),
-    )
-    per_slot = cands.groupBy(*COHORT_KEYS, "slot_position").agg(F.sort_array(F.collect_list("cand")).alias("cands"))
-    return per_slot.groupBy(*COHORT_KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("slot_position").cast("int"), "cands"))).alias("slot_cands")
-    )
+    modules = broadcast_checked(campaign_modules(content, mode), max_broadcast_rows, known)
+
+    def full(c: Column) -> Column:
+        m = F.get("modules", c["at"])
+        return F.struct(
+            c["priority"].alias("priority"), c["type_id"].alias("type_id"), c["module_id"].alias("module_id"),
+            m["placement_type"].alias("placement_type"), m["default_flag"].alias("default_flag"), m["vars"].alias("vars"),
+        )
+
+    joined = rows.join(modules, "campaign_id", "left")
+    return joined.withColumn("slot_cands", F.transform_values("slot_cands", lambda _, cands: F.transform(cands, full))).drop("modules")

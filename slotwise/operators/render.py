@@ -18,8 +18,9 @@ from slotwise.functions.bindings import (
     QUALIFIER, RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
 )
 from slotwise.functions.keys import normalize_locale
+from slotwise.functions.templates import render_compiled
 from slotwise.functions.text import render_options, resolve_parts
-from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE
+from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE, with_modules
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope, slot_widths
 from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
@@ -171,7 +172,7 @@ def _rendered_candidate(cand, slot, values, bucket, seed: int, mode: str):
         lambda v: F.struct(
             v["pos"].alias("pos"),
             ((slot == F.lit(1)) & (v["pos"] == F.lit(1))).alias("is_first"),
-            render_options(v["template"], v["keyed"], values, mode).alias("parts"),
+            (render_options(v["template"], v["keyed"], values) if mode == "compat" else render_compiled(v["compiled"], values, mode)).alias("parts"),
         ),
     )
     return F.struct(
@@ -223,8 +224,15 @@ def render_slots(rows: DataFrame, seed: int, mode: str = "compat") -> DataFrame:
 
 
 def content_rows(
-    keys: DataFrame, alloc: DataFrame, max_broadcast_rows: int = 2_000_000, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    keys: DataFrame,
+    alloc: DataFrame,
+    content: DataFrame,
+    mode: str = "compat",
+    max_broadcast_rows: int = 2_000_000,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    known: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Content keys with their cohort's allocation (left join: a cohort without
-    any candidate still gets a row, all slots ``dummy``)."""
-    return keys.join(broadcast_checked(alloc, max_broadcast_rows, max_bytes=max_broadcast_bytes), COHORT_KEYS, "left")
+    """C11: content keys with their cohort's candidates and what these say (left
+    join: a cohort without any candidate still gets a row, all slots ``dummy``)."""
+    rows = keys.join(broadcast_checked(alloc, max_broadcast_rows, max_bytes=max_broadcast_bytes), COHORT_KEYS, "left")
+    return with_modules(rows, content, mode, max_broadcast_rows, known)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from slotwise.functions import bindings as B
 from slotwise.functions import keys as K
 from slotwise.functions import rotation as R
+from slotwise.functions import templates as TP
 from slotwise.functions import text as T
 from slotwise.operators import allocate, audience, campaigns, deliver, render, select
 from slotwise.plans.fixture_run import fixture_run
@@ -221,6 +222,15 @@ def q_template_tokens(spark, sf_dir):
     return c.select("var_structure", F.array_join(B.template_tokens("var_structure"), ",").alias("tokens"))
 
 
+@query("template_segments")
+def q_template_segments(spark, sf_dir):
+    """H4/H5: every template cut into options and segments."""
+    c = _run(spark, sf_dir).content.select("var_structure").distinct().select("var_structure", TP.compiled("var_structure").alias("o"))
+    c = c.select("var_structure", F.posexplode("o").alias("option_no", "s"))
+    c = c.select("var_structure", "option_no", F.posexplode("s").alias("segment_no", "x"))
+    return c.select("var_structure", "option_no", "segment_no", F.col("x.text").alias("literal"), F.col("x.token").alias("token"))
+
+
 @query("choose_option")
 def q_choose_option(spark, sf_dir):
     run = _run(spark, sf_dir)
@@ -299,7 +309,7 @@ def q_lookup_values(spark, sf_dir):
 
 def _rendered_candidates(run):
     p = run.params
-    rows = render.content_rows(run.content_keys, run.allocation)
+    rows = render.content_rows(run.content_keys, run.allocation, run.content, p.missing)
     rows = render.attach_values(rows, run.attributes, run.lookup_specs, run.inputs.lookups, p.scope)
     rows = render.render_slots(rows, p.rotation_seed(), p.missing)
     keys = audience.content_key_columns(run.attributes)

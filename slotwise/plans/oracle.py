@@ -453,6 +453,19 @@ FROM (SELECT DISTINCT var_source FROM content)""",
         """SELECT var_structure, array_to_string(regexp_extract_all(coalesce(var_structure, ''), '(?s)%%(.*?)%%', 1), ',') AS tokens
 FROM (SELECT DISTINCT var_structure FROM content)""",
     ),
+    # A piece of plain text starts a new option at each separator in it; a token continues the one before.
+    "template_segments": compose(
+        ["content"],
+        """SELECT var_structure, CAST(option_no AS INT) AS option_no,
+      CAST(row_number() OVER (PARTITION BY var_structure, option_no ORDER BY i, j) - 1 AS INT) AS segment_no,
+      CASE WHEN is_token THEN NULL ELSE part END AS literal, CASE WHEN is_token THEN part END AS token
+    FROM (SELECT var_structure, i, j, is_token, part, sum(CASE WHEN j > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY var_structure ORDER BY i, j) AS option_no
+      FROM (SELECT var_structure, i, is_token, unnest(generate_series(1, len(parts))) AS j, unnest(parts) AS part
+        FROM (SELECT var_structure, i, string_split(pieces[i], '|') AS parts,
+                i % 2 = 0 AND i < len(pieces) AND NOT contains(pieces[i], '|') AS is_token
+          FROM (SELECT var_structure, pieces, unnest(generate_series(1, len(pieces))) AS i
+            FROM (SELECT DISTINCT var_structure, string_split(coalesce(var_structure, ''), '%%') AS pieces FROM content)))))""",
+    ),
     "choose_option": compose(["content"], _cv_choose()),
     "version_choice": compose(
         ["cohorts", "vc"],

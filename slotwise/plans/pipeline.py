@@ -153,7 +153,7 @@ class CampaignRun:
         """Allocation, lookup values, rendering and slot fold on any frame
         holding the content-key columns (keys or whole audience rows)."""
         p = self.params
-        rows = render.content_rows(rows, self.allocation, p.max_broadcast_rows, p.max_broadcast_bytes)
+        rows = render.content_rows(rows, self.allocation, self.content, p.missing, p.max_broadcast_rows, p.max_broadcast_bytes, self.config_size)
         rows = render.attach_values(
             rows, self.attributes, self.lookup_specs, self.inputs.lookups, p.scope, p.max_broadcast_rows, p.max_broadcast_bytes, self.cached_lookups
         )

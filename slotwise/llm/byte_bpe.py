@@ -38,36 +38,35 @@ from pyspark.sql import types as T
 
 from slotwise.llm.common import map_arrow, table, vocabulary
 from slotwise.llm.prefix_coder import Memo
-from slotwise.llm.prefix_tokens import grouped
+from slotwise.llm.prefix_tokens import COMMON_PATTERN, grouped, split_common
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SHORT = 48  # bytes of a word that contracts one pair a round
 KEEP = 64  # longer pre-tokens are computed each time
-CACHE = 150_000  # distinct pre-tokens per generation of a worker's memo
-WORDS = 30_000  # words encoded by one query
+CACHE = 400_000  # distinct pre-tokens per generation of a worker's memo
+WORDS = 10_000  # words encoded by one query
 ROWS = 4_000_000  # rows a recursion may pile up
 GROUP_CHARS = 1_500_000  # characters of text handled at once
 
-_START = "WITH RECURSIVE t(w, p, id, step) AS (SELECT w, p, id, 0 FROM base UNION ALL ("
 # A word's last round is its result; words that still merge at the last allowed round go on in the next query.
-_END = """)), last AS (SELECT *, max(step) OVER (PARTITION BY w) AS s FROM t)
-SELECT w, p, id, step >= $rounds AS unfinished FROM last WHERE step = s ORDER BY w, p"""
-_PAIRS = """
-x AS (SELECT *, lead(id) OVER o AS right_id, lead(p) OVER o AS next_p FROM t WHERE step < $rounds WINDOW o AS (PARTITION BY w ORDER BY p)),
-hit AS (SELECT w, p, next_p, merged, many FROM x JOIN merges m ON m.left_id = x.id AND m.right_id = x.right_id)"""
-# merged << 32 | p: the smallest rank first, then the leftmost
+_END = """))
+SELECT w, p, id, step >= $rounds AS unfinished FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) ORDER BY w, p"""
+# A row knows where its right neighbour is (q). merged << 32 | p: the smallest rank first, then the leftmost.
 ONE_A_ROUND = (
-    _START
-    + f"""WITH {_PAIRS},
-best AS (SELECT w, min(merged::BIGINT << 32 | p) AS k, arg_min(next_p, merged::BIGINT << 32 | p) AS gone FROM hit GROUP BY w)
-SELECT t.w, t.p, CASE WHEN t.p = k & 4294967295 THEN (k >> 32)::INTEGER ELSE t.id END, t.step + 1
+    """WITH RECURSIVE t(w, p, q, id, step) AS (SELECT w, p, p + 1, id, 0 FROM base UNION ALL (
+WITH best AS (SELECT a.w, min(merged::BIGINT << 32 | a.p) AS k,
+  arg_min(b.p, merged::BIGINT << 32 | a.p) AS gone, arg_min(b.q, merged::BIGINT << 32 | a.p) AS beyond
+  FROM t a JOIN t b ON b.w = a.w AND b.p = a.q JOIN merges m ON m.pair = (a.id::BIGINT << 32 | b.id) WHERE a.step < $rounds GROUP BY a.w)
+SELECT t.w, t.p, CASE WHEN t.p = k & 4294967295 THEN beyond ELSE t.q END,
+  CASE WHEN t.p = k & 4294967295 THEN (k >> 32)::INTEGER ELSE t.id END, t.step + 1
 FROM t JOIN best USING (w) WHERE t.p <> gone"""
     + _END
 )
 # Overlapping occurrences follow each other without a gap: every second one of such a run contracts, from its first.
 ALL_A_ROUND = (
-    _START
-    + f"""WITH {_PAIRS},
+    """WITH RECURSIVE t(w, p, id, step) AS (SELECT w, p, id, 0 FROM base UNION ALL (
+WITH x AS (SELECT *, lead(id) OVER o AS right_id, lead(p) OVER o AS next_p FROM t WHERE step < $rounds WINDOW o AS (PARTITION BY w ORDER BY p)),
+hit AS (SELECT w, p, next_p, merged, many FROM x JOIN merges m ON m.pair = (x.id::BIGINT << 32 | x.right_id)),
 best AS (SELECT w, min(merged) AS merged, min(merged::BIGINT << 32 | p) & 4294967295 AS first_p FROM hit GROUP BY w),
 same AS (SELECT h.w, h.p, h.next_p, h.merged, lag(h.next_p) OVER (PARTITION BY h.w ORDER BY h.p) IS DISTINCT FROM h.p AS starts
          FROM hit h JOIN best b ON h.w = b.w AND h.merged = b.merged WHERE h.many OR h.p = b.first_p),
@@ -87,7 +86,9 @@ class ByteCodec:
 
         if pattern is None:
             from public_tokenizers import PATTERN as pattern  # noqa: N811
-        self.split = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern).findall
+        # the pattern that prefix_tokens has a faster form of, for texts of common characters
+        self.common = pattern == COMMON_PATTERN
         with open(vocabulary(path), "rb") as f:
             self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
         self.single = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
@@ -97,6 +98,10 @@ class ByteCodec:
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": "", "memory_limit": "1GB"})
         self._fill()
 
+    def split(self, text: str) -> list[str]:
+        found = split_common(text) if self.common else None
+        return self.pattern(text) if found is None else found
+
     def _fill(self) -> None:
         left, right, merged = [], [], []
         for t, r in self.rank.items():
@@ -112,7 +117,7 @@ class ByteCodec:
         self.db.execute("""
             CREATE TABLE merges AS
             WITH low AS (SELECT id, min(merged) AS low FROM (SELECT left_id AS id, merged FROM _pairs UNION ALL SELECT right_id, merged FROM _pairs) GROUP BY id)
-            SELECT p.*, coalesce(low > merged, true) AS many FROM _pairs p LEFT JOIN low ON low.id = p.merged""")
+            SELECT left_id::BIGINT << 32 | right_id AS pair, merged, coalesce(low > merged, true) AS many FROM _pairs p LEFT JOIN low ON low.id = p.merged""")
         self.db.unregister("_pairs")
         self.db.register("_tokens", tokens)
         self.db.execute("CREATE TABLE tokens AS SELECT * FROM _tokens")
@@ -123,24 +128,21 @@ class ByteCodec:
 
     def contract(self, words: list[bytes], sql: str = ONE_A_ROUND) -> list[bytes]:
         """Ids (int32, native order) of each word."""
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        starts = np.cumsum(length) - length
-        base = {
-            "w": np.repeat(np.arange(len(words), dtype=np.int32), length),
-            "p": (np.arange(length.sum()) - np.repeat(starts, length)).astype(np.int64),
-            "id": self.single[np.frombuffer(b"".join(words), np.uint8)],
-        }
+        w = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words)))
+        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
         out: list[bytes] = [b""] * len(words)
-        while len(base["w"]):
-            self.db.register("base", pa.table(base))
-            r = self._query(sql, rounds=max(1, ROWS // len(base["w"])))
+        while len(w):
+            starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            p = np.arange(len(w)) - np.repeat(starts, np.diff(np.append(starts, len(w))))
+            self.db.register("base", pa.table({"w": w, "p": p, "id": ids}))
+            r = self._query(sql, rounds=max(1, ROWS // len(w)))
             self.db.unregister("base")
             w, ids, open_ = r["w"], r["id"].astype(np.int32), r["unfinished"].astype(bool)
             cuts = np.flatnonzero(np.diff(w)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(w)]):
                 if not open_[a]:
                     out[w[a]] = ids[a:b].tobytes()
-            base = {"w": w[open_].astype(np.int32), "p": r["p"][open_].astype(np.int64), "id": ids[open_]}
+            w, ids = w[open_].astype(np.int32), ids[open_]
         return out
 
     def learn(self, words: set[str]) -> list[str]:

@@ -40,11 +40,18 @@ GROUP_CHARS = 2_000_000  # characters handled at once
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _SIMPLE = re.compile("[\\t-\\r -~¡-±´-¸º-»¿-ɏ‐-‧‰-⁞€]*\\Z").match
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+").findall
+# Fixed value (of the public tokenizers): the split that _SPLIT does for such texts.
+COMMON_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BLANK = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's White_Space
 _RUN = re.compile(f"[{_BLANK}]{{2,}}(?=[^{_BLANK}])").finditer
 _PAIR = ("'re", "'ve", "'ll")  # of the library's split pattern; cut short, they fall into two pre-tokens
 
 
+def split_common(text: str) -> list[str] | None:
+    """Pre-tokens of a text of common characters; None for any other text."""
+    return _SPLIT(text) if _SIMPLE(text) else None
+
+
 def _byte_alphabet() -> dict[str, str]:
     """The byte-level alphabet's characters to characters of the same byte value."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -6,8 +6,8 @@ overlap. For every pair of ids the index keeps which documents link it: a
 compressed bitmap per bucket of documents, and bitmaps of the documents by the
 bits of their further links (multiplicity planes). Merged and counted, they give
 a pair's documents and links; weighted with the pair's counts, the same postings
-give every document's scores. Pairs are shuffled with their bitmaps, never as
-single links, and a pair found everywhere has one row a bucket.
+give every document's scores. Pairs travel with their bitmaps, never as single
+links, and a pair found everywhere has one row a bucket.
 
 A bucket is a run of documents of one task, ``BUCKET_CHARS`` characters or
 65,536 documents at most. A bitmap of few documents is a list of their numbers
@@ -35,14 +35,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import map_arrow, table, vocabulary, written
-from slotwise.llm.prefix_tokens import grouped
+from slotwise.llm.prefix_coder import Memo
+from slotwise.llm.prefix_tokens import grouped, split_common
 
 LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 GROUP_CHARS = 1_000_000  # characters tokenized at once
 BUCKET_CHARS = 12_000_000  # characters of a bucket, about
 BUCKET_DOCS = 65_536  # document numbers are two bytes
-HELD = 1_500_000  # posting entries a task adds up before it hands sums on
-SHIFT = 32  # pair = left id << SHIFT | right id
+SHIFT = 24  # pair = left id << SHIFT | right id; below 2^47, so that a pair and a document number fit 63 bits
+BROADCAST = 1_000_000  # pairs that may be broadcast
+CACHE = 400_000  # distinct pre-tokens per generation of a worker's memo
+KEEP = 64  # longer pre-tokens are encoded each time
 MARK = "▁"
 
 
@@ -67,8 +70,12 @@ class Pair:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = SentencePieceProcessor(model_file=vocabulary(right))
+        self.words = Memo(CACHE)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        # plain byte-level pre-tokens, with no pattern, prefix or normal form of their own
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.common = spec["normalizer"] is None and plain.items() <= ({"use_regex": True} | spec["pre_tokenizer"]).items()
         back, size = _byte_level(), self.a.get_vocab_size(with_added_tokens=True)
         self.a_bytes = [b""] * size
         for token, i in spec["model"]["vocab"].items():
@@ -86,10 +93,29 @@ class Pair:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode("utf-8")
 
+    def _left(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids by the left tokenizer; it encodes each distinct pre-token once, as merges stay inside one."""
+        split = [self._split(t) for t in texts]
+        new = self.words.missing(set().union(*split))
+        now = self.words.now
+        for s in range(0, len(new), 20_000):
+            some = new[s : s + 20_000]
+            for w, x in zip(some, self.a.encode_batch_fast(some, add_special_tokens=False)):
+                now[w] = np.array(x.ids, np.int32).tobytes()
+        out = [np.frombuffer(b"".join(map(now.__getitem__, s)), np.int32).astype(np.int64) for s in split]
+        for w in new:
+            if len(w) > KEEP:
+                del now[w]
+        return out
+
+    def _split(self, text: str) -> list[str]:
+        found = split_common(text) if self.common else None
+        return [text[a:b] for _, (a, b) in self.a.pre_tokenizer.pre_tokenize_str(text)] if found is None else found
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids by both; texts without tokens (see the module's cases) have none."""
         none = np.zeros(0, np.int64)
-        a = [np.array(x.ids, np.int64) for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = self._left([" " + t for t in texts])
         b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
         for k, t in enumerate(texts):
             whole = (" " + t).encode("utf-8")
@@ -107,29 +133,31 @@ class Aligned:
         self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, n) for x in (a, b))
         end_a, end_b = np.cumsum(pair.a_length[self.a]), np.cumsum(pair.b_length[self.b])  # of equal totals, text by text
         j = np.searchsorted(end_b, end_a)
-        i = np.flatnonzero(end_b[j] == end_a) if len(j) else j
-        cuts, j = end_a[i], j[i]
+        cut_a, cut_b = end_b[j] == end_a if len(j) else np.zeros(0, bool), np.zeros(len(end_b), bool)
+        i = np.flatnonzero(cut_a)
+        j = j[i]
+        cut_b[j] = True
         # between two neighbouring ends lies the overlap of exactly one token of each
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # a merge of two runs
+        ends = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
         self.link_a, self.link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         doc_a = np.repeat(np.arange(n), self.n_a)
         self.doc = doc_a[self.link_a]
         self.n_links = np.bincount(self.doc, minlength=n)
         self.n_groups = np.bincount(doc_a[i], minlength=n)
         # written order: a group's left tokens, then its right ones
-        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
         until_a, until_b = np.append(0, i + 1), np.append(0, j + 1)
         size_a, size_b = len(pair.a_length), len(pair.b_length)
         text = np.empty(len(self.a) + len(self.b), np.int64)
-        text[np.arange(len(self.a)) + until_b[group_a]] = self.a + size_a * (cuts[group_a] == end_a)
-        text[np.arange(len(self.b)) + until_a[group_b + 1]] = 2 * size_a + self.b + size_b * (cuts[group_b] == end_b)
+        text[np.arange(len(self.a)) + until_b[group_a]] = self.a + size_a * cut_a
+        text[np.arange(len(self.b)) + until_a[group_b + 1]] = 2 * size_a + self.b + size_b * cut_b
         pieces, at = list(map(pair.texts.__getitem__, text.tolist())), np.cumsum(np.append(0, self.n_a + self.n_b)).tolist()
         self.groups = ["".join(pieces[x:y])[:-1] for x, y in zip(at, at[1:])]
 
     def entries(self, first: int) -> np.ndarray:
         """pair << 16 | document number, once a link; numbers from ``first`` on."""
-        pair = self.a[self.link_a] << SHIFT | self.b[self.link_b]
-        return np.stack([pair, self.doc + first])
+        return (self.a[self.link_a] << SHIFT | self.b[self.link_b]) << 16 | (self.doc + first)
 
 
 @lru_cache(maxsize=1)
@@ -171,26 +199,28 @@ def numbers_of(bitmaps: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     dense = size % 2 == 1
     inside = np.repeat(~dense, size)
     rows = np.repeat(np.flatnonzero(~dense), size[~dense] // 2)
-    found = np.ascontiguousarray(data[ends[0] : ends[-1]][inside]).view("<u2").astype(np.int64)
+    found = [np.ascontiguousarray(data[ends[0] : ends[-1]][inside]).view("<u2").astype(np.int64)]
+    rows = [rows]
     for k in np.flatnonzero(dense).tolist():
         at = np.flatnonzero(np.unpackbits(data[ends[k] : ends[k + 1]], bitorder="little"))
-        rows, found = np.append(rows, np.full(len(at), k)), np.append(found, at)
-    return rows, found
+        rows.append(np.full(len(at), k))
+        found.append(at)
+    return np.concatenate(rows), np.concatenate(found)
 
 
 def postings(entries: np.ndarray, docs: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
     """Pairs of a bucket, their document bitmaps and their multiplicity planes.
 
-    ``entries``: pair and document number of each link. Plane k holds the
+    ``entries``: pair << 16 | document number of each link. Plane k holds the
     documents of which bit k of (links - 1) is set.
     """
-    key, number = entries
-    names, index = np.unique(key, return_inverse=True)
-    x = np.sort(index << 16 | number)
+    x = np.sort(entries)
     at = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
     more = np.diff(np.append(at, len(x))) - 1
     x = x[at]
-    row, number = x >> 16, x & 0xFFFF
+    key, number = x >> 16, x & 0xFFFF
+    new = np.append(True, key[1:] != key[:-1]) if len(x) else np.zeros(0, bool)
+    names, row = key[new], np.cumsum(new) - 1
     bitmaps = containers(number, np.bincount(row, minlength=len(names)), docs)
     planes, of, bit = [], [], int(more.max(initial=0)).bit_length()
     for k in range(bit):
@@ -235,7 +265,7 @@ def aligned_documents(
             return pa.RecordBatch.from_arrays([have[c] if c in have else pa.nulls(n, nothing.get(c, pa.int64())) for c in names], names=names)
 
         def index() -> Iterator[pa.RecordBatch]:
-            keys, bitmaps, planes = postings(np.concatenate([np.zeros((2, 0), np.int64), *held], axis=1), number)
+            keys, bitmaps, planes = postings(np.concatenate([np.zeros(0, np.int64), *held]), number)
             for s in range(0, len(keys), 100_000):
                 some = slice(s, s + 100_000)
                 n = len(keys[some])
@@ -277,49 +307,53 @@ def pair_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("pair").agg(F.sum(_count(F.col("docs"))).alias("n_docs"), F.sum(links).alias("n_links"))
 
 
-def document_scores(index: DataFrame, counts: DataFrame) -> DataFrame:
+def document_scores(index: DataFrame, counts: DataFrame, most: int = BROADCAST) -> DataFrame:
     """``bucket, number, count_sum, n_best`` from the postings of ``index`` and ``pair, n_links, best``.
 
-    A task adds up what its pairs give each document before anything is
-    shuffled; the sums of all tasks are added per document.
+    Up to ``most`` pairs (some 30 bytes each) are broadcast, and a bucket's
+    postings are weighted where they lie, one after the other as they were
+    written. Above that, postings and pairs are joined by pair and the weighted
+    postings go back to their buckets. A task adds up one bucket at a time, in
+    two arrays of its documents; what different tasks found is added after that.
     """
-    both = index.select("pair", "bucket", "docs", "planes").join(counts, "pair").select("bucket", "docs", "planes", "n_links", F.col("best").cast("bigint"))
+    columns = ["bucket", "docs", "planes", "n_links", F.col("best").cast("bigint").alias("best")]
+    index = index.select("pair", "bucket", "docs", "planes")
+    if counts.limit(most + 1).count() <= most:
+        both = index.join(F.broadcast(counts), "pair").select(*columns)
+    else:
+        both = index.join(counts, "pair").select(*columns).repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def added(parts: list[np.ndarray]) -> np.ndarray:
-            bucket, number, total, best = np.concatenate(parts, axis=1)
-            order = np.lexsort((number, bucket))
-            bucket, number = bucket[order], number[order]
-            new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1])))
-            return np.stack([bucket[new], number[new], np.add.reduceat(total[order], new), np.add.reduceat(best[order], new)])
+        open_, sums = None, np.zeros((2, BUCKET_DOCS), np.int64)
 
-        def out(x: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(v) for v in x], names=["bucket", "number", "count_sum", "n_best"])
+        def out() -> pa.RecordBatch:
+            number = np.flatnonzero(sums[0])  # a document of a posting has at least one link
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(number), open_)), *(pa.array(x) for x in (number, *sums[:, number]))], names=names)
 
+        names = ["bucket", "number", "count_sum", "n_best"]
         for batch in batches:
-            bucket, total, best = (batch.column(k).to_numpy() for k in (0, 3, 4))
-            row, number = numbers_of(batch.column(1))
-            parts = [np.stack([bucket[row], number, total[row], best[row]])]
-            planes = batch.column(2)
-            each = planes.value_lengths().to_numpy()
-            if each.any():
-                at = np.repeat(np.arange(len(each)), each)
-                weight = np.int64(1) << (np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each))
-                row, number = numbers_of(planes.flatten())
-                w, row = weight[row], at[row]
-                parts.append(np.stack([bucket[row], number, total[row] * w, best[row] * w]))
-            held += parts
-            n += sum(p.shape[1] for p in parts)
-            if n > HELD:
-                held = [added(held)]
-                n = held[0].shape[1]
-                if n > HELD // 2:
-                    yield out(held[0])
-                    held, n = [], 0
-        if n:
-            yield out(added(held))
+            buckets = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else []
+            for lo, hi in zip(starts, [*starts[1:], len(buckets)]):
+                if buckets[lo] != open_:
+                    if open_ is not None:
+                        yield out()
+                    open_ = int(buckets[lo])
+                    sums[:] = 0
+                part = batch.slice(lo, hi - lo)
+                weights = np.stack([part.column(3).to_numpy(), part.column(4).to_numpy()])
+                row, number = numbers_of(part.column(1))
+                for total, w in zip(sums, weights):
+                    np.add.at(total, number, w[row])
+                each = part.column(2).value_lengths().to_numpy()
+                if each.any():
+                    at = np.repeat(np.arange(len(each)), each)
+                    bit = np.int64(1) << (np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each))
+                    row, number = numbers_of(part.column(2).flatten())
+                    for total, w in zip(sums, weights):
+                        np.add.at(total, number, (w[at] * bit)[row])
+        if open_ is not None:
+            yield out()
 
     sums = map_arrow(both, run, "bucket bigint, number bigint, count_sum bigint, n_best bigint")
     return sums.groupBy("bucket", F.col("number").cast("int").alias("number")).agg(F.sum("count_sum").alias("count_sum"), F.sum("n_best").alias("n_best"))

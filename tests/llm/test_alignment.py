@@ -134,6 +134,13 @@ def test_alignment_equals_brute_force(make_docs, monkeypatch):
     assert plain(tuple(r) for r in digests.collect()) == plain((*w[:-1], sha(w[-1].encode()) if w[-1] else "") for w in want)
 
 
+def test_scores_without_a_broadcast(make_docs, monkeypatch):
+    want, _ = brute(SHORT)
+    monkeypatch.setattr(alignment.document_scores, "__defaults__", (3,))
+    got, _ = alignment.align(make_docs(SHORT).repartition(3))
+    assert plain(map(tuple, got.collect())) == plain(want)
+
+
 def test_alignment_of_nothing(make_docs):
     rows, pairs = alignment.align(make_docs([]))
     assert rows.count() == 0 and pairs.count() == 0
@@ -143,10 +150,10 @@ def test_postings_round_trip():
     rng = np.random.default_rng(3)
     docs = 3000
     # pair 7 in most documents (a bitmap of bits), pair 9 in few, up to 40 links a document
-    entries = np.stack([rng.choice([7, 7, 7, 7, 9 << 40, 11], 20_000, p=[0.2] * 5 + [0.0]), rng.integers(0, docs, 20_000)])
-    entries = np.concatenate([entries, [[9 << 40] * 40, [5] * 40]], axis=1)
+    pairs = rng.choice([7, 9 << 30, 11], 20_000, p=[0.8, 0.19, 0.01])
+    entries = np.concatenate([pairs << 16 | rng.integers(0, docs, 20_000), np.full(40, (9 << 30) << 16 | 5)])
     keys, bitmaps, planes = alignment.postings(entries, docs)
-    want = Counter(map(tuple, entries.T.tolist()))
+    want = Counter((e >> 16, e & 0xFFFF) for e in entries.tolist())
     got = Counter()
     row, number = alignment.numbers_of(bitmaps)
     for r, n in zip(keys[row].tolist(), number.tolist()):

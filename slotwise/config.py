@@ -43,6 +43,13 @@ class RunParams:
     counted audience rows and keys (None: share while a key serves
     ``share_ratio`` rows or more on average).
 
+    ``heavy_share`` — recipients and accounts with this share of the rows or
+    more are found by a sketch and spread over the partitions of the recipient
+    and token joins (None: plain joins, left to AQE).
+
+    ``check_config`` — fail the run on duplicate keys in its configuration,
+    which would multiply recipients (``operators/integrity.py``).
+
     ``checkpoint_audience`` writes the audience to the session's reliable
     checkpoint folder (``spark.checkpoint.dir``) instead of caching it, so a
     lost executor costs a re-read rather than a re-run of the recipient join.
@@ -60,6 +67,8 @@ class RunParams:
     checkpoint_audience: bool = False
     share_content: bool | None = None
     share_ratio: float = 2.0
+    heavy_share: float | None = 0.01
+    check_config: bool = False
     required_slots: tuple[int, ...] = (1, 2)
 
     @property

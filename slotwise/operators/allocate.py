@@ -9,7 +9,7 @@ so a cohort finds its candidates in its own row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions import templates
@@ -24,48 +24,56 @@ from slotwise.operators.util import broadcast_checked
 PLACEMENTS_DEMOTABLE = ("hero", "banner")
 
 
-def offered_modules(content: DataFrame) -> DataFrame:
-    """Rows of the expanded content that can fill a slot (modules with variables)."""
-    return (
-        content.filter(F.col("var_position").isNotNull())
-        .select(
-            "campaign_id", "slot_position", "segment_type_id", "module_type_id", "placement_type",
-            F.col("module_priority_in_slot").cast("int").alias("module_priority_in_slot"),
-            F.col("module_id").cast("int").alias("module_id"), "version", "ttl_versions",
-        )
-        .distinct()
+def offer_rows(content: DataFrame) -> DataFrame:
+    """Rows of the expanded content that can fill a slot (modules with variables), repeated per variable."""
+    return content.filter(F.col("var_position").isNotNull()).select(
+        "campaign_id", "slot_position", "segment_type_id", "module_type_id",
+        F.col("module_priority_in_slot").cast("int").alias("module_priority_in_slot"),
+        F.col("module_id").cast("int").alias("module_id"), "version", "ttl_versions",
     )
 
 
+def bound(expr: Column, fn) -> Column:
+    """``fn`` of an expression that is evaluated once a row: it enters as a lambda
+    variable, where a column would be copied into every use inside ``fn``."""
+    return F.get(F.transform(F.array(expr), fn), 0)
+
+
 def module_index(content: DataFrame) -> DataFrame:
     """One row per campaign: its offers in order, and per segment a bitmap of them.
 
-    ``offers``: (slot, type, priority, module, its place ``at`` in the campaign's
-    module list, version, versions), sorted so that the greatest module of a
+    ``offers``: (slot, type, priority, module, version, versions and the module's
+    place ``at`` in the campaign's list), sorted so that the greatest module of a
     (slot, type, priority) comes first (Q8). ``index``: segment → words of 64
-    offers each. Configuration-sized; a campaign's offers are numbered, packed
-    and collected under one partitioning by campaign.
+    offers each. Configuration-sized, and one exchange: a campaign's rows are
+    collected, then numbered and packed in their row.
     """
-    by_campaign = Window.partitionBy("campaign_id")
-    order = ["slot_position", "module_type_id", "module_priority_in_slot", F.col("module_id").desc(), "version", "ttl_versions"]
-    offers = offered_modules(content).withColumns(
-        {
-            "no": F.dense_rank().over(by_campaign.orderBy(*order)) - 1,
-            "at": F.dense_rank().over(by_campaign.orderBy("module_id")) - 1,
-        }
+    row = F.struct(
+        F.col("slot_position").alias("slot"), F.col("module_type_id").alias("type"), F.col("module_priority_in_slot").alias("priority"),
+        (-F.col("module_id")).alias("order"), "version", "ttl_versions", F.col("segment_type_id").cast("int").alias("segment"),
+    )
+    campaigns = offer_rows(content).groupBy("campaign_id").agg(F.collect_set(row).alias("rows"))
+    bare = lambda r: r.dropFields("segment")
+    campaigns = campaigns.select(
+        "campaign_id", "rows", F.array_sort(F.array_distinct(F.transform("rows", bare))).alias("bare"),
+        F.array_sort(F.array_distinct(F.transform("rows", lambda r: -r["order"]))).alias("modules"),
     )
-    word = F.floor(F.col("no") / 64).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("no") % 64)
-    words = offers.groupBy("campaign_id", "segment_type_id", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    words = words.withColumn("n_words", F.max("word").over(by_campaign) + 1)
-    sparse = words.groupBy("campaign_id", "segment_type_id", "n_words").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
-    full = F.transform(F.sequence(F.lit(0), F.col("n_words") - 1), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("bigint")))
-    segments = sparse.groupBy("campaign_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("segment_type_id").cast("int"), full))).alias("index"))
-    offer = F.struct(
-        "no", F.col("slot_position").alias("slot"), F.col("module_type_id").alias("type"), F.col("module_priority_in_slot").alias("priority"),
-        "module_id", "at", "version", "ttl_versions",
+
+    def words(segment: Column, rows: Column, offers: Column) -> Column:
+        places = F.transform(F.filter(rows, lambda r: r["segment"] == segment), lambda r: (F.array_position(offers, bare(r)) - 1).cast("int"))
+        word = lambda found, w: F.aggregate(
+            F.filter(found, lambda p: F.floor(p / 64) == w), F.lit(0).cast("bigint"),
+            lambda bits, p: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), p % 64)),
+        )
+        return bound(places, lambda found: F.transform(F.sequence(F.lit(0), F.floor((F.size(offers) - 1) / 64).cast("int")), lambda w: word(found, w)))
+
+    segments = F.array_distinct(F.transform("rows", lambda r: r["segment"]))
+    index = bound(F.struct("rows", "bare"), lambda c: F.map_from_entries(F.transform(segments, lambda s: F.struct(s, words(s, c["rows"], c["bare"])))))
+    offer = lambda o, no: F.struct(
+        no.cast("bigint").alias("no"), o["slot"].alias("slot"), o["type"].alias("type"), o["priority"].alias("priority"), (-o["order"]).alias("module_id"),
+        (F.array_position("modules", -o["order"]) - 1).cast("int").alias("at"), o["version"].alias("version"), o["ttl_versions"].alias("ttl_versions"),
     )
-    return offers.groupBy("campaign_id").agg(F.sort_array(F.collect_set(offer)).alias("offers")).join(segments, "campaign_id")
+    return campaigns.select("campaign_id", F.transform("bare", offer).alias("offers"), index.alias("index"))
 
 
 def allocated_offers(
@@ -85,17 +93,17 @@ def allocated_offers(
     own = F.filter(F.transform(F.array_distinct(segment_ids("segment_type_id")), lambda s: F.try_element_at("index", s)), lambda m: m.isNotNull())
     none = F.array().cast("array<bigint>")
     either = F.aggregate(own, none, lambda x, m: F.when(F.size(x) == 0, m).otherwise(F.zip_with(x, m, lambda a, b: a.bitwiseOR(b))))
-    rows = cohort_df.join(index, "campaign_id").withColumn("_mask", either)
 
-    def offered(o: Column) -> Column:
-        word = F.get("_mask", F.floor(o["no"] / 64).cast("int"))
+    def offered(mask: Column, o: Column) -> Column:
+        word = F.get(mask, F.floor(o["no"] / 64).cast("int"))
         return F.call_function("shiftright", word, o["no"] % 64).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
     today = lambda o: o["version"] == pick_version(F.col("test_keys"), seed, o["ttl_versions"])
-    rows = rows.withColumn("_all", F.filter("offers", lambda o: F.coalesce(offered(o) & today(o), F.lit(False))))
     place = lambda o: F.struct(o["slot"], o["type"], o["priority"])
-    first = F.filter("_all", lambda o, i: (i == 0) | (place(o) != place(F.get("_all", F.greatest(i - 1, F.lit(0))))))
-    return rows.select(*COHORT_KEYS, first.alias("chosen")).filter(F.size("chosen") > 0)
+    received = lambda mask: F.filter("offers", lambda o: F.coalesce(offered(mask, o) & today(o), F.lit(False)))
+    first = lambda found: F.filter(found, lambda o, i: (i == 0) | (place(o) != place(F.get(found, F.greatest(i - 1, F.lit(0))))))
+    chosen = bound(bound(either, received), first)
+    return cohort_df.join(index, "campaign_id").select(*COHORT_KEYS, chosen.alias("chosen")).filter(F.size("chosen") > 0)
 
 
 def allocate_modules(
@@ -146,7 +154,7 @@ def module_variables(content: DataFrame, mode: str = "compat") -> DataFrame:
 def campaign_modules(content: DataFrame, mode: str = "compat") -> DataFrame:
     """Per campaign, its offered modules with attributes and variables, in the order
     of ``module_index``'s places."""
-    offered = offered_modules(content).select("campaign_id", "module_id").distinct()
+    offered = offer_rows(content).select("campaign_id", "module_id").distinct()
     modules = module_attributes(content).join(module_variables(content, mode), "module_id")
     rows = offered.join(modules, "module_id", "left")
     module = F.struct("module_id", "placement_type", "default_flag", "vars")
@@ -160,12 +168,15 @@ def allocation(
     the campaign's module list). What the modules say is attached when a content
     row is rendered (``with_modules``), so cohorts carry numbers only."""
     rows = allocated_offers(cohort_df, content, seed, max_broadcast_rows, known)
-    slots = F.array_distinct(F.transform("chosen", lambda o: o["slot"].cast("int")))
     candidate = lambda o: F.struct(
         o["priority"].alias("priority"), o["type"].cast("int").alias("type_id"), o["module_id"].alias("module_id"), o["at"].alias("at")
     )
-    per_slot = F.transform(slots, lambda s: F.struct(s, F.sort_array(F.transform(F.filter("chosen", lambda o: o["slot"] == s), candidate))))
-    return rows.select(*COHORT_KEYS, F.map_from_entries(per_slot).alias("slot_cands"))
+
+    def per_slot(chosen: Column) -> Column:
+        slots = F.array_distinct(F.transform(chosen, lambda o: o["slot"].cast("int")))
+        return F.transform(slots, lambda s: F.struct(s, F.sort_array(F.transform(F.filter(chosen, lambda o: o["slot"] == s), candidate))))
+
+    return rows.select(*COHORT_KEYS, F.map_from_entries(bound(F.col("chosen"), per_slot)).alias("slot_cands"))
 
 
 def with_modules(

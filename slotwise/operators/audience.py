@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.keys import normalize_locale, segment_ids
+from slotwise.operators.skew import heavy_keys, salted_join, salts_for
 from slotwise.operators.util import broadcast_checked
 
 # Fixed values (must equal the reference's): join and cohort keys.
@@ -48,16 +49,20 @@ def assign_campaigns(
     return seg.join(campaigns, CAMPAIGN_KEYS)
 
 
-def build_audience(assigned: DataFrame, profiles: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def build_audience(assigned: DataFrame, profiles: DataFrame, columns: list[str] | None = None, heavy_share: float | None = None) -> DataFrame:
     """C7 + D-5: assigned campaigns ⋈ active profiles, distinct.
 
     ``columns``: the profile columns later stages read; only they (and the
     keys) are shuffled, hashed and cached, however wide the profile table is.
     Profile rows that differ in other columns only become one row.
+    ``heavy_share``: recipients with such a share of the assigned rows are
+    found by a sketch first and spread over the partitions (equal rows stay
+    together, so the distinct still needs no exchange of its own kind).
     """
     if columns is not None:
         profiles = profiles.select(*dict.fromkeys([*RECIPIENT_KEYS, *columns]))
-    return assigned.join(profiles, RECIPIENT_KEYS).distinct()
+    heavy = heavy_keys(assigned, RECIPIENT_KEYS, heavy_share) if heavy_share else []
+    return salted_join(assigned, profiles, RECIPIENT_KEYS, "inner", heavy, salts_for(assigned)).distinct()
 
 
 def cohorts(audience: DataFrame) -> DataFrame:

@@ -138,12 +138,6 @@ def slot_widths(content: DataFrame) -> DataFrame:
     return content.groupBy("slot_position").agg(F.max("var_position").alias("var_position"))
 
 
-def slot_list(content: DataFrame) -> DataFrame:
-    """D-4: number and ascending list of slots that have variables."""
-    slots = content.filter(F.col("var_position").isNotNull()).agg(F.array_sort(F.collect_set("slot_position")).alias("slots"))
-    return slots.select(F.size("slots").alias("number_slots"), "slots")
-
-
 def module_counts(content: DataFrame) -> DataFrame:
     """D-3: distinct slots per (campaign, audience table)."""
     return content.groupBy("campaign_id", "AudienceTableName").agg(F.countDistinct("slot_position").alias("ModuleCount"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.keys import click_token, null_literals, status_flag
 from slotwise.operators.campaigns import drop_matching
+from slotwise.operators.skew import salted_join, salts_for
 from slotwise.operators.util import broadcast_checked
 
 # Output contract renames (fixed names of the reference's delivery format).
@@ -41,18 +42,20 @@ def has_account(df: DataFrame) -> DataFrame:
     return df.filter(F.col("paid").isNotNull())
 
 
-def add_tokens(df: DataFrame, account_tokens: DataFrame | None, subscriber_tokens: DataFrame | None) -> DataFrame:
+def add_tokens(df: DataFrame, account_tokens: DataFrame | None, subscriber_tokens: DataFrame | None, heavy: list[str] | None = None) -> DataFrame:
     """C16 + H13 + H14: click token from the account table, else the subscriber
     table, else ``""``. Two left joins on the same key: the second reuses the
-    first one's partitioning, so only the token tables are shuffled again.
+    first one's partitioning, so only the token tables are shuffled again, and
+    a table that is bucketed by its key (``tables.write_bucketed``) not even once.
+    ``heavy``: accounts (as text) whose rows are spread over the partitions.
     A run without one of the tables finds no token in it."""
     out, found = df, []
     for name, key, t in (("a", "ProtoAccountID", account_tokens), ("s", "SubscriberID", subscriber_tokens)):
         if t is not None:
-            side = t.select(F.col(key).alias(f"_paid_{name}"), click_token("UserToken").alias(f"_tok_{name}"))
-            out = out.join(side, F.col("paid") == F.col(f"_paid_{name}"), "left")
+            side = t.select(F.col(key).alias("paid"), click_token("UserToken").alias(f"_tok_{name}"))
+            out = salted_join(out, side, ["paid"], "left", heavy or [], salts_for(df))
             found.append(f"_tok_{name}")
-    return out.withColumn("UserToken", F.coalesce(*found, F.lit(""))).drop("_paid_a", "_tok_a", "_paid_s", "_tok_s")
+    return out.withColumn("UserToken", F.coalesce(*found, F.lit(""))).drop("_tok_a", "_tok_s").select(*df.columns, "UserToken")
 
 
 def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None) -> DataFrame:

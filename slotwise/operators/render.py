@@ -20,10 +20,11 @@ from slotwise.functions.bindings import (
 from slotwise.functions.keys import normalize_locale
 from slotwise.functions.templates import render_compiled
 from slotwise.functions.text import render_options, resolve_parts
+from slotwise.operators import bloom
 from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE, with_modules
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope, slot_widths
-from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked
+from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked, measured_size
 
 # Fixed value (must equal the reference's): priority of demoted content / suppressed campaigns.
 SUPPRESSED_PRIORITY = 9999
@@ -108,16 +109,29 @@ def missing_lookups(specs: list[LookupSpec], lookups: dict[str, DataFrame]) -> l
     return sorted(set(missing))
 
 
-def prepare_lookup(table: DataFrame, spec: LookupSpec, scope: Scope, n: int) -> DataFrame:
-    """Scope-filtered lookup, one row per key (D-8: deterministic survivor instead
-    of the reference's arbitrary last row), keys and values as text."""
+def scoped_lookup(table: DataFrame, spec: LookupSpec, scope: Scope, n: int) -> DataFrame:
+    """Rows of the lookup in the run's scope, keys and values as text."""
     keys = [F.col(r).cast("string").alias(f"_lk{n}_k{i}") for i, r in enumerate(spec.right)]
     vals = [F.col(c).cast("string").alias(f"_lk{n}_v{j}") for j, c in enumerate(spec.columns)]
-    t = in_scope(normalize_locale(table), scope).select(*keys, *vals)
+    return in_scope(normalize_locale(table), scope).select(*keys, *vals)
+
+
+def prepare_lookup(scoped: DataFrame, spec: LookupSpec, n: int, rows: DataFrame | None = None, n_rows: int = 0, max_bytes: int = 0) -> DataFrame:
+    """One row per key (D-8: deterministic survivor instead of the reference's
+    arbitrary last row), with a mark that the key was found.
+
+    With ``rows`` (``n_rows`` at most) the lookup is first cut down to the keys
+    these rows ask for, by a Bloom filter of at most ``max_bytes``, so that other
+    keys are neither deduplicated nor shuffled.
+    """
     key_names = [f"_lk{n}_k{i}" for i in range(len(spec.right))]
     val_names = [f"_lk{n}_v{j}" for j in range(len(spec.columns))]
+    blocks = bloom.blocks_for(n_rows, max_bytes) if rows is not None else None
+    if blocks is not None:
+        asked = rows.select(*[F.col(l).cast("string").alias(k) for l, k in zip(spec.left, key_names)])
+        scoped = bloom.may_match(scoped, key_names, bloom.key_filter(asked, key_names, blocks), blocks)
     return (
-        t.groupBy(*key_names)
+        scoped.groupBy(*key_names)
         .agg(F.max(F.struct(*val_names)).alias("_row"))
         .select(*key_names, *[F.col("_row")[v].alias(v) for v in val_names], F.lit(True).alias(f"_lk{n}_hit"))
     )
@@ -132,6 +146,7 @@ def attach_values(
     max_broadcast_rows: int = 2_000_000,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     cached: list | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``values: map<string,string>`` holding every recipient attribute
     (``traveler.<col>``) and every matched lookup value (``T.col@spec``).
@@ -140,19 +155,24 @@ def attach_values(
     concatenation); a null key never matches, and as the lookup has one row per
     key the number of rows never changes. ``cached`` collects the persisted
     lookups for a later release.
+
+    ``n_rows``: how many rows ask, if known. A lookup whose table is above the
+    broadcast bound is then filtered by the keys they ask for.
     """
     entries = [F.struct(F.lit(f"{RECIPIENT_TABLE}.{c}").alias("k"), F.col(c).cast("string").alias("v")) for c in attributes]
-    helper_cols = []
+    helper_cols, asking = [], rows
     for n, spec in enumerate(specs):
-        lk = prepare_lookup(lookups[spec.table], spec, scope, n)
+        # Measured and joined from the cache: a database table is read once.
+        scoped = scoped_lookup(lookups[spec.table], spec, scope, n).persist()
+        if cached is not None:
+            cached.append(scoped)
+        size = measured_size(scoped)
+        large = n_rows is not None and (size[0] > max_broadcast_rows or size[1] > max_broadcast_bytes)
+        lk = prepare_lookup(scoped, spec, n, asking if large else None, n_rows or 0, max_broadcast_bytes)
         cond = [F.col(l).cast("string") == F.col(f"_lk{n}_k{i}") for i, l in enumerate(spec.left)]
         if len(spec.left) != len(spec.right) or not cond:
             raise ValueError(f"binding '{spec.spec}' of table {spec.table} has uneven key lists")
-        # Measured and joined from the cache: a database table is read once.
-        lk = lk.persist()
-        if cached is not None:
-            cached.append(lk)
-        rows = rows.join(broadcast_checked(lk, max_broadcast_rows, max_bytes=max_broadcast_bytes), cond, "left")
+        rows = rows.join(broadcast_checked(lk, max_broadcast_rows, size, max_broadcast_bytes), cond, "left")
         hit = F.coalesce(F.col(f"_lk{n}_hit"), F.lit(False))
         for j, c in enumerate(spec.columns):
             key = f"{spec.table}.{c}@{spec.spec}"
@@ -231,8 +251,9 @@ def content_rows(
     max_broadcast_rows: int = 2_000_000,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     known: tuple[int, int] | None = None,
+    alloc_size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """C11: content keys with their cohort's candidates and what these say (left
     join: a cohort without any candidate still gets a row, all slots ``dummy``)."""
-    rows = keys.join(broadcast_checked(alloc, max_broadcast_rows, max_bytes=max_broadcast_bytes), COHORT_KEYS, "left")
+    rows = keys.join(broadcast_checked(alloc, max_broadcast_rows, alloc_size, max_broadcast_bytes), COHORT_KEYS, "left")
     return with_modules(rows, content, mode, max_broadcast_rows, known)

@@ -17,6 +17,7 @@ from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_check
 # Fixed values (must equal the reference's): account id of seed rows, seed category.
 SEED_ACCOUNT = 999999999
 SEED_CATEGORY = "Merch"
+MAX_SEEDS = 100_000
 
 
 def best_campaign(df: DataFrame) -> DataFrame:
@@ -45,14 +46,18 @@ def top_k(df: DataFrame, partition: list[str], order: list, k: int, name: str =
 def active_seeds(seeds: DataFrame, scope) -> DataFrame:
     """Active seed addresses of the scope, numbered 1..n by address.
 
-    The seed list is a small control table; the global window over it is the
-    only single-partition window of the job and it never sees recipient data.
+    The global window over the list is the only single-partition window of the
+    job and it never sees recipient data; a list above ``MAX_SEEDS`` addresses
+    is refused before it is numbered.
     """
     from slotwise.operators.campaigns import in_scope
     from slotwise.functions.keys import normalize_locale
 
     s = seeds.filter((F.col("CampaignCategory") == F.lit(SEED_CATEGORY)) & (F.col("IsActive") == 1))
     s = in_scope(normalize_locale(s), scope).select("tpid", "eapid", "locale", "SeedEmail").distinct()
+    n = s.count()
+    if n > MAX_SEEDS:
+        raise ValueError(f"{n} seed addresses; at most {MAX_SEEDS} are numbered in one task")
     return s.withColumn("row_id", F.row_number().over(Window.orderBy("SeedEmail")))
 
 

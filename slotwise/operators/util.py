@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,11 @@ class EmptyStageError(RuntimeError):
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
+def json_width(df: DataFrame) -> Column:
+    """Bytes of a row as JSON: an over-estimate that covers nested arrays and long strings."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of a frame in one parallel aggregate (partial sums per task,
     no ``limit``: a global limit would funnel the rows into one partition).
@@ -23,8 +28,7 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     per-type width guess would miss. A frame that is not persisted is computed
     for it once more.
     """
-    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(json_width(df)).alias("b")).first()
     return int(r.n), int(r.b or 0)
 
 
@@ -49,7 +53,11 @@ def broadcast_checked(
 
 def gate(df: DataFrame, name: str, min_rows: int = 1) -> int:
     """D-9: fail the run when a stage is empty; returns the stage's row count."""
-    n = df.count()
+    return gate_rows(df.count(), name, min_rows)
+
+
+def gate_rows(n: int, name: str, min_rows: int = 1) -> int:
+    """D-9 for a row count that is already known."""
     if n < min_rows:
         raise EmptyStageError(f"stage '{name}' produced {n} rows (need >= {min_rows})")
     return n

@@ -13,15 +13,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.config import Scope
 from slotwise.functions import bindings as B
 from slotwise.functions import keys as K
 from slotwise.functions import rotation as R
 from slotwise.functions import templates as TP
 from slotwise.functions import text as T
-from slotwise.operators import allocate, audience, campaigns, deliver, render, select
-from slotwise.plans.fixture_run import fixture_run
+from slotwise.operators import allocate, audience, campaigns, deliver, integrity, render, select
+from slotwise.plans.fixture_run import ENVIRONMENT, config_frames, daily_run, fixture_inputs, fixture_run, published_inputs, token_config
+from slotwise.plans.pipeline import GATED
 from slotwise.sources import fixtures as fx
-from slotwise.sources import runlog, tables
+from slotwise.sources import delivery, runlog, tables
 
 QUERIES: dict = {}
 
@@ -50,27 +52,30 @@ def q_scan_table(spark, sf_dir):
 
 @query("load_config")
 def q_load_config(spark, sf_dir):
-    f = _fx(spark, sf_dir)
-    src = tables.FrameSource(
-        {
-            "campaign_definition": f.fx_campaigns, "template_definition": f.fx_templates,
-            "segment_module": f.fx_segment_modules, "module_variable_definition": f.fx_module_vars,
-            "segment_definition": f.fx_segment_defs, "module_definition": f.fx_modules,
-        }
-    )
-    cfg = tables.load_config(spark, src)
+    """A2: the tables of an environment, their ``id`` column dropped."""
+    cfg = tables.load_config(spark, tables.FrameSource(config_frames(_fx(spark, sf_dir), ENVIRONMENT)), ENVIRONMENT)
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(df.columns)).alias("column_count")).withColumn("table_name", F.lit(n)) for n, df in cfg.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("read_ranges")
+def q_read_ranges(spark, sf_dir):
+    """A1: the log read in planned ranges: how many, whether balanced, and that they hold every row once."""
+    log = _fx(spark, sf_dir).fx_run_log
+    ranges = tables.plan_ranges(log, "LogID", 8)
+    number = reduce(lambda c, k: c.when(F.expr(ranges[k]), F.lit(k)), range(1, len(ranges)), F.when(F.expr(ranges[0]), F.lit(0)))
+    sizes = log.groupBy(number.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count("k").alias("n_ranges"), F.sum("n").alias("row_count"), (F.max("n") <= 1.1 * F.avg("n")).alias("balanced"))
+
+
 @query("active_profiles")
 def q_active_profiles(spark, sf_dir):
-    return audience.read_profiles(_fx(spark, sf_dir).fx_profiles)
+    return tables.read_profiles(spark, f"{published_inputs(spark, sf_dir)}/profiles")
 
 
 @query("read_segments")
 def q_read_segments(spark, sf_dir):
-    return tables.read_table(spark, "fx_segments", tables.FrameSource({"fx_segments": _fx(spark, sf_dir).fx_segments}))
+    return tables.read_segments(spark, f"{published_inputs(spark, sf_dir)}/segments")
 
 
 @query("latest_schedule")
@@ -88,6 +93,29 @@ def q_latest_run_all(spark, sf_dir):
     return runlog.latest_run_all(_fx(spark, sf_dir).fx_run_log, "EndDate")
 
 
+def _month_starts(log):
+    return log.select(F.date_trunc("month", "StartDate").cast("timestamp").alias("as_of")).distinct()
+
+
+def _as_text(df):
+    return df.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd"))
+
+
+@query("runs_as_of")
+def q_runs_as_of(spark, sf_dir):
+    """A6 for the first of every month the log knows."""
+    log = _fx(spark, sf_dir).fx_run_log
+    return _as_text(runlog.runs_as_of(log, _month_starts(log)))
+
+
+@query("scheduled_runs_as_of")
+def q_scheduled_runs_as_of(spark, sf_dir):
+    """A5 + A6 for the same dates: what each locale's producer had complete."""
+    f = _fx(spark, sf_dir)
+    schedules = f.fx_schedules.withColumn("ID", F.col("ID") % 20)
+    return _as_text(runlog.scheduled_runs_as_of(schedules, f.fx_run_log, _month_starts(f.fx_run_log), "ETL"))
+
+
 @query("process_identity")
 def q_process_identity(spark, sf_dir):
     return runlog.process_identity(_fx(spark, sf_dir).fx_process_config, fx.LOCALE, "Brand A")
@@ -140,6 +168,26 @@ def q_null_literals(spark, sf_dir):
     return K.null_literals(_run(spark, sf_dir).deduped)
 
 
+@query("token_table")
+def q_token_table(spark, sf_dir):
+    """I8: the token table of two scopes."""
+    cfg = token_config(_fx(spark, sf_dir))
+    parts = [deliver.token_table_for_scope(cfg, s).withColumn("scope", F.lit(f"{s.locale} {s.tpid} {s.eapid}")) for s in (Scope("en_us", 1, 0), Scope("fr_fr", 1, 1))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("config_violations")
+def q_config_violations(spark, sf_dir):
+    """What is wrong in a configuration with planted faults: templates defined
+    twice, campaigns of unknown templates, modules that are gone."""
+    f = _fx(spark, sf_dir)
+    cfg = fixture_inputs(f).config
+    cfg.templates = cfg.templates.unionByName(cfg.templates.filter("template_id <= 2"))
+    cfg.campaigns = cfg.campaigns.withColumn("template_id", F.when(F.col("campaign_id").cast("int") % 7 == 0, F.col("template_id") + 100).otherwise(F.col("template_id")))
+    cfg.module_defs = cfg.module_defs.filter("module_id % 10 <> 3")
+    return integrity.config_violations(cfg, _run(spark, sf_dir).params.scope)
+
+
 # ---------------------------------------------------------------- C/D/E: config expansion
 @query("campaign_meta")
 def q_campaign_meta(spark, sf_dir):
@@ -307,10 +355,19 @@ def q_lookup_values(spark, sf_dir):
     return rows.select(*keys, F.explode(entries).alias("e")).select(*keys, F.col("e.key").alias("value_key"), F.col("e.value").alias("value"))
 
 
+@query("lookup_values_filtered")
+def q_lookup_values_filtered(spark, sf_dir):
+    """C12 with lookups taken for too large to broadcast: cut down to the audience's keys before they are shuffled."""
+    run = _run(spark, sf_dir)
+    rows = render.attach_values(run.content_keys, run.attributes, run.lookup_specs, run.inputs.lookups, run.params.scope, max_broadcast_rows=0, n_rows=run.key_rows)
+    keys = audience.content_key_columns(run.attributes)
+    return rows.select(*keys, F.explode(F.map_entries("values")).alias("e")).select(*keys, F.col("e.key").alias("value_key"), F.col("e.value").alias("value"))
+
+
 def _rendered_candidates(run):
     p = run.params
-    rows = render.content_rows(run.content_keys, run.allocation, run.content, p.missing)
-    rows = render.attach_values(rows, run.attributes, run.lookup_specs, run.inputs.lookups, p.scope)
+    rows = render.attach_values(run.content_keys, run.attributes, run.lookup_specs, run.inputs.lookups, p.scope)
+    rows = render.content_rows(rows, run.allocation, run.content, p.missing)
     rows = render.render_slots(rows, p.rotation_seed(), p.missing)
     keys = audience.content_key_columns(run.attributes)
     ex = rows.select(*keys, F.explode("rendered").alias("slot_position", "cands")).select(*keys, "slot_position", F.explode("cands").alias("c"))
@@ -427,9 +484,9 @@ def q_output(spark, sf_dir):
 
 @query("gate_counts")
 def q_gate_counts(spark, sf_dir):
-    stages = _run(spark, sf_dir).gated_stages()
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("stage", F.lit(n)) for n, df in stages.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """D-9: the gated stages' rows as the run's own passes observed them."""
+    run = _run(spark, sf_dir)
+    return spark.createDataFrame([(name, run.check_gate(name)) for name in GATED], "stage string, row_count bigint")
 
 
 @query("backfill_binding_compat")
@@ -451,4 +508,25 @@ def q_output_compat(spark, sf_dir):
     return fixture_run(spark, sf_dir, compat=True).output
 
 
-QUERIES["flagship"] = QUERIES["output_contract"]
+# ---------------------------------------------------------------- the run from its sources
+@query("run_steps")
+def q_run_steps(spark, sf_dir):
+    """The step rows of a daily run, without their times."""
+    log = runlog.RunLog("campaign run", 7)
+    daily_run(spark, sf_dir, log)
+    rows = log.frame(spark).select("Status", "IsComplete", F.col("RowCounts").alias("row_count"), "SourceName", "SourceID")
+    return rows.filter("Status <> 'write snapshot'")
+
+
+@query("manifest")
+def q_manifest(spark, sf_dir):
+    """A10: what a daily run publishes."""
+    root = daily_run(spark, sf_dir)
+    done = delivery.manifest(spark, root)
+    return done.select(F.replace("path", F.lit(root), F.lit("")).alias("path"), "run_id", "row_count")
+
+
+@query("flagship")
+def q_flagship(spark, sf_dir):
+    """The daily run from its control tables to the published delivery, read back."""
+    return delivery.read_current(spark, daily_run(spark, sf_dir))

@@ -549,6 +549,75 @@ LEFT JOIN (SELECT module_id, source_connection, var_source AS vs FROM fx_module_
     ),
 }
 ORACLE["flagship"] = ORACLE["output_contract"]
+ORACLE["lookup_values_filtered"] = ORACLE["lookup_values"]
+ORACLE["manifest"] = compose(
+    ["final"], "SELECT '/runs/en_us-2024-03-05/*' AS path, 'en_us-2024-03-05' AS run_id, count(*) AS row_count FROM final"
+)
+ORACLE["run_steps"] = compose(
+    ["mv", "meta", "vc", "content", "audience", "cohorts", "cands", "modvars", "final"],
+    """SELECT Status, 1 AS IsComplete, row_count, 'campaign run' AS SourceName, 7 AS SourceID FROM (
+      SELECT 'launch layout' AS Status, 0 AS row_count
+      UNION ALL SELECT 'module variables', count(*) FROM mv
+      UNION ALL SELECT 'campaign metadata', count(*) FROM meta
+      UNION ALL SELECT 'version counts', count(*) FROM vc
+      UNION ALL SELECT 'expanded content', count(*) FROM content
+      UNION ALL SELECT 'audience', count(*) FROM audience
+      UNION ALL SELECT 'cohorts', count(*) FROM cohorts
+      UNION ALL SELECT 'allocation', count(DISTINCT (campaign_id, test_keys, segment_type_id)) FROM cands
+      UNION ALL SELECT 'module content', count(DISTINCT module_id) FROM modvars
+      UNION ALL SELECT 'plan output', 0
+      UNION ALL SELECT 'write output', count(*) FROM final
+      UNION ALL SELECT 'publish', 0)""",
+)
+ORACLE["token_table"] = """SELECT scope, min(name) AS UserTokenTableName FROM (
+  SELECT CASE WHEN r_regionkey % 2 = 0 THEN 'en_us' ELSE 'fr_fr' END || ' 1 ' || CASE WHEN r_regionkey >= 2 THEN 1 ELSE 0 END AS scope,
+    'tokens_' || r_regionkey AS name FROM region) WHERE scope IN ('en_us 1 0', 'fr_fr 1 1') GROUP BY scope"""
+ORACLE["read_ranges"] = compose(["fx_run_log"], "SELECT 8 AS n_ranges, count(*) AS row_count, true AS balanced FROM fx_run_log")
+_AS_OF = """(SELECT DISTINCT date_trunc('month', StartDate) AS as_of FROM fx_run_log) d
+    JOIN (SELECT * FROM fx_run_log WHERE IsComplete = 1) r ON r.EndDate <= d.as_of"""
+ORACLE["runs_as_of"] = compose(
+    ["fx_run_log"],
+    f"""SELECT strftime(as_of, '%Y-%m-%d') AS as_of, SourceID, SourceName, LogID, FilePath FROM (
+      SELECT d.as_of, r.*, row_number() OVER (PARTITION BY d.as_of, SourceID, SourceName ORDER BY EndDate DESC, LogID DESC) AS k FROM {_AS_OF}) WHERE k = 1""",
+)
+ORACLE["scheduled_runs_as_of"] = compose(
+    ["fx_run_log", "fx_schedules"],
+    f"""SELECT Locale, ID, strftime(as_of, '%Y-%m-%d') AS as_of, LogID, FilePath FROM (
+      SELECT Locale, s.ID, d.as_of, LogID, FilePath, row_number() OVER (PARTITION BY Locale, d.as_of ORDER BY StartDate DESC, LogID DESC) AS k
+      FROM {_AS_OF} JOIN (SELECT Locale, ID, row_number() OVER (PARTITION BY Locale ORDER BY ScheduleTimes DESC, ID DESC) AS n
+        FROM (SELECT * REPLACE (ID % 20 AS ID) FROM fx_schedules) WHERE IsFinal = 1 AND Job_Name NOT LIKE ' ') s
+        ON n = 1 AND s.ID = r.SourceID AND r.SourceName = 'ETL') WHERE k = 1""",
+)
+# Planted faults as in the query; relations in the order of the expansion.
+ORACLE["config_violations"] = compose(
+    ["fx_campaigns", "fx_templates", "fx_segment_modules", "fx_modules", "fx_segment_defs", "fx_module_vars"],
+    """, ca AS (SELECT * REPLACE (CASE WHEN CAST(campaign_id AS INT) % 7 = 0 THEN template_id + 100 ELSE template_id END AS template_id)
+      FROM fx_campaigns WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 AND campaign_deleted_flag = 0),
+    te AS (SELECT * FROM fx_templates WHERE template_deleted_flag = 0 UNION ALL SELECT * FROM fx_templates WHERE template_deleted_flag = 0 AND template_id <= 2),
+    sl AS (SELECT * EXCLUDE (seg_mod_deleted_flag) FROM fx_segment_modules WHERE seg_mod_deleted_flag = 0),
+    mo AS (SELECT * FROM fx_modules WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0 AND module_id % 10 <> 3),
+    se AS (SELECT * FROM fx_segment_defs WHERE segment_deleted_flag = 0 AND tpid = 1 AND eapid = 0),
+    va AS (SELECT * FROM fx_module_vars WHERE lower(locale) = 'en_us' AND tpid = 1 AND eapid = 0),
+    defs AS (
+      SELECT 'campaign' AS relation, campaign_id AS key, true AS u FROM ca
+      UNION ALL SELECT 'template', CAST(template_id AS VARCHAR), true FROM te
+      UNION ALL SELECT 'slot row', concat_ws('|', segment_module_map_id, slot_position, placement_type, module_type_id, channel, segment_type_id, module_priority_in_slot), true FROM sl
+      UNION ALL SELECT 'slot map', CAST(segment_module_map_id AS VARCHAR), false FROM sl
+      UNION ALL SELECT 'module', CAST(module_id AS VARCHAR), true FROM mo
+      UNION ALL SELECT 'module kind', 'en_us|' || module_type_id || '|1|0|' || placement_type || '|' || channel, false FROM mo
+      UNION ALL SELECT 'segment', '1|0|' || segment_type_id, true FROM se
+      UNION ALL SELECT 'variable', module_id || '|' || var_position || '|' || source_connection, true FROM va),
+    refs AS (
+      SELECT 'template' AS relation, CAST(template_id AS VARCHAR) AS key FROM ca
+      UNION ALL SELECT 'slot map', CAST(segment_module_map_id AS VARCHAR) FROM ca
+      UNION ALL SELECT 'module', CAST(module_id AS VARCHAR) FROM va
+      UNION ALL SELECT 'module kind', 'en_us|' || module_type_id || '|1|0|' || placement_type || '|' || channel FROM sl
+      UNION ALL SELECT 'segment', '1|0|' || segment_type_id FROM sl
+      UNION ALL SELECT 'segment', '1|0|' || campaign_segment_type_id FROM ca)
+    SELECT relation, key, 'duplicate' AS violation, count(*) AS n FROM defs WHERE u GROUP BY relation, key HAVING count(*) > 1
+    UNION ALL
+    SELECT relation, key, 'missing', count(*) FROM refs r WHERE NOT EXISTS (SELECT 1 FROM defs d WHERE d.relation = r.relation AND d.key = r.key) GROUP BY relation, key""",
+)
 _STRICT = build_ctes(strict=True)
 _COMPAT = build_ctes(seeds_per_campaign=False)
 ORACLE["slot_choice_strict"] = compose(["rendered"], "SELECT * EXCLUDE (OmniExtension, OmniExtNewFormat) FROM rendered", _STRICT)

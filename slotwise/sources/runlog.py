@@ -12,12 +12,13 @@ import datetime as _dt
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from slotwise.config import Scope
 
+# Fixed values (must equal the reference's): columns of the step log.
 LOG_SCHEMA = StructType(
     [
         StructField("SourceName", StringType(), True),
@@ -69,8 +70,11 @@ def latest_schedule(schedules: DataFrame, locale: str) -> DataFrame:
     )
 
 
-def latest_run(log: DataFrame, source_id: int, source_name: str, order_col: str = "StartDate") -> DataFrame:
-    """Newest complete run of a source (ties: highest ``LogID``)."""
+def latest_run(log: DataFrame, source_id: int, source_name: str, order_col: str = "StartDate", as_of=None) -> DataFrame:
+    """Newest complete run of a source (ties: highest ``LogID``); with ``as_of``
+    of those that had ended by then."""
+    if as_of is not None:
+        log = log.filter(F.col("EndDate") <= F.lit(as_of))
     return (
         log.filter((F.col("SourceID") == F.lit(source_id)) & (F.col("IsComplete") == 1) & (F.col("SourceName") == F.lit(source_name)))
         .orderBy(F.col(order_col).desc(), F.col("LogID").desc())
@@ -93,6 +97,42 @@ def latest_run_all(log: DataFrame, order_col: str = "StartDate") -> DataFrame:
     )
 
 
+def runs_as_of(log: DataFrame, dates: DataFrame, order_col: str = "EndDate") -> DataFrame:
+    """A6 for many dates at once: ``as_of, SourceID, SourceName, LogID, FilePath``, the
+    newest run of every source that was complete by each date (column ``as_of``).
+
+    The dates are few and sorted into one array; a run belongs to the first date
+    it is not after, so the log is aggregated to one row per source and date
+    (map-side first) whatever its length. What is newest up to a date is then
+    the running maximum over those rows. Ties: highest ``LogID``. A source
+    without a complete run by a date has no row for it.
+    """
+    days = dates.select(F.col("as_of").cast("timestamp").alias("as_of")).filter("as_of is not null").agg(F.array_sort(F.collect_set("as_of")).alias("days"))
+    ended = F.col("EndDate").cast("timestamp")
+    first = F.array_min(F.filter("days", lambda d: d >= ended))
+    seen = log.filter((F.col("IsComplete") == 1) & F.col("EndDate").isNotNull()).join(F.broadcast(days)).withColumn("as_of", first).filter("as_of is not null")
+    run = F.struct(F.col(order_col).alias("at"), "LogID", "FilePath")
+    best = seen.groupBy("SourceID", "SourceName", "as_of").agg(F.max(run).alias("run"))
+    # one row per source and date, null where the source has no run since the date before
+    every = best.select("SourceID", "SourceName").distinct().join(F.broadcast(days)).select("SourceID", "SourceName", F.explode("days").alias("as_of"))
+    filled = every.join(best, ["SourceID", "SourceName", "as_of"], "left")
+    so_far = Window.partitionBy("SourceID", "SourceName").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    newest = filled.withColumn("run", F.max("run").over(so_far)).filter("run is not null")
+    return newest.select("as_of", "SourceID", "SourceName", "run.LogID", "run.FilePath")
+
+
+def scheduled_runs_as_of(schedules: DataFrame, log: DataFrame, dates: DataFrame, source_name: str, order_col: str = "StartDate") -> DataFrame:
+    """A5 + A6 for a list of dates: each locale's scheduled producer and what it had complete by then.
+
+    ``Locale, ID, as_of, LogID, FilePath``: a re-run of an old day reads what
+    that day could read, not what is newest now.
+    """
+    final = clean_column_names(schedules).filter((F.col("IsFinal") == 1) & ~F.col("Job_Name").like(" "))
+    newest = final.groupBy("Locale").agg(F.max(F.struct("ScheduleTimes", "ID")).alias("s")).select("Locale", "s.ID")
+    runs = runs_as_of(log.filter(F.col("SourceName") == F.lit(source_name)), dates, order_col)
+    return newest.join(runs, F.col("ID") == F.col("SourceID")).select("Locale", "ID", "as_of", "LogID", "FilePath")
+
+
 def process_identity(process_config: DataFrame, locale: str, brand: str) -> DataFrame:
     """A7 + H19: process row of the locale (``xx_YY`` form) and brand (lowest id)."""
     lang, _, country = locale.partition("_")

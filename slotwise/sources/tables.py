@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.functions.keys import normalize_locale
+from slotwise.operators import audience
 
 # Fixed values (must equal the reference's): the configuration tables.
 CONFIG_TABLES = (
@@ -30,14 +30,19 @@ class TableSource:
 class JdbcSource(TableSource):
     """Tables of one database. ``options`` carry url/driver/user/password;
     ``partitioning`` maps a table to (column, lower, upper, numPartitions) so a
-    large table is read by parallel range queries instead of one connection."""
+    large table is read by parallel range queries instead of one connection;
+    ``predicates`` maps a table to the ranges of ``plan_ranges``, which hold
+    about equally many rows however the column is distributed."""
 
     url: str
     options: dict = field(default_factory=dict)
     prefix: str = ""
     partitioning: dict = field(default_factory=dict)
+    predicates: dict = field(default_factory=dict)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        if name in self.predicates:
+            return spark.read.jdbc(self.url, self.prefix + name, predicates=self.predicates[name], properties=self.options)
         r = spark.read.format("jdbc").option("url", self.url).option("dbtable", self.prefix + name).options(**self.options)
         if name in self.partitioning:
             col, lo, hi, n = self.partitioning[name]
@@ -68,6 +73,37 @@ def read_table(spark: SparkSession, name: str, source: TableSource) -> DataFrame
     return source.read(spark, name)
 
 
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else "'" + str(value).replace("'", "''") + "'"
+
+
+def plan_ranges(df: DataFrame, column: str, n: int, accuracy: int = 10_000) -> list[str]:
+    """A1: predicates that cut a table into at most ``n`` ranges of about equal size.
+
+    The boundaries are quantiles of the column, from a mergeable sketch over one
+    pass of that column, so skewed or sparse keys do not fill one range. The
+    predicates are disjoint and cover every row, null keys included; a value
+    with more rows than a range should hold gets one by itself.
+    """
+    c = F.col(f"`{column}`")
+    if df.schema[column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz", "string"):
+        raise ValueError(f"ranges are planned over numbers, {column} is {df.schema[column].dataType.simpleString()}")
+    cuts = df.agg(F.percentile_approx(c, [i / n for i in range(1, n)], accuracy).alias("q")).first()["q"] if n > 1 else None
+    cuts = sorted(set(cuts or []))
+    if not cuts:
+        return ["1 = 1"]
+    at = [_literal(x) for x in cuts]
+    first = f"{column} <= {at[0]} OR {column} IS NULL"
+    return [first, *[f"{column} > {a} AND {column} <= {b}" for a, b in zip(at, at[1:])], f"{column} > {at[-1]}"]
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """A table written once in buckets of its key and sorted within them: a join on
+    that key shuffles only its other side, run after run (C16, C19)."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def load_config(spark: SparkSession, source: TableSource, environment: str | None = None) -> dict[str, DataFrame]:
     """A2: the six configuration tables ``{table}_{environment}``, ``id`` dropped."""
     out = {}
@@ -80,7 +116,7 @@ def load_config(spark: SparkSession, source: TableSource, environment: str | Non
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     """A3: active recipient profiles at a run-time path (filter pushed to parquet)."""
-    return normalize_locale(spark.read.parquet(path).filter(F.col("mer_status") == 1))
+    return audience.read_profiles(spark.read.parquet(path))
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Hand-built rows for the slot fold, rendering and suppression."""
 
+from pyspark.sql import functions as F
 
+from slotwise.functions import templates
 from slotwise.operators import campaigns, render, slots
 
 VAR_T = (
@@ -24,6 +26,10 @@ def cand(prio, type_id, mid, placement="hero", default=1, vars_=None):
 
 def run_fold(spark, rows, slot_list, compat=False, mode="compat"):
     df = spark.createDataFrame(rows, ROW_T)
+    if mode == "strict":  # as the configuration side carries it
+        compiled = lambda v: templates.keyed(templates.compiled(v["template"]), v["spec"])
+        with_compiled = lambda c: c.withField("vars", F.transform(c["vars"], lambda v: v.withField("compiled", compiled(v))))
+        df = df.withColumn("slot_cands", F.transform_values("slot_cands", lambda _, cands: F.transform(cands, with_compiled)))
     r = render.render_slots(df, SEED, mode)
     f = slots.fill_slots(r, slot_list)
     return f.select("test_keys", *slots.personalise_columns(slot_list, compat)).collect()

@@ -29,7 +29,7 @@ def test_sharing_by_content_key_equals_per_recipient(spark):
     run = fixture_run(spark, SMALL)
     p = run.params
     aud = run.audience
-    direct = render.content_rows(aud, run.allocation)
+    direct = render.content_rows(aud, run.allocation, run.content)
     direct = render.attach_values(direct, run.attributes, run.lookup_specs, run.inputs.lookups, p.scope)
     direct = slots.fill_slots(render.render_slots(direct, p.rotation_seed(), p.missing), run.slots)
     cols = ["email_address", "campaign_id"] + [c for c in run.rendered.columns if c not in audience.content_key_columns(run.attributes)]

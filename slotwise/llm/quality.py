@@ -3,7 +3,8 @@
 Base rules look at one document: word and symbol counts, repeated lines, words
 in repeated five-word windows. The method then hashes every normalised line,
 counts in how many distinct documents of a host it occurs, removes lines above
-the host's limit and rejects documents of which too little is left.
+the limit (one number, for hosts of any size) and rejects documents of which too
+little is left.
 
 Defined cases: a null text counts as empty (no words: base rules fail); a null
 host is a host of its own; null ids and repeated rows each keep their own
@@ -27,8 +28,8 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 SYMBOLS = "#*$%&|<>"  # fixed by the query contract
-LINE_DOCS = 50  # a line may occur in this many distinct documents of a host ...
-LINE_SHARE = 0.005  # ... or in this share of the host's documents, if that is more
+LINE_DOCS = 50  # a line may occur in this many distinct documents of a host, however large the host
+BROADCAST = 1_000_000  # frequent lines (some 40 bytes each) that may be broadcast
 MIN_LEFT = 0.5  # share of a document's words that must survive line removal
 
 
@@ -87,36 +88,58 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source"
     )
 
 
+def _line_hash(host: Column, line: Column) -> Column:
+    return F.xxhash64(F.coalesce(F.concat(F.lit("="), host), F.lit("")), line)
+
+
+def frequent_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", line_docs: int = LINE_DOCS) -> DataFrame:
+    """``line, n_docs, first_id``: hashed normalised lines (with their host) in more than ``line_docs`` distinct texts.
+
+    A document is shuffled once, as the hashes of its distinct lines, to drop the
+    copies of its text; the remaining lines are counted map-side before the
+    counts are shuffled. So neither a text with many copies nor a line that
+    a third of all documents hold meets in one task.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = F.filter(F.transform(F.split(text, "\n", -1), _normalised), lambda x: x != "")
+    host = F.col(host_col)
+    d = docs.select(F.col(id_col).alias("doc_id"), host.alias("host"), text_key(text).alias("text_key"), F.array_distinct(F.transform(lines, lambda x: _line_hash(host, x))).alias("l"))
+    texts = d.filter(F.size("l") > 0).groupBy("host", "text_key").agg(F.min("doc_id").alias("doc_id"), F.first("l").alias("l"))
+    counts = texts.select("doc_id", F.explode("l").alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_id"))
+    return counts.filter(F.col("n_docs") > line_docs)
+
+
 def removed_words(
     docs: DataFrame,
     id_col: str = "doc_id",
     host_col: str = "source",
     text_col: str = "text",
     line_docs: int = LINE_DOCS,
-    line_share: float = LINE_SHARE,
+    most: int = BROADCAST,
 ) -> DataFrame:
-    """Words in lines above their host's limit and those lines' hashes, per ``(host, text_key)``.
+    """Words in lines above the limit and those lines' hashes, per ``(host, text_key)``.
 
-    Texts without such a line have no row. Copies of a text collapse before
-    lines are counted; both aggregations combine map-side, so a line or text
-    that holds a large share of all rows is summed before it is shuffled.
+    Texts without such a line have no row. The documents are read a second time
+    and only their frequent lines go on: these are few and broadcast up to
+    ``most``, beyond that joined by their hash. Copies of a text collapse before
+    words are summed, by the lines' positions.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.transform(F.split(text, "\n", -1), _normalised), lambda x: x != "")
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text_key(text).alias("text_key"), lines.alias("_l"))
-    hosts = d.groupBy("host").agg(F.greatest(F.lit(line_docs), F.floor(F.count(F.lit(1)) * line_share)).alias("limit"))
-    entry = F.transform("_l", lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("w")))
+    over = checkpointed(frequent_lines(docs, id_col, host_col, text_col, line_docs).select("line", "first_id"))
+    text, host = F.coalesce(F.col(text_col), F.lit("")), F.col(host_col)
+    entry = F.transform(
+        F.transform(F.split(text, "\n", -1), _normalised), lambda x: F.struct(_line_hash(host, x).alias("line"), F.when(x != "", F.size(F.split(x, " "))).alias("w"))
+    )
+    all_ = docs.select(F.col(id_col).alias("doc_id"), host.alias("host"), text_key(text).alias("text_key"), F.posexplode(entry).alias("pos", "e"))
+    all_ = all_.select("doc_id", "host", "text_key", "pos", "e.line", "e.w").filter("w is not null")
+    found = all_.join(F.broadcast(over) if over.limit(most + 1).count() <= most else over, "line")
     one = (
-        d.select("doc_id", "host", "text_key", F.posexplode(entry).alias("pos", "e"))
-        .groupBy("host", "text_key", "pos")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("e.line").alias("line"), F.first("e.w").alias("w"))
+        found.groupBy("host", "text_key", "pos")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("line").alias("line"), F.first("first_id").alias("first_id"), F.first("w").alias("w"))
         .groupBy("host", "text_key", "line")
-        .agg(F.min("doc_id").alias("doc_id"), F.sum("w").alias("w"))
+        .agg(F.min("doc_id").alias("doc_id"), F.first("first_id").alias("first_id"), F.sum("w").alias("w"))
     )
-    freq = one.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_id"))
-    over = join_null_safe(freq, hosts, ["host"]).filter("n_docs > limit").select("host", "line", "first_id")
     # coalesce: with null ids there is no first holder and the line goes everywhere
-    hit = join_null_safe(one, over, ["host", "line"]).filter(~F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False)))
+    hit = one.filter(~F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False)))
     return hit.groupBy("host", "text_key").agg(F.sum("w").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
 
 
@@ -126,12 +149,11 @@ def quality_rules(
     host_col: str = "source",
     text_col: str = "text",
     line_docs: int = LINE_DOCS,
-    line_share: float = LINE_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """Base counts, ``removed_words``, ``removed_lines`` (hashes, null if none) and the verdict ``kept`` per input row."""
     base = base_rules(docs, id_col, host_col, text_col)
-    gone = removed_words(docs, id_col, host_col, text_col, line_docs, line_share)
+    gone = removed_words(docs, id_col, host_col, text_col, line_docs)
     out = join_null_safe(base, gone, ["host", "text_key"], "left")
     removed = F.least(F.coalesce("removed_words", F.lit(0)), "n_words")
     return out.select(
@@ -154,23 +176,23 @@ def op1_line_quality(spark, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key", "removed_lines")
 
 
-def without_lines(text: Column, gone: Column) -> Column:
+def without_lines(text: Column, gone: Column, host: Column) -> Column:
     """The text without the lines whose normalised form has one of the hashes ``gone``."""
-    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(gone, F.xxhash64(_normalised(x)))), "\n")
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(gone, _line_hash(host, _normalised(x)))), "\n")
 
 
-def cleaned_documents(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+def cleaned_documents(docs: DataFrame, line_docs: int = LINE_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The kept documents, all columns; ``text`` without its removed lines, ``n_chars`` follows.
 
     Only rejected documents and those with a removed line have a row on the
     right side of the join.
     """
-    rules = quality_rules(docs, line_docs=line_docs, line_share=line_share, min_left=min_left).filter("not kept or removed_lines is not null")
+    rules = quality_rules(docs, line_docs=line_docs, min_left=min_left).filter("not kept or removed_lines is not null")
     gone = F.when(F.col("kept"), F.col("removed_lines")).alias("_gone")
     changes = rules.select("doc_id", F.col("host").alias("source"), F.col("text_key").alias("_key"), F.col("kept").alias("_kept"), gone).distinct()
     keyed = docs.withColumn("_key", text_key(F.coalesce("text", F.lit(""))))
     out = join_null_safe(keyed, checkpointed(changes), ["doc_id", "source", "_key"], "left").filter(F.coalesce("_kept", F.lit(True)))
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("_gone"))))
+    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("_gone"), F.col("source"))))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(length))
@@ -201,12 +223,10 @@ WITH d AS (
   FROM (SELECT source, t, min(doc_id) AS doc_id, unnest(string_split(t, chr(10))) AS l FROM d GROUP BY source, t)
 ), per AS (
   SELECT source, t, line, min(doc_id) AS doc_id, sum(len(string_split(line, ' '))) AS w FROM norm WHERE line <> '' GROUP BY ALL
-), lim AS (
-  SELECT source, greatest({LINE_DOCS}, floor(count(*) * {LINE_SHARE})) AS lim FROM d GROUP BY source
 ), over_ AS (
   SELECT f.source, f.line, f.first_id
   FROM (SELECT source, line, count(*) AS n, min(doc_id) AS first_id FROM per GROUP BY source, line) f
-  JOIN lim ON f.source IS NOT DISTINCT FROM lim.source WHERE f.n > lim.lim
+  WHERE f.n > {LINE_DOCS}
 ), gone AS (
   SELECT per.source, per.t, sum(w) AS n FROM per JOIN over_ o ON per.source IS NOT DISTINCT FROM o.source AND per.line = o.line
   WHERE per.doc_id <> o.first_id GROUP BY per.source, per.t

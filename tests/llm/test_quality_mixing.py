@@ -38,7 +38,7 @@ def test_frequent_lines_are_removed_from_all_but_the_first(make_docs):
     rows += [(30, menu + "\nother host with words enough to be kept by rules", "z")]
     rows += [(40, rows[1][1], "h"), (40, rows[1][1], "h")]  # copies count as one document
     got = defaultdict(list)
-    for r in quality.quality_rules(make_docs(rows), line_docs=3, line_share=0.0).collect():
+    for r in quality.quality_rules(make_docs(rows), line_docs=3).collect():
         got[r["doc_id"]].append((r["removed_words"], r["kept"]))
     n = len(menu.split()) - 1  # the number is normalised away
     assert got[0] == [(0, True)]  # holds the line first
@@ -52,7 +52,7 @@ def test_frequent_lines_leave_the_texts_of_kept_documents(make_docs):
     body = lambda k: "  " + " ".join(chr(97 + k) + chr(97 + j) for j in range(20)) + "\r"
     rows = [(k, f"{menu}\n{body(k)}\n\n{menu.replace('12', str(k))}\n", "h" if k < 8 else None) for k in range(16)]
     rows += [(20, f"{menu}\n{body(20)}", "z"), (21, rows[3][1], "h"), (None, f"{body(21)}\n{menu}", "h"), (22, None, "h"), (23, menu, "h")]
-    out = quality.cleaned_documents(make_docs(rows), line_docs=3, line_share=0.0)
+    out = quality.cleaned_documents(make_docs(rows), line_docs=3)
     got = {r["doc_id"]: r for r in out.collect()}
     for k in range(16):
         first = k in (0, 8)  # the first document of its host keeps the line
@@ -62,9 +62,28 @@ def test_frequent_lines_leave_the_texts_of_kept_documents(make_docs):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and out.columns == make_docs([]).columns
 
 
+def test_the_limit_does_not_grow_with_the_host(make_docs):
+    """A line in 60 documents goes, whether its host has 100 documents or 12,000."""
+    line = "the same licence line in sixty documents of this host"
+    name = lambda k: "".join(chr(97 + k // 26**p % 26) for p in range(4))  # noqa: E731 - digits are normalised away
+    body = lambda k: " ".join(name(k) + chr(97 + j) for j in range(26))
+    marked = [(k, f"{line}\n{body(k)}", "h") for k in range(60)]
+    for more in (40, 11_940):
+        rows = marked + [(1000 + k, body(1000 + k), "h") for k in range(more)]
+        got = {r["doc_id"]: r["removed_words"] for r in quality.quality_rules(make_docs(rows)).filter("doc_id < 100").collect()}
+        assert got == {0: 0} | {k: len(line.split()) for k in range(1, 60)}
+
+
+@pytest.mark.parametrize("most", [0, quality.BROADCAST])
+def test_frequent_lines_joined_or_broadcast(make_docs, most):
+    rows = [(k, f"menu one two\nown text {chr(97 + k)}\nmenu one two", "h") for k in range(8)] + [(3, "menu one two\nown text d\nmenu one two", "h")]
+    got = quality.removed_words(make_docs(rows), line_docs=3, most=most).collect()
+    assert sorted(r["removed_words"] for r in got) == [6] * 7
+
+
 def test_copies_alone_are_no_reason_to_reject(make_docs):
     text = " ".join(f"word{j}" for j in range(30))
-    got = quality.quality_rules(make_docs([(k, text, "h") for k in range(20)]), line_docs=3, line_share=0.0).collect()
+    got = quality.quality_rules(make_docs([(k, text, "h") for k in range(20)]), line_docs=3).collect()
     assert len(got) == 20 and all(r["kept"] for r in got)
 
 

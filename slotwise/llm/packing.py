@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.llm.common import map_arrow, table
+from slotwise.llm.common import map_arrow, table, vocabulary
 
-RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+RANKS = "byte_bpe_50k.tiktoken"
 LENGTH = 2048
 PAD = 50256  # free in the rank file
 SHARD_TOKENS = 2_000_000
@@ -89,7 +89,7 @@ def _encoder(path: str):
     import tiktoken
     from public_tokenizers import PATTERN
 
-    with open(path, "rb") as f:
+    with open(vocabulary(path), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 

@@ -27,22 +27,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.llm.common import map_arrow, table
+from slotwise.llm.common import map_arrow, table, vocabulary
 from slotwise.llm.prefix_coder import Memo, PrefixCoder
 from slotwise.llm.prefix_tokens import grouped
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE = 100_000  # distinct words per generation of a worker's memo
+MODEL = "piece_bpe_32k.model"
+CACHE = 300_000  # distinct words per generation of a worker's memo
 GROUP = 500_000  # characters handled at once
 KEEP = 64  # longer words are computed each time
 MARK = "▁"  # the library's word marker
 
 
 class PieceCodec:
-    def __init__(self, path: str = MODEL):
+    def __init__(self, path: str = MODEL, memo: int = CACHE):
         from sentencepiece import SentencePieceProcessor
 
-        sp = SentencePieceProcessor(model_file=path)
+        sp = SentencePieceProcessor(model_file=vocabulary(path))
         size = sp.get_piece_size()
         self.ids, scores, self.byte = {}, {}, {}
         self.surface = [b""] * size
@@ -68,7 +68,7 @@ class PieceCodec:
         inner = any(MARK in p.lstrip(MARK) for p in scores)
         rest = re.escape(alone)
         self.words = (lambda t: [t]) if inner else re.compile(f"{MARK}*[^{MARK}{rest}]+|{MARK}+" + (f"|[{rest}]" if rest else "")).findall
-        self.cache = Memo(CACHE)
+        self.cache = Memo(memo)
 
     def _ids(self, word: str, last: list[int], token: list[int | None]) -> bytes:
         """The word's ids, traced back from its end."""
@@ -130,16 +130,17 @@ class PieceCodec:
 
 
 @lru_cache(maxsize=2)
-def _codec(path: str) -> PieceCodec:
-    return PieceCodec(path)
+def _codec(path: str, memo: int = CACHE) -> PieceCodec:
+    return PieceCodec(path, memo)
 
 
-def code_pieces(df: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", decoded_col: str | None = None, path: str = MODEL) -> DataFrame:
+def code_pieces(df: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", decoded_col: str | None = None, path: str = MODEL, memo: int = CACHE) -> DataFrame:
     """``df`` with the ids of ``text_col`` added (or replaced) as ``array<int>``.
 
     With ``decoded_col`` also the text that the ids decode to. A map without
     shuffle; a result batch holds ``GROUP`` characters of text at most (or one
-    document), however long the input batches are.
+    document), however long the input batches are; a worker remembers up to
+    twice ``memo`` words.
     """
     new = [c for c in (ids_col, decoded_col) if c]
     cols = [c for c in df.columns if c not in new]
@@ -147,7 +148,7 @@ def code_pieces(df: DataFrame, text_col: str = "text", ids_col: str = "piece_ids
     at = cols.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path)
+        codec = _codec(path, memo)
         for batch in batches:
             done = 0
             for texts in grouped((t.as_py() or "" for t in batch.column(at)), GROUP):
@@ -189,5 +190,5 @@ def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
 
 def pieces_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage (last): every document with its piece ids."""
-    return code_pieces(docs)
+    """Pipeline stage (last): every document with its piece ids; workers of earlier stages hold memory too."""
+    return code_pieces(docs, memo=100_000)

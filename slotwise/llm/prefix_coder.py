@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import ahocorasick
+
 PAIR_MEMO = 150_000  # remembered neighbour tests; forgotten together when full
 
 
@@ -49,6 +51,11 @@ class PrefixCoder:
         self.vocab = vocab
         self.rank = rank
         self.longest = max(map(len, self.vocab), default=1)
+        # lists the tokens that end at each position of a word, the longest first
+        self.tokens = ahocorasick.Automaton()
+        for t in self.vocab:
+            self.tokens.add_word(t, len(t))
+        self.tokens.make_automaton()
         self._fits: dict[tuple[str, str], bool] = {}
         self._whole: dict[str, bool] = {}
 
@@ -87,7 +94,7 @@ class PrefixCoder:
         number of tokens. The lists are reused: read them before asking for the
         next word.
         """
-        vocab, longest, fits, whole = self.vocab, self.longest, self._fits, self._whole
+        vocab, fits, whole, ends = self.vocab, self._fits, self._whole, self.tokens.iter if self.vocab else lambda word: ()
         before, last, count, token = "", [0], [0], [None]
         for word in words:
             n, k = len(word), 0
@@ -98,27 +105,42 @@ class PrefixCoder:
                 while word[k] == before[k]:
                     k += 1
             del last[k + 1 :], count[k + 1 :], token[k + 1 :]
-            for i in range(k + 1, n + 1):
-                t = i if i < longest else longest
-                while t > 1:
-                    j = i - t
+            done = k  # prefixes whose last token is known
+            for end, t in ends(word):
+                i = end + 1
+                if i <= done:
+                    continue
+                j = i - t
+                if t > 1:
                     right = word[j:i]
-                    if right in vocab:
-                        if j == 0:
-                            ok = whole.get(right)
-                            if ok is None:
-                                ok = self._self(right)
-                        else:
-                            left = word[j - last[j] : j]
-                            ok = fits.get((left, right))
-                            if ok is None:
-                                ok = self._fit(left, right)
-                        if ok:
-                            break
-                    t -= 1
-                # if no longer token fits, the symbol itself is the last token
+                    if j == 0:
+                        ok = whole.get(right)
+                        if ok is None:
+                            ok = self._self(right)
+                    else:
+                        if j > done:  # a symbol outside the vocabulary came before
+                            self._alone(word, done, j, last, count, token)
+                            done = j
+                        left = word[j - last[j] : j]
+                        ok = fits.get((left, right))
+                        if ok is None:
+                            ok = self._fit(left, right)
+                    if not ok:
+                        continue
+                if j > done or i - 1 > done:
+                    self._alone(word, done, i - 1, last, count, token)
                 last.append(t)
-                token.append(vocab.get(word[i - t : i]))
-                count.append(count[i - t] + 1)
+                token.append(vocab[word[j:i]])
+                count.append(count[j] + 1)
+                done = i
+            if done < n:
+                self._alone(word, done, n, last, count, token)
             before = word
             yield word, last, count, token
+
+    def _alone(self, word: str, done: int, until: int, last: list, count: list, token: list) -> None:
+        """Prefixes at whose end no longer token fits: the symbol itself is their last token."""
+        for i in range(done + 1, until + 1):
+            last.append(1)
+            token.append(self.vocab.get(word[i - 1]))
+            count.append(count[i - 1] + 1)

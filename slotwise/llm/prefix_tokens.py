@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import map_arrow, table
+from slotwise.llm.common import map_arrow, table, vocabulary
 from slotwise.llm.prefix_coder import Memo, PrefixCoder
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512  # fixed by the query contract
-CACHE = 100_000  # distinct pre-tokens per generation of a worker's memo
+CACHE = 300_000  # distinct pre-tokens per generation of a worker's memo
 KEEP = 64  # longer pre-tokens are computed each time
 GROUP_CHARS = 2_000_000  # characters handled at once
 
@@ -66,13 +66,13 @@ class PrefixCounter:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        spec = json.load(open(path, encoding="utf-8"))
+        spec = json.load(open(vocabulary(path), encoding="utf-8"))
         back = str.maketrans(_byte_alphabet())
         ranks = {tuple(x.translate(back) for x in (m.split(" ") if isinstance(m, str) else m)): k for k, m in enumerate(spec["model"]["merges"])}
         added = [t["content"] for t in spec["added_tokens"]]
         self.coder = PrefixCoder({t.translate(back): i for t, i in spec["model"]["vocab"].items() if t not in added}, lambda a, b: ranks.get((a, b)))
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.library = Tokenizer.from_file(path)
+        self.library = Tokenizer.from_file(vocabulary(path))
         self.cache = Memo(CACHE)
 
     def split(self, text: str) -> list[str]:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotwise.llm import packing, pieces, prefix_tokens
+from slotwise.llm.common import vocabulary
 from tests.llm.conftest import ODD
 
 
@@ -56,7 +57,7 @@ def test_memo_forgets_without_changing_results():
 def test_pieces_match_the_library_and_decode(codec):
     from sentencepiece import SentencePieceProcessor
 
-    sp = SentencePieceProcessor(model_file=pieces.MODEL)
+    sp = SentencePieceProcessor(model_file=vocabulary(pieces.MODEL))
     texts = strings(2) + [t or "" for _, t, _ in ODD]
     ids = codec.encode(texts)
     assert codec.merges

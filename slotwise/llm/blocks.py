@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 ROWS = 20_000  # rows a task works on at once, about
 
 
-def dealt(df: DataFrame, key: list[str], size: str, by: str, tile: int) -> DataFrame:
-    """Rows with a ``block`` id, sorted by it within partitions.
+def tiled(df: DataFrame, key: list[str], size: str, by: str, tile: int) -> DataFrame:
+    """Rows with a ``block`` id.
 
     A bucket of up to ``tile`` rows is one block. A larger one is cut into k
     tiles by the hash of ``by``, and every pair of tiles is a block of its own:
@@ -24,7 +24,16 @@ def dealt(df: DataFrame, key: list[str], size: str, by: str, tile: int) -> DataF
     df = df.withColumn("_t", F.explode(other)).withColumns(
         {"block": F.xxhash64(*key, "_t"), "left": F.col("_i") == F.col("_t.i"), "own": F.col("_t.i") == F.col("_t.j")}
     )
-    return df.drop("_k", "_i", "_t").repartition("block").sortWithinPartitions("block")
+    return df.drop("_k", "_i", "_t")
+
+
+def dealt(df: DataFrame, key: list[str], size: str, by: str, tile: int) -> DataFrame:
+    """``tiled`` rows, block by block within partitions."""
+    return by_block(tiled(df, key, size, by, tile))
+
+
+def by_block(df: DataFrame) -> DataFrame:
+    return df.repartition("block").sortWithinPartitions("block")
 
 
 def neighbours(block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

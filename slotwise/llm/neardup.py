@@ -8,26 +8,34 @@ A candidate pair is verified by aligning the labelled shingle sequences inside
 the band that the similarity allows: similarity is the length of the longest
 common subsequence over the number of shingles in either, at least ``LIMIT``.
 
+Texts of fewer than ``FEW`` shingles have too small a sketch to meet reliably;
+they, and those that may be similar to one, are also listed under the shingles of
+their prefix (in hash order, as long as a common part of ``LIMIT`` needs), which
+no similar pair can miss.
+
 Candidates without all pairs: equal texts are collapsed first; in every bucket
 each member is compared with two centres (the smallest and the greatest id) if
-it meets them in ``SHARED`` buckets or more. Buckets whose members then still lie in different components are resolved
-exactly: inside blocks of bounded size the tasks compare their cross-component
-members and hand on only pairs that may reach the similarity by length and by
-signature: a bitmap of all shingles for texts of up to ``SHORT`` shingles, else
-one-permutation minima (``SLACK`` standard deviations below the limit). Pairs
-inside a component need no test, as a link between them changes nothing. A
-bucket of more than ``TILE`` members is dealt out in pairs of tiles; no pair of
-it is dropped. Only what passes the signature is aligned.
+it meets them in ``SHARED`` buckets or more. Buckets whose members then still lie
+in different components are resolved exactly: inside blocks of bounded size the
+tasks compare their cross-component members, first by length and signature (a
+bitmap of all shingles for texts of up to ``SHORT`` shingles, else
+one-permutation minima, ``SLACK`` standard deviations below the limit), then by
+alignment, and unite what they find, so a block hands on at most one link per
+member. Pairs inside a component need no test, as a link between them changes
+nothing. A bucket of more than ``TILE`` members is dealt out in pairs of tiles; no
+pair of it is dropped.
 
 Defined cases: null texts and texts without a word are equal (empty); texts of
 fewer than five words are one shingle; rows with a null id stay alone and are
-kept; an id with several texts belongs to the components of all of them;
-repeated rows get a row each; other columns are ignored.
+kept; each row of an id with several texts belongs to its own text's component
+and may be the one that stays for it; repeated rows get a row each; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -37,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.blocks import dealt, in_blocks, neighbours
+from slotwise.llm.blocks import by_block, in_blocks, neighbours, tiled
 from slotwise.llm.common import WORD, checkpointed, components, join_null_safe, map_arrow, table
 from slotwise.llm.prefix_tokens import grouped
 
@@ -49,6 +57,7 @@ NEAR = 24  # shingles expected below the first cut of a sketch's hashes
 BYTES = 256  # of a signature
 SHORT = 512  # shingles: up to here a bitmap tells all
 SLACK = 4.0
+FEW = 20  # shingles: below, sketches alone would miss similar texts
 SHARED = 2  # of the sketches, for a comparison with a centre
 TILE = 1024
 BROADCAST = 1_000_000  # ids (16 bytes each) that may be broadcast
@@ -191,6 +200,22 @@ def similar(a: np.ndarray, b: np.ndarray, limit: float = LIMIT) -> bool:
     return len(tails) >= need - 1e-9
 
 
+def prefixes(lab: np.ndarray, starts: np.ndarray, counts: np.ndarray, limit: float = LIMIT) -> list[np.ndarray]:
+    """Per document of few shingles (or similar in length to such) the hashes of its prefix.
+
+    Two sets that share ``limit`` of the larger share one of the smallest
+    ``n - ceil(limit n) + 1`` hashes of each.
+    """
+    out = []
+    for s, n in zip(starts.tolist(), counts.tolist()):
+        if n * limit > FEW:
+            out.append(np.zeros(0, np.int64))
+            continue
+        most = n - math.ceil(limit * n - 1e-9) + 1
+        out.append(_mixed(np.sort(_mixed(lab[s : s + n] ^ _M2))[:most]).view(np.int64))
+    return out
+
+
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, t, k1, k2, n, sketches, bits, low``: text hash, word-sequence key, shingles."""
 
@@ -203,14 +228,16 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 sh = [shingles(h) for h in hs]
                 counts = np.array([len(s) for s in sh])
                 some = np.flatnonzero(counts)
-                values = np.zeros((0, SKETCHES), np.int64)
+                values: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
                 sig = np.zeros((len(texts), 2 * BYTES), np.uint8)
                 if len(some):
                     c = counts[some]
                     lab = labelled(np.concatenate(sh), np.repeat(np.arange(len(c), dtype=np.uint64), c))
-                    values = sketches(lab, np.concatenate(([0], np.cumsum(c)[:-1])), c)
+                    starts = np.concatenate(([0], np.cumsum(c)[:-1]))
+                    for k, x, y in zip(some.tolist(), sketches(lab, starts, c), prefixes(lab, starts, c)):
+                        values[k] = np.concatenate([x, y])
                     sig[some] = signatures(lab, c)
-                ends = np.concatenate(([0], np.cumsum(np.where(counts > 0, SKETCHES, 0)))).astype(np.int32)
+                ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
@@ -218,7 +245,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         pa.array(keys[:, 0]),
                         pa.array(keys[:, 1]),
                         pa.array(counts.astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values))),
                         pa.array([x[:BYTES].tobytes() if n <= SHORT else b"" for x, n in zip(sig, counts)], pa.binary()),
                         pa.array([x[BYTES:].tobytes() if n > LIMIT * SHORT else b"" for x, n in zip(sig, counts)], pa.binary()),
                     ],
@@ -255,65 +282,118 @@ def promising(pairs: DataFrame, reps: DataFrame, limit: float = LIMIT) -> DataFr
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, limit: float = LIMIT) -> DataFrame:
-    """The pairs ``a, ta, b, tb`` whose texts align: ``a, b``."""
+    """The pairs ``a, ta, b, tb`` whose texts align."""
     need = pairs.select(F.col("a").alias("i"), F.col("ta").alias("h")).unionByName(pairs.select(F.col("b").alias("i"), F.col("tb").alias("h"))).distinct()
     if pairs.count() <= BROADCAST // 2:
         need = F.broadcast(need)  # then only texts of candidates are shuffled
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text).alias("h"), text.alias("text")).join(need, ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
     side = lambda k: texts.select(F.col("i").alias(k), F.col("h").alias(f"t{k}"), F.col("text").alias(f"text_{k}"))
-    both = pairs.join(side("b"), ["b", "tb"]).join(side("a"), ["a", "ta"]).select("a", "b", "text_a", "text_b")
-    kind = pairs.schema["a"].dataType.simpleString()
+    both = pairs.join(side("b"), ["b", "tb"]).join(side("a"), ["a", "ta"]).select("a", "ta", "b", "tb", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zero = lambda s: labelled(s, np.zeros(len(s), np.uint64)) if len(s) else s
         for batch in batches:
             good = []
             for s in range(0, len(batch), 256):
-                x, y = (word_hashes([t or "" for t in batch.column(k).slice(s, 256).to_pylist()]) for k in (2, 3))
+                x, y = (word_hashes([t or "" for t in batch.column(k).slice(s, 256).to_pylist()]) for k in (4, 5))
                 good += [similar(zero(shingles(p)), zero(shingles(q)), limit) for p, q in zip(x, y)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(["a", "ta", "b", "tb"]).filter(pa.array(good, pa.bool_()))
         _known.clear()
 
-    return map_arrow(both, run, f"a {kind}, b {kind}")
+    return map_arrow(both, run, pairs.select("a", "ta", "b", "tb").schema)
+
+
+def labelled_texts(need: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rep, t, lab``: labelled shingles in text order (64 bits each) of the texts ``need`` names by ``rep, t``."""
+    if need.count() <= BROADCAST:
+        need = F.broadcast(need)  # then only these texts are shuffled
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("rep"), F.xxhash64(text).alias("t"), text.alias("text")).join(need, ["rep", "t"], "left_semi").dropDuplicates(["rep", "t"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for some in grouped((t.as_py() or "" for t in batch.column(2)), 1_000_000):
+                sh = [shingles(h) for h in word_hashes(some)]
+                lab = [labelled(x, np.zeros(len(x), np.uint64)).tobytes() if len(x) else b"" for x in sh]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(at, len(some)) for k in (0, 1)), pa.array(lab, pa.binary())], names=["rep", "t", "lab"])
+                at += len(some)
+        _known.clear()
 
-def cross_pairs(members: DataFrame, limit: float = LIMIT, tile: int = TILE) -> DataFrame:
-    """Promising pairs of different components, each named in the first bucket they share.
+    return map_arrow(texts, run, f"rep {texts.schema['rep'].dataType.simpleString()}, t bigint, lab binary")
 
-    ``members``: ``sketch, sketches, rep, t, n, bits, low, component``. Returns ``a, ta, b, tb``.
+
+def _signature(lab: np.ndarray) -> np.ndarray:
+    return signatures(lab, np.array([len(lab)]))
+
+
+class _Sets:
+    """Disjoint sets of small numbers."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def top(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def unite(self, x: int, y: int) -> None:
+        self.up[self.top(x)] = self.top(y)
+
+
+def cross_links(members: DataFrame, labs: DataFrame, limit: float = LIMIT, tile: int = TILE) -> DataFrame:
+    """Links ``a, ta, b, tb`` that join the components of a bucket's members as far as similar pairs do.
+
+    ``members``: ``sketch, rep, t, n, component``; ``labs``: ``rep, t, lab``. The
+    shingles join the members when these are dealt, and are shuffled once with
+    them. A pair is aligned only if links found before do not already join its
+    components; a block gives fewer links than it has members.
     """
     size = members.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"))
-    spread = dealt(members.join(size, "sketch"), ["sketch"], "size", "rep", tile)
-    spread = spread.select("block", "own", "left", "rep", "t", "n", "bits", "low", "sketch", "sketches", F.xxhash64("component").alias("component"))
+    spread = tiled(members.join(size, "sketch"), ["sketch"], "size", "t", tile)
+    spread = spread.select("block", "own", "left", "rep", "t", "n", F.xxhash64("component").alias("component"))
+    spread = by_block(spread.join(labs, ["rep", "t"]))
     kind = members.schema["rep"].dataType.simpleString()
 
     def work(x: pa.Table) -> pa.RecordBatch:
-        block, own, left, component = (x[c].to_numpy() for c in ("block", "own", "left", "component"))
-        sketch, sketches_ = x["sketch"].to_numpy(), x["sketches"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
-        n, sig, found = x["n"].to_numpy(), _matrix(x["bits"], x["low"]), [np.zeros((2, 0), np.int64)]
+        block, own, left, n = (x[c].to_numpy() for c in ("block", "own", "left", "n"))
+        every, component = np.unique(x["component"].to_numpy(), return_inverse=True)
+        sets, found, labs_ = _Sets(len(every)), [], x["lab"].combine_chunks()
+        lab = lambda p: np.frombuffer(labs_[p].as_buffer(), np.uint64)
+        sig = np.concatenate([_signature(lab(p)) for p in range(len(x))]) if len(x) else np.zeros((0, 2 * BYTES), np.uint8)
         for i, j in neighbours(block):
             ok = (own[i] | (left[i] != left[j])) & (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= limit * np.maximum(n[i], n[j]))
             i, j = i[ok], j[ok]
             for s in range(0, len(i), 20_000):
                 p, q = i[s : s + 20_000], j[s : s + 20_000]
                 near = may_reach(sig[p], sig[q], np.maximum(n[p], n[q]), limit)
-                p, q = p[near], q[near]
-                at = (sketches_[p] == sketches_[q]).argmax(1)
-                first = sketches_[p, at] == sketch[p]
-                found.append(np.stack([p[first], q[first]]))
-        i, j = np.concatenate(found, axis=1)
+                for a, b in zip(p[near].tolist(), q[near].tolist()):
+                    u, v = component[a], component[b]
+                    if sets.top(u) != sets.top(v) and similar(lab(a), lab(b), limit):
+                        sets.unite(u, v)
+                        found.append((a, b))
+        i, j = (pa.array([f[k] for f in found], pa.int64()) for k in (0, 1))
         rep, t = x["rep"].combine_chunks(), x["t"].combine_chunks()
-        return pa.RecordBatch.from_arrays([rep.take(pa.array(i)), t.take(pa.array(i)), rep.take(pa.array(j)), t.take(pa.array(j))], names=["a", "ta", "b", "tb"])
+        return pa.RecordBatch.from_arrays([rep.take(i), t.take(i), rep.take(j), t.take(j)], names=["a", "ta", "b", "tb"])
+
+    return map_arrow(spread, in_blocks(work, 2000), f"a {kind}, ta bigint, b {kind}, tb bigint")
 
-    return map_arrow(spread, in_blocks(work), f"a {kind}, ta bigint, b {kind}, tb bigint")
+
+def _joined(links: DataFrame) -> DataFrame:
+    """``rep, t, component`` of every text on a link; a component is named by its smallest (id, text)."""
+    node = lambda i, h: F.struct(F.col(i).alias("i"), F.col(h).alias("h"))
+    found = components(links.select(node("a", "ta").alias("a"), node("b", "tb").alias("b")))
+    return found.select(F.col("node.i").alias("rep"), F.col("node.h").alias("t"), "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT, tile: int = TILE) -> DataFrame:
-    """``doc_id, class_id, component_id, kept`` per input row.
+    """``doc_id, t, class_id, component_id, kept`` per input row; ``t`` is the text's hash.
 
     ``class_id``: smallest id with the same words; ``component_id``: smallest id
-    reachable by near-duplicate links; ``kept``: the row stands for its component.
+    reachable by near-duplicate links; ``kept``: the row stands for its
+    component, as the smallest id and hash of its smallest class.
     """
     d = checkpointed(sketch_documents(docs, id_col, text_col))
     first = [F.first(c).alias(c) for c in ("n", "sketches", "bits", "low")]
@@ -324,23 +404,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = rows.groupBy("sketch").agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("low"), F.max(me).alias("high")).filter("size > 1")
     members = checkpointed(rows.join(buckets.drop("size"), "sketch"))
     # A pair is named once per bucket: the greatest member's by the smallest.
-    centres = F.when(F.col("rep") == F.col("low.rep"), F.slice(F.array("low"), 1, 0)).when(F.col("rep") == F.col("high.rep"), F.array("low"))
+    is_low, is_high = ((F.col("rep") == F.col(f"{c}.rep")) & (F.col("t") == F.col(f"{c}.t")) for c in ("low", "high"))
+    centres = F.when(is_low, F.slice(F.array("low"), 1, 0)).when(is_high, F.array("low"))
     star = members.withColumn("c", F.explode(centres.otherwise(F.array("low", "high")))).filter(F.least("n", "c.n") >= limit * F.greatest("n", "c.n"))
     star = _pairs(star.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("c.rep").alias("b"), F.col("c.t").alias("tb")), SHARED)
     star = promising(star, reps, limit)
     done = checkpointed(verified(checkpointed(star), docs, id_col, text_col, limit))
-    comp = components(done).withColumnsRenamed({"node": "rep"})
     # What the centres have not joined: members of one bucket in different components.
-    split = members.select("sketch", "rep", "t", "n").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    own = F.struct(F.col("rep").alias("i"), F.col("t").alias("h"))
+    split = members.select("sketch", "rep", "t", "n").join(_joined(done), ["rep", "t"], "left").withColumn("component", F.coalesce("component", own))
     open_ = split.groupBy("sketch").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sketch")
-    left = split.join(open_, "sketch").join(reps.select("rep", "t", "sketches", "bits", "low"), ["rep", "t"])
-    more = verified(checkpointed(_pairs(cross_pairs(left, limit, tile))), docs, id_col, text_col, limit)
-    comp = components(checkpointed(done.unionByName(more)))
-    found = join_null_safe(d.filter("doc_id is not null").select("doc_id", "k1", "k2").distinct(), reps.select("k1", "k2", "rep"), ["k1", "k2"])
-    found = found.join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
-    found = found.groupBy("doc_id").agg(F.min("rep").alias("class_id"), F.min(F.coalesce("component", "rep")).alias("component_id"))
-    out = join_null_safe(d.select("doc_id"), found, ["doc_id"], "left")
-    return out.select("doc_id", "class_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    left = checkpointed(split.join(open_, "sketch"))
+    labs = labelled_texts(left.select("rep", "t").distinct(), docs, id_col, text_col)
+    more = cross_links(left, labs, limit, tile)
+    comp = _joined(checkpointed(done.unionByName(more)))
+    # Every class with its component; a row belongs to its own class.
+    classes = reps.select("k1", "k2", "rep", "t").join(comp, ["rep", "t"], "left").withColumn("component", F.coalesce("component", own))
+    classes = classes.select("k1", "k2", "rep", F.col("t").alias("rep_t"), F.col("component.i").alias("component_id"), (F.col("component") == own).alias("leads"))
+    out = d.select("doc_id", "t", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    known, leads = F.col("doc_id").isNotNull(), F.col("leads") & (F.col("doc_id") == F.col("rep")) & F.col("t").eqNullSafe(F.col("rep_t"))
+    return out.select(
+        "doc_id", "t", F.when(known, F.col("rep")).alias("class_id"), F.when(known, F.col("component_id")).alias("component_id"),
+        (~known | F.coalesce(leads, F.lit(False))).alias("kept"),
+    )
 
 
 def _pairs(df: DataFrame, least: int = 1) -> DataFrame:
@@ -351,14 +437,20 @@ def _pairs(df: DataFrame, least: int = 1) -> DataFrame:
 
 
 def op3_order_minhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("t")
 
 
 def neardup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each component stays, with all its columns."""
+    """Pipeline stage: one document of each component stays, with all its columns.
+
+    Rows are matched by id and text: an id's texts of other components stay, and
+    of rows with the same id and text one.
+    """
     found = checkpointed(near_duplicates(docs))
-    out = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    if found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return out
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("t").alias("_h")).distinct()
+    keyed = docs.withColumn("_t", F.xxhash64(F.col("text").cast("string")))
+    out = keyed.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_t") == F.col("_h")), "left_anti")
+    if found.filter("kept and doc_id is not null").groupBy("doc_id", "t").count().filter("count > 1").isEmpty():
+        return out.select(*docs.columns)
     null = F.col("doc_id").isNull()
-    return out.filter(~null).dropDuplicates(["doc_id"]).unionByName(out.filter(null))
+    return out.filter(~null).dropDuplicates(["doc_id", "_t"]).unionByName(out.filter(null)).select(*docs.columns)

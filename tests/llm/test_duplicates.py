@@ -220,3 +220,43 @@ def test_calibration_reaches_its_recall():
     counted = rng.normal(size=(64, embeddings.LINES))
     counted /= np.linalg.norm(counted, axis=0)
     assert ((np.abs(u @ counted - v @ counted) <= window).sum(1) >= least).mean() >= 0.99
+
+
+def test_short_texts_are_never_missed(make_docs):
+    """Texts of 3 to 20 words against copies with a word more, less or changed at their ends."""
+    rng, rows = random.Random(11), []
+    for n in range(3, 25):
+        for g in range(6):
+            words = [f"n{n}g{g}w{k}" for k in range(n)]
+            ends = [words, words + ["more"], ["more"] + words, words[:-1], words[1:], words[:-1] + ["other"], words + ["a", "b"], words + ["a", "b", "c"]]
+            rows += [" ".join(w) for w in rng.sample(ends, 4)]
+    rows = list(enumerate(rows))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(make_docs([(a, t, "s") for a, t in rows])).collect()}
+    want = brute(rows)
+    assert got == want and len(set(want.values())) < 0.7 * len(rows)
+
+
+def test_ids_with_several_texts_lose_no_group(make_docs):
+    b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "bcd")
+    rows = [(3, b), (7, b), (7, c), (9, c + " end"), (5, d), (5, " ".join(reversed(d.split()))), (5, d), (11, d + " tail")]
+    docs = make_docs([(a, t, "s") for a, t in rows])
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect())
+    assert got == sorted([(3, 3, True), (7, 3, False), (7, 7, True), (9, 7, False), (5, 5, True), (5, 5, True), (5, 5, True), (11, 5, False)])
+    left = sorted((r["doc_id"], r["text"]) for r in neardup.neardup_stage(None, docs, "").collect())
+    assert left == sorted([(3, b), (7, c), (5, d), (5, rows[5][1])])
+
+
+def test_a_large_group_gives_few_links(make_docs, monkeypatch):
+    """Near copies around centres that are not among them: a link a member, not one a pair."""
+    rng = random.Random(3)
+    line = [f"common{k}" for k in range(70)]
+    rows = [" ".join(line + [f"a{j}" for j in range(60)])]
+    for name, n in (("g", 60), ("h", 80)):
+        rows += [" ".join(altered(rng, line + [f"{name}{k}" for k in range(60)], 2)) for _ in range(n)]
+    links = []
+    plain = neardup.cross_links
+    monkeypatch.setattr(neardup, "cross_links", lambda *a: links.append((a[0].count(), (out := plain(*a)).count())) or out)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(make_docs([(k, t, "s") for k, t in enumerate(rows)])).collect()}
+    assert got == brute(list(enumerate(rows)))
+    members, found = links[0]
+    assert found <= members

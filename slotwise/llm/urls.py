@@ -5,8 +5,11 @@ host, path segments form a tree; below a node, segments become a wildcard if
 they look like values (numbers, hex strings, long slugs) or if the node has more
 than ``BRANCHES`` different ones of which none dominates. Sibling branches whose
 pages have compatible label counts are merged, and each resulting template is
-judged by its smoothed share of blocked among labelled pages. Unlabelled pages
-of a template at or above ``REJECT`` are blocked.
+judged by its share of blocked among labelled pages, smoothed by ``STRENGTH``
+pages of its prior. The prior of a branch is what its labelled siblings say, each
+counted once and smoothed by ``SIBLINGS`` of the prior of the node above (0 above
+the root): beside nine blocked branches an unlabelled one is blocked, beside two
+it is not. Unlabelled pages of a template at or above ``REJECT`` are blocked.
 
 All steps are aggregations by (host, node): a host with a third of all pages is
 counted map-side first. The tree is walked level by level for ``LEVELS``
@@ -37,6 +40,7 @@ BRANCHES = 24
 DOMINANT = 0.2
 REJECT = 0.8
 STRENGTH = 4.0  # pseudo-pages of the prior in a template's purity
+SIBLINGS = 2.0  # pseudo-branches of the node above in a node's prior
 COMPATIBLE = 6.63  # chi-square limit for merging a branch into its group, 1 % level
 
 
@@ -79,6 +83,29 @@ def _template_counts(shapes: DataFrame) -> DataFrame:
     )
 
 
+def priors(paths: DataFrame) -> DataFrame:
+    """``host, template, prior`` of the rows ``host, raw, template, block, allow``.
+
+    The branches of a node are its paths' next segments, merged or not; each is
+    judged once by its labelled pages. The prior of a template comes down the
+    nodes of its path; a node with one branch says nothing of its own.
+    """
+    nodes = paths.select("host", "raw", "template", "block", "allow", F.explode(F.sequence(F.lit(0), F.size("template"))).alias("d"))
+    below = nodes.filter(F.col("d") < F.size("template")).groupBy("host", F.slice("template", F.lit(1), F.col("d")).alias("node"), F.get("raw", F.col("d")).alias("seg"))
+    branch = below.agg(F.sum("block").alias("b"), F.sum("allow").alias("a"))
+    share = F.when(F.col("b") + F.col("a") > 0, F.col("b") / (F.col("b") + F.col("a")))
+    said = branch.groupBy("host", "node").agg(F.sum(share).alias("s"), F.count(share).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
+    nodes = nodes.select("host", "template", "d").distinct()
+    path = nodes.filter((F.col("d") < F.size("template")) | (F.size("template") == 0)).select(
+        "host", "template", "d", F.slice("template", F.lit(1), F.col("d")).alias("node")
+    )
+    path = join_null_safe(path, said, ["host", "node"], "left").groupBy("host", "template").agg(
+        F.array_sort(F.collect_list(F.struct("d", F.coalesce("s", F.lit(0.0)).alias("s"), F.coalesce("c", F.lit(0)).alias("c")))).alias("p")
+    )
+    down = F.aggregate("p", F.lit(0.0), lambda prior, n: (n["s"] + SIBLINGS * prior) / (n["c"] + SIBLINGS))
+    return path.select("host", "template", down.alias("prior"))
+
+
 def path_templates(pages: DataFrame, levels: int = LEVELS, branches: int = BRANCHES) -> DataFrame:
     """``host, raw, template, block, allow, n, purity`` from ``host, raw, label``.
 
@@ -123,11 +150,8 @@ def path_templates(pages: DataFrame, levels: int = LEVELS, branches: int = BRANC
         t = t.withColumn("template", F.when(F.col("branch") == "", F.col("template")).otherwise(F.array_append("template", F.col("branch")))).drop("seg", "branch")
         t = checkpointed(t)  # the next level reads it twice
     total = t.groupBy("host", "template").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.sum("n").alias("n"))
-    prior = total.groupBy("host").agg(F.sum("block").alias("hb"), F.sum("allow").alias("ha"))
-    total = join_null_safe(total, prior, ["host"])
-    # The host's share of blocked pages, itself drawn halfway to "allow", is the prior of its templates.
-    share = F.col("hb") / (F.col("hb") + F.col("ha") + STRENGTH) / 2
-    total = total.withColumn("purity", (F.col("block") + STRENGTH * share) / (F.col("block") + F.col("allow") + STRENGTH)).drop("hb", "ha")
+    total = join_null_safe(total, priors(t), ["host", "template"])
+    total = total.withColumn("purity", (F.col("block") + STRENGTH * F.col("prior")) / (F.col("block") + F.col("allow") + STRENGTH)).drop("prior")
     return join_null_safe(t.select("host", "raw", "template"), total, ["host", "template"])
 
 

@@ -211,6 +211,37 @@ def test_templates_generalise_and_reject_by_purity(spark):
     assert {r["template"] for r in got} == {"*/post"} and {r["verdict"] for r in got} == {"allow"}
 
 
+@pytest.mark.parametrize("verdict,n,want", [("block", 9, "block"), ("block", 2, "allow"), ("allow", 9, "allow")])
+def test_labelled_siblings_judge_an_unlabelled_branch(spark, verdict, n, want):
+    names = [chr(97 + k) * 3 for k in range(n)]
+    rules = tuple((f"forum.org/{x}/", verdict) for x in names)
+    rows = [(100 * k + j, f"http://forum.org/{x}/topic-{chr(97 + j)}/{j}") for k, x in enumerate(names) for j in range(20)]
+    rows += [(5000 + j, f"http://forum.org/zzz/topic-{chr(97 + j)}/deeper/{j}") for j in range(5)]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages(spark, rows), rules=rules).collect()}
+    assert {got[5000 + j] for j in range(5)} == {want}
+
+
+def test_priors_equal_the_plain_recursion(spark):
+    rng = random.Random(8)
+    rows = {("h", tuple(rng.choice("abc") for _ in range(rng.randint(0, 4)))): (rng.choice([0, 0, 3, 7]), rng.choice([0, 0, 2])) for _ in range(40)}
+    df = spark.createDataFrame([(h, list(t), b, a) for (h, t), (b, a) in rows.items()], "host string, raw array<string>, block bigint, allow bigint")
+    df = df.withColumn("template", F.col("raw"))
+
+    def prior(node):  # of the node's children
+        above = prior(node[:-1]) if node else 0.0
+        shares = []
+        children = {t[: len(node) + 1] for _, t in rows if len(t) > len(node) and t[: len(node)] == node}
+        for c in children if len(children) > 1 else ():
+            b, a = (sum(x[k] for (_, t), x in rows.items() if t[: len(c)] == c) for k in (0, 1))
+            shares += [b / (a + b)] if a + b else []
+        return (sum(shares) + urls.SIBLINGS * above) / (len(shares) + urls.SIBLINGS)
+
+    got = {tuple(r["template"]): r["prior"] for r in urls.priors(df).collect()}
+    assert len(got) == len(rows)
+    for (_, t) in rows:
+        assert got[t] == pytest.approx(prior(t[:-1] if t else t))
+
+
 def test_no_pages(spark):
     assert urls.judge_urls(pages(spark, [])).count() == 0
     assert urls.judge_urls(pages(spark, [(1, None)])).collect()[0]["verdict"] == "allow"

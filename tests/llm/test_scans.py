@@ -147,6 +147,22 @@ def test_rare_findings_of_a_large_table_train_the_network(spark):
     assert few.threshold == again.threshold <= 1
 
 
+def test_every_window_of_the_table_is_learned_from(spark, monkeypatch):
+    # more windows a class than a bounded set would hold, in several blocks
+    monkeypatch.setattr(secrets, "BLOCK", 1000)
+    i = F.col("id").cast("string")
+    text = F.when(F.col("id") % 2 == 0, F.concat(F.lit('the token = "'), F.md5(i), F.lit('" of it'))).otherwise(F.concat(F.lit("see mail"), i, F.lit(".example.com there")))
+    docs = spark.range(7000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    w = secrets.labelled_windows(docs)
+    assert {r["y"]: r["count"] for r in w.groupBy("y").count().collect()} == {0: 3500, 1: 3500}
+    seen, calibrated = [], secrets.calibrated
+    monkeypatch.setattr(secrets, "calibrated", lambda net, bins, y, n: seen.append(n.sum()) or calibrated(net, bins, y, n))
+    net, again = secrets.train_on(docs), secrets.train_on(docs.repartition(3))
+    assert seen[0] == seen[1] == w.filter("pmod(shiftright(xxhash64(w), 1), 4) = 0").count() > 1500
+    assert net.threshold == again.threshold <= 1 and net.recall >= 0.95 and net.false_share <= 0.02
+    assert (net.kernel == again.kernel).all() and net.scale == again.scale
+
+
 def test_scan_of_odd_rows(odd, make_docs):
     net = secrets.train_on(odd)
     got = secrets.scan_secrets(odd, net).collect()

@@ -1,8 +1,8 @@
 """Joins whose left side has a few very frequent keys.
 
-Which keys are frequent is found by a mergeable sketch of frequent items: every
-task keeps a bounded table, the tables are merged, and a key above the share is
-certain to be in it. Rows of a frequent key get a salt, and the right side's
+Which keys are frequent is found by counting them: every task adds up its own
+rows, the counts are shuffled by key, and only keys above the share (a bounded
+number) reach the driver. Rows of a frequent key get a salt, and the right side's
 rows of that key are repeated once per salt, so they spread over the partitions;
 all other rows keep salt 0 and join as before. One exchange a side, as in a
 plain join, and no reliance on the run-time splitting of skewed partitions.
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 # A key with this share of the rows would keep a partition busy beyond the others.
 HEAVY_SHARE = 0.01
 MAX_HEAVY = 100  # no more keys can have that share; what is collected is bounded by it
-TRACKED = 10_000  # items of the sketch: its counts are off by rows / TRACKED at most, about
 
 
 def key_name(df: DataFrame, keys: list[str], null_safe: bool = False) -> Column:
@@ -30,9 +29,15 @@ def key_name(df: DataFrame, keys: list[str], null_safe: bool = False) -> Column:
     return F.when(reduce(lambda a, b: a & b, [t.isNotNull() for t in text]), F.concat_ws("\x1f", *text))
 
 
-def top_keys(name: Column, share: float = HEAVY_SHARE) -> Column:
-    """Aggregate: the most frequent names with their counts, by a sketch of bounded size."""
-    return F.call_function("approx_top_k", name, F.lit(min(MAX_HEAVY, int(1 / share))), F.lit(TRACKED))
+def counted_keys(df: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """``item, count``: the rows of every key."""
+    return df.select(key_name(df, keys, null_safe).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("count"))
+
+
+def top_keys(counted: DataFrame, rows: int, share: float = HEAVY_SHARE) -> list:
+    """The most frequent items of ``counted_keys`` that may have ``share`` of so many rows."""
+    found = counted.filter(F.col("item").isNotNull() & (F.col("count") >= F.lit(share * rows)))
+    return found.orderBy(F.desc("count"), "item").limit(min(MAX_HEAVY, int(1 / share))).collect()
 
 
 def heavy_of(top, rows: int, share: float = HEAVY_SHARE) -> list[str]:
@@ -41,9 +46,13 @@ def heavy_of(top, rows: int, share: float = HEAVY_SHARE) -> list[str]:
 
 
 def heavy_keys(df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, null_safe: bool = False) -> list[str]:
-    """The keys of at least ``share`` of the rows, as text; at most ``MAX_HEAVY``."""
-    row = df.select(key_name(df, keys, null_safe).alias("k")).agg(F.count(F.lit(1)).alias("n"), top_keys(F.col("k"), share).alias("top")).first()
-    return heavy_of(row["top"], row["n"], share)
+    """The keys of at least ``share`` of the rows, as text; at most ``MAX_HEAVY``. One pass over the rows."""
+    counted = counted_keys(df, keys, null_safe).persist()
+    try:
+        rows = counted.agg(F.sum("count")).first()[0] or 0
+        return heavy_of(top_keys(counted, rows, share), rows, share)
+    finally:
+        counted.unpersist()
 
 
 def salts_for(df: DataFrame) -> int:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, integrity, render, select, skew, slots
-from slotwise.operators.util import broadcast_checked, gate_rows, json_width
+from slotwise.operators.util import broadcast_checked, gate_rows, row_width
 from slotwise.plans.ledger import StageLedger, fingerprint
 from slotwise.sources import delivery, runlog, tables
 from slotwise.session import ensure_checkpoint_dir
@@ -62,6 +62,7 @@ class CampaignRun:
     cached_lookups: list = field(default_factory=list)
     ledger: StageLedger | None = None
     observed: dict = field(default_factory=dict)
+    heavy: dict = field(default_factory=dict)
 
     def _watched(self, name: str, df: DataFrame, **more) -> DataFrame:
         """The frame with its rows (and ``more`` aggregates) observed by whatever pass
@@ -86,14 +87,14 @@ class CampaignRun:
     def meta(self) -> DataFrame:
         """Expanded metadata (configuration-sized); persisted as ``content`` is."""
         df = campaigns.expand_campaigns(self.inputs.config, self.params)
-        return self._watched("campaign metadata", df, bytes=F.sum(json_width(df))).persist()
+        return self._watched("campaign metadata", df, bytes=F.sum(row_width(df))).persist()
 
     @cached_property
     def content(self) -> DataFrame:
         """Expanded campaign content (configuration-sized); persisted because
         every later stage and several control values read it."""
         df = campaigns.expand_content(self.meta, self.module_vars)
-        return self._watched("expanded content", df, bytes=F.sum(json_width(df))).persist()
+        return self._watched("expanded content", df, bytes=F.sum(row_width(df))).persist()
 
     @cached_property
     def config_counts(self) -> dict[str, int]:
@@ -157,26 +158,19 @@ class CampaignRun:
         build = lambda: audience.build_audience(assigned, profiles, columns, self.params.heavy_share)
         if self.params.checkpoint_audience and self.ledger is None:
             ensure_checkpoint_dir(self.spark)
-            return self._observed_audience(build().checkpoint(eager=True)).persist()
+            return self._watched("audience", build().checkpoint(eager=True)).persist()
         if self.ledger is not None:
-            return self._observed_audience(self.ledger.stage("audience", build))
-        return self._observed_audience(build()).persist()
-
-    def _observed_audience(self, df: DataFrame) -> DataFrame:
-        """With the accounts and content keys that many rows have, for the joins on them."""
-        share = self.params.heavy_share
-        if not share:
-            return self._watched("audience", df)
-        content = skew.key_name(df, audience.content_key_columns(self.attributes), null_safe=True)
-        return self._watched("audience", df, accounts=skew.top_keys(F.col("paid").cast("string"), share), contents=skew.top_keys(content, share))
+            return self._watched("audience", self.ledger.stage("audience", build))
+        return self._watched("audience", build()).persist()
 
     def _heavy(self, kind: str) -> list[str]:
-        """Frequent keys of the audience, as seen while it was built."""
+        """Frequent accounts or content keys of the audience, counted over its persisted rows."""
         if not self.params.heavy_share:
             return []
-        self.audience_rows  # noqa: B018 - the pass that observes them
-        seen = self._seen("audience", self.audience)
-        return skew.heavy_of(seen[kind], seen["rows"], self.params.heavy_share)
+        if kind not in self.heavy:
+            keys, null_safe = (["paid"], False) if kind == "accounts" else (audience.content_key_columns(self.attributes), True)
+            self.heavy[kind] = skew.heavy_keys(self.audience, keys, self.params.heavy_share, null_safe)
+        return self.heavy[kind]
 
     @cached_property
     def key_rows(self) -> int:
@@ -197,7 +191,7 @@ class CampaignRun:
         """Per-cohort candidates; persisted because its size decides how it is joined."""
         p = self.params
         df = allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_size)
-        return self._watched("allocation", df, bytes=F.sum(json_width(df))).persist()
+        return self._watched("allocation", df, bytes=F.sum(row_width(df))).persist()
 
     @cached_property
     def allocation_size(self) -> tuple[int, int]:
@@ -241,12 +235,16 @@ class CampaignRun:
         return slots.fill_slots(render.render_slots(rows, p.rotation_seed(), p.missing), self.slots)
 
     @cached_property
-    def rendered(self) -> DataFrame:
-        """One row per content key: wide slot columns, trace, campaign priority.
-        Persisted: the join-back's size check materialises it."""
+    def slot_contents(self) -> DataFrame:
+        """One row per content key: wide slot columns, trace, campaign priority."""
         keys = audience.content_key_columns(self.attributes)
-        df = self._render(self.content_keys).select(*keys, *slots.personalise_columns(self.slots, self.params.compat))
-        return self._watched("rendered", df, bytes=F.sum(json_width(df))).persist()
+        return self._render(self.content_keys).select(*keys, *slots.personalise_columns(self.slots, self.params.compat))
+
+    @cached_property
+    def rendered(self) -> DataFrame:
+        """``slot_contents`` for the join back. Persisted: its size check materialises it."""
+        df = self.slot_contents
+        return self._watched("rendered", df, bytes=F.sum(row_width(df))).persist()
 
     @cached_property
     def rendered_size(self) -> tuple[int, int]:

@@ -91,3 +91,23 @@ def test_filter_keeps_every_partner_and_few_others(spark):
 def test_filter_over_nothing_passes_nothing(spark):
     lookup = spark.range(10).select(F.col("id").cast("string").alias("k"))
     assert bloom.may_match(lookup, ["k"], bloom.key_filter(lookup.limit(0), ["k"], 1), 1).count() == 0
+
+
+def test_counts_are_exact_among_very_many_keys(spark):
+    # 60,000 keys: more than a sketch of bounded size keeps apart; one just reaches the share, one just fails it
+    keys = spark.range(98_001).select(F.when(F.col("id") < 1000, F.lit("in")).when(F.col("id") < 1999, F.lit("out")).otherwise(F.concat(F.lit("k"), F.col("id") % 60_000)).alias("k"))
+    df = keys.unionByName(spark.range(1999).select(F.lit(None).cast("string").alias("k"))).repartition(7)
+    assert df.count() == 100_000 and skew.heavy_keys(df, ["k"], 0.01) == ["in"]
+    assert {r["item"]: r["count"] for r in skew.counted_keys(df, ["k"]).filter("item in ('in', 'out')").collect()} == {"in": 1000, "out": 999}
+
+
+def test_the_audience_sends_no_sketches_to_the_driver(spark):
+    from slotwise.plans import fixture_run as fr
+    from tests.conftest import SMALL
+
+    fr._RUNS.clear()
+    run = fr.fixture_run(spark, SMALL)
+    plan = run.audience._jdf.queryExecution().toString()
+    assert "CollectMetrics" in plan and "approx_top_k" not in plan
+    assert "approx_top_k" not in run.with_tokens._jdf.queryExecution().toString()
+    fr._RUNS.clear()

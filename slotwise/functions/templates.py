@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from slotwise.functions.text import OPTION_SEPARATOR, text_for_key, value_key
+from slotwise.functions.text import OPTION_SEPARATOR, text_for_key, value_key, value_texts
 
 TOKEN_MARK = "%%"
 SEGMENTS = "array<array<struct<text:string,token:string>>>"
@@ -65,9 +65,13 @@ def keyed(options, spec) -> Column:
     )
 
 
-def render_compiled(options, values, mode: str = "strict") -> Column:
-    """The options' texts: segments looked up and joined."""
+def fill_compiled(options, texts) -> Column:
+    """The options' texts: segments looked up in ``value_texts`` and joined."""
     return F.transform(
-        _c(options),
-        lambda segments: F.array_join(F.transform(segments, lambda s: F.coalesce(s["text"], text_for_key(values, s["key"], mode))), ""),
+        _c(options), lambda segments: F.array_join(F.transform(segments, lambda s: F.coalesce(s["text"], text_for_key(texts, s["key"]))), "")
     )
+
+
+def render_compiled(options, values, mode: str = "strict") -> Column:
+    """``fill_compiled`` for one template of a row."""
+    return fill_compiled(options, value_texts(values, mode))

@@ -40,37 +40,43 @@ def value_key(token, spec) -> Column:
     ).otherwise(F.concat(t, F.lit("@"), _c(spec)))
 
 
-def text_for_key(values, key, mode: str = "compat") -> Column:
-    """Text of a value-map key: its value, or the missing marker.
+def value_texts(values, mode: str = "compat") -> Column:
+    """The value map as texts, made once a row: tokens then look up no more than their key.
 
-    Empty or unresolved → ``value_not_found``. A null value prints as ``None``
-    in compat mode (the reference's ``str(None)``), as the marker in strict.
+    An empty value is the missing marker. A null value prints as ``None`` in
+    compat mode (the reference's ``str(None)``), as the marker in strict.
     """
-    present = F.map_contains_key(_c(values), key)
-    v = F.try_element_at(_c(values), key)
     null_text = NONE_TEXT if mode == "compat" else MISSING_TEXT
-    return F.when(~present | (v == F.lit("")), F.lit(MISSING_TEXT)).when(v.isNull(), F.lit(null_text)).otherwise(v)
+    return F.transform_values(_c(values), lambda _, v: F.when(v == F.lit(""), F.lit(MISSING_TEXT)).otherwise(F.coalesce(v, F.lit(null_text))))
 
 
-def render_keyed(template, keyed_tokens, values, mode: str = "compat") -> Column:
+def text_for_key(texts, key) -> Column:
+    """Text of a key in ``value_texts``; the missing marker if it is not there."""
+    return F.coalesce(F.try_element_at(_c(texts), key), F.lit(MISSING_TEXT))
+
+
+def fill_keyed(template, keyed_tokens, texts) -> Column:
     """H5 with each token's value-map key already computed (configuration side):
     ``keyed_tokens`` is an array of struct(token, key)."""
     filled = F.aggregate(
-        _c(keyed_tokens),
-        F.coalesce(_c(template), F.lit("")),
-        lambda acc, t: F.replace(acc, t["token"], text_for_key(values, t["key"], mode)),
+        _c(keyed_tokens), F.coalesce(_c(template), F.lit("")), lambda acc, t: F.replace(acc, t["token"], text_for_key(texts, t["key"]))
     )
     return F.replace(filled, F.lit("%%"), F.lit(""))
 
 
-def render_options(template, keyed_tokens, values, mode: str = "compat") -> Column:
+def render_keyed(template, keyed_tokens, values, mode: str = "compat") -> Column:
+    """``fill_keyed`` for one template of a row."""
+    return fill_keyed(template, keyed_tokens, value_texts(values, mode))
+
+
+def fill_options(template, keyed_tokens, texts) -> Column:
     """Rendered template already split into options (``array<string>``).
 
     As the reference (Q20): substitute every token's text wherever it occurs,
     drop ``%%``, then split — a value holding ``|`` adds options. The strict
-    rule is :func:`slotwise.functions.templates.render_compiled`.
+    rule is :func:`slotwise.functions.templates.fill_compiled`.
     """
-    return options(render_keyed(template, keyed_tokens, values, mode))
+    return options(fill_keyed(template, keyed_tokens, texts))
 
 
 def options(text) -> Column:
@@ -117,33 +123,25 @@ def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
     Each step is its own ``transform`` reading the previous step's fields
     through the lambda variable, so an option is chosen once and tested once
     (re-using one Column object in several places would copy its whole
-    expression into the plan and evaluate it again).
+    expression into the plan and evaluate it again). A step copies what it
+    hands on, so the options stay behind in the first.
 
     Result elements: struct(pos, value, att, missing). Missing content becomes
     ``None`` (slot 1 variable 1 keeps its default text) with att ``default``.
     """
-    picked = F.transform(
-        _c(split),
-        lambda v: F.struct(
-            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"),
-            choose_from_parts(v["parts"], bucket, seed, v["is_first"]).alias("pick"),
-        ),
-    )
-    tested = F.transform(
-        picked,
-        lambda v: F.struct(
-            v["pos"].alias("pos"), v["is_first"].alias("is_first"), v["parts"].alias("parts"), v["pick"].alias("pick"),
-            is_missing(v["pick"]["value"], mode).alias("missing"),
-        ),
-    )
+    def pick(v: Column) -> Column:
+        chosen = choose_from_parts(v["parts"], bucket, seed, v["is_first"])
+        default = F.when(v["is_first"], F.get(v["parts"], 0)).otherwise(F.lit(NONE_TEXT))
+        return F.struct(v["pos"].alias("pos"), default.alias("default"), chosen["value"].alias("value"), chosen["att"].alias("att"))
+
+    picked = F.transform(_c(split), pick)
+    tested = F.transform(picked, lambda v: F.struct(v.alias("v"), is_missing(v["value"], mode).alias("missing")))
     return F.transform(
         tested,
-        lambda v: F.struct(
-            v["pos"].alias("pos"),
-            F.when(v["missing"], F.when(v["is_first"], F.get(v["parts"], 0)).otherwise(F.lit(NONE_TEXT)))
-            .otherwise(v["pick"]["value"])
-            .alias("value"),
-            F.when(v["missing"], F.lit(DEFAULT_ATT)).otherwise(v["pick"]["att"]).alias("att"),
-            v["missing"].alias("missing"),
+        lambda x: F.struct(
+            x["v"]["pos"].alias("pos"),
+            F.when(x["missing"], x["v"]["default"]).otherwise(x["v"]["value"]).alias("value"),
+            F.when(x["missing"], F.lit(DEFAULT_ATT)).otherwise(x["v"]["att"]).alias("att"),
+            x["missing"].alias("missing"),
         ),
     )

@@ -18,7 +18,7 @@ from slotwise.functions.keys import segment_ids
 from slotwise.functions.rotation import pick_version
 from slotwise.functions.text import value_key
 from slotwise.operators.audience import COHORT_KEYS
-from slotwise.operators.util import broadcast_checked
+from slotwise.operators.util import broadcast_checked, exploded
 
 # Fixed values (must equal the reference's): placements whose missing content demotes a module.
 PLACEMENTS_DEMOTABLE = ("hero", "banner")
@@ -79,7 +79,7 @@ def module_index(content: DataFrame) -> DataFrame:
 def allocated_offers(
     cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Per cohort, the offers it receives (``chosen``), by bitmaps.
+    """Per cohort, the offers it receives (``chosen``, maybe none), by bitmaps.
 
     The bitmaps of the cohort's segments are OR-ed and the campaign's offers
     tested against the result, so a cohort's candidates are found in its own
@@ -95,22 +95,22 @@ def allocated_offers(
     either = F.aggregate(own, none, lambda x, m: F.when(F.size(x) == 0, m).otherwise(F.zip_with(x, m, lambda a, b: a.bitwiseOR(b))))
 
     def offered(mask: Column, o: Column) -> Column:
-        word = F.get(mask, F.floor(o["no"] / 64).cast("int"))
-        return F.call_function("shiftright", word, o["no"] % 64).bitwiseAND(F.lit(1).cast("bigint")) == 1
+        no = o["no"].cast("int")
+        return F.call_function("shiftright", F.get(mask, F.shiftright(no, 6)), no.bitwiseAND(63)).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
     today = lambda o: o["version"] == pick_version(F.col("test_keys"), seed, o["ttl_versions"])
     place = lambda o: F.struct(o["slot"], o["type"], o["priority"])
     received = lambda mask: F.filter("offers", lambda o: F.coalesce(offered(mask, o) & today(o), F.lit(False)))
     first = lambda found: F.filter(found, lambda o, i: (i == 0) | (place(o) != place(F.get(found, F.greatest(i - 1, F.lit(0))))))
     chosen = bound(bound(either, received), first)
-    return cohort_df.join(index, "campaign_id").select(*COHORT_KEYS, chosen.alias("chosen")).filter(F.size("chosen") > 0)
+    return cohort_df.join(index, "campaign_id").select(*COHORT_KEYS, chosen.alias("chosen"))
 
 
 def allocate_modules(
     cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
     """I1 as rows: one per (cohort, slot, module type, priority) with the chosen module."""
-    rows = allocated_offers(cohort_df, content, seed, max_broadcast_rows, known).select(*COHORT_KEYS, F.explode("chosen").alias("o"))
+    rows = exploded(allocated_offers(cohort_df, content, seed, max_broadcast_rows, known), COHORT_KEYS, "chosen", "o")
     return rows.select(
         *COHORT_KEYS, F.col("o.slot").alias("slot_position"), F.col("o.type").alias("module_type_id"),
         F.col("o.priority").alias("module_priority_in_slot"), F.col("o.module_id").alias("module_id"),
@@ -155,7 +155,10 @@ def campaign_modules(content: DataFrame, mode: str = "compat") -> DataFrame:
     """Per campaign, its offered modules with attributes and variables, in the order
     of ``module_index``'s places."""
     offered = offer_rows(content).select("campaign_id", "module_id").distinct()
-    modules = module_attributes(content).join(module_variables(content, mode), "module_id")
+    # A content row meets its whole campaign's modules: they carry what rendering reads, no more.
+    read = ("pos", "template", "keyed") if mode == "compat" else ("pos", "compiled")
+    slim = F.transform("vars", lambda v: F.struct(*[v[f].alias(f) for f in read]))
+    modules = module_attributes(content).join(module_variables(content, mode).withColumn("vars", slim), "module_id")
     rows = offered.join(modules, "module_id", "left")
     module = F.struct("module_id", "placement_type", "default_flag", "vars")
     return rows.groupBy("campaign_id").agg(F.sort_array(F.collect_list(module)).alias("modules"))
@@ -164,8 +167,9 @@ def campaign_modules(content: DataFrame, mode: str = "compat") -> DataFrame:
 def allocation(
     cohort_df: DataFrame, content: DataFrame, seed: int, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Per cohort, a map slot → candidate modules (priority, type, id, place in
-    the campaign's module list). What the modules say is attached when a content
+    """Per cohort of a campaign with offers, a map slot → candidate modules
+    (priority, type, id, place in the campaign's module list), empty where it gets
+    none: a filter here would compute every cohort's map once more. What the modules say is attached when a content
     row is rendered (``with_modules``), so cohorts carry numbers only."""
     rows = allocated_offers(cohort_df, content, seed, max_broadcast_rows, known)
     candidate = lambda o: F.struct(

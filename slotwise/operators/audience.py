@@ -40,7 +40,7 @@ def assign_campaigns(
     ``segment_type_id`` becomes the recipient's ``#``-joined segment list.
     ``known`` is a measured upper bound (rows, bytes) of the metadata.
     """
-    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows, known)
+    campaigns = broadcast_checked(launch_campaigns(meta), max_broadcast_rows, known, closer=True)
     seg = (
         normalize_locale(segments)
         .withColumnRenamed("segment_type_id", "campaign_segment_type_id")

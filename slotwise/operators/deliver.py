@@ -61,7 +61,7 @@ def add_tokens(df: DataFrame, account_tokens: DataFrame | None, subscriber_token
 def add_module_count(df: DataFrame, counts: DataFrame, max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None) -> DataFrame:
     """Per-campaign slot count (Q23), campaign id compared as int."""
     c = counts.select(F.col("campaign_id").cast("int").alias("_cid"), "AudienceTableName", "ModuleCount")
-    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows, known), F.col("campaign_id") == F.col("_cid"))
+    out = df.drop("ModuleCount").join(broadcast_checked(c, max_broadcast_rows, known, closer=True), F.col("campaign_id") == F.col("_cid"))
     return out.drop("_cid")
 
 

@@ -18,10 +18,10 @@ from slotwise.functions.bindings import (
     QUALIFIER, RECIPIENT_TABLE, binding_left_keys, binding_right_keys, has_lookup, key_spec, template_tokens, token_column, token_table,
 )
 from slotwise.functions.keys import normalize_locale
-from slotwise.functions.templates import render_compiled
-from slotwise.functions.text import render_options, resolve_parts
+from slotwise.functions.templates import fill_compiled
+from slotwise.functions.text import fill_options, resolve_parts, value_texts
 from slotwise.operators import bloom
-from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE, with_modules
+from slotwise.operators.allocate import PLACEMENTS_DEMOTABLE, bound, with_modules
 from slotwise.operators.audience import COHORT_KEYS
 from slotwise.operators.campaigns import in_scope, slot_widths
 from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_checked, measured_size
@@ -80,7 +80,8 @@ def launch_layout(content: DataFrame) -> dict:
     widths = slot_widths(content).filter(F.col("var_position").isNotNull())
     left = F.when(F.col("var_source").isNotNull(), binding_left_keys("var_source"))
     own = F.transform(F.filter(template_tokens("var_structure"), lambda t: token_table(t) == F.lit(RECIPIENT_TABLE)), token_column)
-    attributes = content.select(F.explode(F.array_union(F.coalesce(left, F.array().cast("array<string>")), own)).alias("c")).filter("c <> ''").distinct()
+    variables = content.select("var_source", "var_structure").distinct()  # parsed once each, not once a content row
+    attributes = variables.select(F.explode(F.array_union(F.coalesce(left, F.array().cast("array<string>")), own)).alias("c")).filter("c <> ''").distinct()
     specs = lookup_requirements(content).groupBy("table_name", "left_keys", "right_keys").agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
     lookups = [LookupSpec(r.table_name, tuple(r.left_keys), tuple(r.right_keys), tuple(r["columns"])) for r in specs.collect()]
     for s in lookups:
@@ -185,14 +186,14 @@ def attach_values(
     return rows.withColumn("values", values).drop(*helper_cols)
 
 
-def _rendered_candidate(cand, slot, values, bucket, seed: int, mode: str):
+def _rendered_candidate(cand, slot, texts, bucket, seed: int, mode: str):
     """Stage 1 for one candidate: every variable rendered, split and resolved once."""
     split = F.transform(
         cand["vars"],
         lambda v: F.struct(
             v["pos"].alias("pos"),
             ((slot == F.lit(1)) & (v["pos"] == F.lit(1))).alias("is_first"),
-            (render_options(v["template"], v["keyed"], values) if mode == "compat" else render_compiled(v["compiled"], values, mode)).alias("parts"),
+            (fill_options(v["template"], v["keyed"], texts) if mode == "compat" else fill_compiled(v["compiled"], texts)).alias("parts"),
         ),
     )
     return F.struct(
@@ -232,15 +233,18 @@ def render_slots(rows: DataFrame, seed: int, mode: str = "compat") -> DataFrame:
     Candidate struct fields start with (priority, type, module id), so the
     fold's ``array_min`` picks the lowest priority, ties by type then id (Q4).
     """
-    values, bucket = F.col("values"), F.col("test_keys")
-    rendered = F.transform_values(
-        F.col("slot_cands"),
-        lambda slot, cands: F.transform(
-            F.transform(cands, lambda c: _rendered_candidate(c, slot, values, bucket, seed, mode)),
-            lambda c: _scored_candidate(c, slot),
-        ),
-    )
-    return rows.withColumn("rendered", rendered)
+    bucket = F.col("test_keys")
+
+    def all_slots(texts):
+        return F.transform_values(
+            F.col("slot_cands"),
+            lambda slot, cands: F.transform(
+                F.transform(cands, lambda c: _rendered_candidate(c, slot, texts, bucket, seed, mode)),
+                lambda c: _scored_candidate(c, slot),
+            ),
+        )
+
+    return rows.withColumn("rendered", bound(value_texts("values", mode), all_slots))
 
 
 def content_rows(

@@ -50,8 +50,18 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     return int(r.n), int(r.b or 0)
 
 
+def exploded(df: DataFrame, columns: list, value, *names: str) -> DataFrame:
+    """``columns`` and the elements of ``value``, as ``explode`` gives them, with ``value`` evaluated once a row.
+
+    Below an ``explode`` the optimiser puts a filter on its input (not null, not
+    empty), and a computed input is then computed again for each condition.
+    """
+    out = df.select(*columns, F.explode_outer(value).alias(*names))
+    return out.filter(F.col(names[0]).isNotNull())
+
+
 def broadcast_checked(
-    df: DataFrame, max_rows: int, known: tuple[int, int] | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    df: DataFrame, max_rows: int, known: tuple[int, int] | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, closer: bool = False
 ) -> DataFrame:
     """Broadcast hint only for a side whose size is checked to be small.
 
@@ -63,10 +73,12 @@ def broadcast_checked(
 
     ``known`` is an already measured upper bound (rows, bytes), for instance
     of the configuration table the frame is a projection or aggregate of; it
-    replaces the check.
+    replaces the check. ``closer``: where that bound is too large, the frame
+    itself is measured after all (for a small aggregate of large configuration).
     """
-    rows, size = known if known is not None else measured_size(df)
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    fits = lambda rows, size: rows <= max_rows and size <= max_bytes
+    rows, size = known if known is not None and (fits(*known) or not closer) else measured_size(df)
+    return F.broadcast(df) if fits(rows, size) else df
 
 
 def gate(df: DataFrame, name: str, min_rows: int = 1) -> int:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, integrity, render, select, skew, slots
-from slotwise.operators.util import broadcast_checked, gate_rows, row_width
+from slotwise.operators.util import broadcast_checked, gate_rows, measured_size, row_width
 from slotwise.plans.ledger import StageLedger, fingerprint
 from slotwise.sources import delivery, runlog, tables
 from slotwise.session import ensure_checkpoint_dir
@@ -158,10 +158,10 @@ class CampaignRun:
         build = lambda: audience.build_audience(assigned, profiles, columns, self.params.heavy_share)
         if self.params.checkpoint_audience and self.ledger is None:
             ensure_checkpoint_dir(self.spark)
-            return self._watched("audience", build().checkpoint(eager=True)).persist()
+            return build().checkpoint(eager=True).persist()
         if self.ledger is not None:
-            return self._watched("audience", self.ledger.stage("audience", build))
-        return self._watched("audience", build()).persist()
+            return self.ledger.stage("audience", build)
+        return build().persist()
 
     def _heavy(self, kind: str) -> list[str]:
         """Frequent accounts or content keys of the audience, counted over its persisted rows."""
@@ -180,25 +180,31 @@ class CampaignRun:
     @cached_property
     def audience_rows(self) -> int:
         self.key_rows  # noqa: B018
-        return self._seen("audience", self.audience)["rows"]
+        return self.audience.count()
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        return self._watched("cohorts", audience.cohorts(self.audience))
+        return audience.cohorts(self.audience)
 
     @cached_property
-    def allocation(self) -> DataFrame:
-        """Per-cohort candidates; persisted because its size decides how it is joined."""
+    def cohort_rows(self) -> int:
+        return self.cohorts.count()
+
+    @cached_property
+    def allocated(self) -> DataFrame:
+        """Per-cohort candidates; persisted because their size decides how they are joined."""
         p = self.params
-        df = allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_size)
-        return self._watched("allocation", df, bytes=F.sum(row_width(df))).persist()
+        return allocate.allocation(self.cohorts, self.content, p.rotation_seed(), p.max_broadcast_rows, self.config_size).persist()
+
+    @cached_property
+    def allocation(self) -> DataFrame:
+        """The cohorts that have candidates, from the persisted rows."""
+        return self.allocated.filter(F.size("slot_cands") > 0)
 
     @cached_property
     def allocation_size(self) -> tuple[int, int]:
-        """Rows and bytes of the allocation, by the pass that builds it (and counts the cohorts)."""
-        self.allocation.count()
-        seen = self._seen("allocation", self.allocation)
-        return seen["rows"], seen["bytes"] or 0
+        """Rows and bytes of the allocation, by the pass that builds it."""
+        return measured_size(self.allocation)
 
     @cached_property
     def content_keys(self) -> DataFrame:
@@ -243,14 +249,11 @@ class CampaignRun:
     @cached_property
     def rendered(self) -> DataFrame:
         """``slot_contents`` for the join back. Persisted: its size check materialises it."""
-        df = self.slot_contents
-        return self._watched("rendered", df, bytes=F.sum(row_width(df))).persist()
+        return self.slot_contents.persist()
 
     @cached_property
     def rendered_size(self) -> tuple[int, int]:
-        self.rendered.count()
-        seen = self._seen("rendered", self.rendered)
-        return seen["rows"], seen["bytes"] or 0
+        return measured_size(self.rendered)
 
     @cached_property
     def personalised(self) -> DataFrame:
@@ -279,7 +282,7 @@ class CampaignRun:
         # Launch times of the day's campaigns. Taken from the metadata: a row of
         # the result always belongs to a campaign that made it into ``meta``.
         launch = self.meta.select("campaign_id", "locale", "LaunchDateTimeUTC").distinct()
-        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows, self.config_size), ["campaign_id", "locale"])
+        return joined.join(broadcast_checked(launch, self.params.max_broadcast_rows, self.config_size, closer=True), ["campaign_id", "locale"])
 
     @cached_property
     def best(self) -> DataFrame:
@@ -328,24 +331,21 @@ class CampaignRun:
 
     def release(self) -> None:
         """Unpersist every cached stage of this run (after delivery)."""
-        stages = [self.__dict__.get(name) for name in ("meta", "content", "audience", "allocation", "content_keys", "rendered", "seeds")]
+        stages = [self.__dict__.get(name) for name in ("meta", "content", "audience", "allocated", "content_keys", "rendered", "seeds")]
         for df in [*stages, *self.cached_lookups]:
             if df is not None and df.is_cached:
                 df.unpersist()
 
     # ---- control ------------------------------------------------------------
     def stage_rows(self, name: str) -> int:
-        """D-9: rows of a gated stage, by the pass that builds it.
-
-        A stage whose tasks ran again after a loss may be counted higher than it
-        is, never as empty or not.
+        """D-9: rows of a gated stage: of the configuration by the pass that builds it
+        (which may count a task that ran again twice), of the recipients counted.
         """
         if name in self.config_counts:
             return self.config_counts[name]
         if name == "audience":
             return self.audience_rows
-        self.allocation_size  # noqa: B018 - the pass over the cohorts
-        return self._seen(name, self.cohorts if name == "cohorts" else self.allocation)["rows"]
+        return self.cohort_rows if name == "cohorts" else self.allocation_size[0]
 
     def check_gate(self, name: str) -> int:
         """A stage without rows ends the run."""

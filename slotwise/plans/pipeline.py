@@ -299,6 +299,12 @@ class CampaignRun:
         """I8: accounts only, click tokens attached."""
         return deliver.add_tokens(deliver.has_account(self.best), self.inputs.account_tokens, self.inputs.subscriber_tokens, self._heavy("accounts"))
 
+    @cached_property
+    def sendable(self) -> DataFrame:
+        """``with_tokens`` for the seeds. Persisted: the output and the sample both read it,
+        and each would render every recipient."""
+        return self.with_tokens.persist()
+
     @cached_property
     def seeds(self) -> DataFrame:
         return select.active_seeds(self.inputs.seeds, self.params.scope).persist()
@@ -310,11 +316,11 @@ class CampaignRun:
     @cached_property
     def seeded(self) -> DataFrame:
         """Seed rows appended (a marker column keeps seeds per campaign apart, Q10)."""
-        base = self.with_tokens.withColumn("_seed_campaign", F.lit(None).cast("int"))
         if self.n_seeds == 0:
-            return base
+            return self.with_tokens.withColumn("_seed_campaign", F.lit(None).cast("int"))
+        base = self.sendable.withColumn("_seed_campaign", F.lit(None).cast("int"))
         extra = select.seed_rows(
-            self.with_tokens, self.seeds, self.n_seeds, self.params.max_broadcast_rows, self.params.max_broadcast_bytes
+            self.sendable, self.seeds, self.n_seeds, self.params.max_broadcast_rows, self.params.max_broadcast_bytes
         ).withColumn("_seed_campaign", F.col("campaign_id"))
         return select.append_seeds(base, extra)
 
@@ -331,7 +337,7 @@ class CampaignRun:
 
     def release(self) -> None:
         """Unpersist every cached stage of this run (after delivery)."""
-        stages = [self.__dict__.get(name) for name in ("meta", "content", "audience", "allocated", "content_keys", "rendered", "seeds")]
+        stages = [self.__dict__.get(name) for name in ("meta", "content", "audience", "allocated", "content_keys", "rendered", "sendable", "seeds")]
         for df in [*stages, *self.cached_lookups]:
             if df is not None and df.is_cached:
                 df.unpersist()

@@ -48,6 +48,12 @@ def test_gates_do_not_depend_on_what_ran_before(spark):
     fr._RUNS.clear()
 
 
+def test_recipients_are_kept_for_output_and_seeds(spark):
+    run = fr.fixture_run(spark, SMALL)
+    assert run.n_seeds > 0 and run.seeded.count() > 0 and run.sendable.is_cached
+    assert "transform_values(" not in run.seeded._jdf.queryExecution().withCachedData().toString().split("InMemoryRelation")[0]
+
+
 def test_value_texts(spark):
     df = spark.createDataFrame([({"a": "x", "b": "", "c": None},)], "m map<string,string>")
     keys = ("a", "b", "c", "d")

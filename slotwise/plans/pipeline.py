@@ -203,7 +203,8 @@ class CampaignRun:
 
     @cached_property
     def allocation_size(self) -> tuple[int, int]:
-        """Rows and bytes of the allocation, by the pass that builds it."""
+        """Rows and bytes of the allocation, by the pass that builds it; the cohorts are counted with it."""
+        self.cohort_rows  # noqa: B018
         return measured_size(self.allocation)
 
     @cached_property

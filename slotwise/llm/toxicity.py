@@ -21,6 +21,7 @@ labelled document every score is the labelled rate; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -53,7 +54,15 @@ _core = re.compile(r"[\W_]+")
 
 def features(token: str) -> list[str]:
     """Character features of a token; the form itself, its beginnings and endings."""
-    t = _core.sub("", token.lower())
+    return _features_of(_core_of(token))
+
+
+def _core_of(token: str) -> str:
+    t = token.lower()
+    return t if t.isalnum() else _core.sub("", t)
+
+
+def _features_of(t: str) -> list[str]:
     out = ["=" + t]
     out += [f"^{t[:k]}" for k in (3, 4, 5, 6) if len(t) >= k]
     out += [f"{t[-k:]}$" for k in (3, 5) if len(t) > k]
@@ -64,6 +73,34 @@ def _hashed(feats: list[str]) -> list[int]:
     return [zlib.crc32(f.encode("utf-8")) & ((1 << BITS) - 1) for f in feats]
 
 
+_FORM, _BEGIN = zlib.crc32(b"="), zlib.crc32(b"^")
+
+
+def _add_hashes(t: str, out: list[int]) -> int:
+    """Appends the hashes of ``_features_of(t)``, all bits, in order; how many.
+
+    A beginning's hash goes on from the one before it.
+    """
+    if not t.isascii():
+        feats = _features_of(t)
+        out.extend(zlib.crc32(f.encode("utf-8")) for f in feats)
+        return len(feats)
+    crc, b, n = zlib.crc32, t.encode(), len(t)
+    out.append(crc(b, _FORM))
+    if n < 3:
+        return 1
+    out.append(h := crc(b[:3], _BEGIN))
+    if n == 3:
+        return 2
+    for k in range(3, min(n, 6)):
+        out.append(h := crc(b[k : k + 1], h))
+    out.append(crc(b"$", crc(b[-3:])))
+    if n == 4 or n == 5:
+        return n
+    out.append(crc(b"$", crc(b[-5:])))
+    return 7
+
+
 @dataclass
 class Field:
     """Weights of the field and of the document calibration."""
@@ -78,34 +115,57 @@ class Field:
     def emission(self, token: str) -> float:
         return self.bias + float(self.weights[_hashed(features(token))].sum())
 
+    def emissions(self, tokens: list[str]) -> np.ndarray:
+        """``emission`` of each token; weights are added in the same order, tokens of one core form once."""
+        cores = [_core_of(t) for t in tokens]
+        place = {c: k for k, c in enumerate(dict.fromkeys(cores))}
+        found: list[int] = []
+        n = np.fromiter((_add_hashes(c, found) for c in place), np.int64, len(place))
+        weights = self.weights[np.array(found, np.int64) & ((1 << BITS) - 1)]
+        first, total = np.cumsum(n) - n, np.zeros(len(n), self.weights.dtype)
+        for k in range(n.max(initial=0)):
+            on = np.flatnonzero(n > k)
+            total[on] += weights[first[on] + k]
+        return (self.bias + total.astype(np.float64))[np.fromiter(map(place.__getitem__, cores), np.int64, len(cores))]
+
     def marginals(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
-        """Marginal logits of toxic; documents advance together, longest first."""
-        lengths = np.array([len(e) for e in emissions])
+        """Marginal logits of toxic; documents advance together, longest first.
+
+        Step ``t`` takes the token ``t`` from the beginning forward and the one ``t``
+        from the end backward: both passes are the same recursion with the
+        transitions turned round, so one loop runs them as two rows.
+        """
+        lengths = np.array([len(e) for e in emissions], np.int64)
+        if not lengths.sum():
+            return [np.zeros(0) for _ in emissions]
         order = np.argsort(-lengths, kind="stable")
-        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1][order]
-        flat = np.concatenate(emissions) if len(emissions) else np.zeros(0)
-        active = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), side="left")  # documents longer than t
-        fwd, bwd = np.empty_like(flat), np.zeros_like(flat)
+        active = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")  # documents longer than t
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        ends, offsets = np.cumsum(lengths), np.cumsum(active) - active
+        # Where a token's step and document lie when tokens are laid out by steps.
+        t = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+        rank, turned = np.repeat(rank, lengths), np.repeat(lengths, lengths) - 1 - t
+        at = np.array([offsets[t] + rank, offsets[turned] + rank])
+        flat = np.concatenate(emissions)
+        given, state, odds = np.empty(at.shape), np.empty(at.shape), np.zeros(at.shape)
+        given[0, at[0]], given[1, at[1]] = flat, flat
         a, b, c, d = np.exp(self.trans).ravel()  # 00 01 10 11
-        r = np.zeros(len(lengths))
-        for t, n in enumerate(active):
-            at = starts[:n] + t
-            if t:
-                x = np.exp(r[:n])
-                r = flat[at] + np.log((b + d * x) / (a + c * x))
+        over, under = np.array([[b], [c]]), np.array([[c], [b]])
+        before = given[:, :0]
+        for o, n in zip(offsets.tolist(), active.tolist()):
+            now = state[:, o : o + n]
+            if o:
+                x = np.exp(before[:, :n])
+                ratio = odds[:, o : o + n]
+                np.log((over + d * x) / (a + under * x), out=ratio)
+                np.add(given[:, o : o + n], ratio, out=now)
             else:
-                r = flat[at]
-            np.clip(r, -40, 40, out=r)
-            fwd[at] = r
-        z = np.zeros(len(lengths))
-        for t in range(len(active) - 2, -1, -1):
-            n = active[t + 1]  # documents with a token after t
-            at = starts[:n] + t
-            x = np.exp(np.clip(flat[at + 1] + z[:n], -40, 40))
-            z[:n] = np.log((c + d * x) / (a + b * x))
-            bwd[at] = z[:n]
-        total = fwd + bwd
-        ends = np.cumsum(lengths)
+                now[:] = given[:, :n]
+            np.maximum(now, -40, out=now)
+            np.minimum(now, 40, out=now)
+            before = now
+        total = state[0, at[0]] + odds[1, at[1]]
         return [total[e - n : e] for e, n in zip(ends, lengths)]
 
     def summary(self, logits: np.ndarray) -> tuple[float, float, float]:
@@ -259,8 +319,8 @@ def score_documents(docs: DataFrame, field: Field, id_col: str = "doc_id", text_
                 tokens = [_words.findall(t) for t in texts]
                 if len(emit) > CACHE:
                     emit.clear()
-                for w in set().union(*tokens) - emit.keys():
-                    emit[w] = field.emission(w)
+                new = list(set().union(*tokens) - emit.keys())
+                emit.update(zip(new, field.emissions(new).tolist()))
                 get = emit.__getitem__
                 logits = field.marginals([np.fromiter(map(get, ts), np.float64, len(ts)) for ts in tokens])
                 spans = []

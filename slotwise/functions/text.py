@@ -134,14 +134,11 @@ def resolve_parts(split, bucket, seed, mode: str = "compat") -> Column:
         default = F.when(v["is_first"], F.get(v["parts"], 0)).otherwise(F.lit(NONE_TEXT))
         return F.struct(v["pos"].alias("pos"), default.alias("default"), chosen["value"].alias("value"), chosen["att"].alias("att"))
 
-    picked = F.transform(_c(split), pick)
-    tested = F.transform(picked, lambda v: F.struct(v.alias("v"), is_missing(v["value"], mode).alias("missing")))
-    return F.transform(
-        tested,
-        lambda x: F.struct(
-            x["v"]["pos"].alias("pos"),
-            F.when(x["missing"], x["v"]["default"]).otherwise(x["v"]["value"]).alias("value"),
-            F.when(x["missing"], F.lit(DEFAULT_ATT)).otherwise(x["v"]["att"]).alias("att"),
-            x["missing"].alias("missing"),
-        ),
-    )
+    def settle(v: Column) -> Column:
+        # the test stands once, over whole results: a field of each would be tested on its own
+        return F.when(
+            is_missing(v["value"], mode),
+            F.struct(v["pos"].alias("pos"), v["default"].alias("value"), F.lit(DEFAULT_ATT).alias("att"), F.lit(True).alias("missing")),
+        ).otherwise(F.struct(v["pos"].alias("pos"), v["value"].alias("value"), v["att"].alias("att"), F.lit(False).alias("missing")))
+
+    return F.transform(F.transform(_c(split), pick), settle)

@@ -18,6 +18,7 @@ from slotwise.functions.keys import segment_ids
 from slotwise.functions.rotation import pick_version
 from slotwise.functions.text import value_key
 from slotwise.operators.audience import COHORT_KEYS
+from slotwise.operators.skew import busy_partitions, salted_join, salts_for
 from slotwise.operators.util import broadcast_checked, exploded
 
 # Fixed values (must equal the reference's): placements whose missing content demotes a module.
@@ -184,15 +185,20 @@ def allocation(
 
 
 def with_modules(
-    rows: DataFrame, content: DataFrame, mode: str = "compat", max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None
+    rows: DataFrame, content: DataFrame, mode: str = "compat", max_broadcast_rows: int = 2_000_000, known: tuple[int, int] | None = None,
+    heavy: list[str] | None = None,
 ) -> DataFrame:
     """The candidates of each row with their modules' attributes and variables.
 
     One join with a row per campaign (bounded by ``known``). Candidate fields
     start with (priority, type, module id), so the slot fold can take
     ``array_min`` for the lowest-priority pick (Q4: ties broken by type, then id).
+    Where it is a shuffle join, the rows are rendered in its partitions: their number
+    is given, as few bytes are much work here, and rows of the campaigns ``heavy``
+    (those with a large share of them) are spread.
     """
-    modules = broadcast_checked(campaign_modules(content, mode), max_broadcast_rows, known)
+    modules = campaign_modules(content, mode)
+    side = broadcast_checked(modules, max_broadcast_rows, known)
 
     def full(c: Column) -> Column:
         m = F.get("modules", c["at"])
@@ -201,5 +207,8 @@ def with_modules(
             m["placement_type"].alias("placement_type"), m["default_flag"].alias("default_flag"), m["vars"].alias("vars"),
         )
 
-    joined = rows.join(modules, "campaign_id", "left")
+    if side is modules:
+        joined = salted_join(rows, modules, ["campaign_id"], "left", heavy or [], salts_for(rows), partitions=busy_partitions(rows))
+    else:
+        joined = rows.join(side, "campaign_id", "left")
     return joined.withColumn("slot_cands", F.transform_values("slot_cands", lambda _, cands: F.transform(cands, full))).drop("modules")

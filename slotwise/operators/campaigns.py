@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import RunParams, Scope
 from slotwise.functions.keys import normalize_locale
+from slotwise.operators.skew import busy_partitions
 
 # Fixed values (must equal the reference's): join and grouping keys.
 MODULE_JOIN_KEYS = ["locale", "module_type_id", "tpid", "eapid", "placement_type", "channel"]
@@ -97,13 +98,15 @@ def expand_campaigns(cfg: CampaignConfig, params: RunParams) -> DataFrame:
     All four joins are between configuration tables. No hint is given:
     Catalyst broadcasts on size statistics, and for sources without
     statistics (JDBC) AQE turns the join into a broadcast once the measured
-    shuffle output is known to be small.
+    shuffle output is known to be small. Campaigns and slot rows are dealt out
+    first: whichever side is streamed, a small file's one task would expand it all.
     """
     campaigns = live(in_scope(launching(cfg.campaigns, params.locale, params.launch_date), params.scope), "campaign_deleted_flag")
     modules = normalize_locale(cfg.module_defs)
+    n = busy_partitions(modules)
     meta = (
-        campaigns.join(live(cfg.templates, "template_deleted_flag"), "template_id")
-        .join(live(cfg.segment_modules, "seg_mod_deleted_flag"), "segment_module_map_id")
+        campaigns.repartition(n).join(live(cfg.templates, "template_deleted_flag"), "template_id")
+        .join(live(cfg.segment_modules, "seg_mod_deleted_flag").repartition(n), "segment_module_map_id")
         .join(modules, MODULE_JOIN_KEYS)
         .join(live(cfg.segment_defs, "segment_deleted_flag"), SEGMENT_JOIN_KEYS)
         .filter(F.col("status") == F.lit(LIVE_STATUS))

@@ -256,8 +256,9 @@ def content_rows(
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     known: tuple[int, int] | None = None,
     alloc_size: tuple[int, int] | None = None,
+    heavy: list[str] | None = None,
 ) -> DataFrame:
     """C11: content keys with their cohort's candidates and what these say (left
     join: a cohort without any candidate still gets a row, all slots ``dummy``)."""
     rows = keys.join(broadcast_checked(alloc, max_broadcast_rows, alloc_size, max_broadcast_bytes), COHORT_KEYS, "left")
-    return with_modules(rows, content, mode, max_broadcast_rows, known)
+    return with_modules(rows, content, mode, max_broadcast_rows, known, heavy)

@@ -60,16 +60,23 @@ def salts_for(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: list[str], salts: int, null_safe: bool = False) -> DataFrame:
+def busy_partitions(df: DataFrame) -> int:
+    """Two partitions for each shuffle partition of the session: for rows that are few bytes and much work."""
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: list[str], salts: int, null_safe: bool = False, partitions: int | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` (inner or left) with the rows of ``heavy`` keys spread over ``salts``.
 
     A left row's salt is a hash of the row, so a repeated computation deals the
     same; equal rows get equal salts. ``null_safe``: null keys match each other.
+    ``partitions``: into so many the rows go, however few bytes they are (for joins
+    whose rows cost much work afterwards).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"a salted join is inner or left, not {how}")
     if not heavy and not null_safe:
-        return left.join(right, keys, how)
+        return (left.repartition(partitions, *keys) if partitions else left).join(right, keys, how)
     a, b, on = left, right.withColumnsRenamed({k: f"_right_{k}" for k in keys}), []
     if heavy:
         simple = [F.col(f"`{f.name}`") for f in left.schema if "map<" not in f.dataType.simpleString()]
@@ -80,6 +87,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, he
         on = [F.col("_salt") == F.col("_right_salt")]
     for k in keys:
         on.append(F.col(k).eqNullSafe(F.col(f"_right_{k}")) if null_safe else F.col(k) == F.col(f"_right_{k}"))
+    if partitions:
+        a = a.repartition(partitions, *(["_salt"] if heavy else []), *keys)
     return a.join(b, on, how).drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
 
 

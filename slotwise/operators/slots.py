@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.text import NONE_TEXT
+from slotwise.operators.allocate import bound
 from slotwise.operators.render import SUPPRESSED_PRIORITY
 
 # Fixed values (must equal the reference's): placeholder module id, and the
@@ -71,42 +72,36 @@ def fill_slots(rows: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
     — and then does not block its module from a later slot.
     """
     slot_meta = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(w).alias("width")) for s, w in slots])
-    # ``rendered`` enters through the initial state, not the lambda: a column
-    # referenced once inside a lambda is inlined by CollapseProject and would be
-    # re-evaluated for every slot.
     init = F.struct(
         F.array().cast("array<int>").alias("used"),
         F.array().cast(f"array<{PICK_TYPE}>").alias("picks"),
         F.lit(False).alias("escalated"),
-        F.col("rendered").alias("rendered"),
     )
 
-    def bind(expr: Column, fn) -> Column:
-        """Evaluate ``expr`` once and pass it to ``fn`` as a lambda variable."""
-        return F.get(F.transform(F.array(expr), fn), 0)
-
     def choose(acc, slot, width, cands):
         avail = F.filter(cands, lambda c: ~F.array_contains(acc["used"], c["module_id"]))
-        return bind(
-            F.struct(F.size(avail).alias("n"), F.array_min(avail).alias("best")),
-            lambda a: F.when(cands.isNull(), F.struct(_placeholder(slot, width, DUMMY).alias("pick"), F.lit(False).alias("hero")))
-            .when(a["n"] == 0, F.struct(_placeholder(slot, width, PIXEL).alias("pick"), F.lit(False).alias("hero")))
-            .otherwise(_real_pick(a["best"], slot, width)),
+        return bound(
+            F.array_min(avail),  # null where none is left
+            lambda best: F.when(cands.isNull(), F.struct(_placeholder(slot, width, DUMMY).alias("pick"), F.lit(False).alias("hero")))
+            .when(best.isNull(), F.struct(_placeholder(slot, width, PIXEL).alias("pick"), F.lit(False).alias("hero")))
+            .otherwise(_real_pick(best, slot, width)),
         )
 
-    def step(acc, s):
+    def step(acc, s, rendered):
         slot, width = s["slot"], s["width"]
-        return bind(
-            choose(acc, slot, width, F.try_element_at(acc["rendered"], slot)),
+        return bound(
+            choose(acc, slot, width, F.try_element_at(rendered, slot)),
             lambda r: F.struct(
                 F.array_append(acc["used"], r["pick"]["module_id"]).alias("used"),
                 F.array_append(acc["picks"], r["pick"]).alias("picks"),
                 (acc["escalated"] | r["hero"]).alias("escalated"),
-                acc["rendered"].alias("rendered"),
             ),
         )
 
-    folded = F.aggregate(slot_meta, init, step)
+    # ``rendered`` is bound around the fold: as a column inside the lambda it would be
+    # inlined by CollapseProject and evaluated for every slot, and as part of the state
+    # every step would copy all candidates of all slots.
+    folded = bound(F.col("rendered"), lambda rendered: F.aggregate(slot_meta, init, lambda acc, s: step(acc, s, rendered)))
     return rows.withColumn("_fold", folded)
 
 

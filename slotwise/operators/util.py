@@ -60,6 +60,10 @@ def exploded(df: DataFrame, columns: list, value, *names: str) -> DataFrame:
     return out.filter(F.col(names[0]).isNotNull())
 
 
+def fits_broadcast(size: tuple[int, int], max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return size[0] <= max_rows and size[1] <= max_bytes
+
+
 def broadcast_checked(
     df: DataFrame, max_rows: int, known: tuple[int, int] | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, closer: bool = False
 ) -> DataFrame:
@@ -76,9 +80,8 @@ def broadcast_checked(
     replaces the check. ``closer``: where that bound is too large, the frame
     itself is measured after all (for a small aggregate of large configuration).
     """
-    fits = lambda rows, size: rows <= max_rows and size <= max_bytes
-    rows, size = known if known is not None and (fits(*known) or not closer) else measured_size(df)
-    return F.broadcast(df) if fits(rows, size) else df
+    size = known if known is not None and (fits_broadcast(known, max_rows, max_bytes) or not closer) else measured_size(df)
+    return F.broadcast(df) if fits_broadcast(size, max_rows, max_bytes) else df
 
 
 def gate(df: DataFrame, name: str, min_rows: int = 1) -> int:

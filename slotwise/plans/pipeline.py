@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from slotwise.config import RunParams
 from slotwise.operators import allocate, audience, campaigns, deliver, integrity, render, select, skew, slots
-from slotwise.operators.util import broadcast_checked, gate_rows, measured_size, row_width
+from slotwise.operators.util import broadcast_checked, fits_broadcast, gate_rows, measured_size, row_width
 from slotwise.plans.ledger import StageLedger, fingerprint
 from slotwise.sources import delivery, runlog, tables
 from slotwise.session import ensure_checkpoint_dir
@@ -164,11 +164,12 @@ class CampaignRun:
         return build().persist()
 
     def _heavy(self, kind: str) -> list[str]:
-        """Frequent accounts or content keys of the audience, counted over its persisted rows."""
+        """Frequent accounts, campaigns or content keys of the audience, counted over its persisted rows."""
         if not self.params.heavy_share:
             return []
         if kind not in self.heavy:
-            keys, null_safe = (["paid"], False) if kind == "accounts" else (audience.content_key_columns(self.attributes), True)
+            keys = {"accounts": ["paid"], "campaigns": ["campaign_id"]}.get(kind)
+            keys, null_safe = (keys, False) if keys else (audience.content_key_columns(self.attributes), True)
             self.heavy[kind] = skew.heavy_keys(self.audience, keys, self.params.heavy_share, null_safe)
         return self.heavy[kind]
 
@@ -237,7 +238,8 @@ class CampaignRun:
             self.cached_lookups, self.audience_rows,
         )
         rows = render.content_rows(
-            rows, self.allocation, self.content, p.missing, p.max_broadcast_rows, p.max_broadcast_bytes, self.config_size, self.allocation_size
+            rows, self.allocation, self.content, p.missing, p.max_broadcast_rows, p.max_broadcast_bytes, self.config_size, self.allocation_size,
+            [] if fits_broadcast(self.config_size, p.max_broadcast_rows) else self._heavy("campaigns"),
         )
         return slots.fill_slots(render.render_slots(rows, p.rotation_seed(), p.missing), self.slots)
 

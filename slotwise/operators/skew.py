@@ -61,7 +61,8 @@ def salts_for(df: DataFrame) -> int:
 
 
 def busy_partitions(df: DataFrame) -> int:
-    """Two partitions for each shuffle partition of the session: for rows that are few bytes and much work."""
+    """Two partitions for each shuffle partition of the session: for rows that are few bytes and much work.
+    Spark may join them in the session's own number, but does not coalesce them."""
     return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 

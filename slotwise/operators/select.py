@@ -7,6 +7,8 @@ campaign) holding a third of all rows only ships its top rows.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from slotwise.operators.util import DEFAULT_MAX_BROADCAST_BYTES, broadcast_check
 # Fixed values (must equal the reference's): account id of seed rows, seed category.
 SEED_ACCOUNT = 999999999
 SEED_CATEGORY = "Merch"
+# Addresses numbered in one task, and ranges a longer list is cut into, at most.
 MAX_SEEDS = 100_000
+CUT_SAMPLE = 16  # addresses looked at for each cut between ranges
 
 
 def best_campaign(df: DataFrame) -> DataFrame:
@@ -46,21 +50,53 @@ def top_k(df: DataFrame, partition: list[str], order: list, k: int, name: str =
 def active_seeds(seeds: DataFrame, scope) -> DataFrame:
     """Active seed addresses of the scope, numbered 1..n by address.
 
-    The global window over the list is the only single-partition window of the
-    job and it never sees recipient data; a list above ``MAX_SEEDS`` addresses
-    is refused before it is numbered.
+    Up to ``MAX_SEEDS`` addresses are numbered by one window over the list, which
+    never sees recipient data. A longer list is numbered range by range
+    (``numbered_in_ranges``), so that no task holds much of it. Refused is only a
+    list of more ranges than the driver should hold, or whose numbers are no ints.
     """
     from slotwise.operators.campaigns import in_scope
     from slotwise.functions.keys import normalize_locale
 
     s = seeds.filter((F.col("CampaignCategory") == F.lit(SEED_CATEGORY)) & (F.col("IsActive") == 1))
     s = in_scope(normalize_locale(s), scope).select("tpid", "eapid", "locale", "SeedEmail").distinct()
-    n = s.count()
+    n, most = s.count(), min(MAX_SEEDS**2, 2**31 - 1)
+    if n > most:
+        raise ValueError(f"{n} seed addresses; at most {most} are numbered")
     if n > MAX_SEEDS:
-        raise ValueError(f"{n} seed addresses; at most {MAX_SEEDS} are numbered in one task")
+        return numbered_in_ranges(s, "SeedEmail", -(-n // max(1, MAX_SEEDS // 4)))
     return s.withColumn("row_id", F.row_number().over(Window.orderBy("SeedEmail")))
 
 
+def in_ranges(df: DataFrame, column: str, ranges: int) -> DataFrame:
+    """Rows with the number (``_range``, from 0) of the range their text value falls into; a null is in the first.
+
+    The cuts between ranges are taken from the values with the smallest hashes: they
+    only decide how evenly distinct values fill the ranges.
+    """
+    value = F.col(column)
+    some = df.filter(value.isNotNull()).orderBy(F.xxhash64(value), value).select(value).limit(ranges * CUT_SAMPLE).collect()
+    cuts = F.array(*[F.lit(c) for c in sorted(r[0] for r in some)[CUT_SAMPLE::CUT_SAMPLE]]).cast("array<string>")
+    # Binary search: how many cuts are below the value.
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(ranges.bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
+    return df.withColumn("_range", below)
+
+
+def numbered_in_ranges(df: DataFrame, column: str, ranges: int, name: str = "row_id") -> DataFrame:
+    """Rows numbered 1..n by a text column of distinct values (a null comes first), as one
+    window over all of them would, in so many ranges of values.
+
+    A row's number is its place in its range plus the counted rows of the ranges
+    before it: a few cuts and a count for each range are all that reaches the driver.
+    """
+    placed = in_ranges(df, column, ranges)
+    counts = {r["_range"]: r["count"] for r in placed.groupBy("_range").count().collect()}
+    before = F.array(*[F.lit(x) for x in accumulate((counts.get(i, 0) for i in range(ranges)), initial=0)])
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+    return placed.withColumn(name, (F.get(before, F.col("_range")) + place).cast("int")).drop("_range")
+
+
 def seed_rows(df: DataFrame, seeds: DataFrame, n_seeds: int, max_broadcast_rows: int = 2_000_000, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """C17 + E4: the first n_seeds recipients of each campaign (by bucket, then
     address — Q9) re-addressed to the seed addresses, account ``999999999``."""
